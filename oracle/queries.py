@@ -51,3 +51,7 @@ for _name in ("stg_leads", "stg_opportunities", "stg_expenses_advertising", "stg
               "ops_pipeline_health", "rpt_cac_ltv_by_channel", "rpt_funnel_summary", "rpt_monthly_unit_economics",
               "rpt_channel_efficiency", "rpt_pipeline_health", "rpt_lead_outreach_priority"):
     ORACLE[_name] = table(_name)
+
+from .analyses import Q as _ANALYSES  # noqa: E402
+
+ORACLE.update(_ANALYSES)
