@@ -4,8 +4,10 @@
 Written this way Catalyst inserts a partial ``WindowGroupLimit`` *before* the
 shuffle, so each map task forwards at most one row per key: a key that holds
 a third of all rows is cut down map-side and never lands whole in one task.
-Every remaining column is appended to the ordering as a tie-break, so the
-surviving row does not depend on partitioning or task timing.
+A content hash of every remaining column (``xxhash64``) is appended to the
+ordering as a tie-break, so the surviving row does not depend on partitioning
+or task timing, while only the columns the consumer needs (plus 8 bytes)
+cross the shuffle: Catalyst still prunes the rest above the scan.
 """
 
 from __future__ import annotations
@@ -27,13 +29,16 @@ def _as_list(x) -> list:
 
 
 def dedupe(df: DataFrame, keys: str | Sequence[str], order: Sequence[str | Column] | str | Column | None = None,
-           drop_null_keys: bool = False) -> DataFrame:
+           drop_null_keys: bool = False, tie_break: str | None = "hash") -> DataFrame:
     """First row per ``keys`` by ``order`` (default: the keys themselves).
 
     ``order`` items are column names (ascending, NULLs first) or sort
     Columns such as ``F.col('created_date').desc_nulls_first()``.
     ``drop_null_keys`` removes rows whose key is NULL before the shuffle —
     otherwise every NULL-key row meets in a single partition.
+    ``tie_break``: ``"hash"`` (content hash of the other columns),
+    ``"columns"`` (every other column, ascending) or ``None`` when ``order``
+    is already unique within a key.
     """
     keys = _as_list(keys)
     order = _as_list(order) or list(keys)
@@ -45,6 +50,12 @@ def dedupe(df: DataFrame, keys: str | Sequence[str], order: Sequence[str | Colum
         df = df.filter(cond)
     order_cols = [F.col(o).asc_nulls_first() if isinstance(o, str) else o for o in order]
     named = {o for o in order if isinstance(o, str)} | set(keys)
-    tie_break = [F.col(c).asc_nulls_first() for c in df.columns if c not in named]
-    w = Window.partitionBy(*keys).orderBy(*order_cols, *tie_break)
+    rest = [c for c in df.columns if c not in named]
+    if tie_break == "hash" and rest:
+        ties = [F.xxhash64(*[F.col(c) for c in rest]).asc()]
+    elif tie_break == "columns":
+        ties = [F.col(c).asc_nulls_first() for c in rest]
+    else:
+        ties = []
+    w = Window.partitionBy(*keys).orderBy(*order_cols, *ties)
     return df.withColumn(_ROW_NUM, F.row_number().over(w)).filter(F.col(_ROW_NUM) == 1).drop(_ROW_NUM)

@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import check_not_null, check_orphans, check_unique, failure_count, violations
+from ..functions import count_if
+from ..operators import check_orphans, failure_count, violations
 from .pipeline import Pipeline
 
 # (model, key column, also tested not_null)
@@ -65,14 +66,28 @@ def lead_orphans(pl: Pipeline) -> DataFrame:
                          "opportunity_id", ["lead_id", "converted_opportunity_id"])
 
 
+def key_checks(df: DataFrame, model: str, key: str, not_null: bool) -> DataFrame:
+    """``unique`` and ``not_null`` of one key in a single aggregation.
+
+    Rows are counted per key value (partial counts combined map-side); the
+    duplicated values and the size of the NULL group are then read off that
+    one result, so a table is scanned and shuffled once for both tests.
+    """
+    k = F.col(key)
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    totals = per_key.agg(
+        count_if(k.isNotNull() & (F.col("n") > 1)).alias("dup"),
+        F.coalesce(F.sum(F.when(k.isNull(), F.col("n"))), F.lit(0)).cast("bigint").alias("nul"),
+    )
+    rows = [F.lit(f"unique:{model}.{key}"), F.col("dup")]
+    if not_null:
+        rows += [F.lit(f"not_null:{model}.{key}"), F.col("nul")]
+    return totals.select(F.stack(F.lit(len(rows) // 2), *rows).alias("check_name", "failures"))
+
+
 def check_summary(pl: Pipeline) -> DataFrame:
     """One row per check: its name and the number of failing rows."""
-    parts = []
-    for model, key, not_null in KEY_TESTS:
-        df = pl.table(model)
-        parts.append(failure_count(check_unique(df, key), f"unique:{model}.{key}"))
-        if not_null:
-            parts.append(failure_count(check_not_null(df, key, [key]), f"not_null:{model}.{key}"))
+    parts = [key_checks(pl.table(model), model, key, not_null) for model, key, not_null in KEY_TESTS]
     parts.append(failure_count(closed_without_close_date(pl), "closed_deals_have_close_date"))
     parts.append(failure_count(closed_flags_both_true(pl), "closed_flags_mutually_exclusive"))
     parts.append(failure_count(negative_cac_or_cost(pl), "no_negative_cac_or_cost"))

@@ -61,8 +61,11 @@ def ops_leads(entity: DataFrame, p: Params) -> DataFrame:
 
 
 def one_lead_per_opportunity(leads: DataFrame) -> DataFrame:
-    """Lowest lead_id per converted_opportunity_id; NULL ids dropped first."""
-    return dedupe(leads, "converted_opportunity_id", ["lead_id"], drop_null_keys=True)
+    """Lowest lead_id per converted_opportunity_id; NULL ids dropped first.
+
+    lead_id is unique after the raw dedupe, so the order needs no tie-break.
+    """
+    return dedupe(leads, "converted_opportunity_id", ["lead_id"], drop_null_keys=True, tie_break=None)
 
 
 def loss_category(p: Params) -> Column:
@@ -80,7 +83,8 @@ def ops_opportunities(entity_opps: DataFrame, ops_leads_df: DataFrame, p: Params
     lead_cols = ["lead_id", "channel", "predicted_sales_with_owner", "predicted_sales_tier", "location_count",
                  "connected_with_decision_maker", "total_touch_count", "speed_to_lead_minutes",
                  "marketplace_count", "form_submission_date", "converted_opportunity_id"]
-    leads = one_lead_per_opportunity(ops_leads_df).select(*lead_cols)
+    # project first: only these columns cross the dedupe shuffle
+    leads = one_lead_per_opportunity(ops_leads_df.select(*lead_cols))
     o = entity_opps.alias("o")
     l_ = leads.alias("l")
     joined = o.join(l_, F.col("o.opportunity_id") == F.col("l.converted_opportunity_id"), "left")
