@@ -30,14 +30,19 @@ class Pipeline:
         self.spark = spark
         self.sources = sources
         self.p = params
-        self._tables: dict[str, DataFrame] = {}
+        self._tables: dict[str, DataFrame] = {}   # materialized (read back from Parquet)
+        self._built: dict[str, DataFrame] = {}    # lazy plans built so far
 
     @classmethod
     def from_driver(cls, spark: SparkSession, sf_dir: str, params: Params = DEFAULT) -> "Pipeline":
         return cls(spark, Sources.from_driver(spark, sf_dir), params)
 
     def _stored(self, name: str, build) -> DataFrame:
-        return self._tables[name] if name in self._tables else build()
+        if name in self._tables:
+            return self._tables[name]
+        if name not in self._built:
+            self._built[name] = build()
+        return self._built[name]
 
     # ---------------------------------------------------------- ingress
     @cached_property
@@ -166,6 +171,8 @@ class Pipeline:
             target = f"{base}/{name}"
             self.table(name).write.mode("overwrite").parquet(target)
             self._tables[name] = self.spark.read.parquet(target)
+            # later tables must read the stored one, not re-derive it
+            self._built.clear()
             written[name] = target
         return written
 

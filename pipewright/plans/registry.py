@@ -26,8 +26,25 @@ def register(name: str):
     return deco
 
 
+_PIPELINES: dict[tuple[int, str], tuple[SparkSession, Pipeline]] = {}
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> Pipeline:
-    return Pipeline.from_driver(spark, sf_dir)
+    """The pipeline over ``sf_dir``, shared by the queries of one session.
+
+    DataFrames are immutable lazy plans, so queries can share the source and
+    layer plans instead of rebuilding them (building a plan costs thousands
+    of driver round trips).  Nothing is cached in memory or on disk.
+    """
+    key = (id(spark), sf_dir.rstrip("/"))
+    hit = _PIPELINES.get(key)
+    if hit is not None and hit[0] is spark:
+        return hit[1]
+    if len(_PIPELINES) > 8:
+        _PIPELINES.clear()
+    pl = Pipeline.from_driver(spark, sf_dir)
+    _PIPELINES[key] = (spark, pl)
+    return pl
 
 
 def _model(name: str) -> QueryFn:
