@@ -172,9 +172,15 @@ def opportunities(orders: DataFrame) -> DataFrame:
     return schemas.conform(z.selectExpr(*exprs), schemas.OPPORTUNITIES)
 
 
-def _monthly(orders: DataFrame, *aggs: str) -> DataFrame:
+def monthly_rollup(orders: DataFrame) -> DataFrame:
+    """All ledger amounts per month bucket in one partial aggregation.
+
+    Both ledgers are projections of this one frame, so a query that reads
+    both scans and shuffles ``orders`` once (the exchange is reused).
+    """
     z = _kcp(orders).selectExpr("k", "c", f"{EXPENSE_BUCKET} AS b")
-    return z.groupBy("b").agg(*[F.expr(a).alias(f"a{i}") for i, a in enumerate(aggs)])
+    return z.groupBy("b").agg(F.expr(ADVERTISING_CENTS).alias("ad"), F.expr(OUTBOUND_CENTS).alias("outb"),
+                              F.expr(INBOUND_CENTS).alias("inb"))
 
 
 def _with_copies(df: DataFrame, duplicate_rule: str) -> DataFrame:
@@ -182,23 +188,23 @@ def _with_copies(df: DataFrame, duplicate_rule: str) -> DataFrame:
     return df.select("*", copies.alias("_copy")).drop("_copy")
 
 
-def expenses_advertising(orders: DataFrame) -> DataFrame:
-    m = _monthly(orders, ADVERTISING_CENTS).filter(ADVERTISING_MONTHS)
+def expenses_advertising(orders: DataFrame, rollup: DataFrame | None = None) -> DataFrame:
+    m = (rollup if rollup is not None else monthly_rollup(orders)).filter(ADVERTISING_MONTHS)
     m = _with_copies(m, ADVERTISING_DUPLICATE)
     out = m.selectExpr(
         f"{MONTH_TEXT} AS month",
-        f"case when {ADVERTISING_NULL_MONTH} then cast(null as string) else {money_text_sql('a0', 'spark')} end"
+        f"case when {ADVERTISING_NULL_MONTH} then cast(null as string) else {money_text_sql('ad', 'spark')} end"
         " AS advertising",
     )
     return schemas.conform(out, schemas.EXPENSES_ADVERTISING)
 
 
-def expenses_salary(orders: DataFrame) -> DataFrame:
-    m = _monthly(orders, OUTBOUND_CENTS, INBOUND_CENTS).filter(SALARY_MONTHS)
+def expenses_salary(orders: DataFrame, rollup: DataFrame | None = None) -> DataFrame:
+    m = (rollup if rollup is not None else monthly_rollup(orders)).filter(SALARY_MONTHS)
     m = _with_copies(m, SALARY_DUPLICATE)
     out = m.selectExpr(
         f"{MONTH_TEXT} AS month",
-        f"{money_text_sql('a0', 'spark')} AS outbound_sales_team",
-        f"{money_text_sql('a1', 'spark')} AS inbound_sales_team",
+        f"{money_text_sql('outb', 'spark')} AS outbound_sales_team",
+        f"{money_text_sql('inb', 'spark')} AS inbound_sales_team",
     )
     return schemas.conform(out, schemas.EXPENSES_SALARY)

@@ -34,11 +34,12 @@ class Sources:
     def from_driver(cls, spark: SparkSession, sf_dir: str) -> "Sources":
         """Project the driver's ``orders`` into the source shapes (adapter)."""
         orders = read_driver(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_totalprice"])
+        rollup = adapter.monthly_rollup(orders)
         return cls(
             leads=adapter.leads(orders),
             opportunities=adapter.opportunities(orders),
-            expenses_advertising=adapter.expenses_advertising(orders),
-            expenses_salary=adapter.expenses_salary(orders),
+            expenses_advertising=adapter.expenses_advertising(orders, rollup),
+            expenses_salary=adapter.expenses_salary(orders, rollup),
         )
 
     @classmethod
