@@ -3,11 +3,12 @@
 from .checks import check_not_null, check_orphans, check_unique, failure_count, violations
 from .dedupe import dedupe
 from .reshape import unpivot_columns, unpivot_groups
+from .snapshot import diff_snapshots
 from .shares import count_share, share_of_total, weighted_average
 from .windows import lag, ordered, rolling_count, rolling_mean, trailing, with_rolling
 
 __all__ = [
     "check_not_null", "check_orphans", "check_unique", "failure_count", "violations", "dedupe",
     "unpivot_columns", "unpivot_groups", "count_share", "share_of_total", "weighted_average",
-    "lag", "ordered", "rolling_count", "rolling_mean", "trailing", "with_rolling",
+    "diff_snapshots", "lag", "ordered", "rolling_count", "rolling_mean", "trailing", "with_rolling",
 ]

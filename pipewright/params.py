@@ -79,6 +79,8 @@ class Params:
         ("Verbal Commitment", "Near Close"),
         ("On Hold", "Stalled"),
     )
+    # snapshot diff: the earlier run is this many days before as_of
+    snapshot_gap_days: int = 30
     extra: dict = field(default_factory=dict)
 
     @property

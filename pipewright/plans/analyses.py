@@ -469,3 +469,26 @@ def gen_parse_currency_lineitem(spark: SparkSession, sf: str) -> DataFrame:
     parsed = li.select("l_returnflag", fn.parse_currency(text).alias("amount"))
     return parsed.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"), exact_sum("amount", 2).alias("total"))
 
+
+
+# ------------------------------------------------------------ snapshot diff
+@register("health_changes")
+def health_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """Pipeline records whose health status changed between two runs.
+
+    The earlier run is the same pipeline with ``as_of`` moved back by
+    ``snapshot_gap_days`` (sharing the source plans, so the dedupe shuffles
+    of both runs are reused); records that entered or left the open pipeline
+    are reported too.
+    """
+    import dataclasses
+    import datetime as dt
+
+    from ..operators import diff_snapshots
+    from .pipeline import Pipeline
+
+    pl = pipeline(spark, sf)
+    prev_as_of = (dt.date.fromisoformat(pl.p.as_of) - dt.timedelta(days=pl.p.snapshot_gap_days)).isoformat()
+    prev = Pipeline(spark, pl.sources, dataclasses.replace(pl.p, as_of=prev_as_of))
+    return diff_snapshots(prev.ops_pipeline_health, pl.ops_pipeline_health, ["record_type", "record_id"],
+                          ["health_status"], ["channel"])

@@ -1,0 +1,9 @@
+"""Streaming surface.
+
+The engine this package re-expresses is batch only: every table is rebuilt
+from its sources on each run, with no stream sources, watermarks, windows over
+event time or stateful operators.  There is therefore no streaming operator
+here.  The one reaction between runs that it describes (a record's health
+status changing) is a batch snapshot diff: ``pipewright.operators.diff_snapshots``
+and the registered query ``health_changes``.
+"""
