@@ -18,6 +18,12 @@ from ..session import checkpoint_dir
 from ..sources import Sources, schemas
 from . import layers, ops, reports
 
+VIEW_MODELS = (
+    "ingress_leads", "ingress_opportunities", "ingress_expenses_advertising", "ingress_expenses_salary",
+    "raw_leads", "raw_opportunities", "raw_expenses_advertising", "raw_expenses_salary",
+    "stg_leads", "stg_opportunities", "stg_expenses_advertising", "stg_expenses_salary",
+    "entity_leads", "entity_opportunities",
+)
 OPS_TABLES = ("ops_leads", "ops_opportunities", "ops_expenses", "ops_pipeline_health")
 REPORT_TABLES = (
     "rpt_cac_ltv_by_channel", "rpt_funnel_summary", "rpt_monthly_unit_economics", "rpt_channel_efficiency",
@@ -157,19 +163,44 @@ class Pipeline:
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)
 
-    # ------------------------------------------------------ materialize
-    def materialize(self, path: str | None = None, tables=OPS_TABLES + REPORT_TABLES) -> dict[str, str]:
+    # ---------------------------------------------------- views and tables
+    def register_views(self, names=VIEW_MODELS + OPS_TABLES + REPORT_TABLES) -> list[str]:
+        """Every model as a temporary view, for ``spark.sql`` over the models.
+
+        Views are lazy: a query over ``rpt_pipeline_health`` plans the whole
+        chain (or reads the stored table once ``materialize`` has run).
+        """
+        for name in names:
+            self.table(name).createOrReplaceTempView(name)
+        return list(names)
+
+    @staticmethod
+    def layer_of(name: str) -> str:
+        return "reporting" if name.startswith("rpt_") else "operational"
+
+    def materialize(self, path: str | None = None, tables=OPS_TABLES + REPORT_TABLES,
+                    schema_prefix: str | None = None) -> dict[str, str]:
         """Write the tables in dependency order and read them back.
 
         ``path`` defaults to ``<spark checkpoint dir>/pipewright-tables`` (the
         shared folder the cluster names); each table is a full rebuild
-        (overwrite), like a warehouse ``table`` materialization.
+        (overwrite), like a warehouse ``table`` materialization, stored under
+        its layer (``operational/`` or ``reporting/``).  With
+        ``schema_prefix`` each table is also registered in the catalog as
+        ``<prefix>_<layer>.<name>`` (one schema per layer), its data kept at
+        the same shared path.
         """
         base = (path or f"{checkpoint_dir(self.spark).rstrip('/')}/pipewright-tables").rstrip("/")
         written = {}
         for name in tables:
-            target = f"{base}/{name}"
-            self.table(name).write.mode("overwrite").parquet(target)
+            target = f"{base}/{self.layer_of(name)}/{name}"
+            writer = self.table(name).write.mode("overwrite").format("parquet")
+            if schema_prefix:
+                schema = f"{schema_prefix}_{self.layer_of(name)}"
+                self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}` LOCATION '{base}/{self.layer_of(name)}'")
+                writer.option("path", target).saveAsTable(f"`{schema}`.`{name}`")
+            else:
+                writer.save(target)
             self._tables[name] = self.spark.read.parquet(target)
             # later tables must read the stored one, not re-derive it
             self._built.clear()

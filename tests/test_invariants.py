@@ -84,3 +84,14 @@ def test_parquet_sources_path(spark):
     a = Pipeline(spark, src).rpt_cac_ltv_by_channel.collect()
     b = Pipeline(spark, drv).rpt_cac_ltv_by_channel.collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+
+
+def test_views_and_layer_schemas(spark):
+    pl = Pipeline.from_driver(spark, SF_MID)
+    pl.register_views(("ops_pipeline_health", "rpt_pipeline_health"))
+    n = spark.sql("SELECT SUM(record_count) AS n FROM rpt_pipeline_health").first().n
+    assert n == spark.sql("SELECT COUNT(*) AS n FROM ops_pipeline_health").first().n
+    base = f"{checkpoint_dir(spark).rstrip('/')}/test-catalog"
+    written = pl.materialize(base, tables=("ops_expenses", "rpt_cac_ltv_by_channel"), schema_prefix="pw_test")
+    assert written["ops_expenses"].endswith("/operational/ops_expenses")
+    assert spark.table("pw_test_reporting.rpt_cac_ltv_by_channel").count() == 2
