@@ -399,6 +399,11 @@ def chk_orphans(spark: SparkSession, sf: str) -> DataFrame:
     return checks.lead_orphans(pipeline(spark, sf))
 
 
+@register("chk_parse_failures")
+def chk_parse_failures(spark: SparkSession, sf: str) -> DataFrame:
+    return checks.parse_failures(pipeline(spark, sf))
+
+
 @register("chk_summary")
 def chk_summary(spark: SparkSession, sf: str) -> DataFrame:
     return checks.check_summary(pipeline(spark, sf))

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import functions as fn
 from ..functions import count_if
 from ..operators import check_orphans, failure_count, violations
 from .pipeline import Pipeline
@@ -94,3 +95,40 @@ def check_summary(pl: Pipeline) -> DataFrame:
     parts.append(failure_count(lead_orphans(pl), "referential_integrity_leads_to_opportunities"))
     return reduce(DataFrame.unionByName, parts).select(
         "check_name", F.col("failures").cast("bigint").alias("failures"))
+
+
+def parse_failures(pl: Pipeline) -> DataFrame:
+    """Side counts of dirty values the cleaning rules turned into NULL or 0.
+
+    Not failing tests (the rules are tolerant by design) but the numbers a
+    data-quality report needs: present text that did not parse.  One pass
+    over each raw table.
+    """
+    def lost(raw: str, parsed) -> F.Column:
+        return count_if(F.col(raw).isNotNull() & parsed.isNull())
+
+    def unparsed_list(raw: str) -> F.Column:
+        text = F.trim(F.col(raw))
+        return count_if(text.isNotNull() & ~text.isin("[]", "") & (fn.list_count(raw) == 0))
+
+    leads = pl.raw_leads.agg(
+        lost("predicted_sales_with_owner", fn.decimal_comma("predicted_sales_with_owner")).alias("a"),
+        unparsed_list("marketplaces_used").alias("b"),
+        unparsed_list("online_ordering_used").alias("c"),
+        unparsed_list("cuisine_types").alias("d"),
+    ).select(F.stack(F.lit(4),
+                     F.lit("parse:stg_leads.predicted_sales_with_owner"), "a",
+                     F.lit("parse:stg_leads.marketplace_count"), "b",
+                     F.lit("parse:stg_leads.online_ordering_count"), "c",
+                     F.lit("parse:stg_leads.cuisine_type_count"), "d").alias("check_name", "failures"))
+    ad = pl.raw_expenses_advertising.agg(
+        lost("advertising", fn.parse_currency("advertising")).alias("a")
+    ).select(F.lit("parse:stg_expenses_advertising.advertising_spend").alias("check_name"), F.col("a").alias("failures"))
+    sal = pl.raw_expenses_salary.agg(
+        lost("outbound_sales_team", fn.parse_currency("outbound_sales_team")).alias("a"),
+        lost("inbound_sales_team", fn.parse_currency("inbound_sales_team")).alias("b"),
+    ).select(F.stack(F.lit(2),
+                     F.lit("parse:stg_expenses_salary.outbound_sales_team_cost"), "a",
+                     F.lit("parse:stg_expenses_salary.inbound_sales_team_cost"), "b").alias("check_name", "failures"))
+    return reduce(DataFrame.unionByName, [leads, ad, sal]).select(
+        "check_name", F.col("failures").cast("bigint").alias("failures"))
