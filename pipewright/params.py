@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from . import labels as L
+
 
 @dataclass(frozen=True)
 class Params:
@@ -33,19 +35,10 @@ class Params:
     lead_rate_other: float = 0.05
     # speed-to-lead buckets (upper bounds, minutes, inclusive)
     speed_cuts: tuple[int, ...] = (5, 15, 60, 1440, 4320)
-    speed_labels: tuple[str, ...] = (
-        "0-5 min", "5-15 min", "15-60 min", "1-24 hours", "1-3 days", "3+ days",
-    )
+    speed_labels: tuple[str, ...] = L.SPEED_LABELS
     # predicted-sales tiers (lower bounds, inclusive)
     tier_cuts: tuple[int, ...] = (10000, 5000, 2000, 1000, 500)
-    tier_labels: tuple[str, ...] = (
-        "Tier 1 - $10,000+",
-        "Tier 2 - $5,000-10,000",
-        "Tier 3 - $2,000-5,000",
-        "Tier 4 - $1,000-2,000",
-        "Tier 5 - $500-1,000",
-        "Tier 6 - Under $500",
-    )
+    tier_labels: tuple[str, ...] = L.TIER_LABELS
     # working-lead health: days since last activity
     health_aging_days: int = 30
     health_stale_days: int = 90
@@ -73,11 +66,11 @@ class Params:
     followup_reasons: tuple[str, ...] = ("No Decision / Non-Responsive", "Lack of Urgency")
     # opportunity stage -> pipeline segment
     stage_segments: tuple[tuple[str, str], ...] = (
-        ("Interest", "Early Pipeline"),
-        ("Demo Set", "Demo Scheduled"),
-        ("In Progress", "Active Deal"),
-        ("Verbal Commitment", "Near Close"),
-        ("On Hold", "Stalled"),
+        (L.STAGE_INTEREST, L.SEGMENT_EARLY),
+        (L.STAGE_DEMO_SET, L.SEGMENT_DEMO),
+        (L.STAGE_IN_PROGRESS, L.SEGMENT_ACTIVE_DEAL),
+        (L.STAGE_VERBAL, L.SEGMENT_NEAR_CLOSE),
+        (L.STAGE_ON_HOLD, L.SEGMENT_STALLED),
     )
     # snapshot diff: the earlier run is this many days before as_of
     snapshot_gap_days: int = 30

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import functions as fn
+from .. import labels as L
 from ..functions import count_if, exact_mean, exact_sum, fixed_units, mean, pct, round_half, safe_div
 from ..operators import count_share, dedupe, share_of_total, unpivot_columns, weighted_average
 from ..sources import read_driver
@@ -22,15 +23,15 @@ from .registry import QUERIES, pipeline, register
 
 
 def _inbound():
-    return F.col("channel") == "Inbound"
+    return F.col("channel") == L.INBOUND
 
 
 def _outbound():
-    return F.col("channel") == "Outbound"
+    return F.col("channel") == L.OUTBOUND
 
 
 def _channel_from_form(form: str = "form_submission_date"):
-    return F.when(F.col(form).isNotNull(), F.lit("Inbound")).otherwise(F.lit("Outbound"))
+    return F.when(F.col(form).isNotNull(), F.lit(L.INBOUND)).otherwise(F.lit(L.OUTBOUND))
 
 
 def _converted():
@@ -80,7 +81,7 @@ def q04_channel_conversion(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("q05_lost_reasons")
 def q05_lost_reasons(spark: SparkSession, sf: str) -> DataFrame:
-    lost = pipeline(spark, sf).ingress_opportunities.filter(F.col("stage_name") == "Closed Lost")
+    lost = pipeline(spark, sf).ingress_opportunities.filter(F.col("stage_name") == L.STAGE_CLOSED_LOST)
     return count_share(lost, ["lost_reason_c", "demo_held"], "cnt", "pct")
 
 
@@ -88,10 +89,10 @@ def q05_lost_reasons(spark: SparkSession, sf: str) -> DataFrame:
 def q06_weekly_win_rate(spark: SparkSession, sf: str) -> DataFrame:
     """Weekly closes on the source close_date (year bug not corrected)."""
     src = pipeline(spark, sf).ingress_opportunities
-    closed = src.filter(F.col("stage_name").isin("Closed Won", "Closed Lost") & F.col("close_date").isNotNull())
+    closed = src.filter(F.col("stage_name").isin(L.STAGE_CLOSED_WON, L.STAGE_CLOSED_LOST) & F.col("close_date").isNotNull())
     g = closed.groupBy(fn.week_start("close_date").alias("wk")).agg(
-        count_if(F.col("stage_name") == "Closed Won").alias("won"),
-        count_if(F.col("stage_name") == "Closed Lost").alias("lost"),
+        count_if(F.col("stage_name") == L.STAGE_CLOSED_WON).alias("won"),
+        count_if(F.col("stage_name") == L.STAGE_CLOSED_LOST).alias("lost"),
         F.count(F.lit(1)).alias("total_closed"))
     return g.select(_text_date(F.col("wk")).alias("close_week"), "won", "lost", "total_closed",
                     pct("won", "total_closed").alias("win_rate_pct"))
@@ -125,7 +126,7 @@ def _lead_rollup(leads: DataFrame) -> DataFrame:
 @register("q07_lost_reason_by_channel")
 def q07_lost_reason_by_channel(spark: SparkSession, sf: str) -> DataFrame:
     pl = pipeline(spark, sf)
-    lost = pl.ingress_opportunities.filter(F.col("stage_name") == "Closed Lost").select(
+    lost = pl.ingress_opportunities.filter(F.col("stage_name") == L.STAGE_CLOSED_LOST).select(
         "opportunity_id", "lost_reason_c", "demo_held")
     roll = _lead_rollup(pl.ingress_leads).select("converted_opportunity_id", "channel", "n")
     j = lost.join(roll, lost.opportunity_id == roll.converted_opportunity_id, "inner")
@@ -140,7 +141,7 @@ def q08_speed_buckets(spark: SparkSession, sf: str) -> DataFrame:
     contact = F.least("first_sales_call_date", "first_text_sent_date")
     rows = src.filter(F.col("form_submission_date").isNotNull() & contact.isNotNull()).select(
         fn.minute_diff("form_submission_date", contact).alias("mins"), "converted_opportunity_id")
-    labels = ["a. 0-5 min", "b. 5-15 min", "c. 15-60 min", "d. 1-24 hours", "e. 1-3 days", "f. 3+ days"]
+    labels = L.Q_SPEED_LABELS
     bucket = fn.upper_bucket("mins", [5, 15, 60, 1440, 4320], labels, labels[-1])
     g = rows.groupBy(bucket.alias("speed_bucket")).agg(
         F.count(F.lit(1)).alias("leads"), count_if(_converted()).alias("converted"))
@@ -158,10 +159,10 @@ def q09_decision_maker(spark: SparkSession, sf: str) -> DataFrame:
 @register("q10_no_demo_weekly")
 def q10_no_demo_weekly(spark: SparkSession, sf: str) -> DataFrame:
     src = pipeline(spark, sf).ingress_opportunities
-    lost = src.filter((F.col("stage_name") == "Closed Lost") & F.col("close_date").isNotNull())
+    lost = src.filter((F.col("stage_name") == L.STAGE_CLOSED_LOST) & F.col("close_date").isNotNull())
     g = lost.groupBy(fn.week_start("close_date").alias("wk")).agg(
         F.count(F.lit(1)).alias("total_closed_lost"),
-        count_if(F.col("lost_reason_c") == "No Demo Held").alias("no_demo_held"))
+        count_if(F.col("lost_reason_c") == L.REASON_NO_DEMO).alias("no_demo_held"))
     return g.select(_text_date(F.col("wk")).alias("close_week"), "total_closed_lost", "no_demo_held",
                     pct("no_demo_held", "total_closed_lost").alias("no_demo_pct"))
 
@@ -170,12 +171,12 @@ def q10_no_demo_weekly(spark: SparkSession, sf: str) -> DataFrame:
 def q11_working_age(spark: SparkSession, sf: str) -> DataFrame:
     """Age buckets of Working leads, measured to the run's as-of date."""
     pl = pipeline(spark, sf)
-    src = pl.ingress_leads.filter(F.col("status") == "Working")
+    src = pl.ingress_leads.filter(F.col("status") == L.STATUS_WORKING)
     since = fn.day_diff(F.coalesce("last_sales_activity_date", "first_sales_call_date", "first_text_sent_date",
                                    "form_submission_date"), fn.date_literal(pl.p.as_of))
     touches = (F.coalesce("sales_call_count", F.lit(0)) + F.coalesce("sales_text_count", F.lit(0))
                + F.coalesce("sales_email_count", F.lit(0)))
-    labels = ["a. 0-30 days", "b. 30-60 days", "c. 60-90 days", "d. 90-180 days", "e. 180+ days"]
+    labels = L.Q_AGE_LABELS
     rows = src.select(fn.upper_bucket(since, [30, 60, 90, 180], labels, labels[-1]).alias("age_bucket"),
                       touches.alias("total_touches"),
                       fn.decimal_comma("predicted_sales_with_owner").alias("predicted_sales"))
@@ -190,7 +191,7 @@ def q12_won_profile(spark: SparkSession, sf: str) -> DataFrame:
     """Profile of won deals; opportunity cycle time from the entity layer."""
     pl = pipeline(spark, sf)
     won = pl.entity_opportunities.filter(
-        (F.col("stage_name") == "Closed Won") & F.col("close_date").isNotNull()).select(
+        (F.col("stage_name") == L.STAGE_CLOSED_WON) & F.col("close_date").isNotNull()).select(
         "opportunity_id", "days_to_close")
     roll = _lead_rollup(pl.ingress_leads)
     j = won.join(roll, won.opportunity_id == roll.converted_opportunity_id, "inner")
@@ -214,9 +215,9 @@ def q12_won_profile(spark: SparkSession, sf: str) -> DataFrame:
 def q13_value_tiers(spark: SparkSession, sf: str) -> DataFrame:
     src = pipeline(spark, sf).ingress_leads
     p = fn.decimal_comma("predicted_sales_with_owner")
-    tier = (F.when(p >= 5000, F.lit("a. $5,000+")).when(p >= 2000, F.lit("b. $2,000-5,000"))
-            .when(p >= 1000, F.lit("c. $1,000-2,000")).when(p >= 500, F.lit("d. $500-1,000"))
-            .when(p > 0, F.lit("e. $1-500")).otherwise(F.lit("f. Unknown/Zero")))
+    v = L.Q_VALUE_LABELS
+    tier = (F.when(p >= 5000, F.lit(v[0])).when(p >= 2000, F.lit(v[1])).when(p >= 1000, F.lit(v[2]))
+            .when(p >= 500, F.lit(v[3])).when(p > 0, F.lit(v[4])).otherwise(F.lit(v[5])))
     g = src.groupBy(tier.alias("predicted_sales_tier")).agg(
         F.count(F.lit(1)).alias("total_leads"), count_if(_converted()).alias("converted"))
     return g.withColumn("conversion_rate_pct", pct("converted", "total_leads"))
@@ -242,7 +243,7 @@ def q15_status_split(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("q16_working_health")
 def q16_working_health(spark: SparkSession, sf: str) -> DataFrame:
-    working = pipeline(spark, sf).ops_leads.filter(F.col("status") == "Working")
+    working = pipeline(spark, sf).ops_leads.filter(F.col("status") == L.STATUS_WORKING)
     g = working.groupBy("working_lead_health").agg(
         F.count(F.lit(1)).alias("lead_count"), count_if(_inbound()).alias("inbound"), count_if(_outbound()).alias("outbound"),
         round_half(mean("days_since_last_activity"), 0).alias("avg_days_inactive"),
@@ -266,7 +267,7 @@ def q17_blended(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("q18_demo_status")
 def q18_demo_status(spark: SparkSession, sf: str) -> DataFrame:
-    r = pipeline(spark, sf).rpt_pipeline_health.filter(F.col("record_type") == "Opportunity")
+    r = pipeline(spark, sf).rpt_pipeline_health.filter(F.col("record_type") == L.RECORD_OPPORTUNITY)
     return r.groupBy("channel", "demo_status").agg(
         F.sum("record_count").cast("bigint").alias("records"),
         round_half(exact_sum("total_forecasted_annual_revenue", 2), 0).alias("at_risk_annual_revenue"),
@@ -287,7 +288,7 @@ def q19_followup_losses(spark: SparkSession, sf: str) -> DataFrame:
 @register("q20_danger_zone")
 def q20_danger_zone(spark: SparkSession, sf: str) -> DataFrame:
     p = pipeline(spark, sf).ops_pipeline_health
-    rows = p.filter((F.col("record_type") == "Opportunity") & (F.col("demo_held") == F.lit(True)))
+    rows = p.filter((F.col("record_type") == L.RECORD_OPPORTUNITY) & (F.col("demo_held") == F.lit(True)))
     return rows.groupBy("health_status", "pipeline_segment", "risk_level").agg(
         F.count(F.lit(1)).alias("records"),
         round_half(mean("days_in_pipeline"), 0).alias("avg_days"),
@@ -297,7 +298,7 @@ def q20_danger_zone(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("q21_lead_health")
 def q21_lead_health(spark: SparkSession, sf: str) -> DataFrame:
-    r = pipeline(spark, sf).rpt_pipeline_health.filter(F.col("record_type") == "Lead")
+    r = pipeline(spark, sf).rpt_pipeline_health.filter(F.col("record_type") == L.RECORD_LEAD)
     return r.groupBy("health_status").agg(
         F.sum("record_count").cast("bigint").alias("leads"),
         round_half(exact_sum("total_forecasted_annual_revenue", 2), 0).alias("forecasted_annual_revenue"),
@@ -318,7 +319,7 @@ def q22_outreach_mix(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("q23_health_tiers")
 def q23_health_tiers(spark: SparkSession, sf: str) -> DataFrame:
-    p = pipeline(spark, sf).ops_pipeline_health.filter(F.col("record_type") == "Lead")
+    p = pipeline(spark, sf).ops_pipeline_health.filter(F.col("record_type") == L.RECORD_LEAD)
     return p.groupBy("channel", "health_status", "predicted_sales_tier").agg(
         F.count(F.lit(1)).alias("leads"),
         round_half(mean("days_in_pipeline"), 0).alias("avg_days_inactive"),

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import functions as fn
+from .. import labels as L
 from ..operators import dedupe
 from ..params import Params
 from ..sources import schemas
@@ -114,7 +115,7 @@ def entity_leads(stg: DataFrame, p: Params) -> DataFrame:
         "marketplace_count", "marketplaces_used_raw", "online_ordering_count", "online_ordering_used_raw",
         "cuisine_type_count", "cuisine_types_raw",
         "location_count", "connected_with_decision_maker", "status", "converted_opportunity_id",
-        F.when(form.isNotNull(), F.lit("Inbound")).otherwise(F.lit("Outbound")).alias("channel"),
+        F.when(form.isNotNull(), F.lit(L.INBOUND)).otherwise(F.lit(L.OUTBOUND)).alias("channel"),
         F.when(speed_ok, fn.minute_diff(form, contact)).alias("speed_to_lead_minutes"),
         F.col("converted_opportunity_id").isNotNull().alias("is_converted"),
     )
@@ -125,17 +126,17 @@ def entity_opportunities(stg: DataFrame) -> DataFrame:
     created, close, demo = F.col("created_date"), F.col("close_date"), F.col("demo_set_date")
     return stg.select(
         "opportunity_id", "stage_name",
-        F.when(stage == "Closed Won", F.lit("Won")).when(stage == "Closed Lost", F.lit("Lost"))
-        .otherwise(F.lit("Open")).alias("deal_outcome"),
+        F.when(stage == L.STAGE_CLOSED_WON, F.lit(L.WON)).when(stage == L.STAGE_CLOSED_LOST, F.lit(L.LOST))
+        .otherwise(F.lit(L.OPEN)).alias("deal_outcome"),
         "lost_reason_c", "closed_lost_notes_c", "business_issue_c", "how_did_you_hear_about_us_c",
         "created_date", "demo_held", "demo_set_date", "demo_time", "close_date", "last_sales_call_date_time",
         F.when(close.isNotNull() & created.isNotNull(), fn.day_diff(created, close)).alias("days_to_close"),
         F.when(demo.isNotNull() & created.isNotNull(), fn.day_diff(created, demo)).alias("days_to_demo"),
         F.when(close.isNotNull() & demo.isNotNull(), fn.day_diff(demo, close)).alias("days_demo_to_close"),
         # plain comparisons: NULL stage gives NULL flags (deal_outcome is 'Open')
-        (stage == "Closed Won").alias("is_closed_won"),
-        (stage == "Closed Lost").alias("is_closed_lost"),
-        stage.isin("Closed Won", "Closed Lost").alias("is_closed"),
+        (stage == L.STAGE_CLOSED_WON).alias("is_closed_won"),
+        (stage == L.STAGE_CLOSED_LOST).alias("is_closed_lost"),
+        stage.isin(L.STAGE_CLOSED_WON, L.STAGE_CLOSED_LOST).alias("is_closed"),
         "account_id",
     )
 

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import functions as fn
+from .. import labels as L
 from ..operators import dedupe
 from ..params import Params
 
@@ -36,10 +37,10 @@ def ops_leads(entity: DataFrame, p: Params) -> DataFrame:
                       "form_submission_date", as_of=p.as_of)
     # no activity date at all -> 'Active' (both comparisons are NULL)
     health = F.when(
-        F.col("status") == "Working",
-        F.when(idle > p.health_stale_days, F.lit("Stale"))
-        .when(idle > p.health_aging_days, F.lit("Aging"))
-        .otherwise(F.lit("Active")),
+        F.col("status") == L.STATUS_WORKING,
+        F.when(idle > p.health_stale_days, F.lit(L.HEALTH_STALE))
+        .when(idle > p.health_aging_days, F.lit(L.HEALTH_AGING))
+        .otherwise(F.lit(L.HEALTH_ACTIVE)),
     )
     return entity.select(
         "lead_id", "converted_opportunity_id", "channel", "status", "is_converted",
@@ -47,10 +48,10 @@ def ops_leads(entity: DataFrame, p: Params) -> DataFrame:
         "last_sales_call_date", "last_sales_activity_date", "last_sales_email_date",
         "sales_call_count", "sales_text_count", "sales_email_count", "total_touch_count",
         "speed_to_lead_minutes",
-        fn.upper_bucket("speed_to_lead_minutes", p.speed_cuts, p.speed_labels, "Not Applicable")
+        fn.upper_bucket("speed_to_lead_minutes", p.speed_cuts, p.speed_labels, L.SPEED_NOT_APPLICABLE)
         .alias("speed_to_lead_bucket"),
         "predicted_sales_with_owner",
-        fn.lower_bucket("predicted_sales_with_owner", p.tier_cuts, p.tier_labels, "Unknown")
+        fn.lower_bucket("predicted_sales_with_owner", p.tier_cuts, p.tier_labels, L.TIER_UNKNOWN)
         .alias("predicted_sales_tier"),
         "location_count", "connected_with_decision_maker",
         "marketplace_count", "marketplaces_used_raw", "online_ordering_count", "online_ordering_used_raw",
@@ -71,11 +72,11 @@ def one_lead_per_opportunity(leads: DataFrame) -> DataFrame:
 def loss_category(p: Params) -> Column:
     lost, reason = F.col("is_closed_lost"), F.col("lost_reason_c")
     return (
-        F.when(lost & (F.col("demo_held") == F.lit(False)), F.lit("Pre-Demo Loss"))
-        .when(lost & reason.isin(*p.loss_process_reasons), F.lit("Process/Follow-Up Loss"))
-        .when(lost & reason.isin(*p.loss_competitive_reasons), F.lit("Competitive Loss"))
-        .when(lost & reason.isin(*p.loss_product_reasons), F.lit("Product Fit Loss"))
-        .when(lost, F.lit("Other Loss"))
+        F.when(lost & (F.col("demo_held") == F.lit(False)), F.lit(L.LOSS_PRE_DEMO))
+        .when(lost & reason.isin(*p.loss_process_reasons), F.lit(L.LOSS_PROCESS))
+        .when(lost & reason.isin(*p.loss_competitive_reasons), F.lit(L.LOSS_COMPETITIVE))
+        .when(lost & reason.isin(*p.loss_product_reasons), F.lit(L.LOSS_PRODUCT))
+        .when(lost, F.lit(L.LOSS_OTHER))
     )
 
 
@@ -127,7 +128,7 @@ def ops_expenses(advertising: DataFrame, salary: DataFrame) -> DataFrame:
 
 def _channel_rate(inbound: float, outbound: float, other: float) -> Column:
     ch = F.col("channel")
-    return F.when(ch == "Inbound", F.lit(inbound)).when(ch == "Outbound", F.lit(outbound)).otherwise(F.lit(other))
+    return F.when(ch == L.INBOUND, F.lit(inbound)).when(ch == L.OUTBOUND, F.lit(outbound)).otherwise(F.lit(other))
 
 
 PIPELINE_COLUMNS = [
@@ -147,13 +148,13 @@ def open_opportunity_records(ops_opps: DataFrame, p: Params) -> DataFrame:
     revenue = F.col("monthly_revenue")
     return ops_opps.filter(F.col("is_closed") == F.lit(False)).select(
         F.col("opportunity_id").alias("record_id"),
-        F.lit("Opportunity").alias("record_type"),
+        F.lit(L.RECORD_OPPORTUNITY).alias("record_type"),
         "channel", "stage_name",
-        fn.lookup(stage, p.stage_segments, "Other Open").alias("pipeline_segment"),
-        F.when(held == F.lit(True), F.lit("Demo Held"))
-        .when(demo_set.isNotNull() & (held == F.lit(False)), F.lit("Demo Scheduled - Not Held"))
-        .when(demo_set.isNull(), F.lit("No Demo Scheduled"))
-        .otherwise(F.lit("Unknown")).alias("demo_status"),
+        fn.lookup(stage, p.stage_segments, L.SEGMENT_OTHER).alias("pipeline_segment"),
+        F.when(held == F.lit(True), F.lit(L.DEMO_HELD))
+        .when(demo_set.isNotNull() & (held == F.lit(False)), F.lit(L.DEMO_NOT_HELD))
+        .when(demo_set.isNull(), F.lit(L.DEMO_NONE))
+        .otherwise(F.lit(L.DEMO_UNKNOWN)).alias("demo_status"),
         "created_date", "demo_set_date", "demo_held",
         age.alias("days_in_pipeline"),
         fn.day_diff(F.coalesce(demo_set, F.col("created_date").cast("date")), as_of).alias("days_in_current_stage"),
@@ -163,16 +164,16 @@ def open_opportunity_records(ops_opps: DataFrame, p: Params) -> DataFrame:
         fn.round_half(revenue * win_rate, 2).alias("potential_monthly_revenue"),
         fn.round_half(revenue * F.lit(12.0) * win_rate, 2).alias("potential_annual_revenue"),
         "lead_id", "total_touch_count", "speed_to_lead_minutes", "connected_with_decision_maker",
-        F.when(stage == "On Hold", F.lit("Stalled"))
-        .when(age > p.health_stale_days, F.lit("Aging"))
-        .when(age > p.health_aging_days, F.lit("Maturing"))
-        .otherwise(F.lit("Fresh")).alias("health_status"),
-        F.when(stage == "On Hold", F.lit("High"))
-        .when((stage == "Interest") & (age > p.risk_interest_days), F.lit("High"))
+        F.when(stage == L.STAGE_ON_HOLD, F.lit(L.OPP_STALLED))
+        .when(age > p.health_stale_days, F.lit(L.OPP_AGING))
+        .when(age > p.health_aging_days, F.lit(L.OPP_MATURING))
+        .otherwise(F.lit(L.OPP_FRESH)).alias("health_status"),
+        F.when(stage == L.STAGE_ON_HOLD, F.lit(L.RISK_HIGH))
+        .when((stage == L.STAGE_INTEREST) & (age > p.risk_interest_days), F.lit(L.RISK_HIGH))
         .when((held == F.lit(False)) & demo_set.isNotNull()
-              & (fn.day_diff(demo_set, as_of) > p.risk_demo_days), F.lit("High"))
-        .when(age > p.risk_medium_days, F.lit("Medium"))
-        .otherwise(F.lit("Low")).alias("risk_level"),
+              & (fn.day_diff(demo_set, as_of) > p.risk_demo_days), F.lit(L.RISK_HIGH))
+        .when(age > p.risk_medium_days, F.lit(L.RISK_MEDIUM))
+        .otherwise(F.lit(L.RISK_LOW)).alias("risk_level"),
     )
 
 
@@ -182,14 +183,14 @@ def working_lead_records(ops_leads_df: DataFrame, p: Params) -> DataFrame:
     anchor = F.coalesce(F.col("form_submission_date"), F.col("first_sales_call_date"))
     revenue = monthly_revenue(F.col("predicted_sales_with_owner"), p)
     rate = _channel_rate(p.lead_rate_inbound, p.lead_rate_outbound, p.lead_rate_other)
-    return ops_leads_df.filter((F.col("status") == "Working") & (F.col("is_converted") == F.lit(False))).select(
+    return ops_leads_df.filter((F.col("status") == L.STATUS_WORKING) & (F.col("is_converted") == F.lit(False))).select(
         F.col("lead_id").alias("record_id"),
-        F.lit("Lead").alias("record_type"),
+        F.lit(L.RECORD_LEAD).alias("record_type"),
         "channel",
         F.col("status").alias("stage_name"),
-        F.when(health == "Active", F.lit("Active Lead")).when(health == "Aging", F.lit("Aging Lead"))
-        .when(health == "Stale", F.lit("Stale Lead")).otherwise(F.lit("Working Lead")).alias("pipeline_segment"),
-        F.lit("No Demo Scheduled").alias("demo_status"),
+        F.when(health == L.HEALTH_ACTIVE, F.lit(L.SEGMENT_ACTIVE_LEAD)).when(health == L.HEALTH_AGING, F.lit(L.SEGMENT_AGING_LEAD))
+        .when(health == L.HEALTH_STALE, F.lit(L.SEGMENT_STALE_LEAD)).otherwise(F.lit(L.SEGMENT_WORKING_LEAD)).alias("pipeline_segment"),
+        F.lit(L.DEMO_NONE).alias("demo_status"),
         anchor.alias("created_date"),
         F.lit(None).cast("date").alias("demo_set_date"),
         F.lit(False).alias("demo_held"),
@@ -204,8 +205,8 @@ def working_lead_records(ops_leads_df: DataFrame, p: Params) -> DataFrame:
         fn.round_half(revenue * F.lit(12.0) * rate, 2).alias("potential_annual_revenue"),
         "lead_id", "total_touch_count", "speed_to_lead_minutes", "connected_with_decision_maker",
         health.alias("health_status"),
-        F.when(health == "Stale", F.lit("High")).when(health == "Aging", F.lit("Medium"))
-        .otherwise(F.lit("Low")).alias("risk_level"),
+        F.when(health == L.HEALTH_STALE, F.lit(L.RISK_HIGH)).when(health == L.HEALTH_AGING, F.lit(L.RISK_MEDIUM))
+        .otherwise(F.lit(L.RISK_LOW)).alias("risk_level"),
     )
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import functions as fn
+from .. import labels as L
 from ..functions import count_if, exact_mean, exact_sum, mean, pct, round_half, safe_div
 from ..operators import rolling_count, rolling_mean, trailing, ordered, unpivot_groups
 from ..params import Params
@@ -31,10 +32,10 @@ def rpt_cac_ltv_by_channel(ops_opps: DataFrame, ops_exp: DataFrame, p: Params) -
     )
     # both channel totals in one pass over the expenses, then two rows
     totals = ops_exp.agg(
-        exact_sum("inbound_channel_cost", 2).alias("Inbound"),
-        exact_sum("outbound_channel_cost", 2).alias("Outbound"),
+        exact_sum("inbound_channel_cost", 2).alias(L.INBOUND),
+        exact_sum("outbound_channel_cost", 2).alias(L.OUTBOUND),
     )
-    costs = totals.select(F.stack(F.lit(2), F.lit("Inbound"), "Inbound", F.lit("Outbound"), "Outbound")
+    costs = totals.select(F.stack(F.lit(2), F.lit(L.INBOUND), L.INBOUND, F.lit(L.OUTBOUND), L.OUTBOUND)
                           .alias("channel", "total_cost"))
     w = won.join(F.broadcast(costs), "channel", "inner")  # two rows: size bound is the channel count
     cac = round_half(F.col("total_cost") / F.col("deals_won"), 2)
@@ -50,15 +51,15 @@ def rpt_cac_ltv_by_channel(ops_opps: DataFrame, ops_exp: DataFrame, p: Params) -
 
 
 # ----------------------------------------------------------- rpt_funnel_summary
-def lead_metrics(ops_leads: DataFrame) -> DataFrame:
+def leads_by_channel(ops_leads: DataFrame) -> DataFrame:
     status = F.col("status")
     return ops_leads.groupBy("channel").agg(
         F.count(F.lit(1)).alias("total_leads"),
         count_if(F.col("is_converted")).alias("converted_leads"),
-        count_if(status == "Working").alias("working_leads"),
-        count_if(status == "New").alias("new_leads"),
-        count_if(status == "Disqualified").alias("disqualified_leads"),
-        count_if(status == "Incorrect Contact Data").alias("bad_contact_leads"),
+        count_if(status == L.STATUS_WORKING).alias("working_leads"),
+        count_if(status == L.STATUS_NEW).alias("new_leads"),
+        count_if(status == L.STATUS_DISQUALIFIED).alias("disqualified_leads"),
+        count_if(status == L.STATUS_BAD_CONTACT).alias("bad_contact_leads"),
         count_if(F.col("connected_with_decision_maker")).alias("dm_connected_leads"),
         round_half(mean("speed_to_lead_minutes"), 1).alias("avg_speed_to_lead_min"),
         # exact median: keeps one counter per distinct minute value per group
@@ -69,7 +70,7 @@ def lead_metrics(ops_leads: DataFrame) -> DataFrame:
     )
 
 
-def opp_metrics(ops_opps: DataFrame) -> DataFrame:
+def deals_by_channel(ops_opps: DataFrame) -> DataFrame:
     won = F.col("is_closed_won")
     loss = F.col("loss_category")
     return ops_opps.groupBy("channel").agg(
@@ -78,10 +79,10 @@ def opp_metrics(ops_opps: DataFrame) -> DataFrame:
         count_if(F.col("is_closed_lost")).alias("closed_lost"),
         count_if(~F.col("is_closed")).alias("open_pipeline"),
         count_if(F.col("demo_held")).alias("demos_held"),
-        count_if(loss == "Pre-Demo Loss").alias("pre_demo_losses"),
-        count_if(loss == "Process/Follow-Up Loss").alias("process_losses"),
-        count_if(loss == "Competitive Loss").alias("competitive_losses"),
-        count_if(loss == "Product Fit Loss").alias("product_fit_losses"),
+        count_if(loss == L.LOSS_PRE_DEMO).alias("pre_demo_losses"),
+        count_if(loss == L.LOSS_PROCESS).alias("process_losses"),
+        count_if(loss == L.LOSS_COMPETITIVE).alias("competitive_losses"),
+        count_if(loss == L.LOSS_PRODUCT).alias("product_fit_losses"),
         round_half(mean(F.when(won, F.col("days_to_close"))), 1).alias("avg_days_to_close_won"),
         round_half(exact_mean(F.when(won, F.col("predicted_sales_with_owner")), 2), 0)
         .alias("avg_won_predicted_sales"),
@@ -101,8 +102,8 @@ FUNNEL_COLUMNS = [
 
 
 def rpt_funnel_summary(ops_leads: DataFrame, ops_opps: DataFrame) -> DataFrame:
-    lm = lead_metrics(ops_leads)
-    om = opp_metrics(ops_opps)
+    lm = leads_by_channel(ops_leads)
+    om = deals_by_channel(ops_opps)
     # both sides hold one row per channel: the size bound of this broadcast
     j = lm.join(F.broadcast(om), "channel", "left")
     c = F.col
@@ -135,8 +136,8 @@ def monthly_lead_volumes(ops_leads: DataFrame) -> DataFrame:
     form = F.col("form_submission_date")
     outbound_anchor = F.coalesce("first_sales_call_date", "first_text_sent_date", "last_sales_activity_date")
     month = F.when(form.isNotNull(), fn.month_start(form)).when(
-        F.col("channel") == "Outbound", fn.month_start(outbound_anchor))
-    inbound, outbound = F.col("channel") == "Inbound", F.col("channel") == "Outbound"
+        F.col("channel") == L.OUTBOUND, fn.month_start(outbound_anchor))
+    inbound, outbound = F.col("channel") == L.INBOUND, F.col("channel") == L.OUTBOUND
     conv = F.col("is_converted")
     return (
         ops_leads.select(month.alias("month"), "channel", "is_converted")
@@ -154,7 +155,7 @@ def monthly_lead_volumes(ops_leads: DataFrame) -> DataFrame:
 def monthly_deal_outcomes(ops_opps: DataFrame) -> DataFrame:
     """Closed deals per close month; a NULL channel counts in neither column."""
     won, lost = F.col("is_closed_won"), F.col("is_closed_lost")
-    inbound, outbound = F.col("channel") == "Inbound", F.col("channel") == "Outbound"
+    inbound, outbound = F.col("channel") == L.INBOUND, F.col("channel") == L.OUTBOUND
     cents = fn.fixed_units("predicted_sales_with_owner", 2)
     return (
         ops_opps.filter(F.col("is_closed") & F.col("close_date").isNotNull())
@@ -238,7 +239,7 @@ def channel_months(monthly: DataFrame) -> DataFrame:
         }
 
     long = unpivot_groups(monthly, ["expense_month"], "channel",
-                          [("Inbound", group("inbound")), ("Outbound", group("outbound"))])
+                          [(L.INBOUND, group("inbound")), (L.OUTBOUND, group("outbound"))])
     return long.withColumn("lead_to_win_rate_pct", pct(F.col("deals_won"), F.col("converted_leads")))
 
 
@@ -283,14 +284,14 @@ def rpt_channel_efficiency(monthly: DataFrame, p: Params) -> DataFrame:
         pct(c("deals_won"), c("total_wins_all_channels"), 1).alias("pct_of_total_wins"),
         pct(c("new_leads"), c("total_leads_all_channels"), 1).alias("pct_of_total_leads"),
         pct(c("total_monthly_revenue_won"), c("total_revenue_all_channels"), 1).alias("pct_of_total_revenue"),
-        F.when(cac > p.cac_critical, F.lit("Critical")).when(cac > p.cac_warning, F.lit("Warning"))
-        .otherwise(F.lit("Healthy")).alias("cac_threshold_flag"),
-        F.when(rate < p.conversion_critical, F.lit("Critical")).when(rate < p.conversion_warning, F.lit("Warning"))
-        .otherwise(F.lit("Healthy")).alias("conversion_threshold_flag"),
-        F.when(c("rolling_window_months") < p.rolling_rows, F.lit("Insufficient Data"))
-        .when(cac > rolling_cac * F.lit(1.0 + p.trend_band), F.lit("Deteriorating"))
-        .when(cac < rolling_cac * F.lit(1.0 - p.trend_band), F.lit("Improving"))
-        .otherwise(F.lit("Stable")).alias("cac_trend"),
+        F.when(cac > p.cac_critical, F.lit(L.FLAG_CRITICAL)).when(cac > p.cac_warning, F.lit(L.FLAG_WARNING))
+        .otherwise(F.lit(L.FLAG_HEALTHY)).alias("cac_threshold_flag"),
+        F.when(rate < p.conversion_critical, F.lit(L.FLAG_CRITICAL)).when(rate < p.conversion_warning, F.lit(L.FLAG_WARNING))
+        .otherwise(F.lit(L.FLAG_HEALTHY)).alias("conversion_threshold_flag"),
+        F.when(c("rolling_window_months") < p.rolling_rows, F.lit(L.TREND_INSUFFICIENT))
+        .when(cac > rolling_cac * F.lit(1.0 + p.trend_band), F.lit(L.TREND_WORSE))
+        .when(cac < rolling_cac * F.lit(1.0 - p.trend_band), F.lit(L.TREND_BETTER))
+        .otherwise(F.lit(L.TREND_STABLE)).alias("cac_trend"),
         F.when(c("deals_won") == 0, F.lit(None).cast("double"))
         .otherwise(round_half(safe_div(cac, rate) * F.lit(100.0), 2)).alias("efficiency_score"),
     )
@@ -310,7 +311,7 @@ PIPELINE_REPORT_COLUMNS = SEGMENT_KEYS + [
 ]
 
 
-def segment_summary(pipeline: DataFrame) -> DataFrame:
+def segment_rollup(pipeline: DataFrame) -> DataFrame:
     risk, speed = F.col("risk_level"), F.col("speed_to_lead_minutes")
     n = F.count(F.lit(1))
     share = lambda cond: round_half(count_if(cond).cast("double") * F.lit(100.0) / n, 1)
@@ -332,12 +333,12 @@ def segment_summary(pipeline: DataFrame) -> DataFrame:
         share(F.col("connected_with_decision_maker")).alias("decision_maker_pct"),
         count_if(F.col("demo_held")).alias("demos_held"),
         count_if(F.col("demo_set_date").isNotNull() & (F.col("demo_held") == F.lit(False))).alias("demos_pending"),
-        count_if(risk == "High").alias("high_risk_count"),
-        count_if(risk == "Medium").alias("medium_risk_count"),
-        count_if(risk == "Low").alias("low_risk_count"),
-        share(risk == "High").alias("high_risk_pct"),
-        share(risk == "Medium").alias("medium_risk_pct"),
-        share(risk == "Low").alias("low_risk_pct"),
+        count_if(risk == L.RISK_HIGH).alias("high_risk_count"),
+        count_if(risk == L.RISK_MEDIUM).alias("medium_risk_count"),
+        count_if(risk == L.RISK_LOW).alias("low_risk_count"),
+        share(risk == L.RISK_HIGH).alias("high_risk_pct"),
+        share(risk == L.RISK_MEDIUM).alias("medium_risk_pct"),
+        share(risk == L.RISK_LOW).alias("low_risk_pct"),
         count_if(speed <= 5).alias("responded_under_5min"),
         count_if(speed <= 30).alias("responded_under_30min"),
         count_if(speed > 60).alias("responded_over_1hr"),
@@ -345,7 +346,7 @@ def segment_summary(pipeline: DataFrame) -> DataFrame:
 
 
 def rpt_pipeline_health(pipeline: DataFrame) -> DataFrame:
-    s = segment_summary(pipeline)
+    s = segment_rollup(pipeline)
     # channel totals over the (few) segment rows; a NULL channel gets none,
     # as an equality join on channel would give
     ch = Window.partitionBy("channel")
@@ -376,29 +377,13 @@ OUTREACH_COLUMNS = [
     "recommended_action", "dashboard_status", "is_high_value_urgent",
 ]
 
-# Labels and recommended actions of the outreach queue.
-NO_OUTREACH = "No Outreach"
-SLOW_OUTREACH = "Slow Outreach"
+NO_OUTREACH = L.SECTION_NO_OUTREACH
+SLOW_OUTREACH = L.SECTION_SLOW_OUTREACH
 NO_OUTREACH_LABELS = {
-    "no_anchor": ("Outbound - No Anchor Date", 50, "Verify lead source — no entry timestamp available"),
-    "p0": ("P0 - Immediate", 1, "Call immediately — within golden hour window"),
-    "p1": ("P1 - Urgent", 2, "Call today — lead is still warm"),
-    "p2": ("P2 - At Risk", 3, "Attempt contact ASAP — approaching expiry"),
-    "expired": ("Expired", 99, "Move to nurture campaign — past 72hr window"),
+    "no_anchor": L.NO_OUTREACH_NO_ANCHOR, "p0": L.NO_OUTREACH_P0, "p1": L.NO_OUTREACH_P1,
+    "p2": L.NO_OUTREACH_P2, "expired": L.NO_OUTREACH_EXPIRED,
 }
-SLOW_OUTREACH_LABELS = [
-    (5, "On Time (<=5 min)", 10, "Good response time — continue normal cadence"),
-    (60, "Slightly Late (5-60 min)", 8, "Acceptable — ensure consistent follow-up"),
-    (1440, "Late (1-24 hours)", 6, "Re-engage with value proposition — trust may have cooled"),
-    (4320, "Very Late (1-3 days)", 4, "High-touch re-engagement needed — acknowledge the delay"),
-    (None, "Critically Late (3+ days)", 3, "Recovery outreach — lead likely explored competitors"),
-]
-DASHBOARD_NO_ANCHOR = "DATA QUALITY — NO ANCHOR"
-DASHBOARD_ACTION = "ACTION REQUIRED"
-DASHBOARD_EXPIRED = "EXPIRED — NURTURE"
-DASHBOARD_REENGAGE = "RE-ENGAGE"
-DASHBOARD_MONITOR = "MONITOR"
-DASHBOARD_REVIEW = "REVIEW"
+SLOW_OUTREACH_LABELS = L.SLOW_OUTREACH
 
 
 def _no_outreach_label(minutes: Column, p: Params, field: int) -> Column:
@@ -430,9 +415,9 @@ def rpt_lead_outreach_priority(ops_leads: DataFrame, p: Params) -> DataFrame:
     anchor = F.coalesce(F.col("form_submission_date"), call)
     contacted = call.isNotNull() | text.isNotNull()
     speed = F.col("speed_to_lead_minutes")
-    base = ops_leads.filter((F.col("status") == "Working") & (F.col("is_converted") == F.lit(False)))
+    base = ops_leads.filter((F.col("status") == L.STATUS_WORKING) & (F.col("is_converted") == F.lit(False)))
     in_no = ~contacted
-    in_slow = contacted & (F.col("channel") == "Inbound") & speed.isNotNull()
+    in_slow = contacted & (F.col("channel") == L.INBOUND) & speed.isNotNull()
     base = base.filter(in_no | in_slow).select(
         "*",
         F.when(in_no, F.lit(NO_OUTREACH)).otherwise(F.lit(SLOW_OUTREACH)).alias("outreach_section"),
@@ -460,13 +445,13 @@ def rpt_lead_outreach_priority(ops_leads: DataFrame, p: Params) -> DataFrame:
     )
     sec, pri, act = F.col("outreach_section"), F.col("outreach_priority"), F.col("is_actionable")
     dashboard = (
-        F.when(pri == NO_OUTREACH_LABELS["no_anchor"][0], F.lit(DASHBOARD_NO_ANCHOR))
-        .when((sec == NO_OUTREACH) & (act == F.lit(True)), F.lit(DASHBOARD_ACTION))
-        .when((sec == NO_OUTREACH) & (act == F.lit(False)), F.lit(DASHBOARD_EXPIRED))
+        F.when(pri == NO_OUTREACH_LABELS["no_anchor"][0], F.lit(L.DASHBOARD_NO_ANCHOR))
+        .when((sec == NO_OUTREACH) & (act == F.lit(True)), F.lit(L.DASHBOARD_ACTION))
+        .when((sec == NO_OUTREACH) & (act == F.lit(False)), F.lit(L.DASHBOARD_EXPIRED))
         .when((sec == SLOW_OUTREACH) & pri.isin(SLOW_OUTREACH_LABELS[3][1], SLOW_OUTREACH_LABELS[4][1]),
-              F.lit(DASHBOARD_REENGAGE))
-        .when(sec == SLOW_OUTREACH, F.lit(DASHBOARD_MONITOR))
-        .otherwise(F.lit(DASHBOARD_REVIEW))
+              F.lit(L.DASHBOARD_REENGAGE))
+        .when(sec == SLOW_OUTREACH, F.lit(L.DASHBOARD_MONITOR))
+        .otherwise(F.lit(L.DASHBOARD_REVIEW))
     )
     urgent = F.when((act == F.lit(True)) & (F.col("predicted_sales_with_owner") >= p.high_value_sales)
                     & (sec == NO_OUTREACH), F.lit(True)).otherwise(F.lit(False))
