@@ -4,6 +4,7 @@ adapter formulas and numeric conventions (sqlkit)."""
 
 from __future__ import annotations
 
+from pipewright import labels as L
 from pipewright.params import DEFAULT as P
 from pipewright.sources import adapter as A
 
@@ -231,156 +232,172 @@ cte("ops_pipeline_health", ["ops_opportunities", "ops_leads"],
     "FROM ops_leads WHERE status = 'Working' AND is_converted = FALSE")
 
 # ---------------------------------------------------------------- reporting
+# Written in DuckDB's own idiom (FILTER aggregates, VALUES unpivots, window
+# totals), checking the Spark formulations from a different angle.
+def _q(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+_IN, _OUT = _q(L.INBOUND), _q(L.OUTBOUND)
+
+
+def _cnt(cond: str) -> str:
+    return f"COUNT(*) FILTER (WHERE {cond})"
+
+
 cte("rpt_cac_ltv_by_channel", ["ops_opportunities", "ops_expenses"],
-    "WITH won_deals AS (SELECT channel, COUNT(*) AS deals_won, "
+    "WITH wins AS (SELECT channel, COUNT(*) AS deals_won, "
     f"{rnd(emean('monthly_subscription', 4), 2)} AS avg_monthly_subscription, "
     f"{rnd(emean('monthly_take_rate', 4), 2)} AS avg_monthly_take_rate, "
     f"{rnd(emean('monthly_revenue', 4), 2)} AS avg_monthly_revenue "
     "FROM ops_opportunities WHERE is_closed_won GROUP BY channel), "
-    f"channel_costs AS (SELECT 'Inbound' AS channel, {esum('inbound_channel_cost', 2)} AS total_cost FROM ops_expenses "
-    f"UNION ALL SELECT 'Outbound', {esum('outbound_channel_cost', 2)} FROM ops_expenses), "
-    "with_cac AS (SELECT w.channel, w.deals_won, c.total_cost AS total_cost_6mo, "
-    f"{rnd('c.total_cost / w.deals_won', 2)} AS cac, w.avg_monthly_subscription, w.avg_monthly_take_rate, "
-    "w.avg_monthly_revenue FROM won_deals w INNER JOIN channel_costs c ON w.channel = c.channel) "
+    f"spend AS (SELECT ch.channel, CASE ch.channel WHEN {_IN} THEN t.inb ELSE t.outb END AS total_cost FROM "
+    f"(SELECT {esum('inbound_channel_cost', 2)} AS inb, {esum('outbound_channel_cost', 2)} AS outb FROM ops_expenses) t, "
+    f"(VALUES ({_IN}), ({_OUT})) ch(channel)), "
+    "base AS (SELECT w.*, s.total_cost AS total_cost_6mo, "
+    f"{rnd('s.total_cost / w.deals_won', 2)} AS cac FROM wins w JOIN spend s USING (channel)) "
     "SELECT channel, deals_won, total_cost_6mo, cac, avg_monthly_subscription, avg_monthly_take_rate, "
     "avg_monthly_revenue, "
     + ", ".join(f"{rnd(f'avg_monthly_revenue * {float(n)}::DOUBLE', 2)} AS avg_ltv_{n}mo" for n in P.lifetimes) + ", "
     + ", ".join(f"{rnd(sdiv(f'avg_monthly_revenue * {float(n)}::DOUBLE', 'cac'), 2)} AS ltv_to_cac_{n}mo"
                 for n in P.lifetimes)
-    + " FROM with_cac")
+    + " FROM base")
 
+_LOSS = {"pre_demo_losses": L.LOSS_PRE_DEMO, "process_losses": L.LOSS_PROCESS,
+         "competitive_losses": L.LOSS_COMPETITIVE, "product_fit_losses": L.LOSS_PRODUCT}
 cte("rpt_funnel_summary", ["ops_leads", "ops_opportunities"],
-    "WITH lead_metrics AS (SELECT channel, COUNT(*) AS total_leads, "
-    f"{cif('is_converted')} AS converted_leads, {cif("status = 'Working'")} AS working_leads, "
-    f"{cif("status = 'New'")} AS new_leads, "
-    f"{cif("status = 'Disqualified'")} AS disqualified_leads, "
-    f"{cif("status = 'Incorrect Contact Data'")} AS bad_contact_leads, "
-    f"{cif('connected_with_decision_maker')} AS dm_connected_leads, "
+    "WITH lead_side AS (SELECT channel, COUNT(*) AS total_leads, "
+    f"{_cnt('is_converted')} AS converted_leads, {_cnt('status = ' + _q(L.STATUS_WORKING))} AS working_leads, "
+    f"{_cnt('status = ' + _q(L.STATUS_NEW))} AS new_leads, "
+    f"{_cnt('status = ' + _q(L.STATUS_DISQUALIFIED))} AS disqualified_leads, "
+    f"{_cnt('status = ' + _q(L.STATUS_BAD_CONTACT))} AS bad_contact_leads, "
+    f"{_cnt('connected_with_decision_maker')} AS dm_connected_leads, "
     f"{rnd(mean('speed_to_lead_minutes'), 1)} AS avg_speed_to_lead_min, "
-    f"{rnd('median(speed_to_lead_minutes)', 1)} AS median_speed_to_lead_min, "
+    f"{rnd('quantile_cont(speed_to_lead_minutes, 0.5)', 1)} AS median_speed_to_lead_min, "
     f"{rnd(emean('predicted_sales_with_owner', 2), 0)} AS avg_predicted_sales, "
     f"{rnd(mean('total_touch_count'), 1)} AS avg_touches_per_lead, "
     f"{rnd(mean('location_count'), 1)} AS avg_locations FROM ops_leads GROUP BY channel), "
-    "opp_metrics AS (SELECT channel, COUNT(*) AS total_opportunities, "
-    f"{cif('is_closed_won')} AS closed_won, {cif('is_closed_lost')} AS closed_lost, "
-    f"{cif('NOT is_closed')} AS open_pipeline, {cif('demo_held')} AS demos_held, "
-    f"{cif("loss_category = 'Pre-Demo Loss'")} AS pre_demo_losses, "
-    f"{cif("loss_category = 'Process/Follow-Up Loss'")} AS process_losses, "
-    f"{cif("loss_category = 'Competitive Loss'")} AS competitive_losses, "
-    f"{cif("loss_category = 'Product Fit Loss'")} AS product_fit_losses, "
-    f"{rnd(mean('CASE WHEN is_closed_won THEN days_to_close END'), 1)} AS avg_days_to_close_won, "
-    f"{rnd(emean('CASE WHEN is_closed_won THEN predicted_sales_with_owner END', 2), 0)} AS avg_won_predicted_sales, "
-    f"{rnd(mean('CASE WHEN is_closed_won THEN total_touch_count END'), 1)} AS avg_touches_to_win "
-    "FROM ops_opportunities GROUP BY channel) "
-    "SELECT l.channel, l.total_leads, l.converted_leads, "
-    f"{pct('l.converted_leads', 'l.total_leads')} AS lead_to_opp_rate_pct, o.total_opportunities, o.demos_held, "
-    f"{pct('o.demos_held', 'o.total_opportunities')} AS demo_rate_pct, o.closed_won, o.closed_lost, o.open_pipeline, "
-    f"{pct('o.closed_won', 'o.closed_won + o.closed_lost')} AS win_rate_pct, "
-    f"{pct('o.closed_won', 'o.demos_held')} AS demo_to_win_rate_pct, "
-    f"{pct('o.closed_won', 'l.total_leads')} AS lead_to_win_rate_pct, o.pre_demo_losses, o.process_losses, "
-    "o.competitive_losses, o.product_fit_losses, l.working_leads, l.new_leads, l.disqualified_leads, "
-    "l.bad_contact_leads, l.dm_connected_leads, "
-    f"{pct('l.dm_connected_leads', 'l.total_leads')} AS dm_connection_rate_pct, l.avg_speed_to_lead_min, "
-    "l.median_speed_to_lead_min, l.avg_predicted_sales, l.avg_touches_per_lead, l.avg_locations, "
-    "o.avg_days_to_close_won, o.avg_won_predicted_sales, o.avg_touches_to_win "
-    "FROM lead_metrics l LEFT JOIN opp_metrics o ON l.channel = o.channel")
+    "deal_side AS (SELECT channel, COUNT(*) AS total_opportunities, "
+    f"{_cnt('is_closed_won')} AS closed_won, {_cnt('is_closed_lost')} AS closed_lost, "
+    f"{_cnt('NOT is_closed')} AS open_pipeline, {_cnt('demo_held')} AS demos_held, "
+    + ", ".join(f"{_cnt('loss_category = ' + _q(v))} AS {k}" for k, v in _LOSS.items()) + ", "
+    f"{rnd('AVG(days_to_close) FILTER (WHERE is_closed_won)', 1)} AS avg_days_to_close_won, "
+    f"{rnd(f'(CAST(SUM({units('predicted_sales_with_owner', 2)}) FILTER (WHERE is_closed_won) AS DOUBLE) / NULLIF(COUNT(predicted_sales_with_owner) FILTER (WHERE is_closed_won), 0)) / 100.0::DOUBLE', 0)}"
+    " AS avg_won_predicted_sales, "
+    f"{rnd('CAST(SUM(total_touch_count) FILTER (WHERE is_closed_won) AS DOUBLE) / NULLIF(COUNT(total_touch_count) FILTER (WHERE is_closed_won), 0)', 1)}"
+    " AS avg_touches_to_win FROM ops_opportunities GROUP BY channel) "
+    "SELECT channel, total_leads, converted_leads, "
+    f"{pct('converted_leads', 'total_leads')} AS lead_to_opp_rate_pct, total_opportunities, demos_held, "
+    f"{pct('demos_held', 'total_opportunities')} AS demo_rate_pct, closed_won, closed_lost, open_pipeline, "
+    f"{pct('closed_won', 'closed_won + closed_lost')} AS win_rate_pct, "
+    f"{pct('closed_won', 'demos_held')} AS demo_to_win_rate_pct, "
+    f"{pct('closed_won', 'total_leads')} AS lead_to_win_rate_pct, pre_demo_losses, process_losses, "
+    "competitive_losses, product_fit_losses, working_leads, new_leads, disqualified_leads, bad_contact_leads, "
+    f"dm_connected_leads, {pct('dm_connected_leads', 'total_leads')} AS dm_connection_rate_pct, "
+    "avg_speed_to_lead_min, median_speed_to_lead_min, avg_predicted_sales, avg_touches_per_lead, avg_locations, "
+    "avg_days_to_close_won, avg_won_predicted_sales, avg_touches_to_win "
+    "FROM lead_side LEFT JOIN deal_side USING (channel)")
 
 _ANCHOR = "COALESCE(first_sales_call_date, first_text_sent_date, last_sales_activity_date)"
+_VOL = ("inbound_leads", "outbound_leads", "inbound_converted", "outbound_converted", "inbound_wins",
+        "outbound_wins", "inbound_losses", "outbound_losses")
 cte("rpt_monthly_unit_economics", ["ops_expenses", "ops_leads", "ops_opportunities"],
-    "WITH monthly_leads AS ("
-    f"SELECT {month('form_submission_date')} AS month, channel, COUNT(*) AS new_leads, "
-    f"{cif('is_converted')} AS converted_leads FROM ops_leads WHERE form_submission_date IS NOT NULL GROUP BY 1, 2 "
-    f"UNION ALL SELECT {month(_ANCHOR)} AS month, channel, COUNT(*) AS new_leads, {cif('is_converted')} AS converted_leads "
-    f"FROM ops_leads WHERE channel = 'Outbound' AND {_ANCHOR} IS NOT NULL GROUP BY 1, 2), "
-    f"monthly_opps AS (SELECT {month('close_date')} AS month, channel, COUNT(*) AS closed_deals, "
-    f"{cif('is_closed_won')} AS wins, {cif('is_closed_lost')} AS losses, "
-    f"SUM(CASE WHEN is_closed_won THEN {units('predicted_sales_with_owner', 2)} ELSE 0 END) AS won_cents "
-    "FROM ops_opportunities WHERE is_closed AND close_date IS NOT NULL GROUP BY 1, 2), "
-    "lp AS (SELECT month, "
-    "SUM(CASE WHEN channel = 'Inbound' THEN new_leads ELSE 0 END) AS inbound_leads, "
-    "SUM(CASE WHEN channel = 'Outbound' THEN new_leads ELSE 0 END) AS outbound_leads, "
-    "SUM(CASE WHEN channel = 'Inbound' THEN converted_leads ELSE 0 END) AS inbound_converted, "
-    "SUM(CASE WHEN channel = 'Outbound' THEN converted_leads ELSE 0 END) AS outbound_converted "
-    "FROM monthly_leads GROUP BY 1), "
-    "op AS (SELECT month, SUM(CASE WHEN channel = 'Inbound' THEN wins ELSE 0 END) AS inbound_wins, "
-    "SUM(CASE WHEN channel = 'Outbound' THEN wins ELSE 0 END) AS outbound_wins, "
-    "SUM(CASE WHEN channel = 'Inbound' THEN losses ELSE 0 END) AS inbound_losses, "
-    "SUM(CASE WHEN channel = 'Outbound' THEN losses ELSE 0 END) AS outbound_losses, "
-    "SUM(CASE WHEN channel = 'Inbound' THEN won_cents ELSE 0 END) AS in_cents, "
-    "SUM(CASE WHEN channel = 'Outbound' THEN won_cents ELSE 0 END) AS out_cents FROM monthly_opps GROUP BY 1), "
-    "v AS (SELECT e.expense_month, e.advertising_spend, e.inbound_sales_team_cost, e.outbound_sales_team_cost, "
-    "e.inbound_channel_cost, e.outbound_channel_cost, e.total_gtm_cost, "
-    + ", ".join(f"CAST(COALESCE({s}.{c}, 0) AS BIGINT) AS {c}" for s, c in (
-        ("l", "inbound_leads"), ("l", "outbound_leads"), ("l", "inbound_converted"), ("l", "outbound_converted"),
-        ("o", "inbound_wins"), ("o", "outbound_wins"), ("o", "inbound_losses"), ("o", "outbound_losses"))) + ", "
-    "CAST(COALESCE(o.in_cents, 0) AS DOUBLE) / 100.0::DOUBLE AS inbound_won_predicted_revenue, "
-    "CAST(COALESCE(o.out_cents, 0) AS DOUBLE) / 100.0::DOUBLE AS outbound_won_predicted_revenue "
-    "FROM ops_expenses e LEFT JOIN lp l ON e.expense_month = l.month LEFT JOIN op o ON e.expense_month = o.month) "
-    "SELECT *, "
-    f"{rnd(sdiv('inbound_channel_cost', 'inbound_leads'), 2)} AS inbound_cost_per_lead, "
-    f"{rnd(sdiv('inbound_channel_cost', 'inbound_converted'), 2)} AS inbound_cost_per_opportunity, "
-    f"{rnd(sdiv('inbound_channel_cost', 'inbound_wins'), 2)} AS inbound_cac, "
-    f"{rnd(sdiv('outbound_channel_cost', 'outbound_leads'), 2)} AS outbound_cost_per_lead, "
-    f"{rnd(sdiv('outbound_channel_cost', 'outbound_converted'), 2)} AS outbound_cost_per_opportunity, "
-    f"{rnd(sdiv('outbound_channel_cost', 'outbound_wins'), 2)} AS outbound_cac, "
-    f"{rnd(sdiv('total_gtm_cost', 'inbound_wins + outbound_wins'), 2)} AS blended_cac FROM v")
-
-_W = "(PARTITION BY channel ORDER BY expense_month ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)"
-_W0 = "(PARTITION BY channel ORDER BY expense_month)"
+    f"WITH lead_rows AS (SELECT {month('form_submission_date')} AS m, channel, is_converted FROM ops_leads "
+    "WHERE form_submission_date IS NOT NULL "
+    f"UNION ALL SELECT {month(_ANCHOR)}, channel, is_converted FROM ops_leads "
+    f"WHERE channel = {_OUT} AND {_ANCHOR} IS NOT NULL), "
+    f"lead_months AS (SELECT m, {_cnt('channel = ' + _IN)} AS inbound_leads, {_cnt('channel = ' + _OUT)} AS outbound_leads, "
+    f"{_cnt('channel = ' + _IN + ' AND is_converted')} AS inbound_converted, "
+    f"{_cnt('channel = ' + _OUT + ' AND is_converted')} AS outbound_converted FROM lead_rows GROUP BY m), "
+    f"deal_months AS (SELECT {month('close_date')} AS m, "
+    f"{_cnt('channel = ' + _IN + ' AND is_closed_won')} AS inbound_wins, "
+    f"{_cnt('channel = ' + _OUT + ' AND is_closed_won')} AS outbound_wins, "
+    f"{_cnt('channel = ' + _IN + ' AND is_closed_lost')} AS inbound_losses, "
+    f"{_cnt('channel = ' + _OUT + ' AND is_closed_lost')} AS outbound_losses, "
+    f"SUM({units('predicted_sales_with_owner', 2)}) FILTER (WHERE channel = {_IN} AND is_closed_won) AS in_cents, "
+    f"SUM({units('predicted_sales_with_owner', 2)}) FILTER (WHERE channel = {_OUT} AND is_closed_won) AS out_cents "
+    "FROM ops_opportunities WHERE is_closed AND close_date IS NOT NULL GROUP BY 1), "
+    "vol AS (SELECT e.*, "
+    + ", ".join(f"CAST(COALESCE({c}, 0) AS BIGINT) AS {c}" for c in _VOL) + ", "
+    "CAST(COALESCE(in_cents, 0) AS DOUBLE) / 100.0::DOUBLE AS inbound_won_predicted_revenue, "
+    "CAST(COALESCE(out_cents, 0) AS DOUBLE) / 100.0::DOUBLE AS outbound_won_predicted_revenue "
+    "FROM ops_expenses e LEFT JOIN lead_months l ON e.expense_month = l.m "
+    "LEFT JOIN deal_months d ON e.expense_month = d.m) "
+    "SELECT expense_month, advertising_spend, inbound_sales_team_cost, outbound_sales_team_cost, "
+    "inbound_channel_cost, outbound_channel_cost, total_gtm_cost, " + ", ".join(_VOL) + ", "
+    "inbound_won_predicted_revenue, outbound_won_predicted_revenue, "
+    + ", ".join(f"{rnd(sdiv(f'{side}_channel_cost', den), 2)} AS {side}_{name}"
+                for side in ("inbound", "outbound")
+                for name, den in (("cost_per_lead", f"{side}_leads"), ("cost_per_opportunity", f"{side}_converted"),
+                                  ("cac", f"{side}_wins"))) + ", "
+    f"{rnd(sdiv('total_gtm_cost', 'inbound_wins + outbound_wins'), 2)} AS blended_cac FROM vol")
+
+_W3 = "(PARTITION BY channel ORDER BY expense_month ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)"
+_W1 = "(PARTITION BY channel ORDER BY expense_month)"
+_WM = "(PARTITION BY expense_month)"
 
 
 def _roll(col: str, d: int, vd: int) -> str:
-    return rnd(f"(CAST(SUM({units(col, vd)}) OVER {_W} AS DOUBLE) / NULLIF(COUNT({col}) OVER {_W}, 0))"
+    return rnd(f"(CAST(SUM({units(col, vd)}) OVER {_W3} AS DOUBLE) / NULLIF(COUNT({col}) OVER {_W3}, 0))"
                f" / {float(10 ** vd)!r}::DOUBLE", d)
 
 
-def _unpivot_branch(ch: str, pre: str) -> str:
-    return (f"SELECT expense_month, '{ch}' AS channel, {pre}_leads AS new_leads, {pre}_converted AS converted_leads, "
-            f"{pre}_wins AS deals_won, {pre}_losses AS deals_lost, {pre}_channel_cost AS total_channel_cost, "
-            f"{pre}_cac AS monthly_cac, {pre}_won_predicted_revenue AS total_monthly_revenue_won, "
-            f"{pct(f'{pre}_wins', f'{pre}_converted')} AS lead_to_win_rate_pct FROM rpt_monthly_unit_economics")
+def _pick(col: str) -> str:
+    return f"CASE ch.channel WHEN {_IN} THEN m.inbound_{col} ELSE m.outbound_{col} END"
 
 
 cte("rpt_channel_efficiency", ["rpt_monthly_unit_economics"],
-    f"WITH u AS ({_unpivot_branch('Inbound', 'inbound')} UNION ALL {_unpivot_branch('Outbound', 'outbound')}), "
-    f"r AS (SELECT u.*, {_roll('monthly_cac', 2, 2)} AS rolling_3mo_cac, "
+    "WITH per_channel AS (SELECT m.expense_month, ch.channel, "
+    f"{_pick('leads')} AS new_leads, {_pick('converted')} AS converted_leads, {_pick('wins')} AS deals_won, "
+    f"{_pick('losses')} AS deals_lost, {_pick('channel_cost')} AS total_channel_cost, {_pick('cac')} AS monthly_cac, "
+    f"{_pick('won_predicted_revenue')} AS total_monthly_revenue_won, "
+    f"{pct(_pick('wins'), _pick('converted'))} AS lead_to_win_rate_pct "
+    f"FROM rpt_monthly_unit_economics m CROSS JOIN (VALUES ({_IN}), ({_OUT})) ch(channel)), "
+    f"framed AS (SELECT *, {_roll('monthly_cac', 2, 2)} AS rolling_3mo_cac, "
     f"{_roll('lead_to_win_rate_pct', 2, 2)} AS rolling_3mo_conversion_rate, "
-    f"{_roll('deals_won', 1, 0)} AS rolling_3mo_deals_won, CAST(COUNT(*) OVER {_W} AS BIGINT) AS rolling_window_months, "
-    f"LAG(monthly_cac, 1) OVER {_W0} AS prev_month_cac, "
-    f"LAG(lead_to_win_rate_pct, 1) OVER {_W0} AS prev_month_conversion_rate, "
-    f"LAG(deals_won, 1) OVER {_W0} AS prev_month_deals_won, LAG(new_leads, 1) OVER {_W0} AS prev_month_new_leads "
-    "FROM u), "
-    "t AS (SELECT expense_month, SUM(total_channel_cost) AS total_spend_all_channels, "
-    "SUM(deals_won) AS total_wins_all_channels, SUM(new_leads) AS total_leads_all_channels, "
-    "SUM(total_monthly_revenue_won) AS total_revenue_all_channels FROM u GROUP BY 1) "
-    "SELECT d.channel, d.expense_month, d.new_leads, d.converted_leads, d.deals_won, d.deals_lost, "
-    "d.total_channel_cost, d.monthly_cac, d.lead_to_win_rate_pct, d.total_monthly_revenue_won, d.rolling_3mo_cac, "
-    "d.rolling_3mo_conversion_rate, d.rolling_3mo_deals_won, (d.rolling_window_months >= 3) AS is_full_rolling_window, "
-    f"{rnd('d.monthly_cac - d.prev_month_cac', 2)} AS cac_mom_delta, "
-    f"{rnd(sdiv('(d.monthly_cac - d.prev_month_cac) * 100.0::DOUBLE', 'd.prev_month_cac'), 1)} AS cac_mom_pct_change, "
-    f"{rnd('d.lead_to_win_rate_pct - d.prev_month_conversion_rate', 2)} AS conversion_rate_mom_delta, "
-    f"{rnd(sdiv('(d.lead_to_win_rate_pct - d.prev_month_conversion_rate) * 100.0::DOUBLE', 'd.prev_month_conversion_rate'), 1)}"
+    f"{_roll('deals_won', 1, 0)} AS rolling_3mo_deals_won, CAST(COUNT(*) OVER {_W3} AS BIGINT) AS n_frame, "
+    f"LAG(monthly_cac) OVER {_W1} AS cac_before, LAG(lead_to_win_rate_pct) OVER {_W1} AS rate_before, "
+    f"LAG(deals_won) OVER {_W1} AS wins_before, LAG(new_leads) OVER {_W1} AS leads_before, "
+    f"SUM(total_channel_cost) OVER {_WM} AS month_spend, SUM(deals_won) OVER {_WM} AS month_wins, "
+    f"SUM(new_leads) OVER {_WM} AS month_leads, SUM(total_monthly_revenue_won) OVER {_WM} AS month_revenue "
+    "FROM per_channel) "
+    "SELECT channel, expense_month, new_leads, converted_leads, deals_won, deals_lost, total_channel_cost, "
+    "monthly_cac, lead_to_win_rate_pct, total_monthly_revenue_won, rolling_3mo_cac, rolling_3mo_conversion_rate, "
+    f"rolling_3mo_deals_won, n_frame >= {P.rolling_rows} AS is_full_rolling_window, "
+    f"{rnd('monthly_cac - cac_before', 2)} AS cac_mom_delta, "
+    f"{rnd(sdiv('(monthly_cac - cac_before) * 100.0::DOUBLE', 'cac_before'), 1)} AS cac_mom_pct_change, "
+    f"{rnd('lead_to_win_rate_pct - rate_before', 2)} AS conversion_rate_mom_delta, "
+    f"{rnd(sdiv('(lead_to_win_rate_pct - rate_before) * 100.0::DOUBLE', 'rate_before'), 1)}"
     " AS conversion_rate_mom_pct_change, "
-    "CAST(d.deals_won - d.prev_month_deals_won AS BIGINT) AS deals_won_mom_delta, "
-    "CAST(d.new_leads - d.prev_month_new_leads AS BIGINT) AS new_leads_mom_delta, "
-    f"{pct('d.total_channel_cost', 't.total_spend_all_channels', 1)} AS pct_of_total_spend, "
-    f"{pct('d.deals_won', 't.total_wins_all_channels', 1)} AS pct_of_total_wins, "
-    f"{pct('d.new_leads', 't.total_leads_all_channels', 1)} AS pct_of_total_leads, "
-    f"{pct('d.total_monthly_revenue_won', 't.total_revenue_all_channels', 1)} AS pct_of_total_revenue, "
-    "CASE WHEN d.monthly_cac > 3000 THEN 'Critical' WHEN d.monthly_cac > 2000 THEN 'Warning' ELSE 'Healthy' END"
-    " AS cac_threshold_flag, "
-    "CASE WHEN d.lead_to_win_rate_pct < 10 THEN 'Critical' WHEN d.lead_to_win_rate_pct < 15 THEN 'Warning'"
-    " ELSE 'Healthy' END AS conversion_threshold_flag, "
-    "CASE WHEN d.rolling_window_months < 3 THEN 'Insufficient Data' "
-    "WHEN d.monthly_cac > d.rolling_3mo_cac * 1.2::DOUBLE THEN 'Deteriorating' "
-    "WHEN d.monthly_cac < d.rolling_3mo_cac * 0.8::DOUBLE THEN 'Improving' ELSE 'Stable' END AS cac_trend, "
-    f"CASE WHEN d.deals_won = 0 THEN NULL ELSE {rnd(sdiv('d.monthly_cac', 'd.lead_to_win_rate_pct') + ' * 100.0::DOUBLE', 2)}"
-    " END AS efficiency_score "
-    "FROM r d LEFT JOIN t ON d.expense_month = t.expense_month")
+    "CAST(deals_won - wins_before AS BIGINT) AS deals_won_mom_delta, "
+    "CAST(new_leads - leads_before AS BIGINT) AS new_leads_mom_delta, "
+    f"{pct('total_channel_cost', 'month_spend', 1)} AS pct_of_total_spend, "
+    f"{pct('deals_won', 'month_wins', 1)} AS pct_of_total_wins, "
+    f"{pct('new_leads', 'month_leads', 1)} AS pct_of_total_leads, "
+    f"{pct('total_monthly_revenue_won', 'month_revenue', 1)} AS pct_of_total_revenue, "
+    f"CASE WHEN monthly_cac > {P.cac_critical} THEN {_q(L.FLAG_CRITICAL)} WHEN monthly_cac > {P.cac_warning} "
+    f"THEN {_q(L.FLAG_WARNING)} ELSE {_q(L.FLAG_HEALTHY)} END AS cac_threshold_flag, "
+    f"CASE WHEN lead_to_win_rate_pct < {P.conversion_critical} THEN {_q(L.FLAG_CRITICAL)} "
+    f"WHEN lead_to_win_rate_pct < {P.conversion_warning} THEN {_q(L.FLAG_WARNING)} ELSE {_q(L.FLAG_HEALTHY)} END"
+    " AS conversion_threshold_flag, "
+    f"CASE WHEN n_frame < {P.rolling_rows} THEN {_q(L.TREND_INSUFFICIENT)} "
+    f"WHEN monthly_cac > rolling_3mo_cac * {1.0 + P.trend_band!r}::DOUBLE THEN {_q(L.TREND_WORSE)} "
+    f"WHEN monthly_cac < rolling_3mo_cac * {1.0 - P.trend_band!r}::DOUBLE THEN {_q(L.TREND_BETTER)} "
+    f"ELSE {_q(L.TREND_STABLE)} END AS cac_trend, "
+    f"CASE WHEN deals_won <> 0 THEN {rnd(sdiv('monthly_cac', 'lead_to_win_rate_pct') + ' * 100.0::DOUBLE', 2)} END"
+    " AS efficiency_score FROM framed")
 
 _K5 = "channel, record_type, pipeline_segment, demo_status, health_status"
+
+
+def _share(cond: str) -> str:
+    """Percent of the group's rows matching ``cond``, one decimal."""
+    return rnd(f"CAST({_cnt(cond)} AS DOUBLE) * 100.0::DOUBLE / COUNT(*)", 1)
+
+
+_RISKS = ((L.RISK_HIGH, "high"), (L.RISK_MEDIUM, "medium"), (L.RISK_LOW, "low"))
 cte("rpt_pipeline_health", ["ops_pipeline_health"],
-    f"WITH s AS (SELECT {_K5}, COUNT(*) AS record_count, "
+    f"WITH seg AS (SELECT {_K5}, COUNT(*) AS record_count, "
     f"{rnd(esum('forecasted_monthly_revenue', 4), 2)} AS total_forecasted_monthly_revenue, "
     f"{rnd(esum('forecasted_annual_revenue', 4), 2)} AS total_forecasted_annual_revenue, "
     f"{rnd(emean('forecasted_monthly_revenue', 4), 2)} AS avg_forecasted_monthly_revenue, "
@@ -392,89 +409,82 @@ cte("rpt_pipeline_health", ["ops_pipeline_health"],
     "MIN(days_in_pipeline) AS min_days_in_pipeline, MAX(days_in_pipeline) AS max_days_in_pipeline, "
     f"{rnd(emean('predicted_sales_with_owner', 2), 2)} AS avg_predicted_sales, "
     f"{rnd(mean('total_touch_count'), 1)} AS avg_touch_count, "
-    f"{rnd(mean('CASE WHEN speed_to_lead_minutes IS NOT NULL THEN speed_to_lead_minutes END'), 1)}"
-    " AS avg_speed_to_lead_minutes, "
-    f"{rnd(f'CAST({cif('connected_with_decision_maker')} AS DOUBLE) * 100.0::DOUBLE / COUNT(*)', 1)}"
-    " AS decision_maker_pct, "
-    f"{cif('demo_held')} AS demos_held, {cif('demo_set_date IS NOT NULL AND demo_held = FALSE')} AS demos_pending, "
-    + ", ".join(f"{cif(f"risk_level = '{lvl}'")} AS {lvl.lower()}_risk_count"
-                for lvl in ("High", "Medium", "Low")) + ", "
-    + ", ".join(f"{rnd(f'CAST({cif(f"risk_level = '{lvl}'")} AS DOUBLE) * 100.0::DOUBLE / COUNT(*)', 1)}"
-                f" AS {lvl.lower()}_risk_pct" for lvl in ("High", "Medium", "Low")) + ", "
-    f"{cif('speed_to_lead_minutes <= 5')} AS responded_under_5min, "
-    f"{cif('speed_to_lead_minutes <= 30')} AS responded_under_30min, "
-    f"{cif('speed_to_lead_minutes > 60')} AS responded_over_1hr FROM ops_pipeline_health GROUP BY {_K5}), "
-    "ct AS (SELECT channel, SUM(record_count) AS channel_total_records, "
-    f"{esum('total_forecasted_annual_revenue', 2)} AS channel_total_forecasted_revenue, "
-    f"{esum('total_potential_annual_revenue', 2)} AS channel_total_potential_revenue FROM s GROUP BY channel) "
-    "SELECT s.channel, s.record_type, s.pipeline_segment, s.demo_status, s.health_status, s.record_count, "
-    f"{rnd('CAST(s.record_count AS DOUBLE) * 100.0::DOUBLE / ct.channel_total_records', 1)} AS pct_of_channel, "
-    "s.total_forecasted_monthly_revenue, s.total_forecasted_annual_revenue, s.avg_forecasted_monthly_revenue, "
-    f"{pct('s.total_forecasted_annual_revenue', 'ct.channel_total_forecasted_revenue', 1)}"
-    " AS pct_of_channel_forecasted_revenue, "
-    "s.total_potential_monthly_revenue, s.total_potential_annual_revenue, s.avg_potential_monthly_revenue, "
-    f"{pct('s.total_potential_annual_revenue', 'ct.channel_total_potential_revenue', 1)}"
-    " AS pct_of_channel_potential_revenue, "
-    "s.avg_days_in_pipeline, s.avg_days_in_current_stage, s.min_days_in_pipeline, s.max_days_in_pipeline, "
-    "s.avg_predicted_sales, s.avg_touch_count, s.avg_speed_to_lead_minutes, s.decision_maker_pct, s.demos_held, "
-    "s.demos_pending, s.high_risk_count, s.medium_risk_count, s.low_risk_count, s.high_risk_pct, s.medium_risk_pct, "
-    "s.low_risk_pct, s.responded_under_5min, s.responded_under_30min, s.responded_over_1hr "
-    "FROM s LEFT JOIN ct ON s.channel = ct.channel")
-
-_ANC = "COALESCE(form_submission_date, first_sales_call_date)"
-_S = "speed_to_lead_minutes"
-cte("rpt_lead_outreach_priority", ["ops_leads"],
-    "WITH b AS (SELECT lead_id, channel, status, working_lead_health, predicted_sales_with_owner, predicted_sales_tier, "
-    "form_submission_date, first_sales_call_date, first_text_sent_date, last_sales_activity_date, total_touch_count, "
-    f"{_S}, connected_with_decision_maker, {_FC} AS first_outreach_at, "
-    "(first_sales_call_date IS NOT NULL OR first_text_sent_date IS NOT NULL) AS has_been_contacted, "
-    f"{mdiff(_ANC, AS_OF_TS)} AS minutes_waiting, {hdiff(_ANC, AS_OF_TS)} AS hours_waiting, "
-    f"{ddiff(_ANC, AS_OF)} AS days_waiting FROM ops_leads WHERE status = 'Working' AND is_converted = FALSE), "
-    "no_outreach AS (SELECT lead_id, 'No Outreach' AS outreach_section, channel, working_lead_health, "
-    "predicted_sales_with_owner, predicted_sales_tier, form_submission_date, first_outreach_at, "
-    "last_sales_activity_date, minutes_waiting, CAST(hours_waiting AS DOUBLE) AS hours_waiting, "
-    f"CAST(days_waiting AS DOUBLE) AS days_waiting, {_S}, total_touch_count, connected_with_decision_maker, "
-    "CASE WHEN minutes_waiting IS NULL THEN 'Outbound - No Anchor Date' WHEN minutes_waiting >= 4320 THEN 'Expired' "
-    "WHEN minutes_waiting < 60 THEN 'P0 - Immediate' WHEN minutes_waiting < 1440 THEN 'P1 - Urgent' "
-    "WHEN minutes_waiting < 4320 THEN 'P2 - At Risk' ELSE 'Expired' END AS outreach_priority, "
-    "CAST(CASE WHEN minutes_waiting IS NULL THEN 50 WHEN minutes_waiting < 60 THEN 1 WHEN minutes_waiting < 1440 "
-    "THEN 2 WHEN minutes_waiting < 4320 THEN 3 ELSE 99 END AS BIGINT) AS priority_sort_key, "
-    "(minutes_waiting IS NOT NULL AND minutes_waiting < 4320) AS is_actionable, "
-    "CASE WHEN minutes_waiting IS NULL THEN 'Verify lead source — no entry timestamp available' "
-    "WHEN minutes_waiting < 60 THEN 'Call immediately — within golden hour window' "
-    "WHEN minutes_waiting < 1440 THEN 'Call today — lead is still warm' "
-    "WHEN minutes_waiting < 4320 THEN 'Attempt contact ASAP — approaching expiry' "
-    "ELSE 'Move to nurture campaign — past 72hr window' END AS recommended_action "
-    "FROM b WHERE has_been_contacted = FALSE), "
-    "slow_outreach AS (SELECT lead_id, 'Slow Outreach' AS outreach_section, channel, working_lead_health, "
-    "predicted_sales_with_owner, predicted_sales_tier, form_submission_date, first_outreach_at, "
-    f"last_sales_activity_date, {_S} AS minutes_waiting, {rnd(f'CAST({_S} AS DOUBLE) / 60.0::DOUBLE', 1)} AS hours_waiting, "
-    f"{rnd(f'CAST({_S} AS DOUBLE) / 1440.0::DOUBLE', 1)} AS days_waiting, {_S}, total_touch_count, "
-    "connected_with_decision_maker, "
-    f"CASE WHEN {_S} <= 5 THEN 'On Time (<=5 min)' WHEN {_S} <= 60 THEN 'Slightly Late (5-60 min)' "
-    f"WHEN {_S} <= 1440 THEN 'Late (1-24 hours)' WHEN {_S} <= 4320 THEN 'Very Late (1-3 days)' "
-    "ELSE 'Critically Late (3+ days)' END AS outreach_priority, "
-    f"CAST(CASE WHEN {_S} <= 5 THEN 10 WHEN {_S} <= 60 THEN 8 WHEN {_S} <= 1440 THEN 6 WHEN {_S} <= 4320 THEN 4 "
-    "ELSE 3 END AS BIGINT) AS priority_sort_key, TRUE AS is_actionable, "
-    f"CASE WHEN {_S} <= 5 THEN 'Good response time — continue normal cadence' "
-    f"WHEN {_S} <= 60 THEN 'Acceptable — ensure consistent follow-up' "
-    f"WHEN {_S} <= 1440 THEN 'Re-engage with value proposition — trust may have cooled' "
-    f"WHEN {_S} <= 4320 THEN 'High-touch re-engagement needed — acknowledge the delay' "
-    "ELSE 'Recovery outreach — lead likely explored competitors' END AS recommended_action "
-    f"FROM b WHERE has_been_contacted = TRUE AND channel = 'Inbound' AND {_S} IS NOT NULL), "
-    "combined AS (SELECT * FROM no_outreach UNION ALL SELECT * FROM slow_outreach) "
-    "SELECT lead_id, outreach_section, channel, working_lead_health, predicted_sales_with_owner, predicted_sales_tier, "
-    "form_submission_date, first_outreach_at, last_sales_activity_date, minutes_waiting, hours_waiting, days_waiting, "
-    f"{_S}, total_touch_count, connected_with_decision_maker, outreach_priority, priority_sort_key, is_actionable, "
-    "recommended_action, "
-    "CASE WHEN outreach_priority = 'Outbound - No Anchor Date' THEN 'DATA QUALITY — NO ANCHOR' "
-    "WHEN outreach_section = 'No Outreach' AND is_actionable = TRUE THEN 'ACTION REQUIRED' "
-    "WHEN outreach_section = 'No Outreach' AND is_actionable = FALSE THEN 'EXPIRED — NURTURE' "
-    "WHEN outreach_section = 'Slow Outreach' AND outreach_priority IN ('Very Late (1-3 days)', "
-    "'Critically Late (3+ days)') THEN 'RE-ENGAGE' WHEN outreach_section = 'Slow Outreach' THEN 'MONITOR' "
-    "ELSE 'REVIEW' END AS dashboard_status, "
-    "CASE WHEN is_actionable = TRUE AND predicted_sales_with_owner >= 5000 AND outreach_section = 'No Outreach' "
-    "THEN TRUE ELSE FALSE END AS is_high_value_urgent FROM combined")
+    f"{rnd(mean('speed_to_lead_minutes'), 1)} AS avg_speed_to_lead_minutes, "
+    f"{_share('connected_with_decision_maker')} AS decision_maker_pct, "
+    f"{_cnt('demo_held')} AS demos_held, {_cnt('demo_set_date IS NOT NULL AND NOT demo_held')} AS demos_pending, "
+    + ", ".join(f"{_cnt('risk_level = ' + _q(v))} AS {n}_risk_count" for v, n in _RISKS) + ", "
+    + ", ".join(f"{_share('risk_level = ' + _q(v))} AS {n}_risk_pct" for v, n in _RISKS) + ", "
+    f"{_cnt('speed_to_lead_minutes <= 5')} AS responded_under_5min, "
+    f"{_cnt('speed_to_lead_minutes <= 30')} AS responded_under_30min, "
+    f"{_cnt('speed_to_lead_minutes > 60')} AS responded_over_1hr FROM ops_pipeline_health GROUP BY {_K5}), "
+    "per_channel AS (SELECT channel, SUM(record_count) AS n_all, "
+    f"{esum('total_forecasted_annual_revenue', 2)} AS fore_all, "
+    f"{esum('total_potential_annual_revenue', 2)} AS pot_all FROM seg WHERE channel IS NOT NULL GROUP BY channel) "
+    "SELECT seg.channel, record_type, pipeline_segment, demo_status, health_status, record_count, "
+    f"{rnd('CAST(record_count AS DOUBLE) * 100.0::DOUBLE / n_all', 1)} AS pct_of_channel, "
+    "total_forecasted_monthly_revenue, total_forecasted_annual_revenue, avg_forecasted_monthly_revenue, "
+    f"{pct('total_forecasted_annual_revenue', 'fore_all', 1)} AS pct_of_channel_forecasted_revenue, "
+    "total_potential_monthly_revenue, total_potential_annual_revenue, avg_potential_monthly_revenue, "
+    f"{pct('total_potential_annual_revenue', 'pot_all', 1)} AS pct_of_channel_potential_revenue, "
+    "avg_days_in_pipeline, avg_days_in_current_stage, min_days_in_pipeline, max_days_in_pipeline, "
+    "avg_predicted_sales, avg_touch_count, avg_speed_to_lead_minutes, decision_maker_pct, demos_held, "
+    "demos_pending, high_risk_count, medium_risk_count, low_risk_count, high_risk_pct, medium_risk_pct, "
+    "low_risk_pct, responded_under_5min, responded_under_30min, responded_over_1hr "
+    "FROM seg LEFT JOIN per_channel pc ON seg.channel = pc.channel")
+
+
+def _outreach_queue() -> str:
+    S = "speed_to_lead_minutes"
+    W = "wait_min"
+    no_case = (
+        f"CASE WHEN {W} IS NULL THEN {{0}} WHEN {W} >= {P.outreach_expiry_minutes} THEN {{4}} "
+        f"WHEN {W} < {P.outreach_p0_minutes} THEN {{1}} WHEN {W} < {P.outreach_p1_minutes} THEN {{2}} "
+        f"WHEN {W} < {P.outreach_expiry_minutes} THEN {{3}} ELSE {{4}} END")
+    rows = (L.NO_OUTREACH_NO_ANCHOR, L.NO_OUTREACH_P0, L.NO_OUTREACH_P1, L.NO_OUTREACH_P2, L.NO_OUTREACH_EXPIRED)
+
+    def no_field(i: int) -> str:
+        vals = [(_q(r[i]) if isinstance(r[i], str) else str(r[i])) for r in rows]
+        return no_case.format(*vals)
+
+    def slow_field(i: int) -> str:
+        parts = []
+        for cut, *vals in L.SLOW_OUTREACH:
+            v = _q(vals[i]) if isinstance(vals[i], str) else str(vals[i])
+            parts.append(f"WHEN {S} <= {cut} THEN {v}" if cut is not None else f"ELSE {v}")
+        return "CASE " + " ".join(parts) + " END"
+
+    late = ", ".join(_q(r[1]) for r in L.SLOW_OUTREACH[3:])
+    anc = "COALESCE(form_submission_date, first_sales_call_date)"
+    return (
+        "WITH cand AS (SELECT *, first_sales_call_date IS NULL AND first_text_sent_date IS NULL AS untouched, "
+        f"{mdiff(anc, AS_OF_TS)} AS wait_min, {hdiff(anc, AS_OF_TS)} AS wait_hour, {ddiff(anc, AS_OF)} AS wait_day "
+        f"FROM ops_leads WHERE status = {_q(L.STATUS_WORKING)} AND NOT is_converted), "
+        "queue AS (SELECT lead_id, CASE WHEN untouched THEN "
+        f"{_q(L.SECTION_NO_OUTREACH)} ELSE {_q(L.SECTION_SLOW_OUTREACH)} END AS outreach_section, channel, "
+        "working_lead_health, predicted_sales_with_owner, predicted_sales_tier, form_submission_date, "
+        f"{_FC} AS first_outreach_at, last_sales_activity_date, "
+        f"CASE WHEN untouched THEN wait_min ELSE {S} END AS minutes_waiting, "
+        f"CASE WHEN untouched THEN CAST(wait_hour AS DOUBLE) ELSE {rnd(f'CAST({S} AS DOUBLE) / 60.0::DOUBLE', 1)} END"
+        " AS hours_waiting, "
+        f"CASE WHEN untouched THEN CAST(wait_day AS DOUBLE) ELSE {rnd(f'CAST({S} AS DOUBLE) / 1440.0::DOUBLE', 1)} END"
+        f" AS days_waiting, {S}, total_touch_count, connected_with_decision_maker, "
+        f"CASE WHEN untouched THEN {no_field(0)} ELSE {slow_field(0)} END AS outreach_priority, "
+        f"CAST(CASE WHEN untouched THEN {no_field(1)} ELSE {slow_field(1)} END AS BIGINT) AS priority_sort_key, "
+        f"CASE WHEN untouched THEN coalesce(wait_min < {P.outreach_expiry_minutes}, FALSE) ELSE TRUE END"
+        " AS is_actionable, "
+        f"CASE WHEN untouched THEN {no_field(2)} ELSE {slow_field(2)} END AS recommended_action "
+        f"FROM cand WHERE untouched OR (channel = {_IN} AND {S} IS NOT NULL)) "
+        "SELECT *, "
+        f"CASE WHEN outreach_priority = {_q(L.NO_OUTREACH_NO_ANCHOR[0])} THEN {_q(L.DASHBOARD_NO_ANCHOR)} "
+        f"WHEN outreach_section = {_q(L.SECTION_NO_OUTREACH)} AND is_actionable THEN {_q(L.DASHBOARD_ACTION)} "
+        f"WHEN outreach_section = {_q(L.SECTION_NO_OUTREACH)} THEN {_q(L.DASHBOARD_EXPIRED)} "
+        f"WHEN outreach_priority IN ({late}) THEN {_q(L.DASHBOARD_REENGAGE)} "
+        f"ELSE {_q(L.DASHBOARD_MONITOR)} END AS dashboard_status, "
+        f"coalesce(is_actionable AND predicted_sales_with_owner >= {P.high_value_sales} "
+        f"AND outreach_section = {_q(L.SECTION_NO_OUTREACH)}, FALSE) AS is_high_value_urgent FROM queue")
+
+
+cte("rpt_lead_outreach_priority", ["ops_leads"], _outreach_queue())
 
 
 def compose(final_sql: str, deps: list[str]) -> str:
