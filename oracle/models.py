@@ -155,6 +155,25 @@ cte("ops_leads", ["entity_leads"],
     f"WHEN {_IDLE} > {P.health_aging_days} THEN 'Aging' ELSE 'Active' END ELSE NULL END AS working_lead_health "
     "FROM entity_leads")
 
+def _lit(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _in_list(values) -> str:
+    return ", ".join(_lit(v) for v in values)
+
+
+# loss category: first matching rule wins (reasons and labels from the shared tables)
+_LOSS_CASE = (
+    f"CASE WHEN o.is_closed_lost THEN CASE WHEN o.demo_held = FALSE THEN {_lit(L.LOSS_PRE_DEMO)} "
+    f"WHEN o.lost_reason_c IN ({_in_list(P.loss_process_reasons)}) THEN {_lit(L.LOSS_PROCESS)} "
+    f"WHEN o.lost_reason_c IN ({_in_list(P.loss_competitive_reasons)}) THEN {_lit(L.LOSS_COMPETITIVE)} "
+    f"WHEN o.lost_reason_c IN ({_in_list(P.loss_product_reasons)}) THEN {_lit(L.LOSS_PRODUCT)} "
+    f"ELSE {_lit(L.LOSS_OTHER)} END END")
+# stage -> pipeline segment, as a lookup over the shared pairs
+_SEGMENT_CASE = ("CASE stage_name " + " ".join(f"WHEN {_lit(a)} THEN {_lit(b)}" for a, b in P.stage_segments)
+                 + f" ELSE {_lit(L.SEGMENT_OTHER)} END")
+
 _REV = "(500.0::DOUBLE + COALESCE(l.predicted_sales_with_owner * 0.05::DOUBLE, 0.0::DOUBLE))"
 cte("ops_opportunities", ["entity_opportunities", "ops_leads"],
     "SELECT o.opportunity_id, o.stage_name, o.deal_outcome, o.lost_reason_c, o.closed_lost_notes_c, "
@@ -166,11 +185,7 @@ cte("ops_opportunities", ["entity_opportunities", "ops_leads"],
     "500.0::DOUBLE AS monthly_subscription, "
     "COALESCE(l.predicted_sales_with_owner * 0.05::DOUBLE, 0.0::DOUBLE) AS monthly_take_rate, "
     f"{_REV} AS monthly_revenue, "
-    "CASE WHEN o.is_closed_lost AND o.demo_held = FALSE THEN 'Pre-Demo Loss' "
-    "WHEN o.is_closed_lost AND o.lost_reason_c IN ('Non-Responsive', 'Lack of Urgency') THEN 'Process/Follow-Up Loss' "
-    "WHEN o.is_closed_lost AND o.lost_reason_c IN ('Price', 'Lost to Competitor') THEN 'Competitive Loss' "
-    "WHEN o.is_closed_lost AND o.lost_reason_c IN ('POS Integration', 'Bad Fit') THEN 'Product Fit Loss' "
-    "WHEN o.is_closed_lost THEN 'Other Loss' ELSE NULL END AS loss_category "
+    f"{_LOSS_CASE} AS loss_category "
     "FROM entity_opportunities o LEFT JOIN ("
     "SELECT * EXCLUDE (_rn) FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY converted_opportunity_id "
     "ORDER BY lead_id) AS _rn FROM ops_leads) WHERE _rn = 1 AND converted_opportunity_id IS NOT NULL"
@@ -196,9 +211,7 @@ _AGE = ddiff("created_date", AS_OF)
 _LREV = "(500.0::DOUBLE + COALESCE(predicted_sales_with_owner * 0.05::DOUBLE, 0.0::DOUBLE))"
 cte("ops_pipeline_health", ["ops_opportunities", "ops_leads"],
     "SELECT opportunity_id AS record_id, 'Opportunity' AS record_type, channel, stage_name, "
-    "CASE WHEN stage_name = 'Interest' THEN 'Early Pipeline' WHEN stage_name = 'Demo Set' THEN 'Demo Scheduled' "
-    "WHEN stage_name = 'In Progress' THEN 'Active Deal' WHEN stage_name = 'Verbal Commitment' THEN 'Near Close' "
-    "WHEN stage_name = 'On Hold' THEN 'Stalled' ELSE 'Other Open' END AS pipeline_segment, "
+    f"{_SEGMENT_CASE} AS pipeline_segment, "
     "CASE WHEN demo_held = TRUE THEN 'Demo Held' WHEN demo_set_date IS NOT NULL AND demo_held = FALSE "
     "THEN 'Demo Scheduled - Not Held' WHEN demo_set_date IS NULL THEN 'No Demo Scheduled' ELSE 'Unknown' END"
     " AS demo_status, created_date, demo_set_date, demo_held, "
