@@ -6,6 +6,7 @@ local run needs and never override what the cluster already configured.
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 
@@ -54,3 +55,30 @@ def checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="pipewright-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def scale_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """SQL settings for a large run, sized from the input volume.
+
+    The shuffle starts with about one partition per ``partition_bytes`` of
+    input (at least two per core, so every core has work) and AQE coalesces
+    small ones and splits skewed ones at run time.  Broadcasts stay decided by
+    AQE on runtime sizes below the threshold.
+    """
+    shuffle = max(2 * total_cores, math.ceil(input_bytes / partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes // 2),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
+def apply_conf(spark: SparkSession, conf: dict[str, str]) -> None:
+    """Set runtime SQL settings on a live session."""
+    for k, v in conf.items():
+        spark.conf.set(k, v)
