@@ -175,8 +175,9 @@ def opportunities(orders: DataFrame) -> DataFrame:
 def monthly_rollup(orders: DataFrame) -> DataFrame:
     """All ledger amounts per month bucket in one partial aggregation.
 
-    Both ledgers are projections of this one frame, so a query that reads
-    both scans and shuffles ``orders`` once (the exchange is reused).
+    Both ledgers are projections of this one definition.  Catalyst prunes
+    each ledger's unused sums and pushes its month filter below the
+    aggregate, so each ledger still runs its own (tiny-output) roll-up.
     """
     z = _kcp(orders).selectExpr("k", "c", f"{EXPENSE_BUCKET} AS b")
     return z.groupBy("b").agg(F.expr(ADVERTISING_CENTS).alias("ad"), F.expr(OUTBOUND_CENTS).alias("outb"),
