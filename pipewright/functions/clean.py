@@ -65,8 +65,14 @@ def parse_currency(c: str | Column) -> Column:
     return tolerant_double(F.replace(digits, F.lit(","), F.lit(".")))
 
 
-def parse_month(c: str | Column) -> Column:
-    """'Jan-24' -> DATE 2024-01-01; raises on text that is not a month (ANSI)."""
+def parse_month(c: str | Column, tolerant: bool = False) -> Column:
+    """'Jan-24' -> DATE 2024-01-01.
+
+    Raises on text that is not a month (ANSI), like the rule it mirrors;
+    ``tolerant=True`` returns NULL instead.
+    """
+    if tolerant:
+        return F.try_to_date(col(c), MONTH_TEXT_FORMAT)
     return F.to_date(col(c), MONTH_TEXT_FORMAT)
 
 

@@ -34,6 +34,24 @@ def _channel_from_form(form: str = "form_submission_date"):
     return F.when(F.col(form).isNotNull(), F.lit(L.INBOUND)).otherwise(F.lit(L.OUTBOUND))
 
 
+def _asc(c):
+    """Ascending with NULLs last (NULL sorts as the largest value)."""
+    return (F.col(c) if isinstance(c, str) else c).asc_nulls_last()
+
+
+def _desc(c):
+    """Descending with NULLs first (NULL sorts as the largest value)."""
+    return (F.col(c) if isinstance(c, str) else c).desc_nulls_first()
+
+
+def _rank(c: str, order: tuple[str, ...]):
+    """ORDER BY CASE c WHEN order[0] THEN 1 ... END (others, NULL last)."""
+    expr = None
+    for i, v in enumerate(order, start=1):
+        expr = F.when(F.col(c) == v, F.lit(i)) if expr is None else expr.when(F.col(c) == v, F.lit(i))
+    return expr.asc_nulls_last()
+
+
 def _converted():
     return F.col("converted_opportunity_id").isNotNull()
 
@@ -63,12 +81,12 @@ def q01_volumes(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("q02_status_mix")
 def q02_status_mix(spark: SparkSession, sf: str) -> DataFrame:
-    return count_share(pipeline(spark, sf).ingress_leads, ["status"], "cnt", "pct")
+    return count_share(pipeline(spark, sf).ingress_leads, ["status"], "cnt", "pct").orderBy(_desc("cnt"))
 
 
 @register("q03_stage_mix")
 def q03_stage_mix(spark: SparkSession, sf: str) -> DataFrame:
-    return count_share(pipeline(spark, sf).ingress_opportunities, ["stage_name"], "cnt", "pct")
+    return count_share(pipeline(spark, sf).ingress_opportunities, ["stage_name"], "cnt", "pct").orderBy(_desc("cnt"))
 
 
 @register("q04_channel_conversion")
@@ -82,7 +100,7 @@ def q04_channel_conversion(spark: SparkSession, sf: str) -> DataFrame:
 @register("q05_lost_reasons")
 def q05_lost_reasons(spark: SparkSession, sf: str) -> DataFrame:
     lost = pipeline(spark, sf).ingress_opportunities.filter(F.col("stage_name") == L.STAGE_CLOSED_LOST)
-    return count_share(lost, ["lost_reason_c", "demo_held"], "cnt", "pct")
+    return count_share(lost, ["lost_reason_c", "demo_held"], "cnt", "pct").orderBy(_desc("cnt"))
 
 
 @register("q06_weekly_win_rate")
@@ -95,7 +113,7 @@ def q06_weekly_win_rate(spark: SparkSession, sf: str) -> DataFrame:
         count_if(F.col("stage_name") == L.STAGE_CLOSED_LOST).alias("lost"),
         F.count(F.lit(1)).alias("total_closed"))
     return g.select(_text_date(F.col("wk")).alias("close_week"), "won", "lost", "total_closed",
-                    pct("won", "total_closed").alias("win_rate_pct"))
+                    pct("won", "total_closed").alias("win_rate_pct")).orderBy(_asc("close_week"))
 
 
 def _lead_rollup(leads: DataFrame) -> DataFrame:
@@ -131,7 +149,7 @@ def q07_lost_reason_by_channel(spark: SparkSession, sf: str) -> DataFrame:
     roll = _lead_rollup(pl.ingress_leads).select("converted_opportunity_id", "channel", "n")
     j = lost.join(roll, lost.opportunity_id == roll.converted_opportunity_id, "inner")
     g = j.groupBy("channel", "lost_reason_c", "demo_held").agg(F.sum("n").cast("bigint").alias("cnt"))
-    return share_of_total(g, "cnt", "pct_within_channel", within=["channel"])
+    return share_of_total(g, "cnt", "pct_within_channel", within=["channel"]).orderBy(_asc("channel"), _desc("cnt"))
 
 
 @register("q08_speed_buckets")
@@ -145,7 +163,7 @@ def q08_speed_buckets(spark: SparkSession, sf: str) -> DataFrame:
     bucket = fn.upper_bucket("mins", [5, 15, 60, 1440, 4320], labels, labels[-1])
     g = rows.groupBy(bucket.alias("speed_bucket")).agg(
         F.count(F.lit(1)).alias("leads"), count_if(_converted()).alias("converted"))
-    return g.withColumn("conversion_rate_pct", pct("converted", "leads"))
+    return g.withColumn("conversion_rate_pct", pct("converted", "leads")).orderBy(_asc("speed_bucket"))
 
 
 @register("q09_decision_maker")
@@ -153,7 +171,8 @@ def q09_decision_maker(spark: SparkSession, sf: str) -> DataFrame:
     src = pipeline(spark, sf).ingress_leads
     g = src.groupBy(_channel_from_form().alias("channel"), "connected_with_decision_maker").agg(
         F.count(F.lit(1)).alias("leads"), count_if(_converted()).alias("converted"))
-    return g.withColumn("conversion_rate_pct", pct("converted", "leads"))
+    return g.withColumn("conversion_rate_pct", pct("converted", "leads")).orderBy(
+        _asc("channel"), _asc("connected_with_decision_maker"))
 
 
 @register("q10_no_demo_weekly")
@@ -164,7 +183,7 @@ def q10_no_demo_weekly(spark: SparkSession, sf: str) -> DataFrame:
         F.count(F.lit(1)).alias("total_closed_lost"),
         count_if(F.col("lost_reason_c") == L.REASON_NO_DEMO).alias("no_demo_held"))
     return g.select(_text_date(F.col("wk")).alias("close_week"), "total_closed_lost", "no_demo_held",
-                    pct("no_demo_held", "total_closed_lost").alias("no_demo_pct"))
+                    pct("no_demo_held", "total_closed_lost").alias("no_demo_pct")).orderBy(_asc("close_week"))
 
 
 @register("q11_working_age")
@@ -183,7 +202,7 @@ def q11_working_age(spark: SparkSession, sf: str) -> DataFrame:
     return rows.groupBy("age_bucket").agg(
         F.count(F.lit(1)).alias("leads"),
         round_half(mean("total_touches"), 1).alias("avg_touches"),
-        round_half(exact_mean("predicted_sales", 2), 0).alias("avg_predicted_sales"))
+        round_half(exact_mean("predicted_sales", 2), 0).alias("avg_predicted_sales")).orderBy(_asc("age_bucket"))
 
 
 @register("q12_won_profile")
@@ -220,7 +239,7 @@ def q13_value_tiers(spark: SparkSession, sf: str) -> DataFrame:
             .when(p >= 500, F.lit(v[3])).when(p > 0, F.lit(v[4])).otherwise(F.lit(v[5])))
     g = src.groupBy(tier.alias("predicted_sales_tier")).agg(
         F.count(F.lit(1)).alias("total_leads"), count_if(_converted()).alias("converted"))
-    return g.withColumn("conversion_rate_pct", pct("converted", "total_leads"))
+    return g.withColumn("conversion_rate_pct", pct("converted", "total_leads")).orderBy(_asc("predicted_sales_tier"))
 
 
 # ------------------------------------------------------------ on ops/rpt
@@ -233,12 +252,12 @@ def _split(df: DataFrame, key: str, count_alias: str, pct_alias: str) -> DataFra
 @register("q14_loss_split")
 def q14_loss_split(spark: SparkSession, sf: str) -> DataFrame:
     lost = pipeline(spark, sf).ops_opportunities.filter(F.col("is_closed_lost"))
-    return _split(lost, "lost_reason_c", "lost_deals", "pct_of_losses")
+    return _split(lost, "lost_reason_c", "lost_deals", "pct_of_losses").orderBy(_desc("lost_deals"))
 
 
 @register("q15_status_split")
 def q15_status_split(spark: SparkSession, sf: str) -> DataFrame:
-    return _split(pipeline(spark, sf).ops_leads, "status", "lead_count", "pct_of_total")
+    return _split(pipeline(spark, sf).ops_leads, "status", "lead_count", "pct_of_total").orderBy(_desc("lead_count"))
 
 
 @register("q16_working_health")
@@ -248,7 +267,7 @@ def q16_working_health(spark: SparkSession, sf: str) -> DataFrame:
         F.count(F.lit(1)).alias("lead_count"), count_if(_inbound()).alias("inbound"), count_if(_outbound()).alias("outbound"),
         round_half(mean("days_since_last_activity"), 0).alias("avg_days_inactive"),
         round_half(mean("total_touch_count"), 1).alias("avg_touches"))
-    return share_of_total(g, "lead_count", "pct_of_working")
+    return share_of_total(g, "lead_count", "pct_of_working").orderBy(_desc("lead_count"))
 
 
 @register("q17_blended")
@@ -262,7 +281,7 @@ def q17_blended(spark: SparkSession, sf: str) -> DataFrame:
         c("outbound_converted").alias("outbound_opps"), "inbound_wins", "outbound_wins", "inbound_cost_per_lead",
         "outbound_cost_per_lead", c("inbound_cost_per_opportunity").alias("inbound_cost_per_opp"),
         c("outbound_cost_per_opportunity").alias("outbound_cost_per_opp"), "inbound_cac", "outbound_cac",
-        blended.alias("blended_cac"))
+        blended.alias("blended_cac")).orderBy(_asc("expense_month"))
 
 
 @register("q18_demo_status")
@@ -271,7 +290,8 @@ def q18_demo_status(spark: SparkSession, sf: str) -> DataFrame:
     return r.groupBy("channel", "demo_status").agg(
         F.sum("record_count").cast("bigint").alias("records"),
         round_half(exact_sum("total_forecasted_annual_revenue", 2), 0).alias("at_risk_annual_revenue"),
-        weighted_average("avg_days_in_pipeline", "record_count", 0, 1).alias("wtd_avg_days_in_pipeline"))
+        weighted_average("avg_days_in_pipeline", "record_count", 0, 1).alias("wtd_avg_days_in_pipeline"))\
+        .orderBy(_desc("records"))
 
 
 @register("q19_followup_losses")
@@ -282,7 +302,7 @@ def q19_followup_losses(spark: SparkSession, sf: str) -> DataFrame:
         F.count(F.lit(1)).alias("lost_deals"),
         round_half(mean(fn.day_diff("created_date", "close_date")), 0).alias("avg_days_to_close"),
         round_half(exact_sum(F.col("predicted_sales_with_owner") * F.lit(12.0), 2), 0)
-        .alias("total_lost_annual_value"))
+        .alias("total_lost_annual_value")).orderBy(_desc("lost_deals"))
 
 
 @register("q20_danger_zone")
@@ -293,7 +313,8 @@ def q20_danger_zone(spark: SparkSession, sf: str) -> DataFrame:
         F.count(F.lit(1)).alias("records"),
         round_half(mean("days_in_pipeline"), 0).alias("avg_days"),
         round_half(mean("days_in_current_stage"), 0).alias("avg_days_in_stage"),
-        round_half(exact_sum("forecasted_annual_revenue", 4), 0).alias("annual_rev"))
+        round_half(exact_sum("forecasted_annual_revenue", 4), 0).alias("annual_rev"))\
+        .orderBy(_asc("health_status"), _asc("pipeline_segment"))
 
 
 @register("q21_lead_health")
@@ -304,7 +325,8 @@ def q21_lead_health(spark: SparkSession, sf: str) -> DataFrame:
         round_half(exact_sum("total_forecasted_annual_revenue", 2), 0).alias("forecasted_annual_revenue"),
         weighted_average("avg_days_in_pipeline", "record_count", 0, 1).alias("wtd_avg_days"),
         weighted_average("avg_touch_count", "record_count", 1, 1).alias("wtd_avg_touches"),
-        weighted_average("decision_maker_pct", "record_count", 1, 1).alias("wtd_dm_pct"))
+        weighted_average("decision_maker_pct", "record_count", 1, 1).alias("wtd_dm_pct"))\
+        .orderBy(_rank("health_status", (L.HEALTH_ACTIVE, L.HEALTH_AGING, L.HEALTH_STALE)))
 
 
 @register("q22_outreach_mix")
@@ -314,7 +336,9 @@ def q22_outreach_mix(spark: SparkSession, sf: str) -> DataFrame:
         F.count(F.lit(1)).alias("leads"),
         round_half(exact_sum("predicted_sales_with_owner", 2), 0).alias("total_predicted_value"),
         count_if(F.col("is_actionable")).alias("actionable"),
-        count_if(F.col("is_high_value_urgent")).alias("high_value_urgent"))
+        count_if(F.col("is_high_value_urgent")).alias("high_value_urgent"))\
+        .orderBy(_asc("outreach_section"), _rank("outreach_priority", (L.NO_OUTREACH_P0[0], L.NO_OUTREACH_P2[0],
+                                                                     L.NO_OUTREACH_EXPIRED[0])))
 
 
 @register("q23_health_tiers")
@@ -325,7 +349,8 @@ def q23_health_tiers(spark: SparkSession, sf: str) -> DataFrame:
         round_half(mean("days_in_pipeline"), 0).alias("avg_days_inactive"),
         round_half(mean("total_touch_count"), 1).alias("avg_touches"),
         round_half(exact_mean("forecasted_monthly_revenue", 4), 2).alias("avg_monthly_rev"),
-        count_if(F.col("connected_with_decision_maker")).alias("dm_connected"))
+        count_if(F.col("connected_with_decision_maker")).alias("dm_connected"))\
+        .orderBy(_asc("channel"), _asc("health_status"), _desc("leads"))
 
 
 ROW_COUNT_MODELS = ("ops_leads", "ops_opportunities", "ops_pipeline_health", "rpt_lead_outreach_priority",
@@ -337,7 +362,7 @@ def q24_row_counts(spark: SparkSession, sf: str) -> DataFrame:
     pl = pipeline(spark, sf)
     parts = [pl.table(m).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(m).alias("model"), "rows")
              for m in ROW_COUNT_MODELS]
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, parts).orderBy(_asc("model"))
 
 
 QUERIES["q25_cac_ltv_read"] = lambda spark, sf: pipeline(spark, sf).present("rpt_cac_ltv_by_channel")

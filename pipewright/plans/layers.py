@@ -80,16 +80,16 @@ def stg_opportunities(raw: DataFrame) -> DataFrame:
     )
 
 
-def stg_expenses_advertising(raw: DataFrame) -> DataFrame:
+def stg_expenses_advertising(raw: DataFrame, tolerant_months: bool = False) -> DataFrame:
     return raw.select(
-        fn.parse_month("month").alias("expense_month"),
+        fn.parse_month("month", tolerant_months).alias("expense_month"),
         fn.parse_currency("advertising").alias("advertising_spend"),
     )
 
 
-def stg_expenses_salary(raw: DataFrame) -> DataFrame:
+def stg_expenses_salary(raw: DataFrame, tolerant_months: bool = False) -> DataFrame:
     return raw.select(
-        fn.parse_month("month").alias("expense_month"),
+        fn.parse_month("month", tolerant_months).alias("expense_month"),
         fn.parse_currency("outbound_sales_team").alias("outbound_sales_team_cost"),
         fn.parse_currency("inbound_sales_team").alias("inbound_sales_team_cost"),
     )

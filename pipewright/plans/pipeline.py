@@ -95,11 +95,11 @@ class Pipeline:
 
     @cached_property
     def stg_expenses_advertising(self) -> DataFrame:
-        return layers.stg_expenses_advertising(self.raw_expenses_advertising)
+        return layers.stg_expenses_advertising(self.raw_expenses_advertising, self.p.tolerant_months)
 
     @cached_property
     def stg_expenses_salary(self) -> DataFrame:
-        return layers.stg_expenses_salary(self.raw_expenses_salary)
+        return layers.stg_expenses_salary(self.raw_expenses_salary, self.p.tolerant_months)
 
     # ----------------------------------------------------------- entity
     @cached_property
@@ -139,7 +139,7 @@ class Pipeline:
     @property
     def rpt_funnel_summary(self) -> DataFrame:
         return self._stored("rpt_funnel_summary",
-                            lambda: reports.rpt_funnel_summary(self.ops_leads, self.ops_opportunities))
+                            lambda: reports.rpt_funnel_summary(self.ops_leads, self.ops_opportunities, self.p))
 
     @property
     def rpt_monthly_unit_economics(self) -> DataFrame:

@@ -51,8 +51,13 @@ def rpt_cac_ltv_by_channel(ops_opps: DataFrame, ops_exp: DataFrame, p: Params) -
 
 
 # ----------------------------------------------------------- rpt_funnel_summary
-def leads_by_channel(ops_leads: DataFrame) -> DataFrame:
+def leads_by_channel(ops_leads: DataFrame, median_accuracy: int | None = None) -> DataFrame:
     status = F.col("status")
+    speed = F.col("speed_to_lead_minutes")
+    # exact median keeps one counter per distinct minute value per group; the
+    # approximate one (opt-in) a bounded sketch
+    median = (F.median(speed) if median_accuracy is None
+              else F.percentile_approx(speed, 0.5, median_accuracy).cast("double"))
     return ops_leads.groupBy("channel").agg(
         F.count(F.lit(1)).alias("total_leads"),
         count_if(F.col("is_converted")).alias("converted_leads"),
@@ -62,8 +67,7 @@ def leads_by_channel(ops_leads: DataFrame) -> DataFrame:
         count_if(status == L.STATUS_BAD_CONTACT).alias("bad_contact_leads"),
         count_if(F.col("connected_with_decision_maker")).alias("dm_connected_leads"),
         round_half(mean("speed_to_lead_minutes"), 1).alias("avg_speed_to_lead_min"),
-        # exact median: keeps one counter per distinct minute value per group
-        round_half(F.median("speed_to_lead_minutes"), 1).alias("median_speed_to_lead_min"),
+        round_half(median, 1).alias("median_speed_to_lead_min"),
         round_half(exact_mean("predicted_sales_with_owner", 2), 0).alias("avg_predicted_sales"),
         round_half(mean("total_touch_count"), 1).alias("avg_touches_per_lead"),
         round_half(mean("location_count"), 1).alias("avg_locations"),
@@ -101,8 +105,8 @@ FUNNEL_COLUMNS = [
 ]
 
 
-def rpt_funnel_summary(ops_leads: DataFrame, ops_opps: DataFrame) -> DataFrame:
-    lm = leads_by_channel(ops_leads)
+def rpt_funnel_summary(ops_leads: DataFrame, ops_opps: DataFrame, p: Params | None = None) -> DataFrame:
+    lm = leads_by_channel(ops_leads, p.median_accuracy if p is not None else None)
     om = deals_by_channel(ops_opps)
     # both sides hold one row per channel: the size bound of this broadcast
     j = lm.join(F.broadcast(om), "channel", "left")

@@ -272,3 +272,22 @@ def test_null_channel_dropped_by_channel_reports(spark):
     assert pl.rpt_cac_ltv_by_channel.count() == 0          # inner join on channel drops NULL
     funnel = {r.channel: r for r in pl.rpt_funnel_summary.collect()}
     assert set(funnel) == {"Inbound"} and funnel["Inbound"].total_opportunities is None
+
+
+def test_tolerant_month_opt_in(spark):
+    df = spark.createDataFrame([("Jan-24",), ("garbage",)], "m string")
+    assert [r[0] for r in df.select(fn.parse_month("m", tolerant=True)).collect()] == [day("2024-01-01"), None]
+
+
+def test_approximate_median_is_opt_in(spark):
+    import dataclasses
+    from pipewright.plans import reports
+    leads = spark.createDataFrame(
+        [("Inbound", m, False, "Working", None, 1, 1, None) for m in (1, 2, 3, 10)],
+        "channel string, speed_to_lead_minutes bigint, is_converted boolean, status string, "
+        "connected_with_decision_maker boolean, total_touch_count bigint, location_count bigint, "
+        "predicted_sales_with_owner double")
+    exact = reports.leads_by_channel(leads).first().median_speed_to_lead_min
+    approx = reports.leads_by_channel(leads, dataclasses.replace(P, median_accuracy=100).median_accuracy).first()
+    assert exact == 2.5                       # interpolated, like the warehouse MEDIAN
+    assert approx.median_speed_to_lead_min in (2.0, 3.0)
