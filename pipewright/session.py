@@ -42,9 +42,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names for checkpoints and written tables.
 
-    Reads ``spark.checkpoint.dir`` from the session. Only when it is unset
-    (a bare local test session) a private scratch folder is created and
-    registered, so lineage can still be cut with ``checkpoint()``.
+    Reads ``spark.checkpoint.dir`` from the session.  Only a local-mode
+    session (tests) without that setting gets a private scratch folder; on a
+    cluster an unset folder is an error, as executors cannot share a
+    machine-local path.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -52,6 +53,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         configured = tempfile.mkdtemp(prefix="pipewright-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
