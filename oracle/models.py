@@ -8,7 +8,7 @@ from pipewright import labels as L
 from pipewright.params import DEFAULT as P
 from pipewright.sources import adapter as A
 
-from .sqlkit import (cif, currency, ddiff, decimal_comma, emean, esum, fix_date, fix_ts, hdiff, list_count, mdiff,
+from .sqlkit import (currency, ddiff, decimal_comma, emean, esum, fix_date, fix_ts, hdiff, list_count, mdiff,
                      mean, month, pct, rnd, sdiv, units)
 
 AS_OF = f"DATE '{P.as_of}'"

@@ -21,7 +21,6 @@ from . import checks, reports
 from .registry import QUERIES, pipeline, register
 
 
-
 def _inbound():
     return F.col("channel") == L.INBOUND
 

@@ -14,7 +14,6 @@ from .. import functions as fn
 from .. import labels as L
 from ..operators import dedupe
 from ..params import Params
-from ..sources import schemas
 
 LEAD_TIMESTAMPS = [
     "form_submission_date", "first_sales_call_date", "first_text_sent_date",
@@ -144,5 +143,5 @@ def entity_opportunities(stg: DataFrame) -> DataFrame:
 __all__ = [
     "ingress", "raw_leads", "raw_opportunities", "raw_expenses", "stg_leads", "stg_opportunities",
     "stg_expenses_advertising", "stg_expenses_salary", "entity_leads", "entity_opportunities",
-    "first_contact", "schemas",
+    "first_contact",
 ]
