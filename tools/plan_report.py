@@ -27,6 +27,8 @@ HEADLINE = [
 
 
 def summarize(plan: str) -> dict:
+    reused = len(re.findall(r"ReusedExchange", plan))
+    plan = "\n".join(l for l in plan.splitlines() if "ReusedExchange" not in l)
     exchanges = re.findall(r"Exchange (hashpartitioning\([^)]*\)|rangepartitioning|SinglePartition|RoundRobinPartitioning)",
                            plan)
     keys = []
@@ -37,6 +39,7 @@ def summarize(plan: str) -> dict:
     pushed = re.findall(r"PushedFilters: (\[[^\]]*\])", plan)
     return {
         "exchanges": len(exchanges),
+        "reused": reused,
         "exchange_keys": keys,
         "scans": len(scans),
         "read_schemas": sorted(set(s if len(s) < 90 else s[:87] + "...>" for s in scans)),
@@ -59,14 +62,14 @@ def main() -> None:
     print("and AQE is off, so this is what a large input gets before runtime statistics exist.")
     print("Explicit `broadcast()` hints on frames of proven size (2 cost rows, one row per channel,")
     print("one row per month) are kept. Exchange keys are listed in plan order (top first).\n")
-    print("| query | exchanges (keys) | scans | map-side limits | SMJ | BHJ | UDF |")
-    print("| --- | --- | --- | --- | --- | --- | --- |")
+    print("| query | exchanges (keys) | reused | scans | map-side limits | SMJ | BHJ | UDF |")
+    print("| --- | --- | --- | --- | --- | --- | --- | --- |")
     details = []
     for key in HEADLINE:
         df = QUERIES[key](spark, sf)
         s = summarize(df._jdf.queryExecution().executedPlan().toString())
         keys = "; ".join(s["exchange_keys"])
-        print(f"| `{key}` | {s['exchanges']} ({keys}) | {s['scans']} | {s['map_side_limits']} | "
+        print(f"| `{key}` | {s['exchanges']} ({keys}) | {s['reused']} | {s['scans']} | {s['map_side_limits']} | "
               f"{s['sort_merge_joins']} | {s['broadcast_joins']} | {'yes' if s['python_udf'] else 'no'} |")
         details.append((key, s))
     print("\n## Scan pruning and push-down\n")
