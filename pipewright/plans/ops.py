@@ -140,77 +140,137 @@ PIPELINE_COLUMNS = [
 ]
 
 
-def open_opportunity_records(ops_opps: DataFrame, p: Params) -> DataFrame:
+def opportunity_record_columns(p: Params) -> dict[str, Column]:
+    """Pipeline columns of an open opportunity (over ops_opportunities columns)."""
     as_of = fn.date_literal(p.as_of)
     stage, held, demo_set = F.col("stage_name"), F.col("demo_held"), F.col("demo_set_date")
     age = fn.day_diff("created_date", as_of)
     win_rate = _channel_rate(p.opp_win_rate_inbound, p.opp_win_rate_outbound, p.opp_win_rate_other)
     revenue = F.col("monthly_revenue")
-    return ops_opps.filter(F.col("is_closed") == F.lit(False)).select(
-        F.col("opportunity_id").alias("record_id"),
-        F.lit(L.RECORD_OPPORTUNITY).alias("record_type"),
-        "channel", "stage_name",
-        fn.lookup(stage, p.stage_segments, L.SEGMENT_OTHER).alias("pipeline_segment"),
-        F.when(held == F.lit(True), F.lit(L.DEMO_HELD))
+    return {
+        "record_id": F.col("opportunity_id"),
+        "record_type": F.lit(L.RECORD_OPPORTUNITY),
+        "stage_name": stage,
+        "pipeline_segment": fn.lookup(stage, p.stage_segments, L.SEGMENT_OTHER),
+        "demo_status": F.when(held == F.lit(True), F.lit(L.DEMO_HELD))
         .when(demo_set.isNotNull() & (held == F.lit(False)), F.lit(L.DEMO_NOT_HELD))
         .when(demo_set.isNull(), F.lit(L.DEMO_NONE))
-        .otherwise(F.lit(L.DEMO_UNKNOWN)).alias("demo_status"),
-        "created_date", "demo_set_date", "demo_held",
-        age.alias("days_in_pipeline"),
-        fn.day_diff(F.coalesce(demo_set, F.col("created_date").cast("date")), as_of).alias("days_in_current_stage"),
-        "predicted_sales_with_owner", "predicted_sales_tier",
-        revenue.alias("forecasted_monthly_revenue"),
-        (revenue * F.lit(12.0)).alias("forecasted_annual_revenue"),
-        fn.round_half(revenue * win_rate, 2).alias("potential_monthly_revenue"),
-        fn.round_half(revenue * F.lit(12.0) * win_rate, 2).alias("potential_annual_revenue"),
-        "lead_id", "total_touch_count", "speed_to_lead_minutes", "connected_with_decision_maker",
-        F.when(stage == L.STAGE_ON_HOLD, F.lit(L.OPP_STALLED))
+        .otherwise(F.lit(L.DEMO_UNKNOWN)),
+        "created_date": F.col("created_date"),
+        "demo_set_date": demo_set,
+        "demo_held": held,
+        "days_in_pipeline": age,
+        "days_in_current_stage": fn.day_diff(F.coalesce(demo_set, F.col("created_date").cast("date")), as_of),
+        "forecasted_monthly_revenue": revenue,
+        "forecasted_annual_revenue": revenue * F.lit(12.0),
+        "potential_monthly_revenue": fn.round_half(revenue * win_rate, 2),
+        "potential_annual_revenue": fn.round_half(revenue * F.lit(12.0) * win_rate, 2),
+        "health_status": F.when(stage == L.STAGE_ON_HOLD, F.lit(L.OPP_STALLED))
         .when(age > p.health_stale_days, F.lit(L.OPP_AGING))
         .when(age > p.health_aging_days, F.lit(L.OPP_MATURING))
-        .otherwise(F.lit(L.OPP_FRESH)).alias("health_status"),
-        F.when(stage == L.STAGE_ON_HOLD, F.lit(L.RISK_HIGH))
+        .otherwise(F.lit(L.OPP_FRESH)),
+        "risk_level": F.when(stage == L.STAGE_ON_HOLD, F.lit(L.RISK_HIGH))
         .when((stage == L.STAGE_INTEREST) & (age > p.risk_interest_days), F.lit(L.RISK_HIGH))
         .when((held == F.lit(False)) & demo_set.isNotNull()
               & (fn.day_diff(demo_set, as_of) > p.risk_demo_days), F.lit(L.RISK_HIGH))
         .when(age > p.risk_medium_days, F.lit(L.RISK_MEDIUM))
-        .otherwise(F.lit(L.RISK_LOW)).alias("risk_level"),
-    )
+        .otherwise(F.lit(L.RISK_LOW)),
+    }
 
 
-def working_lead_records(ops_leads_df: DataFrame, p: Params) -> DataFrame:
+def lead_record_columns(p: Params) -> dict[str, Column]:
+    """Pipeline columns of an unconverted working lead (over ops_leads columns)."""
     as_of = fn.date_literal(p.as_of)
     health = F.col("working_lead_health")
     anchor = F.coalesce(F.col("form_submission_date"), F.col("first_sales_call_date"))
     revenue = monthly_revenue(F.col("predicted_sales_with_owner"), p)
     rate = _channel_rate(p.lead_rate_inbound, p.lead_rate_outbound, p.lead_rate_other)
-    return ops_leads_df.filter((F.col("status") == L.STATUS_WORKING) & (F.col("is_converted") == F.lit(False))).select(
-        F.col("lead_id").alias("record_id"),
-        F.lit(L.RECORD_LEAD).alias("record_type"),
-        "channel",
-        F.col("status").alias("stage_name"),
-        F.when(health == L.HEALTH_ACTIVE, F.lit(L.SEGMENT_ACTIVE_LEAD)).when(health == L.HEALTH_AGING, F.lit(L.SEGMENT_AGING_LEAD))
-        .when(health == L.HEALTH_STALE, F.lit(L.SEGMENT_STALE_LEAD)).otherwise(F.lit(L.SEGMENT_WORKING_LEAD)).alias("pipeline_segment"),
-        F.lit(L.DEMO_NONE).alias("demo_status"),
-        anchor.alias("created_date"),
-        F.lit(None).cast("date").alias("demo_set_date"),
-        F.lit(False).alias("demo_held"),
-        fn.day_diff(anchor, as_of).alias("days_in_pipeline"),
-        fn.day_diff(F.coalesce(F.col("last_sales_activity_date"), F.col("last_sales_call_date"),
-                               F.col("first_sales_call_date"), F.col("form_submission_date")), as_of)
-        .alias("days_in_current_stage"),
-        "predicted_sales_with_owner", "predicted_sales_tier",
-        revenue.alias("forecasted_monthly_revenue"),
-        (revenue * F.lit(12.0)).alias("forecasted_annual_revenue"),
-        fn.round_half(revenue * rate, 2).alias("potential_monthly_revenue"),
-        fn.round_half(revenue * F.lit(12.0) * rate, 2).alias("potential_annual_revenue"),
-        "lead_id", "total_touch_count", "speed_to_lead_minutes", "connected_with_decision_maker",
-        health.alias("health_status"),
-        F.when(health == L.HEALTH_STALE, F.lit(L.RISK_HIGH)).when(health == L.HEALTH_AGING, F.lit(L.RISK_MEDIUM))
-        .otherwise(F.lit(L.RISK_LOW)).alias("risk_level"),
-    )
+    return {
+        "record_id": F.col("lead_id"),
+        "record_type": F.lit(L.RECORD_LEAD),
+        "stage_name": F.col("status"),
+        "pipeline_segment": F.when(health == L.HEALTH_ACTIVE, F.lit(L.SEGMENT_ACTIVE_LEAD))
+        .when(health == L.HEALTH_AGING, F.lit(L.SEGMENT_AGING_LEAD))
+        .when(health == L.HEALTH_STALE, F.lit(L.SEGMENT_STALE_LEAD))
+        .otherwise(F.lit(L.SEGMENT_WORKING_LEAD)),
+        "demo_status": F.lit(L.DEMO_NONE),
+        "created_date": anchor,
+        "demo_set_date": F.lit(None).cast("date"),
+        "demo_held": F.lit(False),
+        "days_in_pipeline": fn.day_diff(anchor, as_of),
+        "days_in_current_stage": fn.day_diff(F.coalesce(F.col("last_sales_activity_date"), F.col("last_sales_call_date"),
+                                                        F.col("first_sales_call_date"), F.col("form_submission_date")),
+                                             as_of),
+        "forecasted_monthly_revenue": revenue,
+        "forecasted_annual_revenue": revenue * F.lit(12.0),
+        "potential_monthly_revenue": fn.round_half(revenue * rate, 2),
+        "potential_annual_revenue": fn.round_half(revenue * F.lit(12.0) * rate, 2),
+        "health_status": health,
+        "risk_level": F.when(health == L.HEALTH_STALE, F.lit(L.RISK_HIGH))
+        .when(health == L.HEALTH_AGING, F.lit(L.RISK_MEDIUM))
+        .otherwise(F.lit(L.RISK_LOW)),
+    }
+
+
+# columns both record kinds carry over unchanged (from the lead)
+_SHARED = ("channel", "predicted_sales_with_owner", "predicted_sales_tier", "lead_id", "total_touch_count",
+           "speed_to_lead_minutes", "connected_with_decision_maker")
+
+
+def _project(df: DataFrame, cols: dict[str, Column]) -> DataFrame:
+    return df.select(*[(cols[c] if c in cols else F.col(c)).alias(c) for c in PIPELINE_COLUMNS])
+
+
+def open_opportunity_records(ops_opps: DataFrame, p: Params) -> DataFrame:
+    return _project(ops_opps.filter(F.col("is_closed") == F.lit(False)), opportunity_record_columns(p))
+
+
+def working_lead_records(ops_leads_df: DataFrame, p: Params) -> DataFrame:
+    working = (F.col("status") == L.STATUS_WORKING) & (F.col("is_converted") == F.lit(False))
+    return _project(ops_leads_df.filter(working), lead_record_columns(p))
 
 
 def ops_pipeline_health(ops_opps: DataFrame, ops_leads_df: DataFrame, p: Params) -> DataFrame:
-    opps = open_opportunity_records(ops_opps, p).select(*PIPELINE_COLUMNS)
-    leads = working_lead_records(ops_leads_df, p).select(*PIPELINE_COLUMNS)
-    return opps.unionByName(leads)
+    """Union of two filtered projections — the plan when ops_opportunities and
+    ops_leads are stored tables: two column-pruned scans, no shuffle."""
+    return open_opportunity_records(ops_opps, p).unionByName(working_lead_records(ops_leads_df, p))
+
+
+_OPP_KEY, _LEAD_KEY = "O:", "L:"
+
+
+def ops_pipeline_health_one_pass(entity_opps: DataFrame, ops_leads_df: DataFrame, p: Params) -> DataFrame:
+    """The same rows computed from one read of the leads — the plan when the
+    inputs are views over the sources.
+
+    Every lead that can appear is keyed once: a converted lead by its
+    opportunity ('O:' + id), an unconverted working lead by itself ('L:' +
+    lead_id).  Keys are never NULL, so no partition collects the unconverted
+    majority.  One dedupe keeps the lowest lead_id per key (working leads are
+    unique already) and leaves the leads hash-partitioned on the key; the
+    full outer join with the open opportunities then shuffles only the
+    opportunity side, and each output column is picked by record kind.
+    Compared with the union over views, the lead source is scanned and
+    deduplicated once instead of twice.
+    """
+    coid = F.col("converted_opportunity_id")
+    working = (F.col("status") == L.STATUS_WORKING) & (F.col("is_converted") == F.lit(False))
+    lead_needs = sorted({"lead_id", "status", "working_lead_health", "form_submission_date", "first_sales_call_date",
+                         "last_sales_activity_date", "last_sales_call_date", *_SHARED})
+    leads = ops_leads_df.filter(coid.isNotNull() | working).select(
+        *lead_needs,
+        F.when(coid.isNotNull(), F.concat(F.lit(_OPP_KEY), coid))
+        .otherwise(F.concat(F.lit(_LEAD_KEY), F.col("lead_id"))).alias("_key"),
+    )
+    leads = dedupe(leads, "_key", ["lead_id"], tie_break=None)
+    opps = entity_opps.filter(F.col("is_closed") == F.lit(False)).select(
+        "opportunity_id", "stage_name", "created_date", "demo_held", "demo_set_date",
+        F.concat(F.lit(_OPP_KEY), F.col("opportunity_id")).alias("_okey"),
+    )
+    j = opps.join(leads, opps["_okey"] == leads["_key"], "full_outer")
+    is_opp = F.col("_okey").isNotNull()
+    j = j.filter(is_opp | F.col("_key").startswith(_LEAD_KEY)).withColumn(
+        "monthly_revenue", monthly_revenue(F.col("predicted_sales_with_owner"), p))
+    oc, lc = opportunity_record_columns(p), lead_record_columns(p)
+    picked = {c: F.when(is_opp, oc[c]).otherwise(lc[c]) for c in oc}
+    return _project(j, picked)

@@ -127,8 +127,14 @@ class Pipeline:
 
     @property
     def ops_pipeline_health(self) -> DataFrame:
-        return self._stored("ops_pipeline_health",
-                            lambda: ops.ops_pipeline_health(self.ops_opportunities, self.ops_leads, self.p))
+        def build() -> DataFrame:
+            if "ops_opportunities" in self._tables:
+                # stored inputs: two column-pruned scans, no shuffle
+                return ops.ops_pipeline_health(self.ops_opportunities, self.ops_leads, self.p)
+            # views over the sources: read and deduplicate the leads once
+            return ops.ops_pipeline_health_one_pass(self.entity_opportunities, self.ops_leads, self.p)
+
+        return self._stored("ops_pipeline_health", build)
 
     # -------------------------------------------------------- reporting
     @property

@@ -95,3 +95,13 @@ def test_views_and_layer_schemas(spark):
     written = pl.materialize(base, tables=("ops_expenses", "rpt_cac_ltv_by_channel"), schema_prefix="pw_test")
     assert written["ops_expenses"].endswith("/operational/ops_expenses")
     assert spark.table("pw_test_reporting.rpt_cac_ltv_by_channel").count() == 2
+
+
+def test_pipeline_health_one_pass_equals_union(pl):
+    from helpers import canonical
+    from pipewright.plans import ops
+
+    union = ops.ops_pipeline_health(pl.ops_opportunities, pl.ops_leads, pl.p)
+    one_pass = ops.ops_pipeline_health_one_pass(pl.entity_opportunities, pl.ops_leads, pl.p)
+    assert union.columns == one_pass.columns
+    assert canonical(union.columns, union.collect()) == canonical(one_pass.columns, one_pass.collect())

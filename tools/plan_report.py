@@ -94,9 +94,11 @@ def main() -> None:
   AQE turns it into a broadcast only when runtime statistics prove one side small.
 - **Aggregations after the first one** (channel, month, segment) and the
   `SinglePartition` exchanges (global totals of a few rows) carry bounded data.
-- **`ops_pipeline_health` and `health_changes`** read the leads source twice when computed
-  from sources: once for the opportunity join, once for the working leads. A materialized
-  run (`Pipeline.materialize`) reads the stored `ops_leads` table instead.
+- **`ops_pipeline_health`** computed from sources reads the leads once. Converted leads are
+  keyed by opportunity and working leads by themselves (`_key`, never NULL); one dedupe then
+  leaves the leads partitioned for the full outer join, so only the (smaller) opportunity
+  side is shuffled again (`_okey`). Once `ops_opportunities` and `ops_leads` are stored
+  (`Pipeline.materialize`), it is a union of two column-pruned scans with no shuffle.
 - **`gen_share_events`**: the grand total is a scalar subquery over the same aggregate.
 """)
     spark.stop()
