@@ -110,50 +110,54 @@ cte("stg_expenses_salary", ["raw_expenses_salary"],
     f"{currency('inbound_sales_team')} AS inbound_sales_team_cost FROM raw_expenses_salary")
 
 # ------------------------------------------------------------------- entity
-_FC = "LEAST(COALESCE(first_sales_call_date, first_text_sent_date), COALESCE(first_text_sent_date, first_sales_call_date))"
+def _v(text: str) -> str:
+    """A label as a SQL string literal."""
+    return "'" + text.replace("'", "''") + "'"
+
+
+# first contact: DuckDB's least() skips NULLs
+_FC = "least(first_sales_call_date, first_text_sent_date)"
 cte("entity_leads", ["stg_leads"],
+    "WITH t AS (SELECT *, least(first_sales_call_date, first_text_sent_date) AS touch FROM stg_leads) "
     "SELECT lead_id, " + ", ".join(LEAD_TS) + ", sales_call_count, sales_text_count, sales_email_count, "
     "sales_call_count + sales_text_count + sales_email_count AS total_touch_count, predicted_sales_with_owner, "
     "marketplace_count, marketplaces_used_raw, online_ordering_count, online_ordering_used_raw, cuisine_type_count, "
     "cuisine_types_raw, location_count, connected_with_decision_maker, status, converted_opportunity_id, "
-    "CASE WHEN form_submission_date IS NOT NULL THEN 'Inbound' ELSE 'Outbound' END AS channel, "
-    f"CASE WHEN form_submission_date IS NOT NULL AND form_submission_date >= TIMESTAMP '{P.speed_guard}' "
-    f"AND (first_sales_call_date IS NOT NULL OR first_text_sent_date IS NOT NULL) AND {_FC} >= form_submission_date "
-    f"THEN {mdiff('form_submission_date', _FC)} END AS speed_to_lead_minutes, "
-    "converted_opportunity_id IS NOT NULL AS is_converted FROM stg_leads")
+    f"if(form_submission_date IS NULL, {_v(L.OUTBOUND)}, {_v(L.INBOUND)}) AS channel, "
+    f"if(form_submission_date >= TIMESTAMP '{P.speed_guard}' AND touch >= form_submission_date, "
+    f"{mdiff('form_submission_date', 'touch')}, NULL) AS speed_to_lead_minutes, "
+    "converted_opportunity_id IS NOT NULL AS is_converted FROM t")
 cte("entity_opportunities", ["stg_opportunities"],
-    "SELECT opportunity_id, stage_name, CASE WHEN stage_name = 'Closed Won' THEN 'Won' "
-    "WHEN stage_name = 'Closed Lost' THEN 'Lost' ELSE 'Open' END AS deal_outcome, lost_reason_c, "
+    f"SELECT opportunity_id, stage_name, CASE stage_name WHEN {_v(L.STAGE_CLOSED_WON)} THEN {_v(L.WON)} "
+    f"WHEN {_v(L.STAGE_CLOSED_LOST)} THEN {_v(L.LOST)} ELSE {_v(L.OPEN)} END AS deal_outcome, lost_reason_c, "
     "closed_lost_notes_c, business_issue_c, how_did_you_hear_about_us_c, created_date, demo_held, demo_set_date, "
     "demo_time, close_date, last_sales_call_date_time, "
-    f"CASE WHEN close_date IS NOT NULL AND created_date IS NOT NULL THEN {ddiff('created_date', 'close_date')} END"
-    " AS days_to_close, "
-    f"CASE WHEN demo_set_date IS NOT NULL AND created_date IS NOT NULL THEN {ddiff('created_date', 'demo_set_date')}"
-    " END AS days_to_demo, "
-    f"CASE WHEN close_date IS NOT NULL AND demo_set_date IS NOT NULL THEN {ddiff('demo_set_date', 'close_date')} END"
-    " AS days_demo_to_close, "
-    "(stage_name = 'Closed Won') AS is_closed_won, (stage_name = 'Closed Lost') AS is_closed_lost, "
-    "(stage_name IN ('Closed Won', 'Closed Lost')) AS is_closed, account_id FROM stg_opportunities")
+    # a day difference with a NULL side is NULL already
+    f"{ddiff('created_date', 'close_date')} AS days_to_close, {ddiff('created_date', 'demo_set_date')} AS days_to_demo, "
+    f"{ddiff('demo_set_date', 'close_date')} AS days_demo_to_close, "
+    f"stage_name = {_v(L.STAGE_CLOSED_WON)} AS is_closed_won, stage_name = {_v(L.STAGE_CLOSED_LOST)} AS is_closed_lost, "
+    f"stage_name IN ({_v(L.STAGE_CLOSED_WON)}, {_v(L.STAGE_CLOSED_LOST)}) AS is_closed, account_id "
+    "FROM stg_opportunities")
 
 # -------------------------------------------------------------- operational
-_IDLE = ddiff("COALESCE(last_sales_activity_date, last_sales_call_date, last_sales_email_date, form_submission_date)",
-              AS_OF)
-_speed_case = ("CASE WHEN speed_to_lead_minutes IS NULL THEN 'Not Applicable' "
-               + " ".join(f"WHEN speed_to_lead_minutes <= {c} THEN '{lab}'" for c, lab in zip(P.speed_cuts, P.speed_labels))
-               + f" ELSE '{P.speed_labels[-1]}' END")
-_tier_case = ("CASE WHEN predicted_sales_with_owner IS NULL THEN 'Unknown' "
-              + " ".join(f"WHEN predicted_sales_with_owner >= {c} THEN '{lab}'" for c, lab in zip(P.tier_cuts, P.tier_labels))
-              + f" ELSE '{P.tier_labels[-1]}' END")
+_speed_case = (f"CASE WHEN speed_to_lead_minutes IS NULL THEN {_v(L.SPEED_NOT_APPLICABLE)} "
+               + " ".join(f"WHEN speed_to_lead_minutes <= {c} THEN {_v(lab)}" for c, lab in zip(P.speed_cuts, P.speed_labels))
+               + f" ELSE {_v(P.speed_labels[-1])} END")
+_tier_case = (f"CASE WHEN predicted_sales_with_owner IS NULL THEN {_v(L.TIER_UNKNOWN)} "
+              + " ".join(f"WHEN predicted_sales_with_owner >= {c} THEN {_v(lab)}" for c, lab in zip(P.tier_cuts, P.tier_labels))
+              + f" ELSE {_v(P.tier_labels[-1])} END")
 cte("ops_leads", ["entity_leads"],
+    "WITH t AS (SELECT *, "
+    f"{ddiff('coalesce(last_sales_activity_date, last_sales_call_date, last_sales_email_date, form_submission_date)', AS_OF)}"
+    " AS idle FROM entity_leads) "
     "SELECT lead_id, converted_opportunity_id, channel, status, is_converted, " + ", ".join(LEAD_TS) + ", "
     "sales_call_count, sales_text_count, sales_email_count, total_touch_count, speed_to_lead_minutes, "
     f"{_speed_case} AS speed_to_lead_bucket, predicted_sales_with_owner, {_tier_case} AS predicted_sales_tier, "
     "location_count, connected_with_decision_maker, marketplace_count, marketplaces_used_raw, online_ordering_count, "
-    "online_ordering_used_raw, cuisine_type_count, cuisine_types_raw, "
-    f"{_IDLE} AS days_since_last_activity, "
-    f"CASE WHEN status = 'Working' THEN CASE WHEN {_IDLE} > {P.health_stale_days} THEN 'Stale' "
-    f"WHEN {_IDLE} > {P.health_aging_days} THEN 'Aging' ELSE 'Active' END ELSE NULL END AS working_lead_health "
-    "FROM entity_leads")
+    "online_ordering_used_raw, cuisine_type_count, cuisine_types_raw, idle AS days_since_last_activity, "
+    f"if(status = {_v(L.STATUS_WORKING)}, CASE WHEN idle > {P.health_stale_days} THEN {_v(L.HEALTH_STALE)} "
+    f"WHEN idle > {P.health_aging_days} THEN {_v(L.HEALTH_AGING)} ELSE {_v(L.HEALTH_ACTIVE)} END, NULL)"
+    " AS working_lead_health FROM t")
 
 def _lit(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
@@ -202,47 +206,55 @@ cte("ops_expenses", ["stg_expenses_advertising", "stg_expenses_salary"],
     "COALESCE(s.outbound_sales_team_cost, 0.0::DOUBLE) AS outbound_channel_cost "
     "FROM stg_expenses_advertising a FULL OUTER JOIN stg_expenses_salary s ON a.expense_month = s.expense_month")
 
-_ORATE = (f"CASE channel WHEN 'Inbound' THEN {P.opp_win_rate_inbound}::DOUBLE "
-          f"WHEN 'Outbound' THEN {P.opp_win_rate_outbound}::DOUBLE ELSE {P.opp_win_rate_other}::DOUBLE END")
-_LRATE = (f"CASE channel WHEN 'Inbound' THEN {P.lead_conv_inbound}::DOUBLE * {P.opp_win_rate_inbound}::DOUBLE "
-          f"WHEN 'Outbound' THEN {P.lead_conv_outbound}::DOUBLE * {P.opp_win_rate_outbound}::DOUBLE "
-          f"ELSE {P.lead_rate_other}::DOUBLE END")
-_AGE = ddiff("created_date", AS_OF)
+def _by_channel(inbound: str, outbound: str, other: str) -> str:
+    return f"CASE channel WHEN {_v(L.INBOUND)} THEN {inbound} WHEN {_v(L.OUTBOUND)} THEN {outbound} ELSE {other} END"
+
+
+_ORATE = _by_channel(f"{P.opp_win_rate_inbound}::DOUBLE", f"{P.opp_win_rate_outbound}::DOUBLE",
+                     f"{P.opp_win_rate_other}::DOUBLE")
+_LRATE = _by_channel(f"{P.lead_conv_inbound}::DOUBLE * {P.opp_win_rate_inbound}::DOUBLE",
+                     f"{P.lead_conv_outbound}::DOUBLE * {P.opp_win_rate_outbound}::DOUBLE",
+                     f"{P.lead_rate_other}::DOUBLE")
 _LREV = "(500.0::DOUBLE + COALESCE(predicted_sales_with_owner * 0.05::DOUBLE, 0.0::DOUBLE))"
-cte("ops_pipeline_health", ["ops_opportunities", "ops_leads"],
-    "SELECT opportunity_id AS record_id, 'Opportunity' AS record_type, channel, stage_name, "
+_LANCHOR = "coalesce(form_submission_date, first_sales_call_date)"
+_opp_branch = (
+    f"SELECT opportunity_id AS record_id, {_v(L.RECORD_OPPORTUNITY)} AS record_type, channel, stage_name, "
     f"{_SEGMENT_CASE} AS pipeline_segment, "
-    "CASE WHEN demo_held = TRUE THEN 'Demo Held' WHEN demo_set_date IS NOT NULL AND demo_held = FALSE "
-    "THEN 'Demo Scheduled - Not Held' WHEN demo_set_date IS NULL THEN 'No Demo Scheduled' ELSE 'Unknown' END"
-    " AS demo_status, created_date, demo_set_date, demo_held, "
-    f"{_AGE} AS days_in_pipeline, {ddiff('COALESCE(demo_set_date, CAST(created_date AS DATE))', AS_OF)}"
-    " AS days_in_current_stage, predicted_sales_with_owner, predicted_sales_tier, "
-    "monthly_revenue AS forecasted_monthly_revenue, monthly_revenue * 12.0::DOUBLE AS forecasted_annual_revenue, "
+    f"CASE WHEN demo_held THEN {_v(L.DEMO_HELD)} WHEN demo_set_date IS NULL THEN {_v(L.DEMO_NONE)} "
+    f"WHEN NOT demo_held THEN {_v(L.DEMO_NOT_HELD)} ELSE {_v(L.DEMO_UNKNOWN)} END AS demo_status, "
+    "created_date, demo_set_date, demo_held, age AS days_in_pipeline, "
+    f"{ddiff('coalesce(demo_set_date, CAST(created_date AS DATE))', AS_OF)} AS days_in_current_stage, "
+    "predicted_sales_with_owner, predicted_sales_tier, monthly_revenue AS forecasted_monthly_revenue, "
+    "monthly_revenue * 12.0::DOUBLE AS forecasted_annual_revenue, "
     f"{rnd(f'monthly_revenue * ({_ORATE})', 2)} AS potential_monthly_revenue, "
     f"{rnd(f'monthly_revenue * 12.0::DOUBLE * ({_ORATE})', 2)} AS potential_annual_revenue, "
     "lead_id, total_touch_count, speed_to_lead_minutes, connected_with_decision_maker, "
-    f"CASE WHEN stage_name = 'On Hold' THEN 'Stalled' WHEN {_AGE} > 90 THEN 'Aging' WHEN {_AGE} > 30 THEN 'Maturing'"
-    " ELSE 'Fresh' END AS health_status, "
-    f"CASE WHEN stage_name = 'On Hold' THEN 'High' WHEN stage_name = 'Interest' AND {_AGE} > 30 THEN 'High' "
-    f"WHEN demo_held = FALSE AND demo_set_date IS NOT NULL AND {ddiff('demo_set_date', AS_OF)} > 14 THEN 'High' "
-    f"WHEN {_AGE} > 60 THEN 'Medium' ELSE 'Low' END AS risk_level "
-    "FROM ops_opportunities WHERE is_closed = FALSE "
-    "UNION ALL "
-    "SELECT lead_id AS record_id, 'Lead' AS record_type, channel, status AS stage_name, "
-    "CASE WHEN working_lead_health = 'Active' THEN 'Active Lead' WHEN working_lead_health = 'Aging' THEN 'Aging Lead' "
-    "WHEN working_lead_health = 'Stale' THEN 'Stale Lead' ELSE 'Working Lead' END AS pipeline_segment, "
-    "'No Demo Scheduled' AS demo_status, COALESCE(form_submission_date, first_sales_call_date) AS created_date, "
-    "CAST(NULL AS DATE) AS demo_set_date, FALSE AS demo_held, "
-    f"{ddiff('COALESCE(form_submission_date, first_sales_call_date)', AS_OF)} AS days_in_pipeline, "
-    f"{ddiff('COALESCE(last_sales_activity_date, last_sales_call_date, first_sales_call_date, form_submission_date)', AS_OF)}"
+    f"CASE WHEN stage_name = {_v(L.STAGE_ON_HOLD)} THEN {_v(L.OPP_STALLED)} "
+    f"WHEN age > {P.health_stale_days} THEN {_v(L.OPP_AGING)} WHEN age > {P.health_aging_days} THEN {_v(L.OPP_MATURING)} "
+    f"ELSE {_v(L.OPP_FRESH)} END AS health_status, "
+    f"CASE WHEN stage_name = {_v(L.STAGE_ON_HOLD)} "
+    f"OR (stage_name = {_v(L.STAGE_INTEREST)} AND age > {P.risk_interest_days}) "
+    f"OR (NOT demo_held AND {ddiff('demo_set_date', AS_OF)} > {P.risk_demo_days}) THEN {_v(L.RISK_HIGH)} "
+    f"WHEN age > {P.risk_medium_days} THEN {_v(L.RISK_MEDIUM)} ELSE {_v(L.RISK_LOW)} END AS risk_level "
+    f"FROM (SELECT *, {ddiff('created_date', AS_OF)} AS age FROM ops_opportunities WHERE is_closed = FALSE)")
+_lead_branch = (
+    f"SELECT lead_id AS record_id, {_v(L.RECORD_LEAD)} AS record_type, channel, status AS stage_name, "
+    f"CASE working_lead_health WHEN {_v(L.HEALTH_ACTIVE)} THEN {_v(L.SEGMENT_ACTIVE_LEAD)} "
+    f"WHEN {_v(L.HEALTH_AGING)} THEN {_v(L.SEGMENT_AGING_LEAD)} WHEN {_v(L.HEALTH_STALE)} THEN {_v(L.SEGMENT_STALE_LEAD)} "
+    f"ELSE {_v(L.SEGMENT_WORKING_LEAD)} END AS pipeline_segment, {_v(L.DEMO_NONE)} AS demo_status, "
+    f"{_LANCHOR} AS created_date, CAST(NULL AS DATE) AS demo_set_date, FALSE AS demo_held, "
+    f"{ddiff(_LANCHOR, AS_OF)} AS days_in_pipeline, "
+    f"{ddiff('coalesce(last_sales_activity_date, last_sales_call_date, first_sales_call_date, form_submission_date)', AS_OF)}"
     " AS days_in_current_stage, predicted_sales_with_owner, predicted_sales_tier, "
     f"{_LREV} AS forecasted_monthly_revenue, {_LREV} * 12.0::DOUBLE AS forecasted_annual_revenue, "
     f"{rnd(f'{_LREV} * ({_LRATE})', 2)} AS potential_monthly_revenue, "
     f"{rnd(f'{_LREV} * 12.0::DOUBLE * ({_LRATE})', 2)} AS potential_annual_revenue, "
     "lead_id, total_touch_count, speed_to_lead_minutes, connected_with_decision_maker, "
-    "working_lead_health AS health_status, CASE WHEN working_lead_health = 'Stale' THEN 'High' "
-    "WHEN working_lead_health = 'Aging' THEN 'Medium' ELSE 'Low' END AS risk_level "
-    "FROM ops_leads WHERE status = 'Working' AND is_converted = FALSE")
+    "working_lead_health AS health_status, "
+    f"CASE working_lead_health WHEN {_v(L.HEALTH_STALE)} THEN {_v(L.RISK_HIGH)} "
+    f"WHEN {_v(L.HEALTH_AGING)} THEN {_v(L.RISK_MEDIUM)} ELSE {_v(L.RISK_LOW)} END AS risk_level "
+    f"FROM ops_leads WHERE status = {_v(L.STATUS_WORKING)} AND NOT is_converted")
+cte("ops_pipeline_health", ["ops_opportunities", "ops_leads"], f"{_opp_branch} UNION ALL {_lead_branch}")
 
 # ---------------------------------------------------------------- reporting
 # Written in DuckDB's own idiom (FILTER aggregates, VALUES unpivots, window
