@@ -9,6 +9,7 @@ from the written table, not from the sources.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +26,17 @@ VIEW_MODELS = (
     "entity_leads", "entity_opportunities",
 )
 OPS_TABLES = ("ops_leads", "ops_opportunities", "ops_expenses", "ops_pipeline_health")
+# which stored tables each table reads (the waves of a build)
+DEPENDS_ON = {
+    "ops_opportunities": ("ops_leads",),
+    "ops_pipeline_health": ("ops_opportunities", "ops_leads"),
+    "rpt_cac_ltv_by_channel": ("ops_opportunities", "ops_expenses"),
+    "rpt_funnel_summary": ("ops_leads", "ops_opportunities"),
+    "rpt_monthly_unit_economics": ("ops_expenses", "ops_leads", "ops_opportunities"),
+    "rpt_channel_efficiency": ("rpt_monthly_unit_economics",),
+    "rpt_pipeline_health": ("ops_pipeline_health",),
+    "rpt_lead_outreach_priority": ("ops_leads",),
+}
 REPORT_TABLES = (
     "rpt_cac_ltv_by_channel", "rpt_funnel_summary", "rpt_monthly_unit_economics", "rpt_channel_efficiency",
     "rpt_pipeline_health", "rpt_lead_outreach_priority",
@@ -185,7 +197,7 @@ class Pipeline:
         return "reporting" if name.startswith("rpt_") else "operational"
 
     def materialize(self, path: str | None = None, tables=OPS_TABLES + REPORT_TABLES,
-                    schema_prefix: str | None = None) -> dict[str, str]:
+                    schema_prefix: str | None = None, threads: int = 4) -> dict[str, str]:
         """Write the tables in dependency order and read them back.
 
         ``path`` defaults to ``<spark checkpoint dir>/pipewright-tables`` (the
@@ -195,22 +207,36 @@ class Pipeline:
         ``schema_prefix`` each table is also registered in the catalog as
         ``<prefix>_<layer>.<name>`` (one schema per layer), its data kept at
         the same shared path.
+
+        Tables are written in waves: every table whose inputs are already
+        stored is written in the same wave, as concurrent Spark jobs from
+        ``threads`` driver threads (plans are built on the calling thread).
         """
         base = (path or f"{checkpoint_dir(self.spark).rstrip('/')}/pipewright-tables").rstrip("/")
-        written = {}
-        for name in tables:
-            target = f"{base}/{self.layer_of(name)}/{name}"
-            writer = self.table(name).write.mode("overwrite").format("parquet")
-            if schema_prefix:
-                schema = f"{schema_prefix}_{self.layer_of(name)}"
-                self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}` LOCATION '{base}/{self.layer_of(name)}'")
-                writer.option("path", target).saveAsTable(f"`{schema}`.`{name}`")
-            else:
-                writer.save(target)
-            self._tables[name] = self.spark.read.parquet(target)
-            # later tables must read the stored one, not re-derive it
+        written: dict[str, str] = {}
+        pending = [t for t in tables]
+        while pending:
+            wave = [t for t in pending if not (set(DEPENDS_ON.get(t, ())) & set(pending))]
+            jobs = []
+            for name in wave:
+                target = f"{base}/{self.layer_of(name)}/{name}"
+                writer = self.table(name).write.mode("overwrite").format("parquet")
+                if schema_prefix:
+                    schema = f"{schema_prefix}_{self.layer_of(name)}"
+                    self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}` LOCATION '{base}/{self.layer_of(name)}'")
+                    jobs.append((name, target, lambda w=writer, n=name, sc=schema, t=target:
+                                 w.option("path", t).saveAsTable(f"`{sc}`.`{n}`")))
+                else:
+                    jobs.append((name, target, lambda w=writer, t=target: w.save(t)))
+            with ThreadPoolExecutor(max_workers=max(1, min(threads, len(jobs)))) as pool:
+                for fut in [pool.submit(run) for _, _, run in jobs]:
+                    fut.result()
+            for name, target, _ in jobs:
+                self._tables[name] = self.spark.read.parquet(target)
+                written[name] = target
+            # later tables must read the stored ones, not re-derive them
             self._built.clear()
-            written[name] = target
+            pending = [t for t in pending if t not in wave]
         return written
 
     def present(self, name: str) -> DataFrame:
