@@ -159,24 +159,20 @@ cte("ops_leads", ["entity_leads"],
     f"WHEN idle > {P.health_aging_days} THEN {_v(L.HEALTH_AGING)} ELSE {_v(L.HEALTH_ACTIVE)} END, NULL)"
     " AS working_lead_health FROM t")
 
-def _lit(text: str) -> str:
-    return "'" + text.replace("'", "''") + "'"
-
-
 def _in_list(values) -> str:
-    return ", ".join(_lit(v) for v in values)
+    return ", ".join(_v(v) for v in values)
 
 
 # loss category: first matching rule wins (reasons and labels from the shared tables)
 _LOSS_CASE = (
-    f"CASE WHEN o.is_closed_lost THEN CASE WHEN o.demo_held = FALSE THEN {_lit(L.LOSS_PRE_DEMO)} "
-    f"WHEN o.lost_reason_c IN ({_in_list(P.loss_process_reasons)}) THEN {_lit(L.LOSS_PROCESS)} "
-    f"WHEN o.lost_reason_c IN ({_in_list(P.loss_competitive_reasons)}) THEN {_lit(L.LOSS_COMPETITIVE)} "
-    f"WHEN o.lost_reason_c IN ({_in_list(P.loss_product_reasons)}) THEN {_lit(L.LOSS_PRODUCT)} "
-    f"ELSE {_lit(L.LOSS_OTHER)} END END")
+    f"CASE WHEN o.is_closed_lost THEN CASE WHEN o.demo_held = FALSE THEN {_v(L.LOSS_PRE_DEMO)} "
+    f"WHEN o.lost_reason_c IN ({_in_list(P.loss_process_reasons)}) THEN {_v(L.LOSS_PROCESS)} "
+    f"WHEN o.lost_reason_c IN ({_in_list(P.loss_competitive_reasons)}) THEN {_v(L.LOSS_COMPETITIVE)} "
+    f"WHEN o.lost_reason_c IN ({_in_list(P.loss_product_reasons)}) THEN {_v(L.LOSS_PRODUCT)} "
+    f"ELSE {_v(L.LOSS_OTHER)} END END")
 # stage -> pipeline segment, as a lookup over the shared pairs
-_SEGMENT_CASE = ("CASE stage_name " + " ".join(f"WHEN {_lit(a)} THEN {_lit(b)}" for a, b in P.stage_segments)
-                 + f" ELSE {_lit(L.SEGMENT_OTHER)} END")
+_SEGMENT_CASE = ("CASE stage_name " + " ".join(f"WHEN {_v(a)} THEN {_v(b)}" for a, b in P.stage_segments)
+                 + f" ELSE {_v(L.SEGMENT_OTHER)} END")
 
 _REV = "(500.0::DOUBLE + COALESCE(l.predicted_sales_with_owner * 0.05::DOUBLE, 0.0::DOUBLE))"
 cte("ops_opportunities", ["entity_opportunities", "ops_leads"],
@@ -259,11 +255,7 @@ cte("ops_pipeline_health", ["ops_opportunities", "ops_leads"], f"{_opp_branch} U
 # ---------------------------------------------------------------- reporting
 # Written in DuckDB's own idiom (FILTER aggregates, VALUES unpivots, window
 # totals), checking the Spark formulations from a different angle.
-def _q(text: str) -> str:
-    return "'" + text.replace("'", "''") + "'"
-
-
-_IN, _OUT = _q(L.INBOUND), _q(L.OUTBOUND)
+_IN, _OUT = _v(L.INBOUND), _v(L.OUTBOUND)
 
 
 def _cnt(cond: str) -> str:
@@ -292,10 +284,10 @@ _LOSS = {"pre_demo_losses": L.LOSS_PRE_DEMO, "process_losses": L.LOSS_PROCESS,
          "competitive_losses": L.LOSS_COMPETITIVE, "product_fit_losses": L.LOSS_PRODUCT}
 cte("rpt_funnel_summary", ["ops_leads", "ops_opportunities"],
     "WITH lead_side AS (SELECT channel, COUNT(*) AS total_leads, "
-    f"{_cnt('is_converted')} AS converted_leads, {_cnt('status = ' + _q(L.STATUS_WORKING))} AS working_leads, "
-    f"{_cnt('status = ' + _q(L.STATUS_NEW))} AS new_leads, "
-    f"{_cnt('status = ' + _q(L.STATUS_DISQUALIFIED))} AS disqualified_leads, "
-    f"{_cnt('status = ' + _q(L.STATUS_BAD_CONTACT))} AS bad_contact_leads, "
+    f"{_cnt('is_converted')} AS converted_leads, {_cnt('status = ' + _v(L.STATUS_WORKING))} AS working_leads, "
+    f"{_cnt('status = ' + _v(L.STATUS_NEW))} AS new_leads, "
+    f"{_cnt('status = ' + _v(L.STATUS_DISQUALIFIED))} AS disqualified_leads, "
+    f"{_cnt('status = ' + _v(L.STATUS_BAD_CONTACT))} AS bad_contact_leads, "
     f"{_cnt('connected_with_decision_maker')} AS dm_connected_leads, "
     f"{rnd(mean('speed_to_lead_minutes'), 1)} AS avg_speed_to_lead_min, "
     f"{rnd('quantile_cont(speed_to_lead_minutes, 0.5)', 1)} AS median_speed_to_lead_min, "
@@ -305,7 +297,7 @@ cte("rpt_funnel_summary", ["ops_leads", "ops_opportunities"],
     "deal_side AS (SELECT channel, COUNT(*) AS total_opportunities, "
     f"{_cnt('is_closed_won')} AS closed_won, {_cnt('is_closed_lost')} AS closed_lost, "
     f"{_cnt('NOT is_closed')} AS open_pipeline, {_cnt('demo_held')} AS demos_held, "
-    + ", ".join(f"{_cnt('loss_category = ' + _q(v))} AS {k}" for k, v in _LOSS.items()) + ", "
+    + ", ".join(f"{_cnt('loss_category = ' + _v(v))} AS {k}" for k, v in _LOSS.items()) + ", "
     f"{rnd('AVG(days_to_close) FILTER (WHERE is_closed_won)', 1)} AS avg_days_to_close_won, "
     f"{rnd(f'(CAST(SUM({units('predicted_sales_with_owner', 2)}) FILTER (WHERE is_closed_won) AS DOUBLE) / NULLIF(COUNT(predicted_sales_with_owner) FILTER (WHERE is_closed_won), 0)) / 100.0::DOUBLE', 0)}"
     " AS avg_won_predicted_sales, "
@@ -400,15 +392,15 @@ cte("rpt_channel_efficiency", ["rpt_monthly_unit_economics"],
     f"{pct('deals_won', 'month_wins', 1)} AS pct_of_total_wins, "
     f"{pct('new_leads', 'month_leads', 1)} AS pct_of_total_leads, "
     f"{pct('total_monthly_revenue_won', 'month_revenue', 1)} AS pct_of_total_revenue, "
-    f"CASE WHEN monthly_cac > {P.cac_critical} THEN {_q(L.FLAG_CRITICAL)} WHEN monthly_cac > {P.cac_warning} "
-    f"THEN {_q(L.FLAG_WARNING)} ELSE {_q(L.FLAG_HEALTHY)} END AS cac_threshold_flag, "
-    f"CASE WHEN lead_to_win_rate_pct < {P.conversion_critical} THEN {_q(L.FLAG_CRITICAL)} "
-    f"WHEN lead_to_win_rate_pct < {P.conversion_warning} THEN {_q(L.FLAG_WARNING)} ELSE {_q(L.FLAG_HEALTHY)} END"
+    f"CASE WHEN monthly_cac > {P.cac_critical} THEN {_v(L.FLAG_CRITICAL)} WHEN monthly_cac > {P.cac_warning} "
+    f"THEN {_v(L.FLAG_WARNING)} ELSE {_v(L.FLAG_HEALTHY)} END AS cac_threshold_flag, "
+    f"CASE WHEN lead_to_win_rate_pct < {P.conversion_critical} THEN {_v(L.FLAG_CRITICAL)} "
+    f"WHEN lead_to_win_rate_pct < {P.conversion_warning} THEN {_v(L.FLAG_WARNING)} ELSE {_v(L.FLAG_HEALTHY)} END"
     " AS conversion_threshold_flag, "
-    f"CASE WHEN n_frame < {P.rolling_rows} THEN {_q(L.TREND_INSUFFICIENT)} "
-    f"WHEN monthly_cac > rolling_3mo_cac * {1.0 + P.trend_band!r}::DOUBLE THEN {_q(L.TREND_WORSE)} "
-    f"WHEN monthly_cac < rolling_3mo_cac * {1.0 - P.trend_band!r}::DOUBLE THEN {_q(L.TREND_BETTER)} "
-    f"ELSE {_q(L.TREND_STABLE)} END AS cac_trend, "
+    f"CASE WHEN n_frame < {P.rolling_rows} THEN {_v(L.TREND_INSUFFICIENT)} "
+    f"WHEN monthly_cac > rolling_3mo_cac * {1.0 + P.trend_band!r}::DOUBLE THEN {_v(L.TREND_WORSE)} "
+    f"WHEN monthly_cac < rolling_3mo_cac * {1.0 - P.trend_band!r}::DOUBLE THEN {_v(L.TREND_BETTER)} "
+    f"ELSE {_v(L.TREND_STABLE)} END AS cac_trend, "
     f"CASE WHEN deals_won <> 0 THEN {rnd(sdiv('monthly_cac', 'lead_to_win_rate_pct') + ' * 100.0::DOUBLE', 2)} END"
     " AS efficiency_score FROM framed")
 
@@ -437,8 +429,8 @@ cte("rpt_pipeline_health", ["ops_pipeline_health"],
     f"{rnd(mean('speed_to_lead_minutes'), 1)} AS avg_speed_to_lead_minutes, "
     f"{_share('connected_with_decision_maker')} AS decision_maker_pct, "
     f"{_cnt('demo_held')} AS demos_held, {_cnt('demo_set_date IS NOT NULL AND NOT demo_held')} AS demos_pending, "
-    + ", ".join(f"{_cnt('risk_level = ' + _q(v))} AS {n}_risk_count" for v, n in _RISKS) + ", "
-    + ", ".join(f"{_share('risk_level = ' + _q(v))} AS {n}_risk_pct" for v, n in _RISKS) + ", "
+    + ", ".join(f"{_cnt('risk_level = ' + _v(v))} AS {n}_risk_count" for v, n in _RISKS) + ", "
+    + ", ".join(f"{_share('risk_level = ' + _v(v))} AS {n}_risk_pct" for v, n in _RISKS) + ", "
     f"{_cnt('speed_to_lead_minutes <= 5')} AS responded_under_5min, "
     f"{_cnt('speed_to_lead_minutes <= 30')} AS responded_under_30min, "
     f"{_cnt('speed_to_lead_minutes > 60')} AS responded_over_1hr FROM ops_pipeline_health GROUP BY {_K5}), "
@@ -468,24 +460,24 @@ def _outreach_queue() -> str:
     rows = (L.NO_OUTREACH_NO_ANCHOR, L.NO_OUTREACH_P0, L.NO_OUTREACH_P1, L.NO_OUTREACH_P2, L.NO_OUTREACH_EXPIRED)
 
     def no_field(i: int) -> str:
-        vals = [(_q(r[i]) if isinstance(r[i], str) else str(r[i])) for r in rows]
+        vals = [(_v(r[i]) if isinstance(r[i], str) else str(r[i])) for r in rows]
         return no_case.format(*vals)
 
     def slow_field(i: int) -> str:
         parts = []
         for cut, *vals in L.SLOW_OUTREACH:
-            v = _q(vals[i]) if isinstance(vals[i], str) else str(vals[i])
+            v = _v(vals[i]) if isinstance(vals[i], str) else str(vals[i])
             parts.append(f"WHEN {S} <= {cut} THEN {v}" if cut is not None else f"ELSE {v}")
         return "CASE " + " ".join(parts) + " END"
 
-    late = ", ".join(_q(r[1]) for r in L.SLOW_OUTREACH[3:])
+    late = ", ".join(_v(r[1]) for r in L.SLOW_OUTREACH[3:])
     anc = "COALESCE(form_submission_date, first_sales_call_date)"
     return (
         "WITH cand AS (SELECT *, first_sales_call_date IS NULL AND first_text_sent_date IS NULL AS untouched, "
         f"{mdiff(anc, AS_OF_TS)} AS wait_min, {hdiff(anc, AS_OF_TS)} AS wait_hour, {ddiff(anc, AS_OF)} AS wait_day "
-        f"FROM ops_leads WHERE status = {_q(L.STATUS_WORKING)} AND NOT is_converted), "
+        f"FROM ops_leads WHERE status = {_v(L.STATUS_WORKING)} AND NOT is_converted), "
         "queue AS (SELECT lead_id, CASE WHEN untouched THEN "
-        f"{_q(L.SECTION_NO_OUTREACH)} ELSE {_q(L.SECTION_SLOW_OUTREACH)} END AS outreach_section, channel, "
+        f"{_v(L.SECTION_NO_OUTREACH)} ELSE {_v(L.SECTION_SLOW_OUTREACH)} END AS outreach_section, channel, "
         "working_lead_health, predicted_sales_with_owner, predicted_sales_tier, form_submission_date, "
         f"{_FC} AS first_outreach_at, last_sales_activity_date, "
         f"CASE WHEN untouched THEN wait_min ELSE {S} END AS minutes_waiting, "
@@ -500,13 +492,13 @@ def _outreach_queue() -> str:
         f"CASE WHEN untouched THEN {no_field(2)} ELSE {slow_field(2)} END AS recommended_action "
         f"FROM cand WHERE untouched OR (channel = {_IN} AND {S} IS NOT NULL)) "
         "SELECT *, "
-        f"CASE WHEN outreach_priority = {_q(L.NO_OUTREACH_NO_ANCHOR[0])} THEN {_q(L.DASHBOARD_NO_ANCHOR)} "
-        f"WHEN outreach_section = {_q(L.SECTION_NO_OUTREACH)} AND is_actionable THEN {_q(L.DASHBOARD_ACTION)} "
-        f"WHEN outreach_section = {_q(L.SECTION_NO_OUTREACH)} THEN {_q(L.DASHBOARD_EXPIRED)} "
-        f"WHEN outreach_priority IN ({late}) THEN {_q(L.DASHBOARD_REENGAGE)} "
-        f"ELSE {_q(L.DASHBOARD_MONITOR)} END AS dashboard_status, "
+        f"CASE WHEN outreach_priority = {_v(L.NO_OUTREACH_NO_ANCHOR[0])} THEN {_v(L.DASHBOARD_NO_ANCHOR)} "
+        f"WHEN outreach_section = {_v(L.SECTION_NO_OUTREACH)} AND is_actionable THEN {_v(L.DASHBOARD_ACTION)} "
+        f"WHEN outreach_section = {_v(L.SECTION_NO_OUTREACH)} THEN {_v(L.DASHBOARD_EXPIRED)} "
+        f"WHEN outreach_priority IN ({late}) THEN {_v(L.DASHBOARD_REENGAGE)} "
+        f"ELSE {_v(L.DASHBOARD_MONITOR)} END AS dashboard_status, "
         f"coalesce(is_actionable AND predicted_sales_with_owner >= {P.high_value_sales} "
-        f"AND outreach_section = {_q(L.SECTION_NO_OUTREACH)}, FALSE) AS is_high_value_urgent FROM queue")
+        f"AND outreach_section = {_v(L.SECTION_NO_OUTREACH)}, FALSE) AS is_high_value_urgent FROM queue")
 
 
 cte("rpt_lead_outreach_priority", ["ops_leads"], _outreach_queue())
