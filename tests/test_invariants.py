@@ -105,3 +105,12 @@ def test_pipeline_health_one_pass_equals_union(pl):
     one_pass = ops.ops_pipeline_health_one_pass(pl.entity_opportunities, pl.ops_leads, pl.p)
     assert union.columns == one_pass.columns
     assert canonical(union.columns, union.collect()) == canonical(one_pass.columns, one_pass.collect())
+
+
+def test_cli_sql_and_query(spark, capsys):
+    from pipewright.__main__ import main
+
+    assert main(["sql", "--data", SF_MID, "SELECT COUNT(*) AS n FROM rpt_funnel_summary"]) == 0
+    assert main(["query", "--data", SF_MID, "q24_row_counts"]) == 0
+    out = capsys.readouterr().out
+    assert "ops_pipeline_health" in out
