@@ -437,9 +437,10 @@ def chk_summary(spark: SparkSession, sf: str) -> DataFrame:
 # ------------------------------------------- general operators on driver tables
 @register("gen_dedupe_events")
 def gen_dedupe_events(spark: SparkSession, sf: str) -> DataFrame:
-    """Latest event per user (ts DESC, NULL first) — the dedupe operator."""
+    """Latest event per user (ts DESC, NULL first; ties to the lowest
+    event_id) — the dedupe operator."""
     ev = read_driver(spark, sf, "events", ["event_id", "ts", "user_id", "event_type", "value"])
-    return dedupe(ev, "user_id", [F.col("ts").desc_nulls_first()])
+    return dedupe(ev, "user_id", [F.col("ts").desc_nulls_first(), F.col("event_id").asc()], tie_break=None)
 
 
 @register("gen_share_events")
