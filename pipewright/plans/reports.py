@@ -189,8 +189,9 @@ def rpt_monthly_unit_economics(ops_exp: DataFrame, ops_leads: DataFrame, ops_opp
     leads_m = monthly_lead_volumes(ops_leads)
     opps_m = monthly_deal_outcomes(ops_opps)
     e = ops_exp
-    # the monthly frames hold one row per calendar month (bounded), so they
-    # are broadcast to the expense rows
+    # the monthly frames hold one row per calendar month: at most 12 x 10,000
+    # rows (four-digit years), a few MB at worst, whatever the lead volume;
+    # that bound is what makes broadcasting them to the expense rows safe
     j = (e.join(F.broadcast(leads_m), e.expense_month == leads_m.month, "left").drop("month")
          .join(F.broadcast(opps_m), e.expense_month == opps_m.month, "left").drop("month"))
     z = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint")
