@@ -9,7 +9,9 @@ Partitioning notes (what the physical plan does at scale):
   one-lead-per-opportunity dedupe, so the sort-merge join adds no exchange of
   its own.  NULL keys (the unconverted ~90 % of leads) are filtered out before
   the lead shuffle, so they never meet in one task.
-* ``ops_pipeline_health`` is a union of two narrow projections: no shuffle.
+* ``ops_pipeline_health`` over stored tables is a union of two narrow
+  projections (no shuffle); over views of the sources it reads the leads once
+  (``ops_pipeline_health_one_pass``).
 """
 
 from __future__ import annotations
