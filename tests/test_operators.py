@@ -71,3 +71,20 @@ def test_diff_snapshots(spark):
     curr = spark.createDataFrame([("a", "x"), ("b", "y"), ("c", None), ("d", "x")], "k string, s string")
     got = {r.k: (r.prev_s, r.curr_s, r.change_type) for r in diff_snapshots(prev, curr, ["k"], ["s"]).collect()}
     assert got == {"b": ("x", "y", "changed"), "d": (None, "x", "entered")}
+
+
+def test_conform_rejects_missing_columns_and_casts_keys(spark):
+    from pipewright.sources import schemas
+
+    ok = spark.createDataFrame([(1, "Jan-24")], "month long, advertising string")
+    out = schemas.conform(ok.withColumnRenamed("month", "m").withColumn("month", F.lit("Feb-24")),
+                          schemas.EXPENSES_ADVERTISING)
+    assert out.columns == ["month", "advertising"]
+    with pytest.raises(ValueError):
+        schemas.conform(spark.createDataFrame([("x",)], "other string"), schemas.EXPENSES_ADVERTISING)
+    leads = spark.createDataFrame([(7,)], "lead_id long")
+    for f in schemas.LEADS.fields[1:]:
+        leads = leads.withColumn(f.name, F.lit(None).cast(f.dataType))
+    conformed = schemas.conform(leads, schemas.LEADS)
+    assert conformed.schema["lead_id"].dataType.simpleString() == "string"   # integer keys accepted as text
+    assert conformed.first().lead_id == "7"
