@@ -72,6 +72,10 @@ def scale_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 <<
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        # on a shared cluster coalesce to the advisory size instead of many
+        # small tasks (measured slower on a single local machine, so the local
+        # session keeps Spark's default)
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
         "spark.sql.shuffle.partitions": str(shuffle),
