@@ -4,6 +4,7 @@
     python -m pipewright test  --data /root/testdata/sf0.1
     python -m pipewright query --data /root/testdata/sf0.1 rpt_funnel_summary
     python -m pipewright sql   --data /root/testdata/sf0.1 "SELECT * FROM rpt_pipeline_health"
+    python -m pipewright explain --data /root/testdata/sf0.1 rpt_funnel_summary
 
 ``--data`` is a folder of driver tables (projected by the source adapter);
 ``--sources`` instead names a folder holding the four source tables as
@@ -40,7 +41,7 @@ def _pipeline(spark: SparkSession, args) -> Pipeline:
 
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="pipewright")
-    ap.add_argument("command", choices=("run", "test", "query", "sql"))
+    ap.add_argument("command", choices=("run", "test", "query", "sql", "explain"))
     ap.add_argument("target", nargs="?", help="query key (query) or SQL text (sql)")
     src = ap.add_mutually_exclusive_group(required=True)
     src.add_argument("--data", help="folder of driver tables")
@@ -61,13 +62,17 @@ def main(argv: list[str] | None = None) -> int:
         for r in rows:
             print(f"{'FAIL' if r.failures else 'pass'}\t{r.failures}\t{r.check_name}")
         return 1 if failed else 0
-    if args.command == "query":
+    if args.command in ("query", "explain"):
         from .plans.registry import QUERIES
 
         if args.target not in QUERIES:
             print(f"unknown query {args.target!r}; known: {', '.join(sorted(QUERIES))}", file=sys.stderr)
             return 2
-        QUERIES[args.target](spark, args.data).show(args.rows, truncate=False)
+        df = QUERIES[args.target](spark, args.data)
+        if args.command == "explain":
+            df.explain("formatted")
+        else:
+            df.show(args.rows, truncate=False)
         return 0
     pl.register_views()
     spark.sql(args.target).show(args.rows, truncate=False)

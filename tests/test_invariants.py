@@ -114,3 +114,5 @@ def test_cli_sql_and_query(spark, capsys):
     assert main(["query", "--data", SF_MID, "q24_row_counts"]) == 0
     out = capsys.readouterr().out
     assert "ops_pipeline_health" in out
+    assert main(["explain", "--data", SF_MID, "gen_share_events"]) == 0
+    assert main(["query", "--data", SF_MID, "no_such_query"]) == 2
