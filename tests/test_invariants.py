@@ -116,3 +116,29 @@ def test_cli_sql_and_query(spark, capsys):
     assert "ops_pipeline_health" in out
     assert main(["explain", "--data", SF_MID, "gen_share_events"]) == 0
     assert main(["query", "--data", SF_MID, "no_such_query"]) == 2
+
+
+def test_hot_opportunity_end_to_end(spark):
+    """A third of all leads point at one opportunity: no fan-out, lowest lead wins."""
+    from helpers import sources, ts
+
+    leads = []
+    for i in range(3000):
+        lead = {"lead_id": f"{i:05d}", "status": "Converted" if i % 3 == 0 else "Working",
+                "form_submission_date": ts("0024-03-01 10:00") if i % 2 else None,
+                "predicted_sales_with_owner": "1000,00"}
+        if i % 3 == 0:
+            lead["converted_opportunity_id"] = "hot"
+        leads.append(lead)
+    opps = [{"opportunity_id": "hot", "stage_name": "Closed Won", "created_date": ts("2024-03-02 15:00"),
+             "close_date": ts("0024-03-20 00:00").date()},
+            {"opportunity_id": "cold", "stage_name": "Interest", "created_date": ts("2024-06-02 15:00")}]
+    pl = Pipeline(spark, sources(spark, leads=leads, opps=opps))
+    o = {r.opportunity_id: r for r in pl.ops_opportunities.collect()}
+    assert len(o) == 2 and o["hot"].lead_id == "00000" and o["cold"].lead_id is None
+    funnel = {r.channel: r for r in pl.rpt_funnel_summary.collect()}
+    assert funnel["Outbound"].total_leads + funnel["Inbound"].total_leads == 3000
+    assert funnel["Outbound"].converted_leads + funnel["Inbound"].converted_leads == 1000
+    # the hot opportunity's lead (00000, no form) is outbound: the win lands there
+    assert funnel["Outbound"].closed_won == 1
+    assert pl.ops_pipeline_health.count() == 1 + 2000   # the open 'cold' deal + every working lead
