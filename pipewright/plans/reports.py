@@ -392,8 +392,7 @@ SLOW_OUTREACH_LABELS = L.SLOW_OUTREACH
 
 
 def _no_outreach_label(minutes: Column, p: Params, field: int) -> Column:
-    L = NO_OUTREACH_LABELS
-    pick = lambda k: F.lit(L[k][field])
+    pick = lambda k: F.lit(NO_OUTREACH_LABELS[k][field])
     return (F.when(minutes.isNull(), pick("no_anchor"))
             .when(minutes >= p.outreach_expiry_minutes, pick("expired"))
             .when(minutes < p.outreach_p0_minutes, pick("p0"))

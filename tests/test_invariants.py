@@ -142,3 +142,26 @@ def test_hot_opportunity_end_to_end(spark):
     # the hot opportunity's lead (00000, no form) is outbound: the win lands there
     assert funnel["Outbound"].closed_won == 1
     assert pl.ops_pipeline_health.count() == 1 + 2000   # the open 'cold' deal + every working lead
+
+
+def test_report_column_order(pl):
+    from pipewright.plans import ops, reports
+
+    expected = {
+        "rpt_cac_ltv_by_channel": ["channel", "deals_won", "total_cost_6mo", "cac", "avg_monthly_subscription",
+                                   "avg_monthly_take_rate", "avg_monthly_revenue", "avg_ltv_12mo", "avg_ltv_24mo",
+                                   "avg_ltv_36mo", "ltv_to_cac_12mo", "ltv_to_cac_24mo", "ltv_to_cac_36mo"],
+        "rpt_funnel_summary": reports.FUNNEL_COLUMNS,
+        "rpt_monthly_unit_economics": reports.MONTHLY_COLUMNS,
+        "rpt_channel_efficiency": reports.EFFICIENCY_COLUMNS,
+        "rpt_pipeline_health": reports.PIPELINE_REPORT_COLUMNS,
+        "rpt_lead_outreach_priority": reports.OUTREACH_COLUMNS,
+        "ops_pipeline_health": ops.PIPELINE_COLUMNS,
+    }
+    sizes = {"rpt_cac_ltv_by_channel": 13, "rpt_funnel_summary": 31, "rpt_monthly_unit_economics": 24,
+             "rpt_channel_efficiency": 28, "rpt_pipeline_health": 34, "rpt_lead_outreach_priority": 21,
+             "ops_pipeline_health": 23}
+    for name, cols in expected.items():
+        assert pl.table(name).columns == list(cols), name
+        assert len(cols) == sizes[name], name
+    assert len(pl.ops_opportunities.columns) == 33
