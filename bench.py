@@ -44,6 +44,8 @@ def run_noop(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
+    if not cpus.isdigit():          # e.g. "*": every core of the machine
+        cpus = str(os.cpu_count() or 8)
     spark = local_session(cores=cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus)),
                           app="pipewright-bench")
     # Warm-up, not timed: every headline query once on the smallest fixture.
