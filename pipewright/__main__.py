@@ -16,10 +16,12 @@ provides, or a local one.
 from __future__ import annotations
 
 import argparse
+import dataclasses
 import sys
 
 from pyspark.sql import SparkSession
 
+from .params import DEFAULT
 from .plans import Pipeline
 from .plans.checks import check_summary
 from .session import local_session
@@ -32,11 +34,12 @@ def _session() -> SparkSession:
 
 
 def _pipeline(spark: SparkSession, args) -> Pipeline:
+    params = DEFAULT if not args.as_of else dataclasses.replace(DEFAULT, as_of=args.as_of)
     if args.sources:
         base = args.sources.rstrip("/")
         keys = ("leads", "opportunities", "expenses_advertising", "expenses_salary_and_commissions")
-        return Pipeline(spark, Sources.from_parquet(spark, {k: f"{base}/{k}" for k in keys}))
-    return Pipeline.from_driver(spark, args.data)
+        return Pipeline(spark, Sources.from_parquet(spark, {k: f"{base}/{k}" for k in keys}), params)
+    return Pipeline.from_driver(spark, args.data, params)
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -48,6 +51,7 @@ def main(argv: list[str] | None = None) -> int:
     src.add_argument("--sources", help="folder of the four source tables (Parquet)")
     ap.add_argument("--out", help="where run writes the tables (default: the checkpoint folder)")
     ap.add_argument("--rows", type=int, default=50, help="rows to show")
+    ap.add_argument("--as-of", help="dataset end date for ages and waits (default: the fixed one)")
     args = ap.parse_intermixed_args(argv)
 
     spark = _session()
@@ -68,6 +72,10 @@ def main(argv: list[str] | None = None) -> int:
         if args.target not in QUERIES:
             print(f"unknown query {args.target!r}; known: {', '.join(sorted(QUERIES))}", file=sys.stderr)
             return 2
+        if args.sources or args.as_of:
+            print("query/explain run the registered queries over --data with the default parameters; "
+                  "use sql for other sources or dates", file=sys.stderr)
+            return 2
         df = QUERIES[args.target](spark, args.data)
         if args.command == "explain":
             df.explain("formatted")
