@@ -290,3 +290,10 @@ def test_approximate_median_is_opt_in(spark):
     approx = reports.leads_by_channel(leads, dataclasses.replace(P, median_accuracy=100).median_accuracy).first()
     assert exact == 2.5                       # interpolated, like the warehouse MEDIAN
     assert approx.median_speed_to_lead_min in (2.0, 3.0)
+
+
+def test_fix_year_raises_on_impossible_leap_day(spark):
+    # 1600 is a leap year, 2600 is not: the rewritten text is not a date
+    df = spark.createDataFrame([(ts("1600-02-29 00:00"),)], "t timestamp_ntz")
+    with pytest.raises(Exception):
+        df.select(fn.fix_year_ts("t")).collect()

@@ -84,3 +84,24 @@ def test_dedupe_matches_brute_force(spark, rows):
         if best is None or (o > best[0]) or (o == best[0] and (v is None or (best[1] is not None and v < best[1]))):
             expected[k] = cand
     assert got == expected
+
+
+@SETTINGS
+@given(st.lists(st.datetimes(min_value=dt.datetime(1, 1, 1), max_value=dt.datetime(9999, 12, 31, 23, 59, 59)),
+                min_size=1, max_size=40))
+def test_fix_year_matches_text_rewrite(spark, stamps_list):
+    """The arithmetic year fix equals rewriting the first digit of the text."""
+    def rewrite(t: dt.datetime):
+        text = f"{t.year:04d}" + t.strftime("-%m-%d %H:%M:%S") + f".{t.microsecond // 1000:03d}"
+        fixed = "2" + text[1:]
+        try:
+            return dt.datetime.strptime(fixed, "%Y-%m-%d %H:%M:%S.%f")
+        except ValueError:          # a 29 February the new year lacks: the rule raises
+            return "error"
+
+    expected = [rewrite(t) for t in stamps_list]
+    ok = [(t,) for t, e in zip(stamps_list, expected) if e != "error"]
+    if ok:
+        df = spark.createDataFrame(ok, "t timestamp_ntz")
+        got = [r[0] for r in df.select(fn.fix_year_ts("t")).collect()]
+        assert got == [e for e in expected if e != "error"]
