@@ -134,5 +134,13 @@ def parse_failures(pl: Pipeline) -> DataFrame:
     ).select(F.stack(F.lit(2),
                      F.lit("parse:stg_expenses_salary.outbound_sales_team_cost"), "a",
                      F.lit("parse:stg_expenses_salary.inbound_sales_team_cost"), "b").alias("check_name", "failures"))
-    return reduce(DataFrame.unionByName, [leads, ad, sal]).select(
+    # two-digit years read as 20yy: a month after the as-of date means the
+    # text meant another century (or is simply wrong)
+    as_of = fn.date_literal(pl.p.as_of)
+    future = [
+        pl.table(t).agg(F.coalesce(count_if(F.col("expense_month") > as_of), F.lit(0)).alias("failures"))
+        .select(F.lit(f"range:{t}.expense_month").alias("check_name"), "failures")
+        for t in ("stg_expenses_advertising", "stg_expenses_salary")
+    ]
+    return reduce(DataFrame.unionByName, [leads, ad, sal, *future]).select(
         "check_name", F.col("failures").cast("bigint").alias("failures"))
