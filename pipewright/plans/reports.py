@@ -230,8 +230,19 @@ EFFICIENCY_COLUMNS = [
 ]
 
 
+def _both(prefix_col: str) -> Column:
+    """inbound_x + outbound_x with SUM's NULL rule (NULL only if both are)."""
+    a, b = F.col(f"inbound_{prefix_col}"), F.col(f"outbound_{prefix_col}")
+    return F.when(a.isNull() & b.isNull(), F.lit(None)).otherwise(
+        F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0)))
+
+
 def channel_months(monthly: DataFrame) -> DataFrame:
-    """rpt_monthly_unit_economics, one row per channel and month (one scan)."""
+    """rpt_monthly_unit_economics, one row per channel and month (one scan).
+
+    The month totals over both channels are read off the wide monthly row
+    before it is unpivoted, so no window or join is needed for them.
+    """
     def group(prefix: str) -> dict[str, str]:
         return {
             "new_leads": f"{prefix}_leads",
@@ -243,7 +254,14 @@ def channel_months(monthly: DataFrame) -> DataFrame:
             "total_monthly_revenue_won": f"{prefix}_won_predicted_revenue",
         }
 
-    long = unpivot_groups(monthly, ["expense_month"], "channel",
+    totals = {
+        "total_spend_all_channels": _both("channel_cost"),
+        "total_wins_all_channels": _both("wins"),
+        "total_leads_all_channels": _both("leads"),
+        "total_revenue_all_channels": _both("won_predicted_revenue"),
+    }
+    wide = monthly.select("*", *[c.alias(n) for n, c in totals.items()])
+    long = unpivot_groups(wide, ["expense_month", *totals], "channel",
                           [(L.INBOUND, group("inbound")), (L.OUTBOUND, group("outbound"))])
     return long.withColumn("lead_to_win_rate_pct", pct(F.col("deals_won"), F.col("converted_leads")))
 
@@ -252,7 +270,6 @@ def rpt_channel_efficiency(monthly: DataFrame, p: Params) -> DataFrame:
     u = channel_months(monthly)
     w = trailing(["channel"], ["expense_month"], p.rolling_rows)
     w0 = ordered(["channel"], ["expense_month"])
-    per_month = Window.partitionBy("expense_month")
     c = F.col
     r = u.select(
         "*",
@@ -264,11 +281,6 @@ def rpt_channel_efficiency(monthly: DataFrame, p: Params) -> DataFrame:
         F.lag("lead_to_win_rate_pct", 1).over(w0).alias("prev_month_conversion_rate"),
         F.lag("deals_won", 1).over(w0).alias("prev_month_deals_won"),
         F.lag("new_leads", 1).over(w0).alias("prev_month_new_leads"),
-        # month totals over both channels (a window: no self-join)
-        F.sum("total_channel_cost").over(per_month).alias("total_spend_all_channels"),
-        F.sum("deals_won").over(per_month).alias("total_wins_all_channels"),
-        F.sum("new_leads").over(per_month).alias("total_leads_all_channels"),
-        F.sum("total_monthly_revenue_won").over(per_month).alias("total_revenue_all_channels"),
     )
     cac, rate = c("monthly_cac"), c("lead_to_win_rate_pct")
     rolling_cac = c("rolling_3mo_cac")
