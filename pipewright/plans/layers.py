@@ -14,6 +14,7 @@ from .. import functions as fn
 from .. import labels as L
 from ..operators import dedupe
 from ..params import Params
+from ..sources import schemas
 
 LEAD_TIMESTAMPS = [
     "form_submission_date", "first_sales_call_date", "first_text_sent_date",
@@ -23,20 +24,36 @@ LEAD_TIMESTAMPS = [
 
 
 # ---------------------------------------------------------------- ingress
-def ingress(df: DataFrame, schema) -> DataFrame:
-    """Column-pruned projection of a source table."""
-    return df.select(*[f.name for f in schema.fields])
+def ingress(df: DataFrame, schema, keep_position: bool = False) -> DataFrame:
+    """Column-pruned projection of a source table (plus the row position,
+    when asked and present, for the raw dedupes)."""
+    extra = list(schemas.POSITION) if keep_position and schemas.has_position(df) else []
+    return df.select(*[f.name for f in schema.fields], *extra)
+
+
+def _dedupe_by_position(df: DataFrame, key: str, order) -> DataFrame:
+    """Dedupe whose ties go to the first row in source order.
+
+    The position is a property of the input files, so every query (and every
+    retry) picks the same row while reading only the columns it needs.
+    Inputs without a position (hand-made frames) break ties by content hash.
+    """
+    if schemas.has_position(df):
+        pos = [F.col(c).asc() for c in schemas.POSITION]
+        out = dedupe(df, key, list(order) + pos, tie_break=None)
+        return out.drop(*schemas.POSITION)
+    return dedupe(df, key, order)
 
 
 # -------------------------------------------------------------------- raw
 def raw_leads(ingress_leads: DataFrame) -> DataFrame:
     """One row per lead_id (exact duplicates removed, deterministic tie)."""
-    return dedupe(ingress_leads, "lead_id")
+    return _dedupe_by_position(ingress_leads, "lead_id", [F.col("lead_id").asc_nulls_first()])
 
 
 def raw_opportunities(ingress_opps: DataFrame) -> DataFrame:
     """Latest version per opportunity_id: created_date DESC, NULL first."""
-    return dedupe(ingress_opps, "opportunity_id", [F.col("created_date").desc_nulls_first()])
+    return _dedupe_by_position(ingress_opps, "opportunity_id", [F.col("created_date").desc_nulls_first()])
 
 
 def raw_expenses(ingress_expenses: DataFrame) -> DataFrame:

@@ -82,11 +82,12 @@ class Pipeline:
     # -------------------------------------------------------------- raw
     @cached_property
     def raw_leads(self) -> DataFrame:
-        return layers.raw_leads(self.ingress_leads)
+        return layers.raw_leads(layers.ingress(self.sources.leads, schemas.LEADS, keep_position=True))
 
     @cached_property
     def raw_opportunities(self) -> DataFrame:
-        return layers.raw_opportunities(self.ingress_opportunities)
+        return layers.raw_opportunities(
+            layers.ingress(self.sources.opportunities, schemas.OPPORTUNITIES, keep_position=True))
 
     @cached_property
     def raw_expenses_advertising(self) -> DataFrame:

@@ -138,17 +138,28 @@ def money_text_sql(cents: str, engine: str) -> str:
 
 
 def _kcp(orders: DataFrame) -> DataFrame:
+    pos = list(schemas.POSITION) if schemas.has_position(orders) else []
     return orders.select(
-        F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("c"), F.col("o_totalprice").alias("p")
+        F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("c"), F.col("o_totalprice").alias("p"), *pos
     )
 
 
+def _derived_position(z: DataFrame, index: str) -> list:
+    """Position of a generated row: its order's position, refined by the copy
+    or version index (so every generated row has its own)."""
+    if not schemas.has_position(z):
+        return []
+    file_col, row_col = schemas.POSITION
+    return [F.col(file_col), (F.col(row_col) * F.lit(4) + F.col(index)).alias(row_col)]
+
+
 def leads(orders: DataFrame) -> DataFrame:
     """One lead per order; the duplicate rule doubles a row with ``explode``."""
     z = _kcp(orders)
     copies = F.explode(F.sequence(F.lit(1), F.expr(f"case when {LEAD_DUPLICATE_RULE} then 2 else 1 end")))
-    z = z.select("k", "c", "p", copies.alias("_copy"))
-    rows = z.selectExpr(*[f"{render(t, SPARK_TYPES)} AS {n}" for n, t in LEAD_FORMULAS])
+    z = z.select("*", copies.alias("_copy"))
+    rows = z.select(*[F.expr(render(t, SPARK_TYPES)).alias(n) for n, t in LEAD_FORMULAS],
+                    *_derived_position(z, "_copy"))
     return schemas.conform(rows, schemas.LEADS)
 
 
@@ -159,7 +170,7 @@ def opportunities(orders: DataFrame) -> DataFrame:
         f"filter(array(0, case when {OPPORTUNITY_OLDER_VERSION_RULE} then 1 end,"
         f" case when {OPPORTUNITY_NULL_VERSION_RULE} then 2 end), x -> x is not null)"
     )
-    z = z.select("k", "c", F.explode(versions).alias("v"))
+    z = z.select("*", F.explode(versions).alias("v"))
     exprs = []
     for name, template in OPPORTUNITY_FORMULAS:
         sql = render(template, SPARK_TYPES)
@@ -168,8 +179,8 @@ def opportunities(orders: DataFrame) -> DataFrame:
         elif name == "created_date":
             older = render(OLDER_VERSION_CREATED, SPARK_TYPES)
             sql = f"case v when 1 then {older} when 2 then cast(null as timestamp_ntz) else {sql} end"
-        exprs.append(f"{sql} AS {name}")
-    return schemas.conform(z.selectExpr(*exprs), schemas.OPPORTUNITIES)
+        exprs.append(F.expr(sql).alias(name))
+    return schemas.conform(z.select(*exprs, *_derived_position(z, "v")), schemas.OPPORTUNITIES)
 
 
 def monthly_rollup(orders: DataFrame) -> DataFrame:

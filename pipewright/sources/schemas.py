@@ -69,12 +69,31 @@ ALL = {
 }
 
 
+# Physical position of a source row: hash of its file path and its row index
+# in that file.  Carried next to the declared columns (never part of a
+# model's output) as the deterministic tie-break of the dedupes: it needs no
+# data column, so column pruning still reaches the Parquet scan.
+POSITION = ("_pos_file", "_pos_row")
+
+
+def position_columns(df: DataFrame) -> list:
+    """The position of each row of a freshly read file-source DataFrame."""
+    return [F.xxhash64(F.col("_metadata.file_path")).alias(POSITION[0]),
+            F.col("_metadata.row_index").alias(POSITION[1])]
+
+
+def has_position(df: DataFrame) -> bool:
+    return all(c in df.columns for c in POSITION)
+
+
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Project ``df`` to exactly the declared columns and types.
 
-    Missing columns raise; integer keys are accepted and cast to text.
+    Missing columns raise; integer keys are accepted and cast to text.  The
+    row position columns, when present, are kept.
     """
     missing = [f.name for f in schema.fields if f.name not in df.columns]
     if missing:
         raise ValueError(f"source is missing columns {missing}")
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    extra = list(POSITION) if has_position(df) else []
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields], *extra)

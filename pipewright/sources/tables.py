@@ -15,10 +15,14 @@ DRIVER_TABLES = (
 )
 
 
-def read_driver(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
+def read_driver(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None,
+                with_position: bool = False) -> DataFrame:
     """A driver table, pruned to ``columns`` right at the scan."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return df.select(*columns) if columns else df
+    pos = schemas.position_columns(df) if with_position else []
+    if columns or pos:
+        return df.select(*(columns or df.columns), *pos)
+    return df
 
 
 @dataclass(frozen=True)
@@ -33,7 +37,8 @@ class Sources:
     @classmethod
     def from_driver(cls, spark: SparkSession, sf_dir: str) -> "Sources":
         """Project the driver's ``orders`` into the source shapes (adapter)."""
-        orders = read_driver(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_totalprice"])
+        orders = read_driver(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_totalprice"],
+                             with_position=True)
         rollup = adapter.monthly_rollup(orders)
         return cls(
             leads=adapter.leads(orders),
@@ -47,7 +52,8 @@ class Sources:
         """Real source tables, read with the declared schemas (never inferred)."""
 
         def load(key: str, schema) -> DataFrame:
-            return schemas.conform(spark.read.schema(schema).parquet(paths[key]), schema)
+            df = spark.read.schema(schema).parquet(paths[key])
+            return schemas.conform(df.select("*", *schemas.position_columns(df)), schema)
 
         return cls(
             leads=load("leads", schemas.LEADS),

@@ -53,3 +53,26 @@ def test_filters_reach_the_scan(spark):
     df = QUERIES["src_opportunities"](spark, SF_SMALL)
     p = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(o_orderkey)]" in p
+
+
+def test_dedupe_keeps_scan_pruning_on_parquet_sources(spark):
+    """Ties go by row position, so a report reads only the lead columns it uses."""
+    from pipewright.plans import Pipeline
+    from pipewright.session import checkpoint_dir
+    from pipewright.sources import Sources
+
+    base = f"{checkpoint_dir(spark).rstrip('/')}/test-pruning-sources"
+    drv = Sources.from_driver(spark, SF_SMALL)
+    paths = {}
+    for key, df in (("leads", drv.leads), ("opportunities", drv.opportunities),
+                    ("expenses_advertising", drv.expenses_advertising),
+                    ("expenses_salary_and_commissions", drv.expenses_salary)):
+        paths[key] = f"{base}/{key}"
+        df.write.mode("overwrite").parquet(paths[key])
+    pl = Pipeline(spark, Sources.from_parquet(spark, paths))
+    plan = pl.rpt_funnel_summary._jdf.queryExecution().executedPlan().toString()
+    lead_scans = [l for l in plan.splitlines() if "ReadSchema" in l and "lead_id" in l]
+    assert lead_scans
+    for line in lead_scans:
+        assert "cuisine_types" not in line and "marketplaces_used" not in line
+        assert "_tmp_metadata_row_index" in line          # the position comes from the reader
