@@ -4,10 +4,11 @@
 Written this way Catalyst inserts a partial ``WindowGroupLimit`` *before* the
 shuffle, so each map task forwards at most one row per key: a key that holds
 a third of all rows is cut down map-side and never lands whole in one task.
-A content hash of every remaining column (``xxhash64``) is appended to the
-ordering as a tie-break, so the surviving row does not depend on partitioning
-or task timing, while only the columns the consumer needs (plus 8 bytes)
-cross the shuffle: Catalyst still prunes the rest above the scan.
+Ties must not depend on partitioning or task timing.  The model layers pass
+the source row position (file and row index) as the last ordering columns,
+which needs no data column; the generic default appends a content hash of
+every remaining column (``xxhash64``), so only the columns the consumer
+needs (plus 8 bytes) cross the shuffle.
 """
 
 from __future__ import annotations
