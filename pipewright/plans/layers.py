@@ -63,6 +63,7 @@ def raw_expenses(ingress_expenses: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- staging
 def stg_leads(raw: DataFrame) -> DataFrame:
+    """Leads cleaned column by column (1:1 with raw)."""
     cols = [F.col("lead_id")]
     cols += [fn.fix_year_ts(c).alias(c) for c in LEAD_TIMESTAMPS]
     cols += [F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
@@ -83,6 +84,7 @@ def stg_leads(raw: DataFrame) -> DataFrame:
 
 
 def stg_opportunities(raw: DataFrame) -> DataFrame:
+    """Opportunities with year-fixed dates (1:1 with raw)."""
     return raw.select(
         "opportunity_id", "stage_name", "lost_reason_c", "closed_lost_notes_c", "business_issue_c",
         "how_did_you_hear_about_us_c",
@@ -97,6 +99,7 @@ def stg_opportunities(raw: DataFrame) -> DataFrame:
 
 
 def stg_expenses_advertising(raw: DataFrame, tolerant_months: bool = False) -> DataFrame:
+    """Advertising ledger: month as DATE, amount as DOUBLE."""
     return raw.select(
         fn.parse_month("month", tolerant_months).alias("expense_month"),
         fn.parse_currency("advertising").alias("advertising_spend"),
@@ -104,6 +107,7 @@ def stg_expenses_advertising(raw: DataFrame, tolerant_months: bool = False) -> D
 
 
 def stg_expenses_salary(raw: DataFrame, tolerant_months: bool = False) -> DataFrame:
+    """Sales-team ledger: month as DATE, both team amounts as DOUBLE."""
     return raw.select(
         fn.parse_month("month", tolerant_months).alias("expense_month"),
         fn.parse_currency("outbound_sales_team").alias("outbound_sales_team_cost"),
@@ -118,6 +122,7 @@ def first_contact() -> F.Column:
 
 
 def entity_leads(stg: DataFrame, p: Params) -> DataFrame:
+    """Leads with channel, touches, speed to lead and the converted flag."""
     form = F.col("form_submission_date")
     contact = first_contact()
     speed_ok = (form.isNotNull() & (form >= fn.ts_literal(p.speed_guard))
@@ -138,6 +143,7 @@ def entity_leads(stg: DataFrame, p: Params) -> DataFrame:
 
 
 def entity_opportunities(stg: DataFrame) -> DataFrame:
+    """Opportunities with outcome, cycle times and closed flags."""
     stage = F.col("stage_name")
     created, close, demo = F.col("created_date"), F.col("close_date"), F.col("demo_set_date")
     return stg.select(

@@ -35,6 +35,7 @@ def _idle_days(*cols: str, as_of: str) -> Column:
 
 
 def ops_leads(entity: DataFrame, p: Params) -> DataFrame:
+    """One row per lead with speed bucket, sales tier, idle days and working health."""
     idle = _idle_days("last_sales_activity_date", "last_sales_call_date", "last_sales_email_date",
                       "form_submission_date", as_of=p.as_of)
     # no activity date at all -> 'Active' (both comparisons are NULL)
@@ -72,6 +73,7 @@ def one_lead_per_opportunity(leads: DataFrame) -> DataFrame:
 
 
 def loss_category(p: Params) -> Column:
+    """Why a lost deal was lost; the first matching rule wins."""
     lost, reason = F.col("is_closed_lost"), F.col("lost_reason_c")
     return (
         F.when(lost & (F.col("demo_held") == F.lit(False)), F.lit(L.LOSS_PRE_DEMO))
@@ -83,6 +85,7 @@ def loss_category(p: Params) -> Column:
 
 
 def ops_opportunities(entity_opps: DataFrame, ops_leads_df: DataFrame, p: Params) -> DataFrame:
+    """One row per opportunity, enriched with its lead, revenue model and loss category."""
     lead_cols = ["lead_id", "channel", "predicted_sales_with_owner", "predicted_sales_tier", "location_count",
                  "connected_with_decision_maker", "total_touch_count", "speed_to_lead_minutes",
                  "marketplace_count", "form_submission_date", "converted_opportunity_id"]

@@ -20,6 +20,7 @@ from ..params import Params
 
 # ------------------------------------------------------- rpt_cac_ltv_by_channel
 def rpt_cac_ltv_by_channel(ops_opps: DataFrame, ops_exp: DataFrame, p: Params) -> DataFrame:
+    """One row per channel: wins, six-month cost, CAC, revenue per deal, LTV and LTV:CAC."""
     won = (
         ops_opps.filter(F.col("is_closed_won"))
         .groupBy("channel")
@@ -52,6 +53,7 @@ def rpt_cac_ltv_by_channel(ops_opps: DataFrame, ops_exp: DataFrame, p: Params) -
 
 # ----------------------------------------------------------- rpt_funnel_summary
 def leads_by_channel(ops_leads: DataFrame, median_accuracy: int | None = None) -> DataFrame:
+    """Lead-side funnel measures per channel (one aggregation over the leads)."""
     status = F.col("status")
     speed = F.col("speed_to_lead_minutes")
     # exact median keeps one counter per distinct minute value per group; the
@@ -75,6 +77,7 @@ def leads_by_channel(ops_leads: DataFrame, median_accuracy: int | None = None) -
 
 
 def deals_by_channel(ops_opps: DataFrame) -> DataFrame:
+    """Opportunity-side funnel measures per channel (NULL channel is its own group)."""
     won = F.col("is_closed_won")
     loss = F.col("loss_category")
     return ops_opps.groupBy("channel").agg(
@@ -106,6 +109,7 @@ FUNNEL_COLUMNS = [
 
 
 def rpt_funnel_summary(ops_leads: DataFrame, ops_opps: DataFrame, p: Params | None = None) -> DataFrame:
+    """One row per lead channel: volumes, conversion and win rates, losses, velocity, profile."""
     lm = leads_by_channel(ops_leads, p.median_accuracy if p is not None else None)
     om = deals_by_channel(ops_opps)
     # both sides hold one row per channel: the size bound of this broadcast
@@ -186,6 +190,7 @@ MONTHLY_COLUMNS = [
 
 
 def rpt_monthly_unit_economics(ops_exp: DataFrame, ops_leads: DataFrame, ops_opps: DataFrame) -> DataFrame:
+    """One row per expense month: costs, volumes by channel, unit costs and CAC."""
     leads_m = monthly_lead_volumes(ops_leads)
     opps_m = monthly_deal_outcomes(ops_opps)
     e = ops_exp
@@ -267,6 +272,7 @@ def channel_months(monthly: DataFrame) -> DataFrame:
 
 
 def rpt_channel_efficiency(monthly: DataFrame, p: Params) -> DataFrame:
+    """One row per channel and month: rolling three-row averages, deltas, mix, flags, trend."""
     u = channel_months(monthly)
     w = trailing(["channel"], ["expense_month"], p.rolling_rows)
     w0 = ordered(["channel"], ["expense_month"])
@@ -329,6 +335,7 @@ PIPELINE_REPORT_COLUMNS = SEGMENT_KEYS + [
 
 
 def segment_rollup(pipeline: DataFrame) -> DataFrame:
+    """Measures per (channel, record type, segment, demo status, health)."""
     risk, speed = F.col("risk_level"), F.col("speed_to_lead_minutes")
     n = F.count(F.lit(1))
     share = lambda cond: round_half(count_if(cond).cast("double") * F.lit(100.0) / n, 1)
@@ -363,6 +370,7 @@ def segment_rollup(pipeline: DataFrame) -> DataFrame:
 
 
 def rpt_pipeline_health(pipeline: DataFrame) -> DataFrame:
+    """Segment measures with each segment's share of its channel."""
     s = segment_rollup(pipeline)
     # channel totals over the (few) segment rows; a NULL channel gets none,
     # as an equality join on channel would give
