@@ -24,13 +24,25 @@ from pyspark.sql import SparkSession
 from .params import DEFAULT
 from .plans import Pipeline
 from .plans.checks import check_summary
-from .session import local_session
+from .session import LOCAL_SQL_CONF
 from .sources import Sources
 
 
 def _session() -> SparkSession:
+    """The active session, else one from the builder.
+
+    Under ``spark-submit`` the builder picks up the submitted master and
+    settings; run as a plain Python module it starts locally.  Only SQL
+    settings the run relies on are added (UTC, AQE); the web UI stays off.
+    """
     active = SparkSession.getActiveSession()
-    return active if active is not None else local_session()
+    if active is not None:
+        return active
+    spark = SparkSession.builder.appName("pipewright").config("spark.ui.enabled", "false").getOrCreate()
+    for k, v in LOCAL_SQL_CONF.items():
+        spark.conf.set(k, v)
+    spark.sparkContext.setLogLevel("ERROR")
+    return spark
 
 
 def _pipeline(spark: SparkSession, args) -> Pipeline:

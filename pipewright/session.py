@@ -12,14 +12,18 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-_LOCAL_CONF = {
-    "spark.ui.enabled": "false",
+# SQL settings the pipeline relies on (runtime-settable on any session)
+LOCAL_SQL_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+}
+_LOCAL_CONF = {
+    "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    **LOCAL_SQL_CONF,
 }
 
 
