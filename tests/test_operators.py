@@ -88,3 +88,14 @@ def test_conform_rejects_missing_columns_and_casts_keys(spark):
     conformed = schemas.conform(leads, schemas.LEADS)
     assert conformed.schema["lead_id"].dataType.simpleString() == "string"   # integer keys accepted as text
     assert conformed.first().lead_id == "7"
+
+
+def test_scale_conf_sizes_partitions():
+    from pipewright.session import scale_conf
+
+    small = scale_conf(1 << 20, total_cores=8)
+    assert small["spark.sql.shuffle.partitions"] == "16"            # two per core at least
+    big = scale_conf(100 * (1 << 40), total_cores=8000)            # 100 TB on 8,000 cores
+    assert int(big["spark.sql.shuffle.partitions"]) == 100 * (1 << 40) // (256 << 20)
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    assert big["spark.sql.adaptive.coalescePartitions.parallelismFirst"] == "false"
