@@ -28,6 +28,7 @@ import heapq
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
@@ -241,9 +242,7 @@ def decode(encoded: DataFrame, ids: str = "ids", path: str | None = None) -> Col
     tokens = shared_tokens(encoded.sparkSession, path)
 
     @F.pandas_udf("binary")
-    def joined(lists: "pd.Series") -> "pd.Series":  # noqa: F821
-        import pandas as pd
-
+    def joined(lists: pd.Series) -> pd.Series:
         sizes = [0 if x is None else len(x) for x in lists]
         flat = np.concatenate([np.asarray(x, np.int32) for x in lists if x is not None and len(x)] or [np.zeros(0, np.int32)])
         return pd.Series(_codec(tokens).decode(flat, np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)))
