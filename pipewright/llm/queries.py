@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, importance, line_dedup, quality_rules, simhash
+from . import bpe, decontaminate, importance, line_dedup, quality_rules, simhash, suffix_repeats
 
 QUERIES = {f.__name__: f for f in (
     bpe.op2_bpe,
     quality_rules.op5_quality_rules,
+    suffix_repeats.op6_suffix_dedup,
     importance.op7_importance,
     simhash.op8_simhash,
     decontaminate.op9_decontamination,
     line_dedup.op10_line_dedup,
 )}
 ORACLE = {
+    "op6_suffix_dedup": suffix_repeats.SQL,
     "op9_decontamination": decontaminate.SQL,
     "op10_line_dedup": line_dedup.SQL,
 }
