@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, importance, line_dedup, quality_rules, simhash, suffix_repeats
+from . import attention_lm, bpe, decontaminate, importance, line_dedup, quality_rules, simhash, suffix_repeats
 
 QUERIES = {f.__name__: f for f in (
     bpe.op2_bpe,
+    attention_lm.op4_attention_lm,
     quality_rules.op5_quality_rules,
     suffix_repeats.op6_suffix_dedup,
     importance.op7_importance,
