@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,7 +55,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = 2 << 20) -> Iterator
 
     Bounds what one numpy pass holds; a longer single text is a run by itself.
     """
-    sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     start = total = 0
     for i, size in enumerate(sizes):
         if i > start and total + size > limit:

@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -109,13 +110,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                                               pa.array(list(map(np.concatenate, value)), pa.list_(pa.float32()))], names=["id", "good", "index", "value"])
 
     got = labelled(docs, labels, id_col, text_col, label_col, sample).mapInArrow(run, "id long, good int, index array<int>, value array<float>").toArrow()
-    got = got.take(pa.compute.sort_indices(got, sort_keys=[("id", "ascending")])).combine_chunks()
+    got = got.take(pc.sort_indices(got, sort_keys=[("id", "ascending")])).combine_chunks()
     size = 3 << BITS
     weights, good = np.zeros(size + 1), got.column("good").to_numpy() > 0
     if not len(good) or good.all() or not good.any():
         weights[-1] = 50.0  # nothing to tell apart: keep
         return weights
-    row = np.repeat(np.arange(len(good)), pa.compute.list_value_length(got.column("index")).to_numpy())
+    row = np.repeat(np.arange(len(good)), pc.list_value_length(got.column("index")).to_numpy())
     index = got.column("index").combine_chunks().flatten().to_numpy().astype(np.int64)
     value = got.column("value").combine_chunks().flatten().to_numpy().astype(np.float64)
     held = np.arange(len(good)) % 5 == 0

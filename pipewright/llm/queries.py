@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import attention_lm, bpe, decontaminate, importance, line_dedup, quality_rules, simhash, suffix_repeats
+from . import attention_lm, bpe, chat_format, decontaminate, importance, line_dedup, quality_rules, simhash, site_style, suffix_repeats
 
 QUERIES = {f.__name__: f for f in (
+    site_style.op1_site_style,
     bpe.op2_bpe,
+    chat_format.op3_chat,
     attention_lm.op4_attention_lm,
     quality_rules.op5_quality_rules,
     suffix_repeats.op6_suffix_dedup,
@@ -15,6 +17,7 @@ QUERIES = {f.__name__: f for f in (
     line_dedup.op10_line_dedup,
 )}
 ORACLE = {
+    "op3_chat": chat_format.SQL,
     "op6_suffix_dedup": suffix_repeats.SQL,
     "op9_decontamination": decontaminate.SQL,
     "op10_line_dedup": line_dedup.SQL,
