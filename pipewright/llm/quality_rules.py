@@ -141,11 +141,14 @@ def calibrate(z: np.ndarray, good: np.ndarray) -> tuple[float, float]:
         return 1.0, 0.0
     # smoothed targets, as few rows could otherwise be parted with certainty
     aim = np.where(good, (good.sum() + 1) / (good.sum() + 2), 1 / ((~good).sum() + 2))
-    x, found = np.stack([z, np.ones_like(z)], 1), np.array([1.0, 0.0])
+    x, found = np.stack([z, np.ones_like(z)], 1), np.array([0.0, np.log(good.mean() / (1 - good.mean()))])
+    loss = lambda f: (np.logaddexp(0, x @ f) - aim * (x @ f)).mean()
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ found, -30, 30)))
-        bend = (x * (p * (1 - p))[:, None]).T @ x + 1e-6 * np.eye(2)
-        found = found - np.linalg.solve(bend, x.T @ (p - aim))
+        step = np.linalg.solve((x.T * (p * (1 - p))) @ x + 1e-6 * np.eye(2), x.T @ (p - aim))
+        while loss(found - step) > loss(found) and np.abs(step).max() > 1e-9:
+            step = step / 2
+        found = found - step
     # a wrong sign can only come from a few odd rows: then leave the margin as it is
     return (float(found[0]), float(found[1])) if found[0] > 0 else (1.0, 0.0)
 
