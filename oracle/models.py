@@ -8,8 +8,8 @@ from pipewright import labels as L
 from pipewright.params import DEFAULT as P
 from pipewright.sources import adapter as A
 
-from .sqlkit import (currency, ddiff, decimal_comma, emean, esum, fix_date, fix_ts, hdiff, list_count, mdiff,
-                     mean, month, pct, rnd, sdiv, units)
+from .sqlkit import (currency, ddiff, dec, decimal_comma, emean, esum, fix_date, fix_ts, from_dec, hdiff, list_count, mdiff,
+                     mean, month, pct, rnd, sdiv)
 
 AS_OF = f"DATE '{P.as_of}'"
 AS_OF_TS = f"TIMESTAMP '{P.as_of} 00:00:00'"
@@ -53,24 +53,23 @@ cte("z_orders", [], "SELECT o_orderkey AS k, o_custkey AS c, o_totalprice AS p F
 cte("src_leads", ["z_orders"],
     f"SELECT {_lead_select()} FROM z_orders UNION ALL "
     f"SELECT {_lead_select()} FROM z_orders WHERE {A.LEAD_DUPLICATE_RULE}")
-cte("src_opportunities", ["z_orders"],
-    f"SELECT {_opp_select(0)} FROM z_orders WHERE {A.OPPORTUNITY_FILTER} UNION ALL "
-    f"SELECT {_opp_select(1)} FROM z_orders WHERE {A.OPPORTUNITY_FILTER} AND {A.OPPORTUNITY_OLDER_VERSION_RULE}"
-    f" UNION ALL "
-    f"SELECT {_opp_select(2)} FROM z_orders WHERE {A.OPPORTUNITY_FILTER} AND {A.OPPORTUNITY_NULL_VERSION_RULE}")
+cte("z_customers", [], f"SELECT {A.OPPORTUNITY_KEY} AS k, c_custkey AS c FROM customer")
+cte("src_opportunities", ["z_customers"],
+    f"SELECT {_opp_select(0)} FROM z_customers UNION ALL "
+    f"SELECT {_opp_select(1)} FROM z_customers WHERE {A.OPPORTUNITY_OLDER_VERSION_RULE} UNION ALL "
+    f"SELECT {_opp_select(2)} FROM z_customers WHERE {A.OPPORTUNITY_NULL_VERSION_RULE}")
 cte("z_month_adv", ["z_orders"],
-    f"SELECT {A.EXPENSE_BUCKET} AS b, {A.ADVERTISING_CENTS} AS a0 FROM z_orders GROUP BY 1")
+    f"SELECT {A.ADVERTISING_BUCKET} AS b, {A.ADVERTISING_CENTS} AS a0 FROM z_orders GROUP BY 1")
 cte("z_month_sal", ["z_orders"],
-    f"SELECT {A.EXPENSE_BUCKET} AS b, {A.OUTBOUND_CENTS} AS a0, {A.INBOUND_CENTS} AS a1 FROM z_orders GROUP BY 1")
+    f"SELECT {A.SALARY_BUCKET} AS b, {A.OUTBOUND_CENTS} AS a0, {A.INBOUND_CENTS} AS a1 FROM z_orders GROUP BY 1")
 _adv_row = (f"SELECT {A.MONTH_TEXT} AS month, CASE WHEN {A.ADVERTISING_NULL_MONTH} THEN CAST(NULL AS VARCHAR)"
             f" ELSE {A.money_text_sql('a0', 'duckdb')} END AS advertising FROM z_month_adv")
 cte("src_expenses_advertising", ["z_month_adv"],
-    f"{_adv_row} WHERE {A.ADVERTISING_MONTHS} UNION ALL {_adv_row} WHERE {A.ADVERTISING_MONTHS}"
-    f" AND {A.ADVERTISING_DUPLICATE}")
+    f"{_adv_row} UNION ALL {_adv_row} WHERE {A.ADVERTISING_DUPLICATE}")
 _sal_row = (f"SELECT {A.MONTH_TEXT} AS month, {A.money_text_sql('a0', 'duckdb')} AS outbound_sales_team,"
             f" {A.money_text_sql('a1', 'duckdb')} AS inbound_sales_team FROM z_month_sal")
 cte("src_expenses_salary", ["z_month_sal"],
-    f"{_sal_row} WHERE {A.SALARY_MONTHS} UNION ALL {_sal_row} WHERE {A.SALARY_MONTHS} AND {A.SALARY_DUPLICATE}")
+    f"{_sal_row} UNION ALL {_sal_row} WHERE {A.SALARY_DUPLICATE}")
 
 # ---------------------------------------------------------------------- raw
 cte("raw_leads", ["src_leads"],
@@ -264,12 +263,12 @@ def _cnt(cond: str) -> str:
 
 cte("rpt_cac_ltv_by_channel", ["ops_opportunities", "ops_expenses"],
     "WITH wins AS (SELECT channel, COUNT(*) AS deals_won, "
-    f"{rnd(emean('monthly_subscription', 4), 2)} AS avg_monthly_subscription, "
-    f"{rnd(emean('monthly_take_rate', 4), 2)} AS avg_monthly_take_rate, "
-    f"{rnd(emean('monthly_revenue', 4), 2)} AS avg_monthly_revenue "
+    f"{rnd(emean('monthly_subscription'), 2)} AS avg_monthly_subscription, "
+    f"{rnd(emean('monthly_take_rate'), 2)} AS avg_monthly_take_rate, "
+    f"{rnd(emean('monthly_revenue'), 2)} AS avg_monthly_revenue "
     "FROM ops_opportunities WHERE is_closed_won GROUP BY channel), "
     f"spend AS (SELECT ch.channel, CASE ch.channel WHEN {_IN} THEN t.inb ELSE t.outb END AS total_cost FROM "
-    f"(SELECT {esum('inbound_channel_cost', 2)} AS inb, {esum('outbound_channel_cost', 2)} AS outb FROM ops_expenses) t, "
+    f"(SELECT {esum('inbound_channel_cost')} AS inb, {esum('outbound_channel_cost')} AS outb FROM ops_expenses) t, "
     f"(VALUES ({_IN}), ({_OUT})) ch(channel)), "
     "base AS (SELECT w.*, s.total_cost AS total_cost_6mo, "
     f"{rnd('s.total_cost / w.deals_won', 2)} AS cac FROM wins w JOIN spend s USING (channel)) "
@@ -291,7 +290,7 @@ cte("rpt_funnel_summary", ["ops_leads", "ops_opportunities"],
     f"{_cnt('connected_with_decision_maker')} AS dm_connected_leads, "
     f"{rnd(mean('speed_to_lead_minutes'), 1)} AS avg_speed_to_lead_min, "
     f"{rnd('quantile_cont(speed_to_lead_minutes, 0.5)', 1)} AS median_speed_to_lead_min, "
-    f"{rnd(emean('predicted_sales_with_owner', 2), 0)} AS avg_predicted_sales, "
+    f"{rnd(emean('predicted_sales_with_owner'), 0)} AS avg_predicted_sales, "
     f"{rnd(mean('total_touch_count'), 1)} AS avg_touches_per_lead, "
     f"{rnd(mean('location_count'), 1)} AS avg_locations FROM ops_leads GROUP BY channel), "
     "deal_side AS (SELECT channel, COUNT(*) AS total_opportunities, "
@@ -299,7 +298,7 @@ cte("rpt_funnel_summary", ["ops_leads", "ops_opportunities"],
     f"{_cnt('NOT is_closed')} AS open_pipeline, {_cnt('demo_held')} AS demos_held, "
     + ", ".join(f"{_cnt('loss_category = ' + _v(v))} AS {k}" for k, v in _LOSS.items()) + ", "
     f"{rnd('AVG(days_to_close) FILTER (WHERE is_closed_won)', 1)} AS avg_days_to_close_won, "
-    f"{rnd(f'(CAST(SUM({units('predicted_sales_with_owner', 2)}) FILTER (WHERE is_closed_won) AS DOUBLE) / NULLIF(COUNT(predicted_sales_with_owner) FILTER (WHERE is_closed_won), 0)) / 100.0::DOUBLE', 0)}"
+    f"{rnd(emean('CASE WHEN is_closed_won THEN predicted_sales_with_owner END'), 0)}"
     " AS avg_won_predicted_sales, "
     f"{rnd('CAST(SUM(total_touch_count) FILTER (WHERE is_closed_won) AS DOUBLE) / NULLIF(COUNT(total_touch_count) FILTER (WHERE is_closed_won), 0)', 1)}"
     " AS avg_touches_to_win FROM ops_opportunities GROUP BY channel) "
@@ -331,13 +330,13 @@ cte("rpt_monthly_unit_economics", ["ops_expenses", "ops_leads", "ops_opportuniti
     f"{_cnt('channel = ' + _OUT + ' AND is_closed_won')} AS outbound_wins, "
     f"{_cnt('channel = ' + _IN + ' AND is_closed_lost')} AS inbound_losses, "
     f"{_cnt('channel = ' + _OUT + ' AND is_closed_lost')} AS outbound_losses, "
-    f"SUM({units('predicted_sales_with_owner', 2)}) FILTER (WHERE channel = {_IN} AND is_closed_won) AS in_cents, "
-    f"SUM({units('predicted_sales_with_owner', 2)}) FILTER (WHERE channel = {_OUT} AND is_closed_won) AS out_cents "
+    f"{esum(f'CASE WHEN channel = {_IN} AND is_closed_won THEN predicted_sales_with_owner END')} AS in_revenue, "
+    f"{esum(f'CASE WHEN channel = {_OUT} AND is_closed_won THEN predicted_sales_with_owner END')} AS out_revenue "
     "FROM ops_opportunities WHERE is_closed AND close_date IS NOT NULL GROUP BY 1), "
     "vol AS (SELECT e.*, "
     + ", ".join(f"CAST(COALESCE({c}, 0) AS BIGINT) AS {c}" for c in _VOL) + ", "
-    "CAST(COALESCE(in_cents, 0) AS DOUBLE) / 100.0::DOUBLE AS inbound_won_predicted_revenue, "
-    "CAST(COALESCE(out_cents, 0) AS DOUBLE) / 100.0::DOUBLE AS outbound_won_predicted_revenue "
+    "COALESCE(in_revenue, 0.0::DOUBLE) AS inbound_won_predicted_revenue, "
+    "COALESCE(out_revenue, 0.0::DOUBLE) AS outbound_won_predicted_revenue "
     "FROM ops_expenses e LEFT JOIN lead_months l ON e.expense_month = l.m "
     "LEFT JOIN deal_months d ON e.expense_month = d.m) "
     "SELECT expense_month, advertising_spend, inbound_sales_team_cost, outbound_sales_team_cost, "
@@ -354,9 +353,8 @@ _W1 = "(PARTITION BY channel ORDER BY expense_month)"
 _WM = "(PARTITION BY expense_month)"
 
 
-def _roll(col: str, d: int, vd: int) -> str:
-    return rnd(f"(CAST(SUM({units(col, vd)}) OVER {_W3} AS DOUBLE) / NULLIF(COUNT({col}) OVER {_W3}, 0))"
-               f" / {float(10 ** vd)!r}::DOUBLE", d)
+def _roll(col: str, d: int) -> str:
+    return rnd(f"{from_dec(f'SUM({dec(col)}) OVER {_W3}')} / NULLIF(COUNT({col}) OVER {_W3}, 0)", d)
 
 
 def _pick(col: str) -> str:
@@ -370,9 +368,9 @@ cte("rpt_channel_efficiency", ["rpt_monthly_unit_economics"],
     f"{_pick('won_predicted_revenue')} AS total_monthly_revenue_won, "
     f"{pct(_pick('wins'), _pick('converted'))} AS lead_to_win_rate_pct "
     f"FROM rpt_monthly_unit_economics m CROSS JOIN (VALUES ({_IN}), ({_OUT})) ch(channel)), "
-    f"framed AS (SELECT *, {_roll('monthly_cac', 2, 2)} AS rolling_3mo_cac, "
-    f"{_roll('lead_to_win_rate_pct', 2, 2)} AS rolling_3mo_conversion_rate, "
-    f"{_roll('deals_won', 1, 0)} AS rolling_3mo_deals_won, CAST(COUNT(*) OVER {_W3} AS BIGINT) AS n_frame, "
+    f"framed AS (SELECT *, {_roll('monthly_cac', 2)} AS rolling_3mo_cac, "
+    f"{_roll('lead_to_win_rate_pct', 2)} AS rolling_3mo_conversion_rate, "
+    f"{_roll('deals_won', 1)} AS rolling_3mo_deals_won, CAST(COUNT(*) OVER {_W3} AS BIGINT) AS n_frame, "
     f"LAG(monthly_cac) OVER {_W1} AS cac_before, LAG(lead_to_win_rate_pct) OVER {_W1} AS rate_before, "
     f"LAG(deals_won) OVER {_W1} AS wins_before, LAG(new_leads) OVER {_W1} AS leads_before, "
     f"SUM(total_channel_cost) OVER {_WM} AS month_spend, SUM(deals_won) OVER {_WM} AS month_wins, "
@@ -415,16 +413,16 @@ def _share(cond: str) -> str:
 _RISKS = ((L.RISK_HIGH, "high"), (L.RISK_MEDIUM, "medium"), (L.RISK_LOW, "low"))
 cte("rpt_pipeline_health", ["ops_pipeline_health"],
     f"WITH seg AS (SELECT {_K5}, COUNT(*) AS record_count, "
-    f"{rnd(esum('forecasted_monthly_revenue', 4), 2)} AS total_forecasted_monthly_revenue, "
-    f"{rnd(esum('forecasted_annual_revenue', 4), 2)} AS total_forecasted_annual_revenue, "
-    f"{rnd(emean('forecasted_monthly_revenue', 4), 2)} AS avg_forecasted_monthly_revenue, "
-    f"{rnd(esum('potential_monthly_revenue', 2), 2)} AS total_potential_monthly_revenue, "
-    f"{rnd(esum('potential_annual_revenue', 2), 2)} AS total_potential_annual_revenue, "
-    f"{rnd(emean('potential_monthly_revenue', 2), 2)} AS avg_potential_monthly_revenue, "
+    f"{rnd(esum('forecasted_monthly_revenue'), 2)} AS total_forecasted_monthly_revenue, "
+    f"{rnd(esum('forecasted_annual_revenue'), 2)} AS total_forecasted_annual_revenue, "
+    f"{rnd(emean('forecasted_monthly_revenue'), 2)} AS avg_forecasted_monthly_revenue, "
+    f"{rnd(esum('potential_monthly_revenue'), 2)} AS total_potential_monthly_revenue, "
+    f"{rnd(esum('potential_annual_revenue'), 2)} AS total_potential_annual_revenue, "
+    f"{rnd(emean('potential_monthly_revenue'), 2)} AS avg_potential_monthly_revenue, "
     f"{rnd(mean('days_in_pipeline'), 1)} AS avg_days_in_pipeline, "
     f"{rnd(mean('days_in_current_stage'), 1)} AS avg_days_in_current_stage, "
     "MIN(days_in_pipeline) AS min_days_in_pipeline, MAX(days_in_pipeline) AS max_days_in_pipeline, "
-    f"{rnd(emean('predicted_sales_with_owner', 2), 2)} AS avg_predicted_sales, "
+    f"{rnd(emean('predicted_sales_with_owner'), 2)} AS avg_predicted_sales, "
     f"{rnd(mean('total_touch_count'), 1)} AS avg_touch_count, "
     f"{rnd(mean('speed_to_lead_minutes'), 1)} AS avg_speed_to_lead_minutes, "
     f"{_share('connected_with_decision_maker')} AS decision_maker_pct, "
@@ -435,8 +433,8 @@ cte("rpt_pipeline_health", ["ops_pipeline_health"],
     f"{_cnt('speed_to_lead_minutes <= 30')} AS responded_under_30min, "
     f"{_cnt('speed_to_lead_minutes > 60')} AS responded_over_1hr FROM ops_pipeline_health GROUP BY {_K5}), "
     "per_channel AS (SELECT channel, SUM(record_count) AS n_all, "
-    f"{esum('total_forecasted_annual_revenue', 2)} AS fore_all, "
-    f"{esum('total_potential_annual_revenue', 2)} AS pot_all FROM seg WHERE channel IS NOT NULL GROUP BY channel) "
+    f"{esum('total_forecasted_annual_revenue')} AS fore_all, "
+    f"{esum('total_potential_annual_revenue')} AS pot_all FROM seg WHERE channel IS NOT NULL GROUP BY channel) "
     "SELECT seg.channel, record_type, pipeline_segment, demo_status, health_status, record_count, "
     f"{rnd('CAST(record_count AS DOUBLE) * 100.0::DOUBLE / n_all', 1)} AS pct_of_channel, "
     "total_forecasted_monthly_revenue, total_forecasted_annual_revenue, avg_forecasted_monthly_revenue, "

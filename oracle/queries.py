@@ -52,6 +52,8 @@ for _name in ("stg_leads", "stg_opportunities", "stg_expenses_advertising", "stg
               "rpt_channel_efficiency", "rpt_pipeline_health", "rpt_lead_outreach_priority"):
     ORACLE[_name] = table(_name)
 
+ORACLE["stored_pipeline_health"] = table("rpt_pipeline_health")
+
 from .analyses import Q as _ANALYSES  # noqa: E402
 
 ORACLE.update(_ANALYSES)

@@ -1,7 +1,7 @@
 """Small SQL-text helpers for the DuckDB oracle.
 
 They spell out, in SQL, the same numeric conventions the Spark code uses:
-half-away rounding on doubles, money summed as integer units, NULLIF guards.
+half-away rounding on doubles, money summed as decimals, NULLIF guards.
 """
 
 from __future__ import annotations
@@ -25,16 +25,22 @@ def pct(a: str, b: str, d: int = 2) -> str:
     return rnd(sdiv(f"{dbl(a)} * 100.0::DOUBLE", b), d)
 
 
-def units(e: str, d: int) -> str:
-    return f"CAST(round({dbl(e)} * {float(10 ** d)!r}::DOUBLE) AS BIGINT)"
+def dec(e: str) -> str:
+    """The digits a DOUBLE prints as, as a decimal."""
+    return f"CAST(CAST({dbl(e)} AS VARCHAR) AS DECIMAL(38,10))"
 
 
-def esum(e: str, d: int = 2) -> str:
-    return f"(CAST(SUM({units(e, d)}) AS DOUBLE) / {float(10 ** d)!r}::DOUBLE)"
+def from_dec(e: str) -> str:
+    """The DOUBLE nearest to a decimal."""
+    return f"CAST(CAST({e} AS VARCHAR) AS DOUBLE)"
 
 
-def emean(e: str, d: int = 2) -> str:
-    return f"((CAST(SUM({units(e, d)}) AS DOUBLE) / NULLIF(COUNT({e}), 0)) / {float(10 ** d)!r}::DOUBLE)"
+def esum(e: str) -> str:
+    return from_dec(f"SUM({dec(e)})")
+
+
+def emean(e: str) -> str:
+    return f"({esum(e)} / NULLIF(COUNT({e}), 0))"
 
 
 def mean(e: str) -> str:
@@ -42,7 +48,7 @@ def mean(e: str) -> str:
 
 
 def cif(cond: str) -> str:
-    return f"CAST(SUM(CASE WHEN {cond} THEN 1 ELSE 0 END) AS BIGINT)"
+    return f"CAST(COALESCE(SUM(CASE WHEN {cond} THEN 1 ELSE 0 END), 0) AS BIGINT)"
 
 
 def fix_ts(c: str) -> str:
@@ -55,7 +61,7 @@ def fix_date(c: str) -> str:
     return f"CAST(strptime('2' || substr(strftime({c}, {fmt}), 2), {fmt}) AS DATE)"
 
 
-NUM_RE = "'^[+-]?[0-9]*[.]?[0-9]+$'"
+NUM_RE = r"'^\s*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?\s*$'"
 
 
 def tolerant_double(x: str) -> str:

@@ -15,9 +15,7 @@ from .numeric import col
 MONTH_TEXT_FORMAT = "MMM-yy"          # 'Jan-24'
 CURRENCY_PREFIX = "US$"
 # a plain decimal number; what a tolerant numeric cast accepts
-DECIMAL_PATTERN = r"^[+-]?[0-9]*[.]?[0-9]+$"
-# a text that is a bracketed list and nothing after it
-LIST_PATTERN = r"^\s*\[.*\]\s*$"
+DECIMAL_PATTERN = r"^\s*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 
 def fixed_year(year: Column) -> Column:
@@ -50,7 +48,7 @@ def fix_year_date(c: str | Column) -> Column:
 
 
 def tolerant_double(text: Column) -> Column:
-    """Cast text to DOUBLE, NULL when it is not a plain decimal number."""
+    """Cast text to DOUBLE, NULL when it is not a decimal number (blanks around it, an open point and an exponent are)."""
     return F.when(text.rlike(DECIMAL_PATTERN), text.try_cast("double"))
 
 
@@ -91,7 +89,9 @@ def list_count(c: str | Column) -> Column:
     """
     raw = col(c)
     as_json = F.replace(F.replace(raw, F.lit("'"), F.lit('"')), F.lit("None"), F.lit("null"))
-    counted = F.when(as_json.rlike(LIST_PATTERN), F.json_array_length(as_json))
+    # as an item of a list of two: only a text that is one whole JSON value makes two
+    one_value = F.json_array_length(F.concat(F.lit("["), as_json, F.lit(",0]"))) == 2
+    counted = F.when(one_value, F.json_array_length(as_json))
     return (
         F.when(raw.isNull() | F.trim(raw).isin("[]", ""), F.lit(0))
         .otherwise(F.coalesce(counted, F.lit(0)))

@@ -4,9 +4,10 @@ All of them are built-in Spark expressions, so they stay inside whole-stage
 codegen.  Two rules keep results independent of partitioning and summation
 order:
 
-* money is summed as a fixed-point integer (``exact_sum``), so a sum over a
-  billion rows gives the same value whatever order the partial aggregates
-  arrive in;
+* money is summed as DECIMAL of the whole value (``exact_sum``), so nothing is
+  rounded before the report rounds once, a sum over a billion rows gives the
+  same value whatever order the partial aggregates arrive in, and it has 28
+  digits before the point to grow in;
 * rounding is half away from zero on the binary double
   (``sign(x) * floor(|x| * 10^d + 0.5) / 10^d``); it is the same sequence of
   IEEE operations in every engine, which is what makes the SQL oracle
@@ -45,19 +46,24 @@ def pct(num: str | Column, den: str | Column, digits: int = 2) -> Column:
     return round_half(safe_div(dbl(num) * F.lit(100.0), den), digits)
 
 
-def fixed_units(c: str | Column, digits: int) -> Column:
-    """A decimal money value as an integer count of 10^-digits units."""
-    return F.round(dbl(c) * F.lit(float(10 ** digits))).cast("bigint")
+def money(c: str | Column) -> Column:
+    """A value as DECIMAL, with the digits its DOUBLE prints as (ten after the point)."""
+    return dbl(c).cast("decimal(38,10)")
 
 
-def exact_sum(c: str | Column, digits: int = 2) -> Column:
-    """SUM of a money column, summed as integers of 10^-digits units."""
-    return F.sum(fixed_units(c, digits)).cast("double") / F.lit(float(10 ** digits))
+def exact_sum(c: str | Column) -> Column:
+    """SUM of a column of decimal values, without an intermediate rounding."""
+    return F.sum(money(c)).cast("double")
 
 
-def exact_mean(c: str | Column, digits: int = 2) -> Column:
-    """AVG of a money column (NULLs skipped), from an exact integer sum."""
-    return safe_div(F.sum(fixed_units(c, digits)), F.count(col(c))) / F.lit(float(10 ** digits))
+def exact_mean(c: str | Column) -> Column:
+    """AVG of a column of decimal values (NULLs skipped), from its exact sum."""
+    return safe_div(exact_sum(c), F.count(col(c)))
+
+
+def exact_mean_of(total: str | Column, count: str | Column) -> Column:
+    """AVG from partial sums (DECIMAL or integer) and counts."""
+    return safe_div(F.sum(col(total)), F.sum(col(count)))
 
 
 def mean(c: str | Column) -> Column:
@@ -66,5 +72,5 @@ def mean(c: str | Column) -> Column:
 
 
 def count_if(cond: Column) -> Column:
-    """``SUM(CASE WHEN cond THEN 1 ELSE 0 END)`` — NULL counts as false."""
-    return F.sum(F.when(cond, F.lit(1)).otherwise(F.lit(0))).cast("bigint")
+    """``SUM(CASE WHEN cond THEN 1 ELSE 0 END)`` — NULL counts as false, no rows as 0."""
+    return F.coalesce(F.sum(F.when(cond, F.lit(1)).otherwise(F.lit(0))), F.lit(0)).cast("bigint")

@@ -1,14 +1,15 @@
 """DataFrame -> DataFrame operators, parameterized by column names."""
 
-from .checks import check_not_null, check_orphans, check_unique, failure_count, violations
+from .checks import check_orphans, failure_count, violations
 from .dedupe import dedupe
+from .quantiles import exact_median
 from .reshape import unpivot_columns, unpivot_groups
 from .snapshot import diff_snapshots
 from .shares import count_share, share_of_total, weighted_average
-from .windows import lag, ordered, rolling_count, rolling_mean, trailing, with_rolling
+from .windows import ordered, rolling_count, rolling_mean, trailing
 
 __all__ = [
-    "check_not_null", "check_orphans", "check_unique", "failure_count", "violations", "dedupe",
+    "check_orphans", "failure_count", "violations", "dedupe", "exact_median",
     "unpivot_columns", "unpivot_groups", "count_share", "share_of_total", "weighted_average",
-    "diff_snapshots", "lag", "ordered", "rolling_count", "rolling_mean", "trailing", "with_rolling",
+    "diff_snapshots", "ordered", "rolling_count", "rolling_mean", "trailing",
 ]

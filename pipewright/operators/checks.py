@@ -8,29 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _keys(keys) -> list[str]:
-    return [keys] if isinstance(keys, str) else list(keys)
-
-
-def check_unique(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
-    """Keys that occur more than once (rows with a NULL key are ignored).
-
-    A plain aggregation: partial counts per key are combined map-side, so a
-    hot key costs one row per map task in the shuffle.
-    """
-    ks = _keys(keys)
-    cond = None
-    for k in ks:
-        c = F.col(k).isNotNull()
-        cond = c if cond is None else cond & c
-    return (df.filter(cond).groupBy(*ks).agg(F.count(F.lit(1)).alias("n_rows"))
-            .filter(F.col("n_rows") > 1))
-
-
-def check_not_null(df: DataFrame, column: str, keep: Sequence[str] = ()) -> DataFrame:
-    return df.filter(F.col(column).isNull()).select(*(list(keep) or df.columns))
-
-
 def check_orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str,
                   keep: Sequence[str] = ()) -> DataFrame:
     """Child rows whose non-NULL foreign key has no parent (``left_anti``)."""

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import fixed_units, pct, round_half, safe_div
+from ..functions.numeric import money, pct, round_half, safe_div
 
 
 def share_of_total(df: DataFrame, value: str, alias: str, within: Sequence[str] | None = None,
@@ -33,14 +33,11 @@ def count_share(df: DataFrame, keys: Sequence[str], count_alias: str = "cnt", pc
     return share_of_total(counted, count_alias, pct_alias, within, digits)
 
 
-def weighted_average(value: str | Column, weight: str | Column, digits: int, value_digits: int) -> Column:
+def weighted_average(value: str | Column, weight: str | Column, digits: int) -> Column:
     """``ROUND(SUM(weight * value) / NULLIF(SUM(weight), 0), digits)``.
 
-    ``value`` carries ``value_digits`` decimals (it is itself a rounded
-    average), so the weighted sum is exact as an integer of those units.
+    The weighted values are summed as decimals, so their order doesn't matter.
     """
     v = F.col(value) if isinstance(value, str) else value
     w = F.col(weight) if isinstance(weight, str) else weight
-    scale = float(10 ** value_digits)
-    weighted = F.sum(fixed_units(w.cast("double") * v, value_digits)).cast("double") / F.lit(scale)
-    return round_half(safe_div(weighted, F.sum(w)), digits)
+    return round_half(safe_div(F.sum(money(w.cast("double") * v)), F.sum(w)), digits)

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from ..functions.numeric import fixed_units, round_half, safe_div
+from ..functions.numeric import money, round_half, safe_div
 
 
 def ordered(partition: Sequence[str], order: Sequence[str]) -> WindowSpec:
@@ -22,31 +22,11 @@ def trailing(partition: Sequence[str], order: Sequence[str], rows: int) -> Windo
     return ordered(partition, order).rowsBetween(-(rows - 1), Window.currentRow)
 
 
-def rolling_mean(value: str, w: WindowSpec, digits: int, value_digits: int = 0) -> Column:
-    """AVG over the frame (NULLs skipped), summed exactly in value units."""
-    units = fixed_units(F.col(value), value_digits)
-    scale = float(10 ** value_digits)
-    return round_half(safe_div(F.sum(units).over(w), F.count(F.col(value)).over(w)) / F.lit(scale), digits)
+def rolling_mean(value: str, w: WindowSpec, digits: int) -> Column:
+    """AVG over the frame (NULLs skipped), from the exact sum."""
+    return round_half(safe_div(F.sum(money(value)).over(w), F.count(F.col(value)).over(w)), digits)
 
 
 def rolling_count(w: WindowSpec) -> Column:
     """COUNT(*) over the frame (rows, NULL values included)."""
     return F.count(F.lit(1)).over(w).cast("bigint")
-
-
-def lag(value: str, w: WindowSpec, offset: int = 1) -> Column:
-    return F.lag(F.col(value), offset).over(w)
-
-
-def with_rolling(df: DataFrame, partition: Sequence[str], order: Sequence[str], value: str,
-                 rows: int = 3, digits: int = 2, value_digits: int = 0,
-                 prefix: str = "rolling_") -> DataFrame:
-    """Add a rolling mean, the frame size and the previous value of ``value``."""
-    w = trailing(partition, order, rows)
-    w0 = ordered(partition, order)
-    return df.select(
-        "*",
-        rolling_mean(value, w, digits, value_digits).alias(f"{prefix}{value}"),
-        rolling_count(w).alias(f"{prefix}rows"),
-        lag(value, w0).alias(f"prev_{value}"),
-    )

@@ -72,10 +72,8 @@ class Params:
         (L.STAGE_VERBAL, L.SEGMENT_NEAR_CLOSE),
         (L.STAGE_ON_HOLD, L.SEGMENT_STALLED),
     )
-    # opt-ins (off by default, never silent): approximate median with this
-    # accuracy instead of the exact one; NULL instead of an error for month
-    # text that does not parse
-    median_accuracy: int | None = None
+    # opt-in (off by default, never silent): NULL instead of an error for
+    # month text that does not parse
     tolerant_months: bool = False
     # snapshot diff: the earlier run is this many days before as_of
     snapshot_gap_days: int = 30

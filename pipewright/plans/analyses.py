@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from .. import functions as fn
 from .. import labels as L
-from ..functions import count_if, exact_mean, exact_sum, fixed_units, mean, pct, round_half, safe_div
-from ..operators import count_share, dedupe, share_of_total, unpivot_columns, weighted_average
+from ..functions import count_if, exact_mean, exact_sum, mean, money, pct, round_half, safe_div
+from ..operators import count_share, dedupe, exact_median, share_of_total, unpivot_columns, weighted_average
 from ..sources import read_driver
 from . import checks, reports
 from .registry import QUERIES, pipeline, register
@@ -130,7 +130,7 @@ def _lead_rollup(leads: DataFrame) -> DataFrame:
         .groupBy("converted_opportunity_id", _channel_from_form().alias("channel"))
         .agg(
             F.count(F.lit(1)).alias("n"),
-            F.sum(fixed_units(pred, 2)).alias("pred_cents"),
+            F.sum(money(pred)).alias("pred_sum"),
             F.count(pred).alias("pred_n"),
             F.sum("location_count").alias("loc_sum"),
             F.count("location_count").alias("loc_n"),
@@ -201,7 +201,7 @@ def q11_working_age(spark: SparkSession, sf: str) -> DataFrame:
     return rows.groupBy("age_bucket").agg(
         F.count(F.lit(1)).alias("leads"),
         round_half(mean("total_touches"), 1).alias("avg_touches"),
-        round_half(exact_mean("predicted_sales", 2), 0).alias("avg_predicted_sales")).orderBy(_asc("age_bucket"))
+        round_half(exact_mean("predicted_sales"), 0).alias("avg_predicted_sales")).orderBy(_asc("age_bucket"))
 
 
 @register("q12_won_profile")
@@ -216,13 +216,13 @@ def q12_won_profile(spark: SparkSession, sf: str) -> DataFrame:
     days_n = F.when(F.col("days_to_close").isNotNull(), F.col("n"))
     g = j.groupBy("channel").agg(
         F.sum("n").cast("bigint").alias("won_deals"),
-        F.sum("pred_cents").alias("pc"), F.sum("pred_n").alias("pn"),
+        F.sum("pred_sum").alias("pc"), F.sum("pred_n").alias("pn"),
         F.sum("loc_sum").alias("ls"), F.sum("loc_n").alias("ln"),
         F.sum("dm_n").alias("dm"), F.sum("touch_sum").alias("ts"),
         F.sum(F.col("days_to_close") * F.col("n")).alias("ds"), F.sum(days_n).alias("dn"))
     return g.select(
         "channel", "won_deals",
-        round_half(safe_div("pc", "pn") / F.lit(100.0), 0).alias("avg_predicted_sales"),
+        round_half(safe_div("pc", "pn"), 0).alias("avg_predicted_sales"),
         round_half(safe_div("ls", "ln"), 1).alias("avg_locations"),
         round_half(safe_div("dm", "won_deals") * F.lit(100.0), 1).alias("dm_rate_pct"),
         round_half(safe_div("ts", "won_deals"), 1).alias("avg_touches"),
@@ -288,8 +288,8 @@ def q18_demo_status(spark: SparkSession, sf: str) -> DataFrame:
     r = pipeline(spark, sf).rpt_pipeline_health.filter(F.col("record_type") == L.RECORD_OPPORTUNITY)
     return r.groupBy("channel", "demo_status").agg(
         F.sum("record_count").cast("bigint").alias("records"),
-        round_half(exact_sum("total_forecasted_annual_revenue", 2), 0).alias("at_risk_annual_revenue"),
-        weighted_average("avg_days_in_pipeline", "record_count", 0, 1).alias("wtd_avg_days_in_pipeline"))\
+        round_half(exact_sum("total_forecasted_annual_revenue"), 0).alias("at_risk_annual_revenue"),
+        weighted_average("avg_days_in_pipeline", "record_count", 0).alias("wtd_avg_days_in_pipeline"))\
         .orderBy(_desc("records"))
 
 
@@ -300,7 +300,7 @@ def q19_followup_losses(spark: SparkSession, sf: str) -> DataFrame:
     return lost.groupBy("lost_reason_c").agg(
         F.count(F.lit(1)).alias("lost_deals"),
         round_half(mean(fn.day_diff("created_date", "close_date")), 0).alias("avg_days_to_close"),
-        round_half(exact_sum(F.col("predicted_sales_with_owner") * F.lit(12.0), 2), 0)
+        round_half(exact_sum(F.col("predicted_sales_with_owner") * F.lit(12.0)), 0)
         .alias("total_lost_annual_value")).orderBy(_desc("lost_deals"))
 
 
@@ -312,7 +312,7 @@ def q20_danger_zone(spark: SparkSession, sf: str) -> DataFrame:
         F.count(F.lit(1)).alias("records"),
         round_half(mean("days_in_pipeline"), 0).alias("avg_days"),
         round_half(mean("days_in_current_stage"), 0).alias("avg_days_in_stage"),
-        round_half(exact_sum("forecasted_annual_revenue", 4), 0).alias("annual_rev"))\
+        round_half(exact_sum("forecasted_annual_revenue"), 0).alias("annual_rev"))\
         .orderBy(_asc("health_status"), _asc("pipeline_segment"))
 
 
@@ -321,10 +321,10 @@ def q21_lead_health(spark: SparkSession, sf: str) -> DataFrame:
     r = pipeline(spark, sf).rpt_pipeline_health.filter(F.col("record_type") == L.RECORD_LEAD)
     return r.groupBy("health_status").agg(
         F.sum("record_count").cast("bigint").alias("leads"),
-        round_half(exact_sum("total_forecasted_annual_revenue", 2), 0).alias("forecasted_annual_revenue"),
-        weighted_average("avg_days_in_pipeline", "record_count", 0, 1).alias("wtd_avg_days"),
-        weighted_average("avg_touch_count", "record_count", 1, 1).alias("wtd_avg_touches"),
-        weighted_average("decision_maker_pct", "record_count", 1, 1).alias("wtd_dm_pct"))\
+        round_half(exact_sum("total_forecasted_annual_revenue"), 0).alias("forecasted_annual_revenue"),
+        weighted_average("avg_days_in_pipeline", "record_count", 0).alias("wtd_avg_days"),
+        weighted_average("avg_touch_count", "record_count", 1).alias("wtd_avg_touches"),
+        weighted_average("decision_maker_pct", "record_count", 1).alias("wtd_dm_pct"))\
         .orderBy(_rank("health_status", (L.HEALTH_ACTIVE, L.HEALTH_AGING, L.HEALTH_STALE)))
 
 
@@ -333,7 +333,7 @@ def q22_outreach_mix(spark: SparkSession, sf: str) -> DataFrame:
     o = pipeline(spark, sf).rpt_lead_outreach_priority
     return o.groupBy("outreach_section", "outreach_priority", "dashboard_status").agg(
         F.count(F.lit(1)).alias("leads"),
-        round_half(exact_sum("predicted_sales_with_owner", 2), 0).alias("total_predicted_value"),
+        round_half(exact_sum("predicted_sales_with_owner"), 0).alias("total_predicted_value"),
         count_if(F.col("is_actionable")).alias("actionable"),
         count_if(F.col("is_high_value_urgent")).alias("high_value_urgent"))\
         .orderBy(_asc("outreach_section"), _rank("outreach_priority", (L.NO_OUTREACH_P0[0], L.NO_OUTREACH_P2[0],
@@ -347,7 +347,7 @@ def q23_health_tiers(spark: SparkSession, sf: str) -> DataFrame:
         F.count(F.lit(1)).alias("leads"),
         round_half(mean("days_in_pipeline"), 0).alias("avg_days_inactive"),
         round_half(mean("total_touch_count"), 1).alias("avg_touches"),
-        round_half(exact_mean("forecasted_monthly_revenue", 4), 2).alias("avg_monthly_rev"),
+        round_half(exact_mean("forecasted_monthly_revenue"), 2).alias("avg_monthly_rev"),
         count_if(F.col("connected_with_decision_maker")).alias("dm_connected"))\
         .orderBy(_asc("channel"), _asc("health_status"), _desc("leads"))
 
@@ -455,12 +455,12 @@ def gen_rolling_orders(spark: SparkSession, sf: str) -> DataFrame:
     """Monthly orders by status with a 3-row rolling mean and the lag."""
     o = read_driver(spark, sf, "orders", ["o_orderdate", "o_orderstatus", "o_totalprice"])
     m = o.groupBy(fn.month_start("o_orderdate").alias("month"), "o_orderstatus").agg(
-        F.count(F.lit(1)).alias("orders"), exact_sum("o_totalprice", 2).alias("revenue"))
+        F.count(F.lit(1)).alias("orders"), exact_sum("o_totalprice").alias("revenue"))
     w = Window.partitionBy("o_orderstatus").orderBy("month").rowsBetween(-2, 0)
     w0 = Window.partitionBy("o_orderstatus").orderBy("month")
     from ..operators import rolling_count, rolling_mean
     return m.select("*", rolling_mean("orders", w, 1).alias("rolling_3_orders"),
-                    rolling_mean("revenue", w, 2, value_digits=2).alias("rolling_3_revenue"),
+                    rolling_mean("revenue", w, 2).alias("rolling_3_revenue"),
                     rolling_count(w).alias("window_rows"), F.lag("orders", 1).over(w0).alias("prev_orders"))
 
 
@@ -470,7 +470,7 @@ def gen_unpivot_lineitem(spark: SparkSession, sf: str) -> DataFrame:
     li = read_driver(spark, sf, "lineitem", ["l_returnflag", "l_extendedprice", "l_discount", "l_tax"])
     long = unpivot_columns(li, ["l_returnflag"], ["l_extendedprice", "l_discount", "l_tax"], "measure", "amount")
     return long.groupBy("l_returnflag", "measure").agg(
-        F.count(F.lit(1)).alias("n"), exact_sum("amount", 2).alias("total"))
+        F.count(F.lit(1)).alias("n"), exact_sum("amount").alias("total"))
 
 
 @register("gen_anti_orders_customer")
@@ -486,8 +486,8 @@ def gen_anti_orders_customer(spark: SparkSession, sf: str) -> DataFrame:
 def gen_median_events(spark: SparkSession, sf: str) -> DataFrame:
     """Exact median of value per event type (rounded to 4 decimals)."""
     ev = read_driver(spark, sf, "events", ["event_type", "value"])
-    return ev.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"),
-                                        round_half(F.median("value"), 4).alias("median_value"))
+    found = exact_median(ev, ["event_type"], "value")
+    return found.select("event_type", "n", round_half("median", 4).alias("median_value"))
 
 
 @register("gen_parse_currency_lineitem")
@@ -498,7 +498,7 @@ def gen_parse_currency_lineitem(spark: SparkSession, sf: str) -> DataFrame:
     text = F.concat(F.lit("US$    "), F.floor(cents / 100).cast("string"), F.lit(","),
                     F.lpad(F.pmod(cents, F.lit(100)).cast("string"), 2, "0"))
     parsed = li.select("l_returnflag", fn.parse_currency(text).alias("amount"))
-    return parsed.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"), exact_sum("amount", 2).alias("total"))
+    return parsed.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"), exact_sum("amount").alias("total"))
 
 
 

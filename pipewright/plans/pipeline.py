@@ -2,17 +2,20 @@
 
 View layers stay lazy.  ``materialize()`` writes the operational and
 reporting tables as Parquet under the cluster's shared checkpoint folder (or
-a given path) and rebinds the pipeline to read them back, which cuts the
-lineage the way the warehouse's stored tables do: a lost executor recomputes
+a given path), each build in a folder of its own, and rebinds the pipeline to
+read them back, which cuts the lineage the way the warehouse's stored tables do: a lost executor recomputes
 from the written table, not from the sources.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..params import DEFAULT, Params
 from ..session import checkpoint_dir
@@ -158,7 +161,7 @@ class Pipeline:
     @property
     def rpt_funnel_summary(self) -> DataFrame:
         return self._stored("rpt_funnel_summary",
-                            lambda: reports.rpt_funnel_summary(self.ops_leads, self.ops_opportunities, self.p))
+                            lambda: reports.rpt_funnel_summary(self.ops_leads, self.ops_opportunities))
 
     @property
     def rpt_monthly_unit_economics(self) -> DataFrame:
@@ -197,49 +200,75 @@ class Pipeline:
     def layer_of(name: str) -> str:
         return "reporting" if name.startswith("rpt_") else "operational"
 
+    def _tables_path(self, path: str | None) -> str:
+        """``path``, else a folder under the configured ``spark.checkpoint.dir``.
+
+        The configured folder is the same in every session; the one Spark
+        makes below it for its own checkpoints is new in each.
+        """
+        shared = self.spark.conf.get("spark.checkpoint.dir", None) or checkpoint_dir(self.spark)
+        return (path or f"{shared.rstrip('/')}/pipewright-tables").rstrip("/")
+
     def materialize(self, path: str | None = None, tables=OPS_TABLES + REPORT_TABLES,
                     schema_prefix: str | None = None, threads: int = 4) -> dict[str, str]:
-        """Write the tables in dependency order and read them back.
+        """Rebuild the tables from the sources and read the stored ones from then on.
 
-        ``path`` defaults to ``<spark checkpoint dir>/pipewright-tables`` (the
-        shared folder the cluster names); each table is a full rebuild
-        (overwrite), like a warehouse ``table`` materialization, stored under
-        its layer (``operational/`` or ``reporting/``).  With
-        ``schema_prefix`` each table is also registered in the catalog as
-        ``<prefix>_<layer>.<name>`` (one schema per layer), its data kept at
-        the same shared path.
+        Each build writes a folder of its own, ``<path>/runs/<run>/<layer>/<name>``,
+        in dependency order; a table never reads what is being rebuilt.  Only
+        when all are written does the build count: its manifest is written to
+        ``<path>/builds``, the catalog tables (with ``schema_prefix``:
+        ``<prefix>_<layer>.<name>``) point to it, and this pipeline reads it.  A
+        build that fails leaves the tables of the one before as they were.
 
         Tables are written in waves: every table whose inputs are already
         stored is written in the same wave, as concurrent Spark jobs from
         ``threads`` driver threads (plans are built on the calling thread).
         """
-        base = (path or f"{checkpoint_dir(self.spark).rstrip('/')}/pipewright-tables").rstrip("/")
+        base = self._tables_path(path)
+        run = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+        before = self._tables
+        self._tables = {k: v for k, v in before.items() if k not in tables}
+        self._built.clear()
         written: dict[str, str] = {}
-        pending = [t for t in tables]
-        while pending:
-            wave = [t for t in pending if not (set(DEPENDS_ON.get(t, ())) & set(pending))]
-            jobs = []
-            for name in wave:
-                target = f"{base}/{self.layer_of(name)}/{name}"
-                writer = self.table(name).write.mode("overwrite").format("parquet")
-                if schema_prefix:
-                    schema = f"{schema_prefix}_{self.layer_of(name)}"
-                    self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}` LOCATION '{base}/{self.layer_of(name)}'")
-                    jobs.append((name, target, lambda w=writer, n=name, sc=schema, t=target:
-                                 w.option("path", t).saveAsTable(f"`{sc}`.`{n}`")))
-                else:
-                    jobs.append((name, target, lambda w=writer, t=target: w.save(t)))
-            with ThreadPoolExecutor(max_workers=max(1, min(threads, len(jobs)))) as pool:
-                for fut in [pool.submit(run) for _, _, run in jobs]:
-                    fut.result()
-            for name, target, _ in jobs:
-                self._tables[name] = self.spark.read.parquet(target)
-                written[name] = target
-            # later tables must read the stored ones, not re-derive them
+        try:
+            pending = list(tables)
+            while pending:
+                wave = [t for t in pending if not (set(DEPENDS_ON.get(t, ())) & set(pending))]
+                jobs = [(self.table(name).write, f"{base}/runs/{run}/{self.layer_of(name)}/{name}") for name in wave]
+                with ThreadPoolExecutor(max_workers=max(1, min(threads, len(jobs)))) as pool:
+                    for job in [pool.submit(writer.parquet, target) for writer, target in jobs]:
+                        job.result()
+                written |= {name: target for name, (_, target) in zip(wave, jobs, strict=True)}
+                # later tables read the stored ones, not the plans they come from
+                self._tables |= {name: self.spark.read.parquet(written[name]) for name in wave}
+                self._built.clear()
+                pending = [t for t in pending if t not in wave]
+            self.spark.createDataFrame(list(written.items()), "name string, path string").coalesce(1) \
+                .write.parquet(f"{base}/builds/run={run}")
+        except BaseException:
+            self._tables = before
             self._built.clear()
-            pending = [t for t in pending if t not in wave]
+            raise
+        if schema_prefix:
+            self._point_catalog(written, schema_prefix)
         return written
 
+    def _point_catalog(self, written: dict[str, str], prefix: str) -> None:
+        """Catalog tables over the stored files, one schema per layer."""
+        for name, target in written.items():
+            schema = f"{prefix}_{self.layer_of(name)}"
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}`")
+            self.spark.sql(f"DROP TABLE IF EXISTS `{schema}`.`{name}`")  # external: its files stay
+            self.spark.sql(f"CREATE TABLE `{schema}`.`{name}` USING parquet LOCATION '{target}'")
+
+    def open_tables(self, path: str | None = None) -> dict[str, str]:
+        """Read the tables of the latest complete builds under ``path`` from now on."""
+        builds = self.spark.read.parquet(f"{self._tables_path(path)}/builds")
+        latest = builds.groupBy("name").agg(F.max_by("path", F.col("run").cast("string")).alias("path")).collect()
+        self._tables = {r.name: self.spark.read.parquet(r.path) for r in latest}
+        self._built.clear()
+        return {r.name: r.path for r in latest}
+
     def present(self, name: str) -> DataFrame:
         """A report in its presentation order (sorting is not stored)."""
         df = self.table(name)

@@ -7,10 +7,13 @@ whose limit is its feature.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import checkpoint_dir
 from ..sources import as_text_timestamps
 from .pipeline import OPS_TABLES, REPORT_TABLES, Pipeline
 
@@ -26,6 +29,19 @@ def register(name: str):
     return deco
 
 
+_USING: list[Pipeline] = []
+
+
+@contextmanager
+def using(pl: Pipeline) -> Iterator[None]:
+    """Run the funnel queries over ``pl`` (other sources, another date) instead of the driver tables."""
+    _USING.append(pl)
+    try:
+        yield
+    finally:
+        _USING.pop()
+
+
 _PIPELINES: dict[tuple[int, str], tuple[SparkSession, Pipeline]] = {}
 
 
@@ -36,6 +52,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> Pipeline:
     layer plans instead of rebuilding them (building a plan costs thousands
     of driver round trips).  Nothing is cached in memory or on disk.
     """
+    if _USING:
+        return _USING[-1]
     key = (id(spark), sf_dir.rstrip("/"))
     hit = _PIPELINES.get(key)
     if hit is not None and hit[0] is spark:
@@ -66,4 +84,15 @@ for _name in ("stg_leads", "stg_opportunities", "stg_expenses_advertising", "stg
 for _name in OPS_TABLES + REPORT_TABLES:
     QUERIES[_name] = _model(_name)
 
+
+
+@register("stored_pipeline_health")
+def stored_pipeline_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pipeline-health report read from tables that a build has stored."""
+    pl = Pipeline(spark, pipeline(spark, sf_dir).sources)
+    tables = ("ops_leads", "ops_opportunities", "ops_pipeline_health", "rpt_pipeline_health")
+    pl.materialize(f"{checkpoint_dir(spark).rstrip('/')}/stored-{uuid.uuid4().hex}", tables)
+    return pl.rpt_pipeline_health
+
+
 from . import analyses  # noqa: E402,F401  (registers the analysis queries)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import functions as fn
 from .. import labels as L
-from ..functions import count_if, exact_mean, exact_sum, mean, pct, round_half, safe_div
+from ..functions import count_if, exact_mean, exact_mean_of, exact_sum, mean, pct, round_half, safe_div
 from ..operators import rolling_count, rolling_mean, trailing, ordered, unpivot_groups
 from ..params import Params
 
@@ -26,15 +26,15 @@ def rpt_cac_ltv_by_channel(ops_opps: DataFrame, ops_exp: DataFrame, p: Params) -
         .groupBy("channel")
         .agg(
             F.count(F.lit(1)).alias("deals_won"),
-            round_half(exact_mean("monthly_subscription", 4), 2).alias("avg_monthly_subscription"),
-            round_half(exact_mean("monthly_take_rate", 4), 2).alias("avg_monthly_take_rate"),
-            round_half(exact_mean("monthly_revenue", 4), 2).alias("avg_monthly_revenue"),
+            round_half(exact_mean("monthly_subscription"), 2).alias("avg_monthly_subscription"),
+            round_half(exact_mean("monthly_take_rate"), 2).alias("avg_monthly_take_rate"),
+            round_half(exact_mean("monthly_revenue"), 2).alias("avg_monthly_revenue"),
         )
     )
     # both channel totals in one pass over the expenses, then two rows
     totals = ops_exp.agg(
-        exact_sum("inbound_channel_cost", 2).alias(L.INBOUND),
-        exact_sum("outbound_channel_cost", 2).alias(L.OUTBOUND),
+        exact_sum("inbound_channel_cost").alias(L.INBOUND),
+        exact_sum("outbound_channel_cost").alias(L.OUTBOUND),
     )
     costs = totals.select(F.stack(F.lit(2), F.lit(L.INBOUND), L.INBOUND, F.lit(L.OUTBOUND), L.OUTBOUND)
                           .alias("channel", "total_cost"))
@@ -52,27 +52,38 @@ def rpt_cac_ltv_by_channel(ops_opps: DataFrame, ops_exp: DataFrame, p: Params) -
 
 
 # ----------------------------------------------------------- rpt_funnel_summary
-def leads_by_channel(ops_leads: DataFrame, median_accuracy: int | None = None) -> DataFrame:
-    """Lead-side funnel measures per channel (one aggregation over the leads)."""
+def leads_by_channel(ops_leads: DataFrame) -> DataFrame:
+    """Lead-side funnel measures per channel, in two steps.
+
+    First counts and sums per channel and minute of speed-to-lead, then per
+    channel, where the median weighs each minute with its count: what one task
+    holds of a channel is bounded by the distinct minutes, not by its leads.
+    """
     status = F.col("status")
-    speed = F.col("speed_to_lead_minutes")
-    # exact median keeps one counter per distinct minute value per group; the
-    # approximate one (opt-in) a bounded sketch
-    median = (F.median(speed) if median_accuracy is None
-              else F.percentile_approx(speed, 0.5, median_accuracy).cast("double"))
-    return ops_leads.groupBy("channel").agg(
-        F.count(F.lit(1)).alias("total_leads"),
-        count_if(F.col("is_converted")).alias("converted_leads"),
-        count_if(status == L.STATUS_WORKING).alias("working_leads"),
-        count_if(status == L.STATUS_NEW).alias("new_leads"),
-        count_if(status == L.STATUS_DISQUALIFIED).alias("disqualified_leads"),
-        count_if(status == L.STATUS_BAD_CONTACT).alias("bad_contact_leads"),
-        count_if(F.col("connected_with_decision_maker")).alias("dm_connected_leads"),
-        round_half(mean("speed_to_lead_minutes"), 1).alias("avg_speed_to_lead_min"),
-        round_half(median, 1).alias("median_speed_to_lead_min"),
-        round_half(exact_mean("predicted_sales_with_owner", 2), 0).alias("avg_predicted_sales"),
-        round_half(mean("total_touch_count"), 1).alias("avg_touches_per_lead"),
-        round_half(mean("location_count"), 1).alias("avg_locations"),
+    counts = {
+        "total_leads": F.count(F.lit(1)),
+        "converted_leads": count_if(F.col("is_converted")),
+        "working_leads": count_if(status == L.STATUS_WORKING),
+        "new_leads": count_if(status == L.STATUS_NEW),
+        "disqualified_leads": count_if(status == L.STATUS_DISQUALIFIED),
+        "bad_contact_leads": count_if(status == L.STATUS_BAD_CONTACT),
+        "dm_connected_leads": count_if(F.col("connected_with_decision_maker")),
+    }
+    averaged = {"pred": fn.money("predicted_sales_with_owner"), "touch": F.col("total_touch_count"),
+                "location": F.col("location_count")}
+    per_minute = ops_leads.groupBy("channel", F.col("speed_to_lead_minutes").alias("minute")).agg(
+        *[e.alias(n) for n, e in counts.items()],
+        *[F.sum(e).alias(f"{n}_sum") for n, e in averaged.items()],
+        *[F.count(e).alias(f"{n}_n") for n, e in averaged.items()],
+    )
+    minute, n = F.col("minute"), F.col("total_leads")
+    return per_minute.groupBy("channel").agg(
+        *[F.sum(c).alias(c) for c in counts],
+        round_half(exact_mean_of(minute * n, F.when(minute.isNotNull(), n)), 1).alias("avg_speed_to_lead_min"),
+        round_half(F.percentile(minute, F.lit(0.5), n), 1).alias("median_speed_to_lead_min"),
+        round_half(exact_mean_of("pred_sum", "pred_n"), 0).alias("avg_predicted_sales"),
+        round_half(exact_mean_of("touch_sum", "touch_n"), 1).alias("avg_touches_per_lead"),
+        round_half(exact_mean_of("location_sum", "location_n"), 1).alias("avg_locations"),
     )
 
 
@@ -91,7 +102,7 @@ def deals_by_channel(ops_opps: DataFrame) -> DataFrame:
         count_if(loss == L.LOSS_COMPETITIVE).alias("competitive_losses"),
         count_if(loss == L.LOSS_PRODUCT).alias("product_fit_losses"),
         round_half(mean(F.when(won, F.col("days_to_close"))), 1).alias("avg_days_to_close_won"),
-        round_half(exact_mean(F.when(won, F.col("predicted_sales_with_owner")), 2), 0)
+        round_half(exact_mean(F.when(won, F.col("predicted_sales_with_owner"))), 0)
         .alias("avg_won_predicted_sales"),
         round_half(mean(F.when(won, F.col("total_touch_count"))), 1).alias("avg_touches_to_win"),
     )
@@ -108,9 +119,9 @@ FUNNEL_COLUMNS = [
 ]
 
 
-def rpt_funnel_summary(ops_leads: DataFrame, ops_opps: DataFrame, p: Params | None = None) -> DataFrame:
+def rpt_funnel_summary(ops_leads: DataFrame, ops_opps: DataFrame) -> DataFrame:
     """One row per lead channel: volumes, conversion and win rates, losses, velocity, profile."""
-    lm = leads_by_channel(ops_leads, p.median_accuracy if p is not None else None)
+    lm = leads_by_channel(ops_leads)
     om = deals_by_channel(ops_opps)
     # both sides hold one row per channel: the size bound of this broadcast
     j = lm.join(F.broadcast(om), "channel", "left")
@@ -164,7 +175,7 @@ def monthly_deal_outcomes(ops_opps: DataFrame) -> DataFrame:
     """Closed deals per close month; a NULL channel counts in neither column."""
     won, lost = F.col("is_closed_won"), F.col("is_closed_lost")
     inbound, outbound = F.col("channel") == L.INBOUND, F.col("channel") == L.OUTBOUND
-    cents = fn.fixed_units("predicted_sales_with_owner", 2)
+    revenue = fn.money("predicted_sales_with_owner")
     return (
         ops_opps.filter(F.col("is_closed") & F.col("close_date").isNotNull())
         .groupBy(fn.month_start("close_date").alias("month"))
@@ -173,8 +184,8 @@ def monthly_deal_outcomes(ops_opps: DataFrame) -> DataFrame:
             count_if(outbound & won).alias("outbound_wins"),
             count_if(inbound & lost).alias("inbound_losses"),
             count_if(outbound & lost).alias("outbound_losses"),
-            F.sum(F.when(inbound & won, cents).otherwise(F.lit(0))).alias("_in_rev_cents"),
-            F.sum(F.when(outbound & won, cents).otherwise(F.lit(0))).alias("_out_rev_cents"),
+            F.sum(F.when(inbound & won, revenue)).alias("_in_revenue"),
+            F.sum(F.when(outbound & won, revenue)).alias("_out_revenue"),
         )
     )
 
@@ -200,14 +211,14 @@ def rpt_monthly_unit_economics(ops_exp: DataFrame, ops_leads: DataFrame, ops_opp
     j = (e.join(F.broadcast(leads_m), e.expense_month == leads_m.month, "left").drop("month")
          .join(F.broadcast(opps_m), e.expense_month == opps_m.month, "left").drop("month"))
     z = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint")
-    rev = lambda c: (F.coalesce(F.col(c), F.lit(0)).cast("double") / F.lit(100.0))
+    rev = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(0.0))
     vol = j.select(
         "expense_month", "advertising_spend", "inbound_sales_team_cost", "outbound_sales_team_cost",
         "inbound_channel_cost", "outbound_channel_cost", "total_gtm_cost",
         *[z(c).alias(c) for c in ("inbound_leads", "outbound_leads", "inbound_converted", "outbound_converted",
                                   "inbound_wins", "outbound_wins", "inbound_losses", "outbound_losses")],
-        rev("_in_rev_cents").alias("inbound_won_predicted_revenue"),
-        rev("_out_rev_cents").alias("outbound_won_predicted_revenue"),
+        rev("_in_revenue").alias("inbound_won_predicted_revenue"),
+        rev("_out_revenue").alias("outbound_won_predicted_revenue"),
     )
     c = F.col
     return vol.select(
@@ -279,8 +290,8 @@ def rpt_channel_efficiency(monthly: DataFrame, p: Params) -> DataFrame:
     c = F.col
     r = u.select(
         "*",
-        rolling_mean("monthly_cac", w, 2, value_digits=2).alias("rolling_3mo_cac"),
-        rolling_mean("lead_to_win_rate_pct", w, 2, value_digits=2).alias("rolling_3mo_conversion_rate"),
+        rolling_mean("monthly_cac", w, 2).alias("rolling_3mo_cac"),
+        rolling_mean("lead_to_win_rate_pct", w, 2).alias("rolling_3mo_conversion_rate"),
         rolling_mean("deals_won", w, 1).alias("rolling_3mo_deals_won"),
         rolling_count(w).alias("rolling_window_months"),
         F.lag("monthly_cac", 1).over(w0).alias("prev_month_cac"),
@@ -341,17 +352,17 @@ def segment_rollup(pipeline: DataFrame) -> DataFrame:
     share = lambda cond: round_half(count_if(cond).cast("double") * F.lit(100.0) / n, 1)
     return pipeline.groupBy(*SEGMENT_KEYS).agg(
         n.alias("record_count"),
-        round_half(exact_sum("forecasted_monthly_revenue", 4), 2).alias("total_forecasted_monthly_revenue"),
-        round_half(exact_sum("forecasted_annual_revenue", 4), 2).alias("total_forecasted_annual_revenue"),
-        round_half(exact_mean("forecasted_monthly_revenue", 4), 2).alias("avg_forecasted_monthly_revenue"),
-        round_half(exact_sum("potential_monthly_revenue", 2), 2).alias("total_potential_monthly_revenue"),
-        round_half(exact_sum("potential_annual_revenue", 2), 2).alias("total_potential_annual_revenue"),
-        round_half(exact_mean("potential_monthly_revenue", 2), 2).alias("avg_potential_monthly_revenue"),
+        round_half(exact_sum("forecasted_monthly_revenue"), 2).alias("total_forecasted_monthly_revenue"),
+        round_half(exact_sum("forecasted_annual_revenue"), 2).alias("total_forecasted_annual_revenue"),
+        round_half(exact_mean("forecasted_monthly_revenue"), 2).alias("avg_forecasted_monthly_revenue"),
+        round_half(exact_sum("potential_monthly_revenue"), 2).alias("total_potential_monthly_revenue"),
+        round_half(exact_sum("potential_annual_revenue"), 2).alias("total_potential_annual_revenue"),
+        round_half(exact_mean("potential_monthly_revenue"), 2).alias("avg_potential_monthly_revenue"),
         round_half(mean("days_in_pipeline"), 1).alias("avg_days_in_pipeline"),
         round_half(mean("days_in_current_stage"), 1).alias("avg_days_in_current_stage"),
         F.min("days_in_pipeline").alias("min_days_in_pipeline"),
         F.max("days_in_pipeline").alias("max_days_in_pipeline"),
-        round_half(exact_mean("predicted_sales_with_owner", 2), 2).alias("avg_predicted_sales"),
+        round_half(exact_mean("predicted_sales_with_owner"), 2).alias("avg_predicted_sales"),
         round_half(mean("total_touch_count"), 1).alias("avg_touch_count"),
         round_half(mean(speed), 1).alias("avg_speed_to_lead_minutes"),
         share(F.col("connected_with_decision_maker")).alias("decision_maker_pct"),
@@ -377,10 +388,8 @@ def rpt_pipeline_health(pipeline: DataFrame) -> DataFrame:
     ch = Window.partitionBy("channel")
     has_channel = F.col("channel").isNotNull()
     total_records = F.when(has_channel, F.sum("record_count").over(ch))
-    total_fore = F.when(has_channel, F.sum(fn.fixed_units("total_forecasted_annual_revenue", 2)).over(ch)
-                        .cast("double") / F.lit(100.0))
-    total_pot = F.when(has_channel, F.sum(fn.fixed_units("total_potential_annual_revenue", 2)).over(ch)
-                       .cast("double") / F.lit(100.0))
+    total_fore = F.when(has_channel, F.sum(fn.money("total_forecasted_annual_revenue")).over(ch).cast("double"))
+    total_pot = F.when(has_channel, F.sum(fn.money("total_potential_annual_revenue")).over(ch).cast("double"))
     c = F.col
     return s.select(
         *SEGMENT_KEYS, "record_count",

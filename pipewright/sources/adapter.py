@@ -1,13 +1,15 @@
 """Adapter: project the driver's ``orders`` table into the four source shapes.
 
-The driver tables hold no leads, so every source row is a deterministic
-function of an ``orders`` row (``k`` = o_orderkey, ``c`` = o_custkey,
-``p`` = o_totalprice) and the sources grow with the scale factor.  The
+The driver tables hold no leads, so every lead is a deterministic function of
+an ``orders`` row (``k`` = o_orderkey, ``c`` = o_custkey, ``p`` =
+o_totalprice), every opportunity one of a ``customer`` row (``k`` = ten times
+c_custkey, ``c`` = c_custkey), and the sources grow with the scale factor.
+Both tables are used whole.  The
 formulas are SQL expression text with two type placeholders so the very same
 formulas run in Spark and in the DuckDB oracle (integer arithmetic and
 ``floor`` only, so both engines produce equal rows).
 
-Spark builds each source in one narrow pass over ``orders``: duplicated rows
+Spark builds each source in one narrow pass over its table: duplicated rows
 and extra versions are generated with ``explode`` instead of a second scan.
 The two expense ledgers are monthly roll-ups of ``orders`` (a partial
 aggregation), written out in the dirty text formats of the real ledgers.
@@ -50,7 +52,8 @@ LEAD_FORMULAS = [
     ("sales_text_count", "case when k % 3 <> 0 then k % 5 end"),
     ("sales_email_count", "case when k % 2 <> 0 then k % 4 end"),
     ("predicted_sales_with_owner",
-     "case when k % 8 = 0 then null when k % 151 = 5 then 'n/a' else concat(cast(cast(floor(p / 20)"
+     "case when k % 8 = 0 then null when k % 151 = 5 then 'n/a' when k % 151 = 7 then '5,' when k % 151 = 9 then '1e3'"
+     " when k % 151 = 6 then concat(' ', cast(cast(floor(p / 20) as bigint) as {STR}), ',', lpad(cast(k % 1000 as {STR}), 3, '0'), ' ') else concat(cast(cast(floor(p / 20)"
      " as bigint) as {STR}), ',', lpad(cast(k % 100 as {STR}), 2, '0')) end"),
     ("marketplaces_used",
      "case when k % 9 = 0 then null when k % 9 = 1 then '[]' when k % 9 = 2 then '[None]'"
@@ -59,7 +62,8 @@ LEAD_FORMULAS = [
     ("online_ordering_used",
      "case when k % 4 = 0 then '' when k % 4 = 1 then replace('[~Own site~]', '~', chr(39)) else '[]' end"),
     ("cuisine_types",
-     "case when k % 6 = 0 then 'not a list' else replace('[~Thai~, ~Pizza~, ~BBQ~]', '~', chr(39)) end"),
+     "case when k % 6 = 0 then 'not a list' when k % 66 = 7 then '[1] x [2]'"
+     " when k % 66 = 13 then replace(concat('[~Thai~,', chr(10), '~BBQ~]'), '~', chr(39)) else replace('[~Thai~, ~Pizza~, ~BBQ~]', '~', chr(39)) end"),
     ("location_count", "k % 5 + 1"),
     ("connected_with_decision_maker", "case when k % 17 = 0 then null else k % 4 = 0 end"),
     ("status",
@@ -72,7 +76,7 @@ LEAD_FORMULAS = [
 # rows with this property appear twice (exact duplicates)
 LEAD_DUPLICATE_RULE = "k % 50 = 0"
 
-OPPORTUNITY_FILTER = "k % 10 = 0"
+OPPORTUNITY_KEY = "c_custkey * 10"
 OPPORTUNITY_FORMULAS = [
     ("opportunity_id", "cast(k as {STR})"),
     ("stage_name",
@@ -107,17 +111,16 @@ OPPORTUNITY_NULL_VERSION_RULE = "k % 510 = 0"
 OLDER_VERSION_STAGE = "'Interest'"
 OLDER_VERSION_CREATED = "cast({CRT} as {TS}) + interval 15 hour - interval 1 day"
 
-# expense ledgers: month bucket of an order, six months of 2024
-EXPENSE_BUCKET = "k % 6"
+# expense ledgers: every order is in one of the five months of each ledger
+ADVERTISING_BUCKET = "k % 5"           # January to May
+SALARY_BUCKET = "k % 5 + 1"            # February to June
 MONTH_TEXT = ("case b when 0 then 'Jan-24' when 1 then 'Feb-24' when 2 then 'Mar-24'"
               " when 3 then 'Apr-24' when 4 then 'May-24' else 'Jun-24' end")
 ADVERTISING_CENTS = "sum(k % 1000) * 3"
 OUTBOUND_CENTS = "sum(c % 1000) * 2"
 INBOUND_CENTS = "sum((k + c) % 1000) * 2"
-ADVERTISING_MONTHS = "b <= 4"          # no June row
 ADVERTISING_NULL_MONTH = "b = 3"       # April amount missing
 ADVERTISING_DUPLICATE = "b = 1"        # February row exported twice
-SALARY_MONTHS = "b >= 1"               # no January row
 SALARY_DUPLICATE = "b = 2"             # March row exported twice
 MONEY_TEXT_PREFIX = "US$    "
 
@@ -163,9 +166,10 @@ def leads(orders: DataFrame) -> DataFrame:
     return schemas.conform(rows, schemas.LEADS)
 
 
-def opportunities(orders: DataFrame) -> DataFrame:
-    """Every tenth order is an opportunity, some with extra versions."""
-    z = _kcp(orders).filter(OPPORTUNITY_FILTER)
+def opportunities(customers: DataFrame) -> DataFrame:
+    """Every customer is an opportunity, some with extra versions."""
+    pos = list(schemas.POSITION) if schemas.has_position(customers) else []
+    z = customers.select(F.expr(OPPORTUNITY_KEY).alias("k"), F.col("c_custkey").alias("c"), *pos)
     versions = F.expr(
         f"filter(array(0, case when {OPPORTUNITY_OLDER_VERSION_RULE} then 1 end,"
         f" case when {OPPORTUNITY_NULL_VERSION_RULE} then 2 end), x -> x is not null)"
@@ -183,16 +187,10 @@ def opportunities(orders: DataFrame) -> DataFrame:
     return schemas.conform(z.select(*exprs, *_derived_position(z, "v")), schemas.OPPORTUNITIES)
 
 
-def monthly_rollup(orders: DataFrame) -> DataFrame:
-    """All ledger amounts per month bucket in one partial aggregation.
-
-    Both ledgers are projections of this one definition.  Catalyst prunes
-    each ledger's unused sums and pushes its month filter below the
-    aggregate, so each ledger still runs its own (tiny-output) roll-up.
-    """
-    z = _kcp(orders).selectExpr("k", "c", f"{EXPENSE_BUCKET} AS b")
-    return z.groupBy("b").agg(F.expr(ADVERTISING_CENTS).alias("ad"), F.expr(OUTBOUND_CENTS).alias("outb"),
-                              F.expr(INBOUND_CENTS).alias("inb"))
+def _ledger(orders: DataFrame, bucket: str, **sums: str) -> DataFrame:
+    """Ledger amounts per month bucket, in one partial aggregation."""
+    z = _kcp(orders).selectExpr("k", "c", f"{bucket} AS b")
+    return z.groupBy("b").agg(*[F.expr(e).alias(n) for n, e in sums.items()])
 
 
 def _with_copies(df: DataFrame, duplicate_rule: str) -> DataFrame:
@@ -200,9 +198,8 @@ def _with_copies(df: DataFrame, duplicate_rule: str) -> DataFrame:
     return df.select("*", copies.alias("_copy")).drop("_copy")
 
 
-def expenses_advertising(orders: DataFrame, rollup: DataFrame | None = None) -> DataFrame:
-    m = (rollup if rollup is not None else monthly_rollup(orders)).filter(ADVERTISING_MONTHS)
-    m = _with_copies(m, ADVERTISING_DUPLICATE)
+def expenses_advertising(orders: DataFrame) -> DataFrame:
+    m = _with_copies(_ledger(orders, ADVERTISING_BUCKET, ad=ADVERTISING_CENTS), ADVERTISING_DUPLICATE)
     out = m.selectExpr(
         f"{MONTH_TEXT} AS month",
         f"case when {ADVERTISING_NULL_MONTH} then cast(null as string) else {money_text_sql('ad', 'spark')} end"
@@ -211,9 +208,8 @@ def expenses_advertising(orders: DataFrame, rollup: DataFrame | None = None) ->
     return schemas.conform(out, schemas.EXPENSES_ADVERTISING)
 
 
-def expenses_salary(orders: DataFrame, rollup: DataFrame | None = None) -> DataFrame:
-    m = (rollup if rollup is not None else monthly_rollup(orders)).filter(SALARY_MONTHS)
-    m = _with_copies(m, SALARY_DUPLICATE)
+def expenses_salary(orders: DataFrame) -> DataFrame:
+    m = _with_copies(_ledger(orders, SALARY_BUCKET, outb=OUTBOUND_CENTS, inb=INBOUND_CENTS), SALARY_DUPLICATE)
     out = m.selectExpr(
         f"{MONTH_TEXT} AS month",
         f"{money_text_sql('outb', 'spark')} AS outbound_sales_team",

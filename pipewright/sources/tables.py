@@ -36,24 +36,29 @@ class Sources:
 
     @classmethod
     def from_driver(cls, spark: SparkSession, sf_dir: str) -> "Sources":
-        """Project the driver's ``orders`` into the source shapes (adapter)."""
+        """Project the driver's ``orders`` and ``customer`` into the source shapes (adapter)."""
         orders = read_driver(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_totalprice"],
                              with_position=True)
-        rollup = adapter.monthly_rollup(orders)
+        customers = read_driver(spark, sf_dir, "customer", ["c_custkey"], with_position=True)
         return cls(
             leads=adapter.leads(orders),
-            opportunities=adapter.opportunities(orders),
-            expenses_advertising=adapter.expenses_advertising(orders, rollup),
-            expenses_salary=adapter.expenses_salary(orders, rollup),
+            opportunities=adapter.opportunities(customers),
+            expenses_advertising=adapter.expenses_advertising(orders),
+            expenses_salary=adapter.expenses_salary(orders),
         )
 
     @classmethod
     def from_parquet(cls, spark: SparkSession, paths: dict[str, str]) -> "Sources":
-        """Real source tables, read with the declared schemas (never inferred)."""
+        """Real source tables, held against the declared schemas.
+
+        The files' own columns are read, so a missing column is an error here
+        and not a column of NULLs; types are cast to the declared ones.
+        """
 
         def load(key: str, schema) -> DataFrame:
-            df = spark.read.schema(schema).parquet(paths[key])
-            return schemas.conform(df.select("*", *schemas.position_columns(df)), schema)
+            df = spark.read.parquet(paths[key])
+            declared = [f.name for f in schema.fields if f.name in df.columns]
+            return schemas.conform(df.select(*declared, *schemas.position_columns(df)), schema)
 
         return cls(
             leads=load("leads", schemas.LEADS),

@@ -278,18 +278,33 @@ def test_tolerant_month_opt_in(spark):
     assert [r[0] for r in df.select(fn.parse_month("m", tolerant=True)).collect()] == [day("2024-01-01"), None]
 
 
-def test_approximate_median_is_opt_in(spark):
-    import dataclasses
+def test_median_speed_interpolates(spark):
     from pipewright.plans import reports
     leads = spark.createDataFrame(
-        [("Inbound", m, False, "Working", None, 1, 1, None) for m in (1, 2, 3, 10)],
+        [("Inbound", m, False, "Working", None, 1, 1, None) for m in (1, 2, 3, 10, None)] * 3,
         "channel string, speed_to_lead_minutes bigint, is_converted boolean, status string, "
         "connected_with_decision_maker boolean, total_touch_count bigint, location_count bigint, "
         "predicted_sales_with_owner double")
-    exact = reports.leads_by_channel(leads).first().median_speed_to_lead_min
-    approx = reports.leads_by_channel(leads, dataclasses.replace(P, median_accuracy=100).median_accuracy).first()
-    assert exact == 2.5                       # interpolated, like the warehouse MEDIAN
-    assert approx.median_speed_to_lead_min in (2.0, 3.0)
+    row = reports.leads_by_channel(leads).first()
+    assert row.median_speed_to_lead_min == 2.5      # interpolated, like the warehouse MEDIAN
+    assert row.avg_speed_to_lead_min == 4.0 and row.total_leads == 15
+
+
+def test_money_keeps_all_digits_and_does_not_overflow(spark):
+    df = spark.createDataFrame([(1.004,)] * 3, "x double")
+    assert tuple(df.agg(fn.exact_sum("x"), fn.exact_mean("x")).first()) == (3.012, 1.004)
+    big = spark.createDataFrame([(9.5e14,)] * 200, "x double")
+    assert big.agg(fn.exact_sum("x")).first()[0] == 1.9e17
+
+
+def test_tolerant_numbers(spark):
+    df = spark.createDataFrame([("5,",), (" 426,83 ",), ("1e3",), (",5",), ("1e",), ("n/a",), ("",)], "t string")
+    assert [r[0] for r in df.select(fn.decimal_comma("t")).collect()] == [5.0, 426.83, 1000.0, 0.5, None, None, None]
+
+
+def test_list_count_needs_one_whole_list(spark):
+    df = spark.createDataFrame([("['a',\n'b']",), ("[1] x [2]",), ("[1],[2]",), ("[1]",), ("{'a': 1}",), ("[None]",)], "t string")
+    assert [r[0] for r in df.select(fn.list_count("t")).collect()] == [2, 0, 0, 1, 0, 1]
 
 
 def test_fix_year_raises_on_impossible_leap_day(spark):

@@ -66,6 +66,84 @@ def test_materialize_round_trip(spark, pl):
     assert a == b
 
 
+def test_materialize_again_and_in_part(spark, tmp_path):
+    base = str(tmp_path / "tables")
+    pl = Pipeline.from_driver(spark, SF_MID)
+    first = pl.materialize(base, tables=("ops_leads", "ops_opportunities", "rpt_funnel_summary"))
+    n = pl.ops_leads.count()
+    again = pl.materialize(base, tables=("ops_leads", "ops_opportunities", "rpt_funnel_summary"))
+    assert pl.ops_leads.count() == n and not set(first.values()) & set(again.values())
+    pl.materialize(base, tables=("rpt_funnel_summary",))
+    other = Pipeline.from_driver(spark, SF_MID)
+    opened = other.open_tables(base)
+    assert opened["ops_leads"] == again["ops_leads"] and opened["rpt_funnel_summary"] != again["rpt_funnel_summary"]
+    assert sorted(map(tuple, other.rpt_funnel_summary.collect())) == sorted(map(tuple, pl.rpt_funnel_summary.collect()))
+
+
+def test_failed_build_leaves_the_stored_tables(spark, tmp_path, monkeypatch):
+    from pipewright.plans import reports
+
+    base = str(tmp_path / "tables")
+    pl = Pipeline.from_driver(spark, SF_MID)
+    tables = ("ops_leads", "ops_opportunities", "rpt_funnel_summary")
+    stored = pl.materialize(base, tables)
+    n = pl.ops_leads.count()
+
+    def broken(*args):
+        raise RuntimeError("broken report")
+
+    monkeypatch.setattr(reports, "rpt_funnel_summary", broken)
+    with pytest.raises(RuntimeError):
+        pl.materialize(base, tables)
+    assert pl.ops_leads.count() == n and pl.rpt_funnel_summary.count() > 0
+    assert Pipeline.from_driver(spark, SF_MID).open_tables(base) == stored
+
+
+def _write_sources(spark, base, change=None):
+    from pipewright.sources import Sources
+
+    drv = Sources.from_driver(spark, SF_MID)
+    frames = {"leads": drv.leads, "opportunities": drv.opportunities, "expenses_advertising": drv.expenses_advertising,
+              "expenses_salary_and_commissions": drv.expenses_salary}
+    for key, df in frames.items():
+        (change(key, df) if change else df).write.parquet(f"{base}/{key}")
+    return drv, {k: f"{base}/{k}" for k in frames}
+
+
+def test_missing_source_column_is_an_error(spark, tmp_path):
+    from pipewright.sources import Sources
+
+    _, paths = _write_sources(spark, tmp_path, lambda key, df: df.drop("status"))
+    with pytest.raises(ValueError, match="status"):
+        Sources.from_parquet(spark, paths)
+
+
+def test_integer_keys_are_accepted(spark, tmp_path):
+    from pipewright.sources import Sources
+
+    ids = ("lead_id", "converted_opportunity_id", "opportunity_id")
+    change = lambda key, df: df.select(*[F.col(c).cast("long").alias(c) if c in ids else F.col(c) for c in df.columns])
+    drv, paths = _write_sources(spark, tmp_path, change)
+    a = Pipeline(spark, Sources.from_parquet(spark, paths)).rpt_funnel_summary.collect()
+    assert sorted(map(tuple, a)) == sorted(map(tuple, Pipeline(spark, drv).rpt_funnel_summary.collect()))
+
+
+def test_checks_of_empty_tables_count_zero(spark):
+    from pipewright.sources import Sources
+
+    drv = Sources.from_driver(spark, SF_MID)
+    empty = Sources(drv.leads.limit(0), drv.opportunities.limit(0), drv.expenses_advertising.limit(0), drv.expenses_salary.limit(0))
+    assert all(r.failures == 0 for r in check_summary(Pipeline(spark, empty)).collect())
+
+
+def test_queries_over_other_sources(spark, tmp_path, capsys):
+    from pipewright.__main__ import main
+
+    _write_sources(spark, tmp_path)
+    assert main(["query", "--sources", str(tmp_path), "q24_row_counts"]) == 0
+    assert main(["query", "--sources", str(tmp_path), "gen_share_events"]) == 2
+
+
 def test_parquet_sources_path(spark):
     """Sources written as Parquet and read back with declared schemas give
     the same reports as the in-memory adapter."""
@@ -175,7 +253,7 @@ def test_cli_run_and_test(spark, capsys):
     base = f"{checkpoint_dir(spark).rstrip('/')}/test-cli-run"
     assert main(["run", "--data", "/root/testdata/sf0.001", "--out", base]) == 0
     out = capsys.readouterr().out
-    assert f"{base}/operational/ops_leads" in out and f"{base}/reporting/rpt_pipeline_health" in out
+    assert f"{base}/runs/" in out and "/operational/ops_leads" in out and "/reporting/rpt_pipeline_health" in out
     # the source tables carry duplicates by design, so the source-level checks fail
     assert main(["test", "--data", "/root/testdata/sf0.001"]) == 1
     out = capsys.readouterr().out

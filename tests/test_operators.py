@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from pipewright.operators import (check_orphans, check_unique, count_share, dedupe, diff_snapshots,
+from pipewright.operators import (check_orphans, count_share, dedupe, diff_snapshots, exact_median,
                                   share_of_total, unpivot_groups)
 
 
@@ -50,9 +50,22 @@ def test_share_within_group(spark):
     assert got == {("a", 1): 25.0, ("a", 3): 75.0, ("b", 5): 100.0}
 
 
-def test_check_unique_and_orphans(spark, skewed):
-    dup = check_unique(skewed, "k")
-    assert dup.count() == 1 and dup.first().n_rows == 10_000
+def test_exact_median(spark):
+    import random
+    import statistics
+
+    r = random.Random(3)
+    rows = [(g, None if r.random() < 0.1 else float(r.randrange(n))) for g, n in (("a", 10), ("b", 10**6), (None, 3)) for _ in range(2000)]
+    rows += [("one", 4.5), ("none", None), ("two", 1.0), ("two", 2.0)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    for accuracy in (100_000, 50):
+        got = {x.g: (x.n, x.median) for x in exact_median(df, ["g"], "v", accuracy=accuracy).collect()}
+        for g in {g for g, _ in rows}:
+            values = [v for k, v in rows if k == g and v is not None]
+            assert got[g] == (sum(k == g for k, _ in rows), statistics.median(values) if values else None)
+
+
+def test_orphans(spark, skewed):
     parents = spark.range(1, 100).select(F.col("id").alias("pk"))
     orphans = check_orphans(skewed.select("k"), "k", parents, "pk")
     # every row whose key is 0 or >= 100 is an orphan

@@ -50,9 +50,20 @@ def test_scan_prunes_columns(spark):
 
 
 def test_filters_reach_the_scan(spark):
-    df = QUERIES["src_opportunities"](spark, SF_SMALL)
+    df = QUERIES["gen_anti_orders_customer"](spark, SF_SMALL)
     p = df._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters: [IsNotNull(o_orderkey)]" in p
+    assert "PushedFilters: [IsNotNull(o_custkey)]" in p
+
+
+def test_sources_are_whole_tables(spark):
+    for name, column in (("src_opportunities", "c_custkey"), ("src_leads", "o_orderkey"), ("src_expenses_salary", "o_orderkey")):
+        p = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+        assert column in p and "Filter" not in p
+
+
+def test_medians_hold_no_group_in_one_task(spark):
+    p = QUERIES["gen_median_events"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "median(" not in p and "percentile_approx" in p
 
 
 def test_dedupe_keeps_scan_pruning_on_parquet_sources(spark):

@@ -61,10 +61,10 @@ def test_list_count_of_printed_python_lists(spark, lists):
        st.integers(min_value=0, max_value=2))
 def test_exact_sum_and_mean_of_cents(spark, cents, digits):
     df = spark.createDataFrame([(c / 100.0,) for c in cents], "x double")
-    r = df.agg(fn.exact_sum("x", 2).alias("s"), fn.exact_mean("x", 2).alias("m"),
-               fn.round_half(fn.exact_mean("x", 2), digits).alias("r")).first()
+    r = df.agg(fn.exact_sum("x").alias("s"), fn.exact_mean("x").alias("m"),
+               fn.round_half(fn.exact_mean("x"), digits).alias("r")).first()
     assert r.s == sum(cents) / 100.0
-    mean = (sum(cents) / len(cents)) / 100.0
+    mean = (sum(cents) / 100.0) / len(cents)
     assert r.m == mean
     scale = 10.0 ** digits
     assert r.r == math.copysign(math.floor(abs(mean) * scale + 0.5), mean) / scale or (r.r == 0 and mean == 0)
