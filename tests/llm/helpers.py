@@ -24,7 +24,7 @@ ODD = [(1, None), (2, ""), (None, "some words without an id at all"), (3, "same
        (5, "\n\n \t\n"), (6, "ÄÖ ß 中文 \U0001F600 'll don't  x y " * 3), (7, "z" * 70_000), (8, "word " * 20_000)]
 
 
-def write_tables(spark, folder, **tables):
+def write_tables(folder, **tables):
     for name, df in tables.items():
         df.write.parquet(os.path.join(str(folder), f"{name}.parquet"))
     return str(folder)
