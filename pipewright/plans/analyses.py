@@ -505,21 +505,27 @@ def gen_parse_currency_lineitem(spark: SparkSession, sf: str) -> DataFrame:
 # ------------------------------------------------------------ snapshot diff
 @register("health_changes")
 def health_changes(spark: SparkSession, sf: str) -> DataFrame:
-    """Pipeline records whose health status changed between two runs.
+    """Records that entered or left the open pipeline, or whose health changed, between two days.
 
-    The earlier run is the same pipeline with ``as_of`` moved back by
-    ``snapshot_gap_days`` (sharing the source plans, so the dedupe shuffles
-    of both runs are reused); records that entered or left the open pipeline
-    are reported too.
+    The earlier snapshot is the pipeline as of ``snapshot_gap_days`` before: only
+    what existed then, deals closed since still open, ages to that day.  Both
+    snapshots share the source plans, so the dedupe shuffles are reused.
     """
     import dataclasses
     import datetime as dt
 
     from ..operators import diff_snapshots
+    from .ops import ops_pipeline_health_one_pass
     from .pipeline import Pipeline
 
     pl = pipeline(spark, sf)
-    prev_as_of = (dt.date.fromisoformat(pl.p.as_of) - dt.timedelta(days=pl.p.snapshot_gap_days)).isoformat()
-    prev = Pipeline(spark, pl.sources, dataclasses.replace(pl.p, as_of=prev_as_of))
-    return diff_snapshots(prev.ops_pipeline_health, pl.ops_pipeline_health, ["record_type", "record_id"],
-                          ["health_status"], ["channel"])
+    day = (dt.date.fromisoformat(pl.p.as_of) - dt.timedelta(days=pl.p.snapshot_gap_days)).isoformat()
+    then = Pipeline(spark, pl.sources, dataclasses.replace(pl.p, as_of=day))
+    on = fn.date_literal(day)
+    existed = lambda c: c.isNull() | (c.cast("date") <= on)
+    opps = pl.entity_opportunities.filter(existed(F.col("created_date"))).withColumn(
+        "is_closed", F.when(F.col("close_date") > on, F.lit(False)).otherwise(F.col("is_closed")))
+    leads = then.ops_leads.filter(F.col("converted_opportunity_id").isNotNull()
+                                  | existed(F.coalesce("form_submission_date", "first_sales_call_date")))
+    return diff_snapshots(ops_pipeline_health_one_pass(opps, leads, then.p), pl.ops_pipeline_health,
+                          ["record_type", "record_id"], ["health_status"], ["channel"])
