@@ -34,6 +34,7 @@ HEADLINE = [
     "rpt_cac_ltv_by_channel", "rpt_funnel_summary", "rpt_monthly_unit_economics", "rpt_channel_efficiency",
     "rpt_pipeline_health", "rpt_lead_outreach_priority", "outreach_top100",
     "q07_lost_reason_by_channel", "q12_won_profile", "q24_row_counts", "chk_summary",
+    "gen_dedupe_events", "gen_median_events", "gen_rolling_orders", "gen_unpivot_lineitem", "gen_parse_currency_lineitem",
 ]
 
 

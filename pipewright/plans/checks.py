@@ -37,6 +37,13 @@ KEY_TESTS = [
     ("rpt_lead_outreach_priority", "lead_id", True),
 ]
 
+# views that are row-by-row projections of a model with the same key: their key
+# values are that model's, so one aggregation answers for all of them
+SAME_KEYS = {
+    "raw_leads": ("stg_leads", "entity_leads", "ops_leads"),
+    "raw_opportunities": ("stg_opportunities", "entity_opportunities"),
+}
+
 
 def closed_without_close_date(pl: Pipeline) -> DataFrame:
     e = pl.entity_opportunities
@@ -67,8 +74,9 @@ def lead_orphans(pl: Pipeline) -> DataFrame:
                          "opportunity_id", ["lead_id", "converted_opportunity_id"])
 
 
-def key_checks(df: DataFrame, model: str, key: str, not_null: bool) -> DataFrame:
-    """``unique`` and ``not_null`` of one key in a single aggregation.
+def key_checks(df: DataFrame, models: list[tuple[str, str, bool]]) -> DataFrame:
+    """``unique`` and ``not_null`` of one key in a single aggregation, for all
+    ``models`` (name, key, also not_null) that have its values.
 
     Rows are counted per key value (partial counts combined map-side); the
     duplicated values and the size of the NULL group are then read off that
@@ -78,21 +86,28 @@ def key_checks(df: DataFrame, model: str, key: str, not_null: bool) -> DataFrame
     one aggregation over a tagged union was measured slower: it re-shuffles
     every key and loses that partitioning.)
     """
+    key = models[0][1]
     k = F.col(key)
     per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     totals = per_key.agg(
         count_if(k.isNotNull() & (F.col("n") > 1)).alias("dup"),
         F.coalesce(F.sum(F.when(k.isNull(), F.col("n"))), F.lit(0)).cast("bigint").alias("nul"),
     )
-    rows = [F.lit(f"unique:{model}.{key}"), F.col("dup")]
-    if not_null:
-        rows += [F.lit(f"not_null:{model}.{key}"), F.col("nul")]
+    rows = []
+    for model, key, not_null in models:
+        rows += [F.lit(f"unique:{model}.{key}"), F.col("dup")]
+        if not_null:
+            rows += [F.lit(f"not_null:{model}.{key}"), F.col("nul")]
     return totals.select(F.stack(F.lit(len(rows) // 2), *rows).alias("check_name", "failures"))
 
 
 def check_summary(pl: Pipeline) -> DataFrame:
     """One row per check: its name and the number of failing rows."""
-    parts = [key_checks(pl.table(model), model, key, not_null) for model, key, not_null in KEY_TESTS]
+    tests = {t[0]: t for t in KEY_TESTS}
+    groups = {m: [tests[m]] for m in tests}
+    for model, views in SAME_KEYS.items():
+        groups[model] += [groups.pop(v)[0] for v in views if not pl.is_stored(v)]
+    parts = [key_checks(pl.table(model), same) for model, same in groups.items()]
     parts.append(failure_count(closed_without_close_date(pl), "closed_deals_have_close_date"))
     parts.append(failure_count(closed_flags_both_true(pl), "closed_flags_mutually_exclusive"))
     parts.append(failure_count(negative_cac_or_cost(pl), "no_negative_cac_or_cost"))

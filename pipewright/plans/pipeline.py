@@ -182,6 +182,9 @@ class Pipeline:
         return self._stored("rpt_lead_outreach_priority",
                             lambda: reports.rpt_lead_outreach_priority(self.ops_leads, self.p))
 
+    def is_stored(self, name: str) -> bool:
+        return name in self._tables
+
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)
 
