@@ -17,7 +17,7 @@ from .. import labels as L
 from ..functions import count_if, exact_mean, exact_sum, mean, money, pct, round_half, safe_div
 from ..operators import count_share, dedupe, exact_median, share_of_total, unpivot_columns, weighted_average
 from ..sources import read_driver
-from . import checks, reports
+from . import checks, ops, reports
 from .registry import QUERIES, pipeline, register
 
 
@@ -352,16 +352,30 @@ def q23_health_tiers(spark: SparkSession, sf: str) -> DataFrame:
         .orderBy(_asc("channel"), _asc("health_status"), _desc("leads"))
 
 
-ROW_COUNT_MODELS = ("ops_leads", "ops_opportunities", "ops_pipeline_health", "rpt_lead_outreach_priority",
-                    "rpt_channel_efficiency", "rpt_pipeline_health", "rpt_monthly_unit_economics")
+ROW_COUNT_REPORTS = ("rpt_channel_efficiency", "rpt_pipeline_health", "rpt_monthly_unit_economics")
 
 
 @register("q24_row_counts")
 def q24_row_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Row counts of the tables.
+
+    The tables that are projections of leads or of opportunities are counted in
+    one pass over each: over views, one dedupe of the leads answers for three
+    tables, and an opportunity is one row of its table.
+    """
     pl = pipeline(spark, sf)
-    parts = [pl.table(m).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(m).alias("model"), "rows")
-             for m in ROW_COUNT_MODELS]
-    return reduce(DataFrame.unionByName, parts).orderBy(_asc("model"))
+    leads = pl.ops_leads.agg(F.count(F.lit(1)).alias("n"), count_if(ops.is_working_lead()).alias("working"),
+                             count_if(reports.in_outreach_queue()).alias("queue"))
+    deals = pl.ops_opportunities if pl.is_stored("ops_opportunities") else pl.entity_opportunities
+    deals = deals.agg(F.count(F.lit(1)).alias("n"), count_if(F.col("is_closed") == F.lit(False)).alias("open"))
+    parts = [
+        leads.select(F.stack(F.lit(3), F.lit("ops_leads"), "n", F.lit("ops_pipeline_health"), "working",
+                             F.lit("rpt_lead_outreach_priority"), "queue").alias("model", "rows")),
+        deals.select(F.stack(F.lit(2), F.lit("ops_opportunities"), "n", F.lit("ops_pipeline_health"), "open").alias("model", "rows")),
+        *[pl.table(m).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(m).alias("model"), "rows") for m in ROW_COUNT_REPORTS],
+    ]
+    counted = reduce(DataFrame.unionByName, parts).groupBy("model").agg(F.sum("rows").alias("rows"))
+    return counted.orderBy(_asc("model"))
 
 
 QUERIES["q25_cac_ltv_read"] = lambda spark, sf: pipeline(spark, sf).present("rpt_cac_ltv_by_channel")

@@ -230,9 +230,12 @@ def open_opportunity_records(ops_opps: DataFrame, p: Params) -> DataFrame:
     return _project(ops_opps.filter(F.col("is_closed") == F.lit(False)), opportunity_record_columns(p))
 
 
+def is_working_lead() -> Column:
+    return (F.col("status") == L.STATUS_WORKING) & (F.col("is_converted") == F.lit(False))
+
+
 def working_lead_records(ops_leads_df: DataFrame, p: Params) -> DataFrame:
-    working = (F.col("status") == L.STATUS_WORKING) & (F.col("is_converted") == F.lit(False))
-    return _project(ops_leads_df.filter(working), lead_record_columns(p))
+    return _project(ops_leads_df.filter(is_working_lead()), lead_record_columns(p))
 
 
 def ops_pipeline_health(ops_opps: DataFrame, ops_leads_df: DataFrame, p: Params) -> DataFrame:
@@ -259,7 +262,7 @@ def ops_pipeline_health_one_pass(entity_opps: DataFrame, ops_leads_df: DataFrame
     deduplicated once instead of twice.
     """
     coid = F.col("converted_opportunity_id")
-    working = (F.col("status") == L.STATUS_WORKING) & (F.col("is_converted") == F.lit(False))
+    working = is_working_lead()
     lead_needs = sorted({"lead_id", "status", "working_lead_health", "form_submission_date", "first_sales_call_date",
                          "last_sales_activity_date", "last_sales_call_date", *_SHARED})
     leads = ops_leads_df.filter(coid.isNotNull() | working).select(

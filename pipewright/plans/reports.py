@@ -440,20 +440,28 @@ def _slow_label(speed: Column, field: int) -> Column:
     return expr
 
 
+def without_outreach() -> Column:
+    """Leads nobody has called or texted."""
+    return F.col("first_sales_call_date").isNull() & F.col("first_text_sent_date").isNull()
+
+
+def in_outreach_queue() -> Column:
+    """Working leads without outreach, or inbound ones with a known wait (over ops_leads)."""
+    working = (F.col("status") == L.STATUS_WORKING) & (F.col("is_converted") == F.lit(False))
+    slow = ~without_outreach() & (F.col("channel") == L.INBOUND) & F.col("speed_to_lead_minutes").isNotNull()
+    return working & (without_outreach() | slow)
+
+
 def rpt_lead_outreach_priority(ops_leads: DataFrame, p: Params) -> DataFrame:
     """Both sections in one narrow pass (they are disjoint by contact)."""
     as_of_ts = fn.ts_literal(f"{p.as_of} 00:00:00")
     as_of_date = fn.date_literal(p.as_of)
     call, text = F.col("first_sales_call_date"), F.col("first_text_sent_date")
     anchor = F.coalesce(F.col("form_submission_date"), call)
-    contacted = call.isNotNull() | text.isNotNull()
     speed = F.col("speed_to_lead_minutes")
-    base = ops_leads.filter((F.col("status") == L.STATUS_WORKING) & (F.col("is_converted") == F.lit(False)))
-    in_no = ~contacted
-    in_slow = contacted & (F.col("channel") == L.INBOUND) & speed.isNotNull()
-    base = base.filter(in_no | in_slow).select(
+    base = ops_leads.filter(in_outreach_queue()).select(
         "*",
-        F.when(in_no, F.lit(NO_OUTREACH)).otherwise(F.lit(SLOW_OUTREACH)).alias("outreach_section"),
+        F.when(without_outreach(), F.lit(NO_OUTREACH)).otherwise(F.lit(SLOW_OUTREACH)).alias("outreach_section"),
         F.least(call, text).alias("first_outreach_at"),
         fn.minute_diff(anchor, as_of_ts).alias("_wait_min"),
         fn.hour_diff(anchor, as_of_ts).alias("_wait_hour"),
