@@ -26,7 +26,7 @@ for itself; without training documents N and V are 0 and all tokens unknown.
 Words are told apart by 64-bit hashes.
 
 Scale: one exchange of (hash, count) rows, merged in each task before; the
-``HOT`` most frequent words go to the tasks as two arrays (bounded); the other
+most frequent words, ``HOT`` at most, go to the tasks as two arrays; the other
 words of a document, few and by definition not skewed, meet their counts in a
 join that moves (row, hash, times).  Texts are never exchanged.
 """
@@ -222,6 +222,18 @@ def word_counts(texts: DataFrame) -> DataFrame:
         .agg(F.min("subword").alias("subword"), F.sum("n").alias("n"))
 
 
+def _hot(counts: DataFrame) -> DataFrame:
+    """The most frequent words, ``HOT`` at most: all from a count on, found by counting on its logarithm."""
+    level = F.floor(F.log2("n") * 8)
+    room, least = HOT, None
+    for r in counts.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect():  # some hundred levels
+        room -= r["count"]
+        if room < 0:
+            break
+        least = r.level
+    return counts.where(level >= least) if least is not None else counts.limit(0)
+
+
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[Model, DataFrame, int, int]:
     """The model, the table of counts (hash, subword, n), and N and V of the base model."""
     spark = docs.sparkSession
@@ -230,7 +242,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tupl
     ends = training.count()
     total, distinct = (int(x or 0) for x in counts.agg(F.sum("n"), F.count(F.lit(1))).first())
     by_subword = counts.groupBy("subword").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).orderBy(F.desc("n"), "subword").limit(OTHER).collect()
-    hot = counts.orderBy(F.desc("n"), "hash").limit(HOT).select("hash", "n").toPandas().sort_values("hash")
+    hot = _hot(counts).select("hash", "n").toPandas().sort_values("hash")
     frequency = np.zeros((IDS, 2))
     for k, r in enumerate(by_subword):
         frequency[k] = r.n, r.v
