@@ -43,7 +43,8 @@ from .common import doc_key, null_id, table
 from .textarrays import Texts, raw
 
 LENGTH, GRAM = 50, 20
-BLOCK, PART = 2 << 20, 16 << 20
+BLOCK, PART = 2 << 20, 8 << 20
+_HASHED = 1 << 20  # bytes of segments hashed at a time
 _EDGE = 256  # stands for the byte before a segment
 
 
@@ -140,6 +141,19 @@ def intervals(prefix: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return out[:, 0], out[:, 1], out[:, 2]
 
 
+def window_hashes(data: np.ndarray, first: np.ndarray, last: np.ndarray, position: np.ndarray, length: int) -> np.ndarray:
+    """Hashes of the windows at the positions of segments (one behind the other), some segments at a time."""
+    end, place = last + length, np.concatenate(([0], np.cumsum(last - first + 1)))
+    out, a = np.empty(len(position), np.uint64), 0
+    for b in np.searchsorted(end, np.append(np.arange(_HASHED, len(data), _HASHED), len(data)), "right"):
+        if b > a:
+            t = Texts(data[first[a]:end[b - 1]], np.array([0, end[b - 1] - first[a]]))
+            start = position[place[a]:place[b]] - first[a]
+            out[place[a]:place[b]] = t.hashes(start, start + length)
+            a = b
+    return out
+
+
 def maximal_repeats(data: np.ndarray, first: np.ndarray, last: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
     """(position, segment, depth, low, high): suffixes of segments in sorted order,
     and the intervals [low, high] of that order that are maximal repeats of ``length`` or more.
@@ -151,41 +165,44 @@ def maximal_repeats(data: np.ndarray, first: np.ndarray, last: np.ndarray, lengt
     count = last - first + 1
     segment = np.repeat(np.arange(len(first)), count)
     position = first[segment] + np.arange(len(segment)) - np.repeat(np.cumsum(count) - count, count)
-    word = np.zeros(max(len(data) - 7, 0), np.uint64)
-    for k in range(8):
-        word = word << np.uint64(8) | data[k:len(word) + k]
-    offsets = [*range(0, length - 7, 8), length - 8]
-    order = np.lexsort([word[position + k] for k in reversed(offsets)])
-    same = np.ones(max(len(order) - 1, 0), bool)
-    for k in offsets:
-        value = word[position + k][order]
-        same &= value[1:] == value[:-1]
-    # runs of equal windows; only those with different bytes before them can hold a maximal repeat
-    run = np.concatenate(([0], np.cumsum(~same)))[:len(order)]
-    before = np.where(position == first[segment], np.int64(_EDGE), data[np.maximum(position - 1, 0)].astype(np.int64))[order]
-    head = np.flatnonzero(np.concatenate(([True], ~same)))[:len(order)]
-    if not len(order):
-        none = np.zeros(0, np.int64)
+    none = np.zeros(0, np.int64)
+    if not len(position):
+        return none, none, none, none, none
+    # runs of equal windows, by hash; where all have the same byte before them, the repeat starts further left
+    window = window_hashes(data, first, last, position, length)
+    order = np.argsort(window)
+    head = np.flatnonzero(np.concatenate(([True], np.diff(window[order]) != 0)))
+    before = np.where(position == first[segment], np.int64(_EDGE), data[np.maximum(position - 1, 0)].astype(np.int64))
+    sorted_before, size = before[order], np.diff(np.append(head, len(order)))
+    least = np.minimum.reduceat(sorted_before, head)
+    open_ = (size > 1) & ((least != np.maximum.reduceat(sorted_before, head)) | (least == _EDGE))
+    chosen = order[np.repeat(open_, size)]
+    if not len(chosen):
         return none, none, none, none, none
-    size = np.diff(np.append(head, len(order)))
-    open_ = (size > 1) & ((np.minimum.reduceat(before, head) != np.maximum.reduceat(before, head)) | (before[head] == _EDGE))
-    chosen = np.flatnonzero(open_[run])
-    run, before = run[chosen], before[chosen]
-    position, segment = position[order[chosen]], segment[order[chosen]]
-    # within a run, sorted on by what follows the window
+    # the suffix array of what is left: the window's bytes, then those up to the segment's end
+    position, segment, before = position[chosen], segment[chosen], before[chosen]
     rest = (last + length)[segment] - position - length
-    tail = np.zeros(len(position), np.uint64)
     keys = []
-    for k in range(0, int(rest.max(initial=0)), 7):
-        tail = np.zeros(len(position), np.uint64)
+    for k in [*range(0, length - 7, 8), length - 8]:
+        word = np.zeros(len(position), np.uint64)
+        for i in range(k, k + 8):
+            word = word << np.uint64(8) | data[position + i].astype(np.uint64)
+        keys.append(word)
+    windows = len(keys)
+    for k in range(0, int(rest.max()), 7):
+        word = np.zeros(len(position), np.uint64)
         for i in range(k, k + 7):
             inside = i < rest
-            tail = tail << np.uint64(9) | np.where(inside, data[np.minimum(position + length + i, len(data) - 1)].astype(np.uint64) + np.uint64(1), np.uint64(0))
-        keys.append(tail)
-    order = np.lexsort([*reversed(keys), run])
+            word = word << np.uint64(9) | np.where(inside, data[np.minimum(position + length + i, len(data) - 1)].astype(np.uint64) + np.uint64(1), np.uint64(0))
+        keys.append(word)
+    order = np.lexsort(keys[::-1])
     position, segment, before, rest = position[order], segment[order], before[order], rest[order]
+    same = np.ones(len(order) - 1, bool)
+    for word in keys[:windows]:
+        value = word[order]
+        same &= value[1:] == value[:-1]
     prefix = np.zeros(len(position), np.int64)
-    inner = np.flatnonzero(np.diff(run[order]) == 0) + 1
+    inner = np.flatnonzero(same) + 1
     prefix[inner] = length + common_prefix(data, position[inner - 1] + length, position[inner] + length, np.minimum(rest[inner - 1], rest[inner]))
     depth, low, high = intervals(prefix)
     if len(depth):
@@ -281,14 +298,16 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             of, (hashes, sizes, docs_) = _blobs(where, found.hash[one], (end - first).astype(np.uint16), doc)
             cut = np.append(np.flatnonzero(np.concatenate(([True], np.diff(where) != 0))), len(where)) if len(where) else [0]
             out = {"part": of, "block": [group.column("block")[0].as_py()] * len(of), "hash": hashes, "size": sizes, "doc": docs_,
-                   "data": [b"".join(found.data[a:b].tobytes() for a, b in zip(first[i:j], end[i:j])) for i, j in zip(cut, cut[1:])]}
+                   "data": [pa.compress(b"".join(found.data[a:b].tobytes() for a, b in zip(first[i:j], end[i:j])), "zstd", asbytes=True)
+                            for i, j in zip(cut, cut[1:])]}
         kinds = {"part": pa.int64(), "block": pa.int64()}
         return pa.table({k: pa.array(v, kinds.get(k, pa.binary())) for k, v in out.items()})
 
     def compare(group: pa.Table) -> pa.Table:
         hashes, sizes, doc = (_joined(group.column(k), t) for k, t in (("hash", np.uint64), ("size", np.uint16), ("doc", np.int64)))
-        data = _joined(group.column("data"), np.uint8)
         stop = np.cumsum(sizes.astype(np.int64))
+        raw_sizes = [int(np.frombuffer(x, np.uint16).sum(dtype=np.int64)) for x in group.column("size").to_pylist()]
+        data = np.frombuffer(b"".join(pa.decompress(x, n, "zstd", asbytes=True) for x, n in zip(group.column("data").to_pylist(), raw_sizes)), np.uint8)
         segment, offset, size = repeated_spans(data, stop - sizes, stop - length, doc, length)
         block_of = np.repeat(group.column("block").to_numpy(), [len(x) // 8 for x in group.column("hash").to_pylist()])[segment]
         by = np.argsort(block_of, kind="stable")
