@@ -15,10 +15,10 @@ end): p(token | before) = p(subword id | ids before) * p(token | subword id).
 
 Learning.  Counts cover every training document, as one table of word hashes.
 The attention weights start from the id counts; in ``ROUNDS`` rounds each task
-runs local gradient steps on its part of a sample of whole training documents
-(one in ``SAMPLE``, other ones each round, but ``LEAST`` documents where there
-are so few), and the tasks' weights are averaged.  The sample grows with the
-input and is never gathered in one place.
+runs local gradient steps on its part of the training documents of the round, and
+the tasks' weights are averaged.  The rounds part the training documents by id
+hash, so that together they learn from every one once, at every size; nothing is
+gathered in one place.
 
 Defined results: a null or empty text is the end token alone; a null id is read
 as the empty text for the learning rule; repeated rows count and are scored each
@@ -45,7 +45,7 @@ from .textarrays import Texts, lower, raw
 
 SUBWORD, IDS, HOT = 3, 128, 1 << 18
 WINDOW, CONTEXT, DIM = 32, 8, 16
-ROUNDS, SAMPLE, LEAST, STEP_WINDOWS, RATE = 3, 16, 3000, 64, 0.01
+ROUNDS, STEP_WINDOWS, RATE = 3, 64, 0.01
 OTHER, END, START = IDS - 3, IDS - 2, IDS - 1
 _MERGE = 2 << 20
 _SCORED = WINDOW - CONTEXT
@@ -251,13 +251,12 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tupl
     subwords = np.array([r.subword for r in by_subword], np.int64)
     order = np.argsort(subwords)
     model = Model(subwords[order], order, frequency, initial(frequency[:, 0] + 0.5), hot.hash.to_numpy(np.int64), hot.n.to_numpy(np.int64), ends)
-    share = max(1, min(SAMPLE, ends // LEAST))
     for k in range(ROUNDS):
-        model.weights = _round(spark, training.where(F.pmod("at", F.lit(share)) == k % share), model)
+        model.weights = _round(spark, training.where(F.pmod("at", F.lit(ROUNDS)) == k), model)
     return model, counts, total + ends, distinct + min(ends, 1)
 
 
-def _round(spark: SparkSession, sample: DataFrame, model: Model) -> dict:
+def _round(spark: SparkSession, part: DataFrame, model: Model) -> dict:
     """One round of local steps in all tasks; the weights averaged by their steps."""
     shared = spark.sparkContext.broadcast(model)
     names = list(model.weights)
@@ -274,7 +273,7 @@ def _round(spark: SparkSession, sample: DataFrame, model: Model) -> dict:
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(flat * steps), pa.array(np.full(len(flat), steps))],
                                              names=["place", "value", "steps"])
 
-    got = sample.select("text").mapInArrow(run, "place long, value double, steps long").groupBy("place") \
+    got = part.select("text").mapInArrow(run, "place long, value double, steps long").groupBy("place") \
         .agg((F.sum("value") / F.sum("steps")).alias("value")).toPandas().sort_values("place")
     if not len(got):
         return model.weights

@@ -3,6 +3,8 @@ import math
 import zlib
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 from pipewright.llm import attention_lm as lm
 
@@ -49,6 +51,20 @@ def test_empty_and_without_training(spark):
     check([tuple(r) for r in lm.score(docs_of(spark, [(held, "a b")])).collect()], brute([(held, "a b")]))
 
 
+@pytest.mark.parametrize("n", [300, 62_000])
+def test_rounds_learn_from_every_training_document(spark, monkeypatch, n):
+    seen = []
+
+    def round_of(_, part, model):
+        seen.extend(r.text for r in part.select("text").collect())
+        return model.weights
+
+    monkeypatch.setattr(lm, "_round", round_of)
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text"))
+    lm.fit(docs)
+    assert sorted(seen) == sorted(str(i) for i in range(n) if zlib.crc32(str(i).encode()) % 5 != 1)
+
+
 def test_model_beats_the_base_on_held_out_text(spark):
     got = lm.op4_attention_lm(spark, SF).where("held_out").toPandas()
     assert got.score.sum() > got.base_score.sum()
