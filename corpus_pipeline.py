@@ -13,30 +13,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pipewright.llm import bpe, decontaminate, importance, line_dedup, simhash
-from pipewright.llm.common import doc_key, table
+from pipewright.llm.common import doc_key, row_key, table
 from pipewright.session import checkpoint_dir
 
 
 def _with_key(docs: DataFrame) -> DataFrame:
-    """The documents with their key, under a name no column of theirs has."""
-    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), doc_key(F.col("doc_id")).alias("doc"))
+    """The documents with their key and the hash of their text, under names no column of theirs has."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), doc_key(F.col("doc_id")).alias("doc"),
+                       row_key(F.col("text")).alias("hash"))
 
 
 def _kept(docs: DataFrame, decisions: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose document is in ``decisions`` (doc)."""
-    return _with_key(docs).join(decisions.select("doc").distinct(), "doc", "left_semi").select("row.*")
+    """The rows of ``docs`` whose document and text are in ``decisions`` (doc, hash)."""
+    return _with_key(docs).join(decisions.select("doc", "hash").distinct(), ["doc", "hash"], "left_semi").select("row.*")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that importance resampling keeps."""
-    found = importance.resample(docs, table(spark, sf_dir, "labels"))
-    return _kept(docs, found.where("kept"))
+    found = importance.resample(docs, table(spark, sf_dir, "labels"), rows_apart=True)
+    return _kept(docs, found.where("kept").select("doc", F.col("row").alias("hash")))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without their repeated lines; n_chars follows the text."""
     found = line_dedup.drop_lines(docs).where("n_dropped > 0").select("doc", F.col("row").alias("hash"), "kept").distinct()
-    joined = _with_key(docs).withColumn("hash", F.xxhash64(F.coalesce("row.text", F.lit("")))).join(found, ["doc", "hash"], "left")
+    joined = _with_key(docs).join(found, ["doc", "hash"], "left")
     text = F.when(F.col("kept").isNotNull(), F.col("kept")).otherwise(F.col("row.text"))
     changed = {"text": text, "n_chars": F.when(F.col("kept").isNotNull(), F.char_length("kept").cast("long")).otherwise(F.col("row.n_chars"))}
     return joined.select(*[changed.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
@@ -45,7 +46,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the smallest id, of each SimHash component; one row of an id."""
     found = simhash.group(docs)
-    one = _kept(docs, found.where("doc = component"))
+    one = _with_key(docs).join(found.where("doc = component").select("doc").distinct(), "doc", "left_semi").select("row.*")
     rows = _with_key(one)
     return rows.groupBy("doc").agg(F.min("row").alias("row")).select("row.*")
 
@@ -53,7 +54,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark window."""
     found = decontaminate.find(docs, table(spark, sf_dir, "benchmark"))
-    return _kept(docs, found.where(F.size("hit") == 0).select(doc_key(F.col("id")).alias("doc")))
+    return _kept(docs, found.where(F.size("hit") == 0).select(doc_key(F.col("id")).alias("doc"), row_key(F.col("text")).alias("hash")))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

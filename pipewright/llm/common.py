@@ -39,6 +39,11 @@ def doc_key(column: Column) -> Column:
     return F.coalesce(column.cast("long"), F.lit(NO_ID))
 
 
+def row_key(text: Column) -> Column:
+    """A hash of the text that tells rows of one id apart; a null text is read as the empty one."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def null_id(column: Column) -> Column:
     """Back from :func:`doc_key`."""
     return F.when(column != NO_ID, column)

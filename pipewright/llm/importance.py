@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import doc_key, null_id, sliced, stored, table
+from .common import doc_key, null_id, row_key, sliced, stored, table
 from .textarrays import Texts, chain, lower, raw, within
 
 SAMPLE, BITS, SEED, HELD = 20_000, 15, 7, 5
@@ -104,8 +104,12 @@ def kth(keys: DataFrame, k: int) -> int:
 
 
 def resample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
-             sample: int = SAMPLE, seed: int = SEED) -> DataFrame:
-    """(doc, log_weight, kept) for each row of ``docs``; doc by :func:`common.doc_key`."""
+             sample: int = SAMPLE, seed: int = SEED, rows_apart: bool = False) -> DataFrame:
+    """(doc, log_weight, kept) for each row of ``docs``; doc by :func:`common.doc_key`.
+
+    ``rows_apart`` adds row, by :func:`common.row_key`.
+    """
+    row = ["row"] if rows_apart else []
     source = docs.select(doc_key(F.col(id_col)).alias("doc"), F.col(text_col).alias("text"))
     chosen = labels.select(F.col(id_col).cast("long").alias("doc"), (F.col(label_col) > 0).alias("good")).dropna() \
         .groupBy("doc").agg(F.min("good").alias("good")).orderBy(F.xxhash64("doc"), "doc").limit(sample) \
@@ -122,21 +126,22 @@ def resample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
         for batch in sliced(batches, "text"):
             t = _texts(batch)
             index, of = buckets(t)
-            yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("good"), batch.column("held"), pa.array(LENGTH * np.bincount(of, shared.value[index], t.n) / (np.bincount(of, minlength=t.n) + REST))],
-                                             names=["doc", "good", "held", "log_weight"])
+            passed = ["doc", "good", "held", *row]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in passed), pa.array(LENGTH * np.bincount(of, shared.value[index], t.n) / (np.bincount(of, minlength=t.n) + REST))],
+                                             names=[*passed, "log_weight"])
 
     # Gumbel noise -log(-log u) with u from the id's hash, strictly between 0 and 1
     u = (F.pmod(F.xxhash64(F.lit(seed), "doc"), F.lit(1 << 40)) + 0.5) / F.lit(float(1 << 40))
-    weighed = stored(marked.select("doc", "good", "held", "text")
-                     .mapInArrow(run, "doc long, good boolean, held boolean, log_weight double")
+    weighed = stored(marked.select("doc", "good", "held", *[row_key(F.col("text")).alias(c) for c in row], "text")
+                     .mapInArrow(run, f"doc long, good boolean, held boolean, {'row long, ' if row else ''}log_weight double")
                      .withColumn("key", sortable(F.col("log_weight") - F.log(-F.log(u)))), "weights")
     rows = weighed.where("held").select("log_weight", "good").toPandas()
     good = rows.good.to_numpy(bool)
     if not len(good) or good.all() or not good.any():
-        return weighed.select("doc", "log_weight", F.lit(True).alias("kept"))
+        return weighed.select("doc", *row, "log_weight", F.lit(True).alias("kept"))
     k = weighed.where(F.col("log_weight") >= best_cut(rows.log_weight.to_numpy(), good)).count()
     least = kth(weighed, k) if k else 1 << 62
-    return weighed.select("doc", "log_weight", (F.col("key") >= least).alias("kept"))
+    return weighed.select("doc", *row, "log_weight", (F.col("key") >= least).alias("kept"))
 
 
 def op7_importance(spark: SparkSession, sf_dir: str) -> DataFrame:

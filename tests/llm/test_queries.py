@@ -72,3 +72,18 @@ def test_pipeline_of_odd_rows(spark, tmp_path):
     write_tables(tmp_path / "none", documents=odd.limit(0), labels=spark.createDataFrame([], "doc_id long, quality int, toxic int"),
                  benchmark=spark.createDataFrame([], "item_id long, text string"))
     assert corpus_pipeline.run(spark, str(tmp_path / "none")).collect() == []
+
+
+def test_pipeline_decides_each_row_of_a_null_id(spark, tmp_path):
+    docs = docs_of(spark, [(None, "one two three is in the benchmark"), (None, "clean words only"), (7, "clean too"), (7, "one two three again"), (8, None)], extra=False)
+    folder = write_tables(tmp_path, benchmark=spark.createDataFrame([(1, "one two three")], "item_id long, text string"))
+    out = corpus_pipeline.decontamination(spark, docs, folder).collect()
+    assert sorted((str(r.doc_id), r.text) for r in out) == [("7", "clean too"), ("8", None), ("None", "clean words only")]
+
+
+def test_pipeline_quality_decides_each_row_of_a_null_id(spark, tmp_path):
+    good, bad = "calm river stone garden light " * 30, "spam click casino bonus win " * 30
+    docs = docs_of(spark, [(i, good if i % 2 else bad) for i in range(400)] + [(None, good), (None, bad)], extra=False)
+    folder = write_tables(tmp_path, labels=spark.createDataFrame([(i, i % 2, 0) for i in range(400)], "doc_id long, quality int, toxic int"))
+    out = corpus_pipeline.quality(spark, docs, folder).collect()
+    assert [r.text for r in out if r.doc_id is None] == [good]
