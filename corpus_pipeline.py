@@ -44,11 +44,10 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the smallest id, of each SimHash component; one row of an id."""
-    found = simhash.group(docs)
-    one = _with_key(docs).join(found.where("doc = component").select("doc").distinct(), "doc", "left_semi").select("row.*")
-    rows = _with_key(one)
-    return rows.groupBy("doc").agg(F.min("row").alias("row")).select("row.*")
+    """One row, of the smallest id, of each component that SimHash fingerprints connect."""
+    found = simhash.leaders(docs).select("doc", F.col("row").alias("hash"))
+    rows = _with_key(docs).join(found, ["doc", "hash"], "left_semi")
+    return rows.groupBy("doc", "hash").agg(F.min("row").alias("row")).select("row.*")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import doc_key, null_id, stored, table
+from .common import doc_key, null_id, row_key, stored, table
 from .components import components
 
 SHINGLE, BITS, SEED, CHUNK = 3, 3, 42, 2048
@@ -63,13 +63,19 @@ def fingerprint(text: str | None, n: int = SHINGLE) -> int:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = SHINGLE) -> DataFrame:
     """(doc, fp), a row for each row of ``docs``; doc by :func:`common.doc_key`."""
+    return _printed(docs.select(doc_key(F.col(id_col)).alias("doc"), F.col(text_col).alias("text")), n)
+
+
+def _printed(rows: DataFrame, n: int) -> DataFrame:
+    """``rows``, long columns and text, with fp in the place of text."""
+    names = [c for c in rows.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints = [fingerprint(t, n) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints, pa.int64())], names=["doc", "fp"])
+            prints = [fingerprint(t, n) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(prints, pa.int64())], names=[*names, "fp"])
 
-    return docs.select(doc_key(F.col(id_col)).alias("doc"), F.col(text_col).alias("text")).mapInArrow(run, "doc long, fp long")
+    return rows.mapInArrow(run, ", ".join(f"{c} long" for c in [*names, "fp"]))
 
 
 #: position of each bit of a half in the Hamming code, and all pairs of positions by their XOR
@@ -201,6 +207,18 @@ def group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: in
     return prints.join(lead, "fp").select("doc", "fp", "component")
 
 
+def leaders(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = SHINGLE, bits: int = BITS) -> DataFrame:
+    """(doc, row): the smallest row of each component that fingerprints alone connect;
+    an id connects nothing.  row by :func:`common.row_key`."""
+    prints = stored(_printed(docs.select(doc_key(F.col(id_col)).alias("doc"), row_key(F.col(text_col)).alias("row"), F.col(text_col).alias("text")), n),
+                    "fingerprints")
+    # rows of one fingerprint are always connected, so the fingerprint stands for them in the links
+    least = components(links(prints.select(F.col("fp").alias("doc"), "fp").distinct(), bits))
+    return prints.groupBy("fp").agg(F.min(F.struct("doc", "row")).alias("first")) \
+        .join(least.select(F.col("a").alias("fp"), "b"), "fp", "left") \
+        .groupBy(F.coalesce("b", "fp").alias("component")).agg(F.min("first").alias("first")).select("first.doc", "first.row")
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return group(table(spark, sf_dir, "documents")).select(
         null_id(F.col("doc")).alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),

@@ -87,3 +87,13 @@ def test_pipeline_quality_decides_each_row_of_a_null_id(spark, tmp_path):
     folder = write_tables(tmp_path, labels=spark.createDataFrame([(i, i % 2, 0) for i in range(400)], "doc_id long, quality int, toxic int"))
     out = corpus_pipeline.quality(spark, docs, folder).collect()
     assert [r.text for r in out if r.doc_id is None] == [good]
+
+
+def test_pipeline_near_duplicates_links_by_fingerprint_only(spark):
+    """Rows of one id with other texts all stay, and connect no documents near to them."""
+    words = [[f"{c}{k}" for k in range(300)] for c in "abcd"]
+    text = [" ".join(w) for w in words]
+    rows = [(None, text[0]), (None, text[1]), (None, text[1]), (1, text[0]), (2, text[1]), (3, text[2]), (3, text[3]), (4, text[2])]
+    assert min((simhash.fingerprint(a) ^ simhash.fingerprint(b)).bit_count() for a in text for b in text if a < b) > simhash.BITS
+    out = corpus_pipeline.near_duplicates(spark, docs_of(spark, rows, extra=False), SF).collect()
+    assert sorted((str(r.doc_id), r.text) for r in out) == sorted([("None", text[0]), ("None", text[1]), ("3", text[2]), ("3", text[3])])
