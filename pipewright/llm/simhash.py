@@ -141,7 +141,8 @@ def compare(group: np.ndarray, home: np.ndarray, doc: np.ndarray, fp: np.ndarray
         size = width[k:to]
         a = np.repeat(homes[k:to], size)
         b = np.repeat(first[of[homes[k:to]]], size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-        near = np.bitwise_count(fp[a] ^ fp[b]) <= bits
+        # unsigned: of a negative number numpy counts the bits of its absolute value
+        near = np.bitwise_count((fp[a] ^ fp[b]).view(np.uint64)) <= bits
         near &= a != b
         left.append(a[near])
         right.append(b[near])

@@ -85,6 +85,12 @@ def test_links_against_all_pairs(spark):
     assert linked(spark, prints, chunk=7)[0] == want  # hot anchors dealt into blocks
 
 
+def test_links_across_the_sign_bit(spark):
+    for bits, linked_too in ((1 << 63, True), (1 << 63 | 1, True), (1 << 63 | 3, True), (1 << 63 | 7, False), (3, True), (7, True), (15, False)):
+        for base in (5, 5 | 1 << 63, 2**64 - 1):
+            assert (linked(spark, [(1, base), (2, base ^ bits)])[0] == [1, 1]) == linked_too
+
+
 def test_group(spark):
     r = random.Random(5)
     base = " ".join(f"w{r.randrange(500)}" for _ in range(400))
