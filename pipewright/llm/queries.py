@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import attention_lm, bpe, chat_format, decontaminate, importance, line_dedup, quality_rules, simhash, site_style, suffix_repeats
+from . import attention_lm, bpe, chat_format, decontaminate, importance, line_dedup, merkle, quality_rules, simhash, site_style, suffix_repeats
 
 QUERIES = {f.__name__: f for f in (
     site_style.op1_site_style,
@@ -15,10 +15,12 @@ QUERIES = {f.__name__: f for f in (
     simhash.op8_simhash,
     decontaminate.op9_decontamination,
     line_dedup.op10_line_dedup,
+    merkle.op11_merkle,
 )}
 ORACLE = {
     "op3_chat": chat_format.SQL,
     "op6_suffix_dedup": suffix_repeats.SQL,
     "op9_decontamination": decontaminate.SQL,
     "op10_line_dedup": line_dedup.SQL,
+    "op11_merkle": merkle.SQL,
 }
