@@ -29,8 +29,8 @@ document is a row, so repeated rows count again; a group without terms has N = 0
 a language without kept terms gives its pairs the value 0; equal values rank by
 UTF-8; an empty table gives an empty table; other columns are never looked at.
 
-Scale: words are counted in their Arrow batches, several batches together, so what
-is exchanged is a row a group, term and task.  Sums by (language, source, term)
+Scale: words are counted over some MB of text at a time, so what is exchanged is a
+row a group and term of each such run.  Sums by (language, source, term)
 come before those by (language, term): a term of every document meets as one row a
 source.  All sums are integers, products are DECIMAL(38,0): nothing is rounded.
 """
@@ -49,8 +49,8 @@ from .common import LOWER, UPPER, sliced, stored, table
 from .textarrays import raw
 
 MIN_DOCS, TOP, SMOOTH, SCALE, BLOCK = 30, 50, 5, 1_000_000_000, 256
-#: rows of counts a task merges, or of shares it compares, at a time; cells of a matrix; rows of a part
-_HELD, _CELLS, _ROWS = 400_000, 1 << 21, 1 << 17
+#: bytes of text whose words are counted at a time; rows compared at a time; cells of a matrix; rows of a part
+_BYTES, _HELD, _CELLS, _ROWS = 8 << 20, 400_000, 1 << 21, 1 << 17
 
 #: per byte: what is left of it, a blank where it's not part of a term
 _TERM = np.full(256, 32, np.uint8)
@@ -87,24 +87,15 @@ def term_counts(batch: pa.RecordBatch) -> pa.Table:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held, rows = [], 0
-
-    def merged() -> pa.Table:
-        one = pa.concat_tables(held).group_by(["lang", "source", "term"]).aggregate([("n", "sum"), ("docs", "sum")])
-        return one.rename_columns(["lang", "source", "term", "n", "docs"])
-
-    for batch in sliced(batches, "text"):
-        held.append(term_counts(batch))
-        rows += held[-1].num_rows
-        if rows > _HELD:
-            one = merged()
-            if one.num_rows > _HELD // 2:
-                yield from one.to_batches(max_chunksize=1 << 16)
-                held, rows = [], 0
-            else:
-                held, rows = [one], one.num_rows
+    held, size = [], 0
+    for batch in sliced(batches, "text", _BYTES):
+        held.append(batch)
+        size += batch.nbytes
+        if size >= _BYTES:
+            yield from term_counts(pa.concat_batches(held)).to_batches(max_chunksize=1 << 16)
+            held, size = [], 0
     if held:
-        yield from merged().to_batches(max_chunksize=1 << 16)
+        yield from term_counts(pa.concat_batches(held)).to_batches(max_chunksize=1 << 16)
 
 
 def share(count: Column, total: Column, v: Column) -> Column:
@@ -149,23 +140,27 @@ def group_totals(kept: DataFrame, block: int = BLOCK) -> DataFrame:
 def skyband(count: np.ndarray, lang_count: np.ndarray, term: np.ndarray, k: int) -> np.ndarray:
     """Indices of the points that fewer than k others dominate; term: places in UTF-8 order, all different."""
     order = np.lexsort((term, lang_count, -count))  # a point comes after all that dominate it
+    low, early = np.unique(lang_count, return_inverse=True)[1].astype(np.int32), term.astype(np.int32)
     kept = order[:0]
     for start in range(0, len(order), 512):
         new = order[start:start + 512]
-        every = np.concatenate((kept, new))
-        # in a block all points count: those that are dropped from it dominate as well
-        over = (count[every][:, None] >= count[new]) & (lang_count[every][:, None] <= lang_count[new]) & (term[every][:, None] < term[new])
-        kept = np.concatenate((kept, new[over.sum(0) < k]))
+        # all that come before have its count or more; in a block those that are dropped from it dominate as well
+        over = ((low[kept][:, None] <= low[new]) & (early[kept][:, None] < early[new])).sum(0)
+        over += np.triu((low[new][:, None] <= low[new]) & (early[new][:, None] < early[new])).sum(0)
+        kept = np.concatenate((kept, new[over < k]))
     return kept
 
 
 def _skybands(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state = None
+        held, fresh = [], 0
         for batch in batches:
-            state = reduce_groups(pa.Table.from_batches([batch] if state is None else [*state.to_batches(), batch]), k)
-        if state is not None:
-            yield from state.to_batches()
+            held.append(batch)
+            fresh += batch.num_rows
+            if fresh > _HELD:
+                held, fresh = reduce_groups(pa.Table.from_batches(held), k).to_batches(), 0
+        if held:
+            yield from reduce_groups(pa.Table.from_batches(held), k).to_batches()
 
     return run
 
