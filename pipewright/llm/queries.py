@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import attention_lm, bpe, chat_format, decontaminate, divergence, importance, line_dedup, merkle, quality_rules, simhash, site_style, suffix_repeats
+from . import attention_lm, bpe, chat_format, decontaminate, divergence, importance, language_id, line_dedup, merkle, quality_rules, simhash, site_style, suffix_repeats
 
 QUERIES = {f.__name__: f for f in (
     site_style.op1_site_style,
@@ -16,6 +16,7 @@ QUERIES = {f.__name__: f for f in (
     decontaminate.op9_decontamination,
     line_dedup.op10_line_dedup,
     merkle.op11_merkle,
+    language_id.op12_language,
     divergence.op13_divergence,
 )}
 ORACLE = {

@@ -23,7 +23,7 @@ def test_sql(spark, name):
 
 def test_registered():
     names = {k.split("_")[0] for k in __spark_entry__.queries()}
-    assert {f"op{n}" for n in range(1, 11)} <= names and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} <= names and "pipeline" in names
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
 
 
