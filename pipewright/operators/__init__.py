@@ -1,7 +1,7 @@
 """DataFrame -> DataFrame operators, parameterized by column names."""
 
 from .checks import check_orphans, failure_count, violations
-from .dedupe import dedupe
+from .dedupe import dedupe, first_rows
 from .quantiles import exact_median
 from .reshape import unpivot_columns, unpivot_groups
 from .snapshot import diff_snapshots
@@ -9,7 +9,7 @@ from .shares import count_share, share_of_total, weighted_average
 from .windows import ordered, rolling_count, rolling_mean, trailing
 
 __all__ = [
-    "check_orphans", "failure_count", "violations", "dedupe", "exact_median",
+    "check_orphans", "failure_count", "violations", "dedupe", "first_rows", "exact_median",
     "unpivot_columns", "unpivot_groups", "count_share", "share_of_total", "weighted_average",
     "diff_snapshots", "ordered", "rolling_count", "rolling_mean", "trailing",
 ]

@@ -60,3 +60,24 @@ def dedupe(df: DataFrame, keys: str | Sequence[str], order: Sequence[str | Colum
         ties = []
     w = Window.partitionBy(*keys).orderBy(*order_cols, *ties)
     return df.withColumn(_ROW_NUM, F.row_number().over(w)).filter(F.col(_ROW_NUM) == 1).drop(_ROW_NUM)
+
+
+def first_rows(df: DataFrame, key: str, order: Sequence[Column], columns: Sequence[str], rows: str = "_rows",
+               last: bool = False) -> DataFrame:
+    """The first row per ``key`` as an aggregate: (key, number of its rows, ``columns``).
+
+    The same row as :func:`dedupe` gives, in a form that several readers of one
+    query share.  Spark reuses an exchange only where the plans below it are equal,
+    and column pruning makes them differ from reader to reader.  Here the row
+    travels as one struct, which is not pruned, and every reader keeps it and the
+    count (they are tested in a way that the optimizer cannot decide), so all
+    readers have one exchange.  Partial aggregation forwards one row per key and
+    map task.
+
+    ``order``: columns whose struct is compared, smallest first (``last``: largest).
+    For readers that need most of ``columns``; a single reader prunes better with
+    :func:`dedupe`.
+    """
+    pick = F.max_by if last else F.min_by
+    found = df.groupBy(key).agg(F.count(F.lit(1)).alias(rows), pick(F.struct(*columns), F.struct(*order)).alias("_row"))
+    return found.where((F.col(rows) > 0) & F.col("_row").isNotNull()).select(key, rows, *[F.col(f"_row.{c}").alias(c) for c in columns])

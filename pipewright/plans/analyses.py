@@ -360,13 +360,13 @@ def q24_row_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Row counts of the tables.
 
     The tables that are projections of leads or of opportunities are counted in
-    one pass over each: over views, one dedupe of the leads answers for three
-    tables, and an opportunity is one row of its table.
+    one pass over each: one dedupe of the leads answers for three tables.  The
+    reports read the same shared frames, so no source is read or shuffled twice.
     """
     pl = pipeline(spark, sf)
-    leads = pl.ops_leads.agg(F.count(F.lit(1)).alias("n"), count_if(ops.is_working_lead()).alias("working"),
-                             count_if(reports.in_outreach_queue()).alias("queue"))
-    deals = pl.ops_opportunities if pl.is_stored("ops_opportunities") else pl.entity_opportunities
+    deals, leads = pl.deals_and_leads()
+    leads = leads.agg(F.count(F.lit(1)).alias("n"), count_if(ops.is_working_lead()).alias("working"),
+                      count_if(reports.in_outreach_queue()).alias("queue"))
     deals = deals.agg(F.count(F.lit(1)).alias("n"), count_if(F.col("is_closed") == F.lit(False)).alias("open"))
     parts = [
         leads.select(F.stack(F.lit(3), F.lit("ops_leads"), "n", F.lit("ops_pipeline_health"), "working",
@@ -529,7 +529,6 @@ def health_changes(spark: SparkSession, sf: str) -> DataFrame:
     import datetime as dt
 
     from ..operators import diff_snapshots
-    from .ops import ops_pipeline_health_one_pass
     from .pipeline import Pipeline
 
     pl = pipeline(spark, sf)
@@ -537,9 +536,8 @@ def health_changes(spark: SparkSession, sf: str) -> DataFrame:
     then = Pipeline(spark, pl.sources, dataclasses.replace(pl.p, as_of=day))
     on = fn.date_literal(day)
     existed = lambda c: c.isNull() | (c.cast("date") <= on)
-    opps = pl.entity_opportunities.filter(existed(F.col("created_date"))).withColumn(
+    opps = pl.shared.entity_opportunities.filter(existed(F.col("created_date"))).withColumn(
         "is_closed", F.when(F.col("close_date") > on, F.lit(False)).otherwise(F.col("is_closed")))
-    leads = then.ops_leads.filter(F.col("converted_opportunity_id").isNotNull()
-                                  | existed(F.coalesce("form_submission_date", "first_sales_call_date")))
-    return diff_snapshots(ops_pipeline_health_one_pass(opps, leads, then.p), pl.ops_pipeline_health,
+    leads = then.shared.ops_leads.filter(existed(F.coalesce("form_submission_date", "first_sales_call_date")))
+    return diff_snapshots(ops.ops_pipeline_health(pl.shared.enriched(opps), leads, then.p), pl.ops_pipeline_health,
                           ["record_type", "record_id"], ["health_status"], ["channel"])

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import functions as fn
 from ..functions import count_if
-from ..operators import check_orphans, failure_count, violations
+from ..operators import check_orphans, violations
+from . import layers, reports
 from .pipeline import Pipeline
 
 # (model, key column, also tested not_null)
@@ -37,31 +38,29 @@ KEY_TESTS = [
     ("rpt_lead_outreach_priority", "lead_id", True),
 ]
 
-# views that are row-by-row projections of a model with the same key: their key
-# values are that model's, so one aggregation answers for all of them
-SAME_KEYS = {
-    "raw_leads": ("stg_leads", "entity_leads", "ops_leads"),
-    "raw_opportunities": ("stg_opportunities", "entity_opportunities"),
-}
+def without_close_date() -> Column:
+    return (F.col("is_closed") == F.lit(True)) & F.col("close_date").isNull()
+
+
+def both_flags() -> Column:
+    return (F.col("is_closed_won") == F.lit(True)) & (F.col("is_closed_lost") == F.lit(True))
+
+
+def negative_cost() -> Column:
+    return ((F.col("cac").isNotNull() & (F.col("cac") < 0))
+            | (F.col("total_cost_6mo").isNotNull() & (F.col("total_cost_6mo") < 0)))
 
 
 def closed_without_close_date(pl: Pipeline) -> DataFrame:
-    e = pl.entity_opportunities
-    return violations(e, (F.col("is_closed") == F.lit(True)) & F.col("close_date").isNull(),
-                      ["opportunity_id", "stage_name", "close_date"])
+    return violations(pl.entity_opportunities, without_close_date(), ["opportunity_id", "stage_name", "close_date"])
 
 
 def closed_flags_both_true(pl: Pipeline) -> DataFrame:
-    e = pl.entity_opportunities
-    return violations(e, (F.col("is_closed_won") == F.lit(True)) & (F.col("is_closed_lost") == F.lit(True)),
-                      ["opportunity_id", "is_closed_won", "is_closed_lost"])
+    return violations(pl.entity_opportunities, both_flags(), ["opportunity_id", "is_closed_won", "is_closed_lost"])
 
 
 def negative_cac_or_cost(pl: Pipeline) -> DataFrame:
-    r = pl.rpt_cac_ltv_by_channel
-    cond = ((F.col("cac").isNotNull() & (F.col("cac") < 0))
-            | (F.col("total_cost_6mo").isNotNull() & (F.col("total_cost_6mo") < 0)))
-    return violations(r, cond, ["channel", "cac", "total_cost_6mo"])
+    return violations(pl.rpt_cac_ltv_by_channel, negative_cost(), ["channel", "cac", "total_cost_6mo"])
 
 
 def lead_orphans(pl: Pipeline) -> DataFrame:
@@ -74,48 +73,91 @@ def lead_orphans(pl: Pipeline) -> DataFrame:
                          "opportunity_id", ["lead_id", "converted_opportunity_id"])
 
 
-def key_checks(df: DataFrame, models: list[tuple[str, str, bool]]) -> DataFrame:
-    """``unique`` and ``not_null`` of one key in a single aggregation, for all
-    ``models`` (name, key, also not_null) that have its values.
+def _key_counts(df: DataFrame, key: str, rules: list[tuple[str, Column, bool]], others: dict[str, Column] | None = None) -> DataFrame:
+    """``unique`` and ``not_null`` of one key in every model of ``rules``, and the row rules ``others``, in one aggregation.
 
-    Rows are counted per key value (partial counts combined map-side); the
-    duplicated values and the size of the NULL group are then read off that
-    one result, so a table is scanned and shuffled once for both tests.
-    A table deduplicated on this key is already hash-partitioned on it, so
-    its count needs no shuffle at all.  (Counting the keys of all tables in
-    one aggregation over a tagged union was measured slower: it re-shuffles
-    every key and loses that partitioning.)
+    ``rules``: (model, the number of its rows in a group of one key, also not_null);
+    ``others``: (check, aggregate over the rows).  Rows are counted per key value
+    (partial counts combined map-side); the duplicated values and the size of the
+    NULL group are then read off that one result.
     """
-    key = models[0][1]
+    others = others or {}
+    per_key = df.groupBy(key).agg(*[n.alias(f"_n{i}") for i, (_, n, _) in enumerate(rules)],
+                                  *[e.alias(f"_o{i}") for i, e in enumerate(others.values())])
     k = F.col(key)
-    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    totals = per_key.agg(
-        count_if(k.isNotNull() & (F.col("n") > 1)).alias("dup"),
-        F.coalesce(F.sum(F.when(k.isNull(), F.col("n"))), F.lit(0)).cast("bigint").alias("nul"),
-    )
-    rows = []
-    for model, key, not_null in models:
-        rows += [F.lit(f"unique:{model}.{key}"), F.col("dup")]
+    found: dict[str, Column] = {}
+    for i, (model, _, not_null) in enumerate(rules):
+        n = F.col(f"_n{i}")
+        found[f"unique:{model}.{key}"] = count_if(k.isNotNull() & (n > 1))
         if not_null:
-            rows += [F.lit(f"not_null:{model}.{key}"), F.col("nul")]
-    return totals.select(F.stack(F.lit(len(rows) // 2), *rows).alias("check_name", "failures"))
+            found[f"not_null:{model}.{key}"] = F.coalesce(F.sum(F.when(k.isNull(), n)), F.lit(0)).cast("bigint")
+    found |= {name: F.coalesce(F.sum(f"_o{i}"), F.lit(0)).cast("bigint") for i, name in enumerate(others)}
+    totals = per_key.agg(*[e.alias(f"_c{i}") for i, e in enumerate(found.values())])
+    rows = [x for i, name in enumerate(found) for x in (F.lit(name), F.col(f"_c{i}"))]
+    return totals.select(F.stack(F.lit(len(found)), *rows).alias("check_name", "failures"))
+
+
+def _each_row() -> Column:
+    return F.count(F.lit(1))
 
 
 def check_summary(pl: Pipeline) -> DataFrame:
-    """One row per check: its name and the number of failing rows."""
-    tests = {t[0]: t for t in KEY_TESTS}
-    groups = {m: [tests[m]] for m in tests}
-    for model, views in SAME_KEYS.items():
-        groups[model] += [groups.pop(v)[0] for v in views if not pl.is_stored(v)]
-    parts = [key_checks(pl.table(model), same) for model, same in groups.items()]
-    parts.append(failure_count(closed_without_close_date(pl), "closed_deals_have_close_date"))
-    parts.append(failure_count(closed_flags_both_true(pl), "closed_flags_mutually_exclusive"))
-    parts.append(failure_count(negative_cac_or_cost(pl), "no_negative_cac_or_cost"))
-    parts.append(failure_count(lead_orphans(pl), "referential_integrity_leads_to_opportunities"))
+    """One row per check: its name and the number of failing rows.
+
+    All rules of a source, on every layer from ingress to entity, are one
+    aggregation over its shared rows, which are grouped by the source's key
+    already; the rules on tables and reports that are not stored read the same
+    rows.  So each source is scanned once and shuffled by its key once.
+    """
+    s, tests = pl.shared, {model: (key, not_null) for model, key, not_null in KEY_TESTS}
+    source_rows = F.sum(layers.ROWS)
+
+    def layer_rules(entity: str, *more: tuple[str, Column]) -> list[tuple[str, Column, bool]]:
+        names = [f"{layer}_{entity}" for layer in ("raw", "stg", "entity") if f"{layer}_{entity}" in tests]
+        counted = [(f"ingress_{entity}", source_rows), *[(n, _each_row()) for n in names], *more]
+        return [(name, n, tests[name][1]) for name, n in counted]
+
+    here = [(name, n) for name, n in (("ops_leads", _each_row()), ("rpt_lead_outreach_priority", count_if(reports.in_outreach_queue())))
+            if not pl.is_stored(name)]
+    parts = [
+        _key_counts(s.ops_leads, "lead_id", layer_rules("leads", *here)),
+        _key_counts(s.entity_opportunities, "opportunity_id", layer_rules("opportunities"),
+                    {"closed_deals_have_close_date": count_if(without_close_date()), "closed_flags_mutually_exclusive": count_if(both_flags())}),
+        orphan_count(pl),
+    ]
+    for ledger in ("expenses_advertising", "expenses_salary"):
+        raw, staged = getattr(s, f"raw_{ledger}"), getattr(s, f"stg_{ledger}")
+        parts.append(_key_counts(raw, "month", [(f"ingress_{ledger}", source_rows, True), (f"raw_{ledger}", _each_row(), True)]))
+        parts.append(_key_counts(staged, "expense_month", [(f"stg_{ledger}", _each_row(), True)]))
+    deals, leads = pl.deals_and_leads()
+    costs = pl.table("ops_expenses") if pl.is_stored("ops_expenses") else s.ops_expenses
+    unstored = {
+        "ops_opportunities": lambda: deals,
+        "ops_expenses": lambda: costs,
+        "rpt_funnel_summary": lambda: reports.rpt_funnel_summary(leads, deals),
+        "rpt_monthly_unit_economics": lambda: reports.rpt_monthly_unit_economics(costs, leads, deals),
+        "rpt_cac_ltv_by_channel": lambda: reports.rpt_cac_ltv_by_channel(deals, costs, pl.p),
+    }
+    for model, (key, not_null) in tests.items():
+        if model in unstored or pl.is_stored(model):
+            df = pl.table(model) if pl.is_stored(model) else unstored[model]()
+            others = {"no_negative_cac_or_cost": count_if(negative_cost())} if model == "rpt_cac_ltv_by_channel" else None
+            parts.append(_key_counts(df, key, [(model, _each_row(), not_null)], others))
     return reduce(DataFrame.unionByName, parts).select(
         "check_name", F.col("failures").cast("bigint").alias("failures"))
 
 
+def orphan_count(pl: Pipeline) -> DataFrame:
+    """How many leads :func:`lead_orphans` finds, from the leads already grouped by their opportunity."""
+    named = pl.shared.lead_per_opportunity.select("converted_opportunity_id", F.col(layers.ROWS).alias("leads"))
+    known = pl.shared.entity_opportunities.select("opportunity_id")
+    # an anti join would filter the opportunities' NULL keys below their exchange and so not share it
+    both = named.join(known, named["converted_opportunity_id"] == known["opportunity_id"], "full_outer")
+    lost = F.sum(F.when(F.col("opportunity_id").isNull(), F.col("leads")))
+    return both.agg(F.coalesce(lost, F.lit(0)).alias("failures")) \
+        .select(F.lit("referential_integrity_leads_to_opportunities").alias("check_name"), "failures")
+
+
 def parse_failures(pl: Pipeline) -> DataFrame:
     """Side counts of dirty values the cleaning rules turned into NULL or 0.
 

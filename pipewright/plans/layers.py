@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import functions as fn
 from .. import labels as L
-from ..operators import dedupe
+from ..operators import dedupe, first_rows
 from ..params import Params
 from ..sources import schemas
 
@@ -21,6 +21,17 @@ LEAD_TIMESTAMPS = [
     "first_meeting_booked_date", "last_sales_call_date", "last_sales_activity_date",
     "last_sales_email_date",
 ]
+LEAD_LISTS = ("marketplaces_used", "online_ordering_used", "cuisine_types")
+LIST_COUNTS = ("marketplace_count", "online_ordering_count", "cuisine_type_count")
+# in the models' column order
+LIST_COLUMNS = [c for count, text in zip(LIST_COUNTS, LEAD_LISTS, strict=True) for c in (count, f"{text}_raw")]
+# how many source rows a shared row stands for (plans/shared.py)
+ROWS = "_rows"
+
+
+def present(df: DataFrame, *names: str) -> list[str]:
+    """Those of the columns that ``df`` has: shared frames lack the lists and have the row count."""
+    return [c for c in names if c in df.columns]
 
 
 # ---------------------------------------------------------------- ingress
@@ -61,6 +72,30 @@ def raw_expenses(ingress_expenses: DataFrame) -> DataFrame:
     return ingress_expenses.distinct()
 
 
+def shared_rows(ingress_df: DataFrame, key: str, newest: str | None = None, without: tuple[str, ...] = ()) -> DataFrame:
+    """The raw rows of a source, with how many source rows each key has, for several readers.
+
+    The rows :func:`raw_leads` and (``newest``: the version column) :func:`raw_opportunities`
+    keep, without the columns ``without``; see :func:`first_rows`.
+    """
+    columns = [c for c in ingress_df.columns if c != key and c not in schemas.POSITION]
+    if schemas.has_position(ingress_df):
+        ties = [F.col(c) for c in schemas.POSITION]
+    else:
+        ties = [F.xxhash64(*[F.col(c) for c in columns])]
+    kept = [c for c in columns if c not in without]
+    if newest is None:
+        return first_rows(ingress_df, key, ties, kept, ROWS)
+    # the largest of (no version date, version date); ties, complemented, to the first position
+    order = [F.col(newest).isNull(), F.col(newest), *[F.bitwise_not(t) for t in ties]]
+    return first_rows(ingress_df, key, order, kept, ROWS, last=True)
+
+
+def ledger_rows(ingress_expenses: DataFrame) -> DataFrame:
+    """:func:`raw_expenses` with how many source rows each row stands for."""
+    return ingress_expenses.groupBy(*ingress_expenses.columns).agg(F.count(F.lit(1)).alias(ROWS)).where(F.col(ROWS) > 0)
+
+
 # ---------------------------------------------------------------- staging
 def stg_leads(raw: DataFrame) -> DataFrame:
     """Leads cleaned column by column (1:1 with raw)."""
@@ -69,16 +104,16 @@ def stg_leads(raw: DataFrame) -> DataFrame:
     cols += [F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
              for c in ("sales_call_count", "sales_text_count", "sales_email_count")]
     cols.append(fn.decimal_comma("predicted_sales_with_owner").alias("predicted_sales_with_owner"))
-    for src, count_name in (("marketplaces_used", "marketplace_count"),
-                            ("online_ordering_used", "online_ordering_count"),
-                            ("cuisine_types", "cuisine_type_count")):
-        cols.append(fn.list_count(src).alias(count_name))
-        cols.append(F.col(src).alias(f"{src}_raw"))
+    for src, count_name in zip(LEAD_LISTS, LIST_COUNTS, strict=True):
+        if src in raw.columns:
+            cols.append(fn.list_count(src).alias(count_name))
+            cols.append(F.col(src).alias(f"{src}_raw"))
     cols += [
         F.col("location_count"),
         F.col("connected_with_decision_maker"),
         fn.normalize_status("status").alias("status"),
         F.col("converted_opportunity_id"),
+        *present(raw, ROWS),
     ]
     return raw.select(*cols)
 
@@ -94,7 +129,7 @@ def stg_opportunities(raw: DataFrame) -> DataFrame:
         fn.fix_year_ts("demo_time").alias("demo_time"),
         fn.fix_year_date("close_date").alias("close_date"),
         fn.fix_year_ts("last_sales_call_date_time").alias("last_sales_call_date_time"),
-        "account_id",
+        "account_id", *present(raw, ROWS),
     )
 
 
@@ -133,9 +168,8 @@ def entity_leads(stg: DataFrame, p: Params) -> DataFrame:
         (F.col("sales_call_count") + F.col("sales_text_count") + F.col("sales_email_count"))
         .alias("total_touch_count"),
         "predicted_sales_with_owner",
-        "marketplace_count", "marketplaces_used_raw", "online_ordering_count", "online_ordering_used_raw",
-        "cuisine_type_count", "cuisine_types_raw",
-        "location_count", "connected_with_decision_maker", "status", "converted_opportunity_id",
+        *present(stg, *LIST_COLUMNS),
+        "location_count", "connected_with_decision_maker", "status", "converted_opportunity_id", *present(stg, ROWS),
         F.when(form.isNotNull(), F.lit(L.INBOUND)).otherwise(F.lit(L.OUTBOUND)).alias("channel"),
         F.when(speed_ok, fn.minute_diff(form, contact)).alias("speed_to_lead_minutes"),
         F.col("converted_opportunity_id").isNotNull().alias("is_converted"),
@@ -159,12 +193,12 @@ def entity_opportunities(stg: DataFrame) -> DataFrame:
         (stage == L.STAGE_CLOSED_WON).alias("is_closed_won"),
         (stage == L.STAGE_CLOSED_LOST).alias("is_closed_lost"),
         stage.isin(L.STAGE_CLOSED_WON, L.STAGE_CLOSED_LOST).alias("is_closed"),
-        "account_id",
+        "account_id", *present(stg, ROWS),
     )
 
 
 __all__ = [
     "ingress", "raw_leads", "raw_opportunities", "raw_expenses", "stg_leads", "stg_opportunities",
     "stg_expenses_advertising", "stg_expenses_salary", "entity_leads", "entity_opportunities",
-    "first_contact",
+    "first_contact", "shared_rows", "ledger_rows",
 ]

@@ -9,9 +9,10 @@ Partitioning notes (what the physical plan does at scale):
   one-lead-per-opportunity dedupe, so the sort-merge join adds no exchange of
   its own.  NULL keys (the unconverted ~90 % of leads) are filtered out before
   the lead shuffle, so they never meet in one task.
-* ``ops_pipeline_health`` over stored tables is a union of two narrow
-  projections (no shuffle); over views of the sources it reads the leads once
-  (``ops_pipeline_health_one_pass``).
+* ``ops_pipeline_health`` is a union of two narrow projections: of the stored
+  tables, or of the shared frames (``plans/shared.py``), where both branches read
+  the leads from one exchange: a converted lead goes on into the join with its
+  opportunity, a working lead is appended as it is.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from .. import functions as fn
 from .. import labels as L
 from ..operators import dedupe
 from ..params import Params
+from .layers import LIST_COLUMNS, ROWS, present
 
 
 def monthly_revenue(p_col: Column, prm: Params) -> Column:
@@ -57,10 +59,10 @@ def ops_leads(entity: DataFrame, p: Params) -> DataFrame:
         fn.lower_bucket("predicted_sales_with_owner", p.tier_cuts, p.tier_labels, L.TIER_UNKNOWN)
         .alias("predicted_sales_tier"),
         "location_count", "connected_with_decision_maker",
-        "marketplace_count", "marketplaces_used_raw", "online_ordering_count", "online_ordering_used_raw",
-        "cuisine_type_count", "cuisine_types_raw",
+        *present(entity, *LIST_COLUMNS),
         idle.alias("days_since_last_activity"),
         health.alias("working_lead_health"),
+        *present(entity, ROWS),
     )
 
 
@@ -84,13 +86,21 @@ def loss_category(p: Params) -> Column:
     )
 
 
+# what an opportunity takes from its lead
+LEAD_COLUMNS = ["lead_id", "channel", "predicted_sales_with_owner", "predicted_sales_tier", "location_count",
+                "connected_with_decision_maker", "total_touch_count", "speed_to_lead_minutes",
+                "marketplace_count", "form_submission_date"]
+
+
 def ops_opportunities(entity_opps: DataFrame, ops_leads_df: DataFrame, p: Params) -> DataFrame:
     """One row per opportunity, enriched with its lead, revenue model and loss category."""
-    lead_cols = ["lead_id", "channel", "predicted_sales_with_owner", "predicted_sales_tier", "location_count",
-                 "connected_with_decision_maker", "total_touch_count", "speed_to_lead_minutes",
-                 "marketplace_count", "form_submission_date", "converted_opportunity_id"]
     # project first: only these columns cross the dedupe shuffle
-    leads = one_lead_per_opportunity(ops_leads_df.select(*lead_cols))
+    leads = one_lead_per_opportunity(ops_leads_df.select(*LEAD_COLUMNS, "converted_opportunity_id"))
+    return enriched(entity_opps, leads, p)
+
+
+def enriched(entity_opps: DataFrame, leads: DataFrame, p: Params) -> DataFrame:
+    """Opportunities with the one lead each may have in ``leads``."""
     o = entity_opps.alias("o")
     l_ = leads.alias("l")
     joined = o.join(l_, F.col("o.opportunity_id") == F.col("l.converted_opportunity_id"), "left")
@@ -101,9 +111,7 @@ def ops_opportunities(entity_opps: DataFrame, ops_leads_df: DataFrame, p: Params
             "business_issue_c", "how_did_you_hear_about_us_c", "created_date", "demo_held", "demo_set_date",
             "demo_time", "close_date", "last_sales_call_date_time", "account_id", "days_to_close",
             "days_demo_to_close", "is_closed_won", "is_closed_lost", "is_closed")],
-        *[F.col(f"l.{c}") for c in (
-            "lead_id", "channel", "predicted_sales_with_owner", "predicted_sales_tier", "location_count",
-            "connected_with_decision_maker", "total_touch_count", "speed_to_lead_minutes", "marketplace_count")],
+        *[F.col(f"l.{c}") for c in present(leads, *LEAD_COLUMNS) if c != "form_submission_date"],
         F.col("l.form_submission_date").alias("lead_form_submission_date"),
         F.lit(p.monthly_subscription).alias("monthly_subscription"),
         F.coalesce(pred * F.lit(p.take_rate), F.lit(0.0)).alias("monthly_take_rate"),
@@ -239,46 +247,5 @@ def working_lead_records(ops_leads_df: DataFrame, p: Params) -> DataFrame:
 
 
 def ops_pipeline_health(ops_opps: DataFrame, ops_leads_df: DataFrame, p: Params) -> DataFrame:
-    """Union of two filtered projections — the plan when ops_opportunities and
-    ops_leads are stored tables: two column-pruned scans, no shuffle."""
+    """Open deals and working leads: a union of two filtered projections, which shuffles nothing."""
     return open_opportunity_records(ops_opps, p).unionByName(working_lead_records(ops_leads_df, p))
-
-
-_OPP_KEY, _LEAD_KEY = "O:", "L:"
-
-
-def ops_pipeline_health_one_pass(entity_opps: DataFrame, ops_leads_df: DataFrame, p: Params) -> DataFrame:
-    """The same rows computed from one read of the leads — the plan when the
-    inputs are views over the sources.
-
-    Every lead that can appear is keyed once: a converted lead by its
-    opportunity ('O:' + id), an unconverted working lead by itself ('L:' +
-    lead_id).  Keys are never NULL, so no partition collects the unconverted
-    majority.  One dedupe keeps the lowest lead_id per key (working leads are
-    unique already) and leaves the leads hash-partitioned on the key; the
-    full outer join with the open opportunities then shuffles only the
-    opportunity side, and each output column is picked by record kind.
-    Compared with the union over views, the lead source is scanned and
-    deduplicated once instead of twice.
-    """
-    coid = F.col("converted_opportunity_id")
-    working = is_working_lead()
-    lead_needs = sorted({"lead_id", "status", "working_lead_health", "form_submission_date", "first_sales_call_date",
-                         "last_sales_activity_date", "last_sales_call_date", *_SHARED})
-    leads = ops_leads_df.filter(coid.isNotNull() | working).select(
-        *lead_needs,
-        F.when(coid.isNotNull(), F.concat(F.lit(_OPP_KEY), coid))
-        .otherwise(F.concat(F.lit(_LEAD_KEY), F.col("lead_id"))).alias("_key"),
-    )
-    leads = dedupe(leads, "_key", ["lead_id"], tie_break=None)
-    opps = entity_opps.filter(F.col("is_closed") == F.lit(False)).select(
-        "opportunity_id", "stage_name", "created_date", "demo_held", "demo_set_date",
-        F.concat(F.lit(_OPP_KEY), F.col("opportunity_id")).alias("_okey"),
-    )
-    j = opps.join(leads, opps["_okey"] == leads["_key"], "full_outer")
-    is_opp = F.col("_okey").isNotNull()
-    j = j.filter(is_opp | F.col("_key").startswith(_LEAD_KEY)).withColumn(
-        "monthly_revenue", monthly_revenue(F.col("predicted_sales_with_owner"), p))
-    oc, lc = opportunity_record_columns(p), lead_record_columns(p)
-    picked = {c: F.when(is_opp, oc[c]).otherwise(lc[c]) for c in oc}
-    return _project(j, picked)

@@ -21,6 +21,7 @@ from ..params import DEFAULT, Params
 from ..session import checkpoint_dir
 from ..sources import Sources, schemas
 from . import layers, ops, reports
+from .shared import SharedFrames
 
 VIEW_MODELS = (
     "ingress_leads", "ingress_opportunities", "ingress_expenses_advertising", "ingress_expenses_salary",
@@ -143,14 +144,19 @@ class Pipeline:
 
     @property
     def ops_pipeline_health(self) -> DataFrame:
-        def build() -> DataFrame:
-            if "ops_opportunities" in self._tables:
-                # stored inputs: two column-pruned scans, no shuffle
-                return ops.ops_pipeline_health(self.ops_opportunities, self.ops_leads, self.p)
-            # views over the sources: read and deduplicate the leads once
-            return ops.ops_pipeline_health_one_pass(self.entity_opportunities, self.ops_leads, self.p)
+        return self._stored("ops_pipeline_health",
+                            lambda: ops.ops_pipeline_health(*self.deals_and_leads(), self.p))
 
-        return self._stored("ops_pipeline_health", build)
+    @cached_property
+    def shared(self) -> SharedFrames:
+        """The models' frames for queries that read a source more than once."""
+        return SharedFrames(self)
+
+    def deals_and_leads(self) -> tuple[DataFrame, DataFrame]:
+        """ops_opportunities and ops_leads for a reader of both: stored tables, else the shared frames."""
+        if self.is_stored("ops_opportunities") or self.is_stored("ops_leads"):
+            return self.ops_opportunities, self.ops_leads
+        return self.shared.ops_opportunities, self.shared.ops_leads
 
     # -------------------------------------------------------- reporting
     @property
@@ -160,13 +166,12 @@ class Pipeline:
 
     @property
     def rpt_funnel_summary(self) -> DataFrame:
-        return self._stored("rpt_funnel_summary",
-                            lambda: reports.rpt_funnel_summary(self.ops_leads, self.ops_opportunities))
+        return self._stored("rpt_funnel_summary", lambda: reports.rpt_funnel_summary(*self.deals_and_leads()[::-1]))
 
     @property
     def rpt_monthly_unit_economics(self) -> DataFrame:
         return self._stored("rpt_monthly_unit_economics", lambda: reports.rpt_monthly_unit_economics(
-            self.ops_expenses, self.ops_leads, self.ops_opportunities))
+            self.ops_expenses, *self.deals_and_leads()[::-1]))
 
     @property
     def rpt_channel_efficiency(self) -> DataFrame:

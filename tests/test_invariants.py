@@ -177,14 +177,57 @@ def test_views_and_layer_schemas(spark):
     assert spark.table("pw_test_reporting.rpt_cac_ltv_by_channel").count() == 2
 
 
-def test_pipeline_health_one_pass_equals_union(pl):
+def test_shared_frames_equal_the_layers(pl):
+    """The shared rows are the rows of the layers, whichever way the key's row is picked."""
     from helpers import canonical
     from pipewright.plans import ops
 
-    union = ops.ops_pipeline_health(pl.ops_opportunities, pl.ops_leads, pl.p)
-    one_pass = ops.ops_pipeline_health_one_pass(pl.entity_opportunities, pl.ops_leads, pl.p)
-    assert union.columns == one_pass.columns
-    assert canonical(union.columns, union.collect()) == canonical(one_pass.columns, one_pass.collect())
+    for shared, layer in ((pl.shared.ops_leads, pl.ops_leads), (pl.shared.entity_opportunities, pl.entity_opportunities),
+                          (pl.shared.ops_opportunities, pl.ops_opportunities),
+                          (ops.ops_pipeline_health(pl.shared.ops_opportunities, pl.shared.ops_leads, pl.p),
+                           ops.ops_pipeline_health(pl.ops_opportunities, pl.ops_leads, pl.p))):
+        columns = [c for c in layer.columns if c in shared.columns]
+        assert set(layer.columns) - set(columns) <= {"marketplace_count", "marketplaces_used_raw", "online_ordering_count",
+                                                     "online_ordering_used_raw", "cuisine_type_count", "cuisine_types_raw"}
+        assert canonical(columns, shared.select(*columns).collect()) == canonical(columns, layer.select(*columns).collect())
+    assert pl.shared.ops_leads.agg(F.sum("_rows")).first()[0] == pl.ingress_leads.count()
+
+
+def test_shared_frames_without_positions(spark):
+    """Hand-made frames have no row position: ties go by content, the same way in both forms."""
+    from helpers import canonical, sources, ts
+
+    leads = [{"lead_id": f"{i % 40}", "status": "Working", "sales_call_count": i, "cuisine_types": f"[{i}]"} for i in range(120)]
+    opps = [{"opportunity_id": f"{i % 30}", "stage_name": "Interest", "account_id": str(i),
+             "created_date": None if i % 7 == 0 else ts(f"2024-0{1 + i % 9}-01 10:00")} for i in range(150)]
+    pl = Pipeline(spark, sources(spark, leads=leads, opps=opps))
+    for shared, layer in ((pl.shared.ops_leads, pl.ops_leads), (pl.shared.entity_opportunities, pl.entity_opportunities)):
+        columns = [c for c in layer.columns if c in shared.columns]
+        assert canonical(columns, shared.select(*columns).collect()) == canonical(columns, layer.select(*columns).collect())
+
+
+def test_checks_find_what_is_wrong(spark):
+    """Duplicated, missing and dangling keys and contradictory deals are counted, each once."""
+    import dataclasses
+
+    from helpers import sources, ts
+
+    leads = [{"lead_id": i, "status": "Working"} for i in ("a", "b", "b", "c", "none", "none")]
+    leads += [{"lead_id": f"x{i}", "status": "Converted", "converted_opportunity_id": o} for i, o in enumerate(("o1", "gone", "gone", "away"))]
+    opps = [{"opportunity_id": "o1", "stage_name": "Closed Won", "created_date": ts("2024-03-02 15:00")},
+            {"opportunity_id": "o1", "stage_name": "Closed Won", "created_date": ts("2024-03-01 15:00")},
+            {"opportunity_id": "none", "stage_name": "Interest"}]
+    src = sources(spark, leads=leads, opps=opps, ad=[("Jan-24", "US$ 1,00"), ("Jan-24", "US$ 1,00")])
+    missing = lambda df, key: df.withColumn(key, F.expr(f"nullif({key}, 'none')"))
+    pl = Pipeline(spark, dataclasses.replace(src, leads=missing(src.leads, "lead_id"), opportunities=missing(src.opportunities, "opportunity_id")))
+    got = {r.check_name: r.failures for r in check_summary(pl).collect()}
+    wrong = {"unique:ingress_leads.lead_id": 1, "unique:ingress_opportunities.opportunity_id": 1,
+             "not_null:raw_leads.lead_id": 1, "not_null:stg_leads.lead_id": 1, "not_null:entity_leads.lead_id": 1, "not_null:ops_leads.lead_id": 1,
+             "not_null:raw_opportunities.opportunity_id": 1, "not_null:stg_opportunities.opportunity_id": 1,
+             "not_null:entity_opportunities.opportunity_id": 1, "not_null:ops_opportunities.opportunity_id": 1,
+             "not_null:rpt_lead_outreach_priority.lead_id": 1, "unique:ingress_expenses_advertising.month": 1,
+             "closed_deals_have_close_date": 1, "referential_integrity_leads_to_opportunities": 3}
+    assert {k: v for k, v in got.items() if v} == wrong
 
 
 def test_cli_sql_and_query(spark, capsys):

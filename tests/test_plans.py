@@ -87,3 +87,35 @@ def test_dedupe_keeps_scan_pruning_on_parquet_sources(spark):
     for line in lead_scans:
         assert "cuisine_types" not in line and "marketplaces_used" not in line
         assert "_tmp_metadata_row_index" in line          # the position comes from the reader
+
+
+def static_plan(spark, df) -> str:
+    """The plan before runtime statistics: no adaptive execution, no broadcast by size."""
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        return df._jdf.sparkSession().sessionState().executePlan(
+            df._jdf.queryExecution().logical(), df._jdf.queryExecution().mode()).executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def exchanges(plan: str, key: str) -> int:
+    return sum(f"hashpartitioning({key}#" in l and "ReusedExchange" not in l for l in plan.splitlines())
+
+
+@pytest.mark.parametrize("key", ["rpt_funnel_summary", "rpt_monthly_unit_economics", "rpt_channel_efficiency", "q17_blended",
+                                 "q26_funnel_read", "ops_pipeline_health", "rpt_pipeline_health", "health_changes", "q24_row_counts"])
+def test_leads_are_shuffled_by_their_key_once(spark, key):
+    plan = static_plan(spark, QUERIES[key](spark, SF_SMALL))
+    assert exchanges(plan, "lead_id") == 1 and exchanges(plan, "opportunity_id") == 1
+    assert exchanges(plan, "converted_opportunity_id") == 1 and "ReusedExchange" in plan
+
+
+def test_checks_read_each_source_once(spark):
+    plan = static_plan(spark, QUERIES["chk_summary"](spark, SF_SMALL))
+    scans = [l for l in plan.splitlines() if "FileScan parquet" in l]
+    assert len(scans) == 4  # leads, opportunities and the two ledgers
+    assert exchanges(plan, "lead_id") == exchanges(plan, "opportunity_id") == exchanges(plan, "converted_opportunity_id") == 1
