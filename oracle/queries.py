@@ -53,6 +53,7 @@ for _name in ("stg_leads", "stg_opportunities", "stg_expenses_advertising", "stg
     ORACLE[_name] = table(_name)
 
 ORACLE["stored_pipeline_health"] = table("rpt_pipeline_health")
+ORACLE["catalog_entity_leads"] = table("entity_leads")
 
 from .analyses import Q as _ANALYSES  # noqa: E402
 

@@ -27,10 +27,12 @@ LIST_COUNTS = ("marketplace_count", "online_ordering_count", "cuisine_type_count
 LIST_COLUMNS = [c for count, text in zip(LIST_COUNTS, LEAD_LISTS, strict=True) for c in (count, f"{text}_raw")]
 # how many source rows a shared row stands for (plans/shared.py)
 ROWS = "_rows"
+# the raw row, carried beside its staging and entity columns (plans/store.py)
+RAW = "_raw"
 
 
 def present(df: DataFrame, *names: str) -> list[str]:
-    """Those of the columns that ``df`` has: shared frames lack the lists and have the row count."""
+    """Those of the columns that ``df`` has: shared frames lack the lists, and some carry more."""
     return [c for c in names if c in df.columns]
 
 
@@ -113,7 +115,7 @@ def stg_leads(raw: DataFrame) -> DataFrame:
         F.col("connected_with_decision_maker"),
         fn.normalize_status("status").alias("status"),
         F.col("converted_opportunity_id"),
-        *present(raw, ROWS),
+        *present(raw, ROWS, RAW),
     ]
     return raw.select(*cols)
 
@@ -129,7 +131,7 @@ def stg_opportunities(raw: DataFrame) -> DataFrame:
         fn.fix_year_ts("demo_time").alias("demo_time"),
         fn.fix_year_date("close_date").alias("close_date"),
         fn.fix_year_ts("last_sales_call_date_time").alias("last_sales_call_date_time"),
-        "account_id", *present(raw, ROWS),
+        "account_id", *present(raw, ROWS, RAW),
     )
 
 
@@ -137,7 +139,7 @@ def stg_expenses_advertising(raw: DataFrame, tolerant_months: bool = False) -> D
     """Advertising ledger: month as DATE, amount as DOUBLE."""
     return raw.select(
         fn.parse_month("month", tolerant_months).alias("expense_month"),
-        fn.parse_currency("advertising").alias("advertising_spend"),
+        fn.parse_currency("advertising").alias("advertising_spend"), *present(raw, RAW),
     )
 
 
@@ -146,7 +148,7 @@ def stg_expenses_salary(raw: DataFrame, tolerant_months: bool = False) -> DataFr
     return raw.select(
         fn.parse_month("month", tolerant_months).alias("expense_month"),
         fn.parse_currency("outbound_sales_team").alias("outbound_sales_team_cost"),
-        fn.parse_currency("inbound_sales_team").alias("inbound_sales_team_cost"),
+        fn.parse_currency("inbound_sales_team").alias("inbound_sales_team_cost"), *present(raw, RAW),
     )
 
 
@@ -169,7 +171,7 @@ def entity_leads(stg: DataFrame, p: Params) -> DataFrame:
         .alias("total_touch_count"),
         "predicted_sales_with_owner",
         *present(stg, *LIST_COLUMNS),
-        "location_count", "connected_with_decision_maker", "status", "converted_opportunity_id", *present(stg, ROWS),
+        "location_count", "connected_with_decision_maker", "status", "converted_opportunity_id", *present(stg, ROWS, RAW),
         F.when(form.isNotNull(), F.lit(L.INBOUND)).otherwise(F.lit(L.OUTBOUND)).alias("channel"),
         F.when(speed_ok, fn.minute_diff(form, contact)).alias("speed_to_lead_minutes"),
         F.col("converted_opportunity_id").isNotNull().alias("is_converted"),
@@ -193,7 +195,7 @@ def entity_opportunities(stg: DataFrame) -> DataFrame:
         (stage == L.STAGE_CLOSED_WON).alias("is_closed_won"),
         (stage == L.STAGE_CLOSED_LOST).alias("is_closed_lost"),
         stage.isin(L.STAGE_CLOSED_WON, L.STAGE_CLOSED_LOST).alias("is_closed"),
-        "account_id", *present(stg, ROWS),
+        "account_id", *present(stg, ROWS, RAW),
     )
 
 

@@ -2,15 +2,14 @@
 
 View layers stay lazy.  ``materialize()`` writes the operational and
 reporting tables as Parquet under the cluster's shared checkpoint folder (or
-a given path), each build in a folder of its own, and rebinds the pipeline to
-read them back, which cuts the lineage the way the warehouse's stored tables do: a lost executor recomputes
-from the written table, not from the sources.
+a given path), each build in folders of its own (``plans/store.py``), and rebinds
+the pipeline to read them back, which cuts the lineage the way the warehouse's
+stored tables do: a lost executor recomputes from the written table, not from the
+sources.
 """
 
 from __future__ import annotations
 
-import time
-import uuid
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
@@ -20,7 +19,7 @@ from pyspark.sql import functions as F
 from ..params import DEFAULT, Params
 from ..session import checkpoint_dir
 from ..sources import Sources, schemas
-from . import layers, ops, reports
+from . import layers, ops, reports, store
 from .shared import SharedFrames
 
 VIEW_MODELS = (
@@ -48,10 +47,12 @@ REPORT_TABLES = (
 
 
 class Pipeline:
-    def __init__(self, spark: SparkSession, sources: Sources, params: Params = DEFAULT):
+    def __init__(self, spark: SparkSession, sources: Sources, params: Params = DEFAULT, as_it_was: bool = False):
+        """``as_it_was``: the open pipeline holds only what existed on the as-of date, deals closed since still open."""
         self.spark = spark
         self.sources = sources
         self.p = params
+        self.as_it_was = as_it_was
         self._tables: dict[str, DataFrame] = {}   # materialized (read back from Parquet)
         self._built: dict[str, DataFrame] = {}    # lazy plans built so far
 
@@ -144,13 +145,13 @@ class Pipeline:
 
     @property
     def ops_pipeline_health(self) -> DataFrame:
-        return self._stored("ops_pipeline_health",
-                            lambda: ops.ops_pipeline_health(*self.deals_and_leads(), self.p))
+        return self._stored("ops_pipeline_health", lambda: self.shared.pipeline_health_on(self.p) if self.as_it_was
+                            else ops.ops_pipeline_health(*self.deals_and_leads(), self.p))
 
     @cached_property
     def shared(self) -> SharedFrames:
         """The models' frames for queries that read a source more than once."""
-        return SharedFrames(self)
+        return SharedFrames(self.sources, self.p)
 
     def deals_and_leads(self) -> tuple[DataFrame, DataFrame]:
         """ops_opportunities and ops_leads for a reader of both: stored tables, else the shared frames."""
@@ -204,9 +205,26 @@ class Pipeline:
             self.table(name).createOrReplaceTempView(name)
         return list(names)
 
-    @staticmethod
-    def layer_of(name: str) -> str:
-        return "reporting" if name.startswith("rpt_") else "operational"
+    # -------------------------------------------- what the view layers are read from
+    def _base(self, source: str) -> DataFrame:
+        """A source's kept rows with all columns of its staging and entity models, and the raw row beside them."""
+        raw = self.table(f"raw_{source}")
+        raw = raw.withColumn(layers.RAW, F.struct(*raw.columns))
+        if source == "leads":
+            return layers.entity_leads(layers.stg_leads(raw), self.p)
+        if source == "opportunities":
+            return layers.entity_opportunities(layers.stg_opportunities(raw))
+        return getattr(layers, f"stg_{source}")(raw, self.p.tolerant_months)
+
+    def view_columns(self) -> dict[str, tuple[str, list[str]]]:
+        """For each model of the raw, staging and entity layers its base and what it takes of it."""
+        found = {}
+        for source in store.SOURCES:
+            for model in (f"raw_{source}", f"stg_{source}", f"entity_{source}"):
+                if model in VIEW_MODELS:
+                    at = f"{layers.RAW}." if model.startswith("raw_") else ""
+                    found[model] = (f"base_{source}", [f"{at}`{c}`" for c in self.table(model).columns])
+        return found
 
     def _tables_path(self, path: str | None) -> str:
         """``path``, else a folder under the configured ``spark.checkpoint.dir``.
@@ -218,22 +236,26 @@ class Pipeline:
         return (path or f"{shared.rstrip('/')}/pipewright-tables").rstrip("/")
 
     def materialize(self, path: str | None = None, tables=OPS_TABLES + REPORT_TABLES,
-                    schema_prefix: str | None = None, threads: int = 4) -> dict[str, str]:
+                    schema_prefix: str | None = None, threads: int = 4, view_layers: bool = False) -> dict[str, str]:
         """Rebuild the tables from the sources and read the stored ones from then on.
 
-        Each build writes a folder of its own, ``<path>/runs/<run>/<layer>/<name>``,
-        in dependency order; a table never reads what is being rebuilt.  Only
-        when all are written does the build count: its manifest is written to
-        ``<path>/builds``, the catalog tables (with ``schema_prefix``:
-        ``<prefix>_<layer>.<name>``) point to it, and this pipeline reads it.  A
-        build that fails leaves the tables of the one before as they were.
+        Tables are written in dependency order to the build's own folders
+        (``plans/store.py``); a table never reads what is being rebuilt.  Only
+        when all are written does the build count: one manifest file makes it the
+        latest for every reader, and this pipeline reads it.  A build that fails
+        leaves the tables of the one before as they were.
+
+        ``schema_prefix`` names the tables in the catalog, as
+        ``<prefix>_<layer>.<name>``, or ``<layer>.<name>`` if it is empty;
+        ``view_layers`` stores the base of the ingress, raw, staging and entity
+        layers as well and names their models too.
 
         Tables are written in waves: every table whose inputs are already
         stored is written in the same wave, as concurrent Spark jobs from
         ``threads`` driver threads (plans are built on the calling thread).
         """
-        base = self._tables_path(path)
-        run = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+        builds, run = self._store(path), store.new_run()
+        tables = (*tables, *store.VIEW_BASES) if view_layers else tuple(tables)
         before = self._tables
         self._tables = {k: v for k, v in before.items() if k not in tables}
         self._built.clear()
@@ -242,40 +264,37 @@ class Pipeline:
             pending = list(tables)
             while pending:
                 wave = [t for t in pending if not (set(DEPENDS_ON.get(t, ())) & set(pending))]
-                jobs = [(self.table(name).write, f"{base}/runs/{run}/{self.layer_of(name)}/{name}") for name in wave]
-                with ThreadPoolExecutor(max_workers=max(1, min(threads, len(jobs)))) as pool:
-                    for job in [pool.submit(writer.parquet, target) for writer, target in jobs]:
+                frames = {t: self._base(t.removeprefix("base_")) if t.startswith("base_") else self.table(t) for t in wave}
+                with ThreadPoolExecutor(max_workers=max(1, min(threads, len(wave)))) as pool:
+                    for job in [pool.submit(df.write.parquet, builds.path(name, run)) for name, df in frames.items()]:
                         job.result()
-                written |= {name: target for name, (_, target) in zip(wave, jobs, strict=True)}
+                written |= {name: builds.path(name, run) for name in wave}
                 # later tables read the stored ones, not the plans they come from
-                self._tables |= {name: self.spark.read.parquet(written[name]) for name in wave}
+                self._tables |= {name: self.spark.read.parquet(written[name]) for name in wave if name not in store.VIEW_BASES}
                 self._built.clear()
                 pending = [t for t in pending if t not in wave]
-            self.spark.createDataFrame(list(written.items()), "name string, path string").coalesce(1) \
-                .write.parquet(f"{base}/builds/run={run}")
+            builds.commit(run, written)
         except BaseException:
             self._tables = before
             self._built.clear()
             raise
-        if schema_prefix:
-            self._point_catalog(written, schema_prefix)
+        if schema_prefix is not None:
+            builds.define(written, schema_prefix, self.view_columns() if view_layers else {})
         return written
 
-    def _point_catalog(self, written: dict[str, str], prefix: str) -> None:
-        """Catalog tables over the stored files, one schema per layer."""
-        for name, target in written.items():
-            schema = f"{prefix}_{self.layer_of(name)}"
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}`")
-            self.spark.sql(f"DROP TABLE IF EXISTS `{schema}`.`{name}`")  # external: its files stay
-            self.spark.sql(f"CREATE TABLE `{schema}`.`{name}` USING parquet LOCATION '{target}'")
-
-    def open_tables(self, path: str | None = None) -> dict[str, str]:
-        """Read the tables of the latest complete builds under ``path`` from now on."""
-        builds = self.spark.read.parquet(f"{self._tables_path(path)}/builds")
-        latest = builds.groupBy("name").agg(F.max_by("path", F.col("run").cast("string")).alias("path")).collect()
-        self._tables = {r.name: self.spark.read.parquet(r.path) for r in latest}
+    def _store(self, path: str | None = None) -> store.Store:
+        return store.Store(self.spark, self._tables_path(path))
+
+    def runs(self, path: str | None = None) -> list[str]:
+        """The complete builds under ``path``, oldest first."""
+        return self._store(path).runs()
+
+    def open_tables(self, path: str | None = None, run: str | None = None) -> dict[str, str]:
+        """Read the tables from now on as the build ``run`` (default: the latest) left them."""
+        found = self._store(path).paths(run)
+        self._tables = {name: self.spark.read.parquet(at) for name, at in found.items() if name not in store.VIEW_BASES}
         self._built.clear()
-        return {r.name: r.path for r in latest}
+        return found
 
     def present(self, name: str) -> DataFrame:
         """A report in its presentation order (sorting is not stored)."""

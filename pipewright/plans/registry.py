@@ -95,4 +95,13 @@ def stored_pipeline_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pl.rpt_pipeline_health
 
 
+@register("catalog_entity_leads")
+def catalog_entity_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The entity layer's leads read by their catalog name, over the base that a build has stored."""
+    pl = Pipeline(spark, pipeline(spark, sf_dir).sources)
+    prefix = f"pipewright_{uuid.uuid4().hex}"
+    pl.materialize(f"{checkpoint_dir(spark).rstrip('/')}/catalog-{uuid.uuid4().hex}", (), prefix, view_layers=True)
+    return spark.table(f"{prefix}_entity.entity_leads")
+
+
 from . import analyses  # noqa: E402,F401  (registers the analysis queries)

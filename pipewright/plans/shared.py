@@ -15,22 +15,20 @@ is counted from them, which no shared reader uses; reading one is an analysis er
 from __future__ import annotations
 
 from functools import cached_property
-from typing import TYPE_CHECKING
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import functions as fn
 from ..operators import first_rows
-from ..sources import schemas
+from ..params import Params
+from ..sources import Sources, schemas
 from . import layers, ops
 
-if TYPE_CHECKING:
-    from .pipeline import Pipeline
-
 
 class SharedFrames:
-    def __init__(self, pl: Pipeline):
-        self._sources, self._p = pl.sources, pl.p
+    def __init__(self, sources: Sources, params: Params):
+        self._sources, self._p = sources, params
 
     @cached_property
     def ops_leads(self) -> DataFrame:
@@ -60,6 +58,15 @@ class SharedFrames:
         """These opportunities with their leads."""
         return ops.enriched(opportunities, self.lead_per_opportunity, self._p)
 
+    def pipeline_health_on(self, p: Params) -> DataFrame:
+        """The open pipeline as it was on ``p.as_of``: only what existed then, deals closed since still open, ages to that day."""
+        on = fn.date_literal(p.as_of)
+        existed = lambda c: c.isNull() | (c.cast("date") <= on)
+        opps = self.entity_opportunities.filter(existed(F.col("created_date"))).withColumn(
+            "is_closed", F.when(F.col("close_date") > on, F.lit(False)).otherwise(F.col("is_closed")))
+        leads = SharedFrames(self._sources, p).ops_leads.filter(existed(F.coalesce("form_submission_date", "first_sales_call_date")))
+        return ops.ops_pipeline_health(self.enriched(opps), leads, p)
+
     @cached_property
     def raw_expenses_advertising(self) -> DataFrame:
         return layers.ledger_rows(layers.ingress(self._sources.expenses_advertising, schemas.EXPENSES_ADVERTISING))

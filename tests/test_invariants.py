@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_MID
+from conftest import SF_MID, SF_SMALL
 from pipewright.plans import Pipeline
 from pipewright.plans.checks import check_summary
 from pipewright.session import checkpoint_dir
@@ -173,10 +173,87 @@ def test_views_and_layer_schemas(spark):
     assert n == spark.sql("SELECT COUNT(*) AS n FROM ops_pipeline_health").first().n
     base = f"{checkpoint_dir(spark).rstrip('/')}/test-catalog"
     written = pl.materialize(base, tables=("ops_expenses", "rpt_cac_ltv_by_channel"), schema_prefix="pw_test")
-    assert written["ops_expenses"].endswith("/operational/ops_expenses")
+    assert "/operational/ops_expenses/run=" in written["ops_expenses"]
     assert spark.table("pw_test_reporting.rpt_cac_ltv_by_channel").count() == 2
 
 
+def test_all_layers_by_name_from_another_session(spark, tmp_path):
+    """Six databases with the layers' own names; every model reads as the pipeline computes it."""
+    from helpers import canonical
+    from pipewright.plans.pipeline import REPORT_TABLES, VIEW_MODELS
+    from pipewright.plans.store import LAYERS, layer_of
+
+    pl = Pipeline.from_driver(spark, SF_SMALL)
+    want = {name: (pl.table(name).columns, pl.table(name).collect()) for name in VIEW_MODELS}
+    pl.materialize(str(tmp_path), ("ops_leads", "ops_opportunities", "ops_pipeline_health", "rpt_funnel_summary"), "", view_layers=True)
+    other = spark.newSession()
+    assert {r.namespace for r in other.sql("SHOW DATABASES").collect()} >= set(LAYERS)
+    for name, (columns, rows) in want.items():
+        got = other.table(f"{layer_of(name)}.{name}")
+        assert got.columns == columns and canonical(columns, got.collect()) == canonical(columns, rows), name
+    assert other.table("reporting.rpt_funnel_summary").count() == 2 and len(REPORT_TABLES) == 6
+    assert other.sql("SELECT count(*) AS n FROM raw.raw_leads r JOIN entity.entity_leads e USING (lead_id)").first().n == len(want["raw_leads"][1])
+
+
+@pytest.mark.parametrize("fails", ["writing", "commit", "define"])
+def test_readers_by_name_always_see_one_whole_build(spark, tmp_path, monkeypatch, fails):
+    """A build that stops anywhere leaves the names on one build: the old one before the manifest, the new one after."""
+    import dataclasses
+
+    from pipewright.params import DEFAULT
+    from pipewright.plans.store import Store
+
+    names, prefix = ("ops_leads", "ops_opportunities", "ops_pipeline_health", "rpt_pipeline_health"), f"switch_{fails}"
+
+    def read():
+        other = spark.newSession()
+        total = other.table(f"{prefix}_reporting.rpt_pipeline_health").agg(F.sum("avg_days_in_pipeline")).first()[0]
+        return total, other.table(f"{prefix}_operational.ops_pipeline_health").agg(F.sum("days_in_pipeline")).first()[0]
+
+    Pipeline.from_driver(spark, SF_SMALL).materialize(str(tmp_path), names, prefix)
+    old = read()
+    later = Pipeline.from_driver(spark, SF_SMALL, dataclasses.replace(DEFAULT, as_of="2024-08-30"))
+    later.materialize(str(tmp_path / "apart"), names)
+    new = (later.rpt_pipeline_health.agg(F.sum("avg_days_in_pipeline")).first()[0], later.ops_pipeline_health.agg(F.sum("days_in_pipeline")).first()[0])
+    assert old != new
+
+    def stop(*args, **kwargs):
+        raise RuntimeError("stopped")
+
+    if fails == "writing":
+        monkeypatch.setattr("pipewright.plans.reports.rpt_pipeline_health", stop)
+    elif fails == "commit":
+        monkeypatch.setattr(Store, "commit", stop)
+    else:
+        done = []
+        sql = type(spark).sql
+
+        def few(self, text, *args, **kwargs):
+            done.append(text)
+            return stop() if len([t for t in done if "CREATE OR REPLACE VIEW" in t]) > 2 else sql(self, text, *args, **kwargs)
+
+        monkeypatch.setattr(type(spark), "sql", few)
+    with pytest.raises(RuntimeError):
+        Pipeline.from_driver(spark, SF_SMALL, dataclasses.replace(DEFAULT, as_of="2024-08-30")).materialize(str(tmp_path), names, prefix)
+    monkeypatch.undo()
+    assert read() == (new if fails == "define" else old)
+
+
+def test_builds_are_read_by_their_run(spark, tmp_path):
+    import dataclasses
+
+    from pipewright.params import DEFAULT
+
+    for day in ("2024-07-01", "2024-08-01"):
+        Pipeline.from_driver(spark, SF_SMALL, dataclasses.replace(DEFAULT, as_of=day)).materialize(str(tmp_path), ("ops_pipeline_health",))
+    pl = Pipeline.from_driver(spark, SF_SMALL)
+    first, second = pl.runs(str(tmp_path))
+    pl.open_tables(str(tmp_path), first)
+    old = pl.ops_pipeline_health.agg(F.sum("days_in_pipeline")).first()[0]
+    pl.open_tables(str(tmp_path), second)
+    assert pl.ops_pipeline_health.agg(F.sum("days_in_pipeline")).first()[0] > old
+
+
 def test_shared_frames_equal_the_layers(pl):
     """The shared rows are the rows of the layers, whichever way the key's row is picked."""
     from helpers import canonical
@@ -296,7 +373,7 @@ def test_cli_run_and_test(spark, capsys):
     base = f"{checkpoint_dir(spark).rstrip('/')}/test-cli-run"
     assert main(["run", "--data", "/root/testdata/sf0.001", "--out", base]) == 0
     out = capsys.readouterr().out
-    assert f"{base}/runs/" in out and "/operational/ops_leads" in out and "/reporting/rpt_pipeline_health" in out
+    assert f"{base}/operational/ops_leads/run=" in out and f"{base}/reporting/rpt_pipeline_health/run=" in out
     # the source tables carry duplicates by design, so the source-level checks fail
     assert main(["test", "--data", "/root/testdata/sf0.001"]) == 1
     out = capsys.readouterr().out
