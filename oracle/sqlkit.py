@@ -73,6 +73,11 @@ def currency(c: str) -> str:
     return tolerant_double(digits)
 
 
+def exact_currency(c: str) -> str:
+    digits = f"replace(regexp_replace(replace({c}, 'US$', ''), '[^0-9,]', '', 'g'), ',', '.')"
+    return f"(CASE WHEN regexp_matches({digits}, {NUM_RE}) THEN TRY_CAST({digits} AS DECIMAL(38,10)) END)"
+
+
 def decimal_comma(c: str) -> str:
     return tolerant_double(f"replace({c}, ',', '.')")
 

@@ -513,13 +513,13 @@ def gen_median_events(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("gen_parse_currency_lineitem")
 def gen_parse_currency_lineitem(spark: SparkSession, sf: str) -> DataFrame:
-    """Currency text parsed back over a whole driver column, summed per flag."""
+    """Currency text parsed back over a whole driver column, summed per flag (text straight to DECIMAL)."""
     li = read_driver(spark, sf, "lineitem", ["l_returnflag", "l_extendedprice"])
     cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
     text = F.concat(F.lit("US$    "), F.floor(cents / 100).cast("string"), F.lit(","),
                     F.lpad(F.pmod(cents, F.lit(100)).cast("string"), 2, "0"))
-    parsed = li.select("l_returnflag", fn.parse_currency(text).alias("amount"))
-    return parsed.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"), exact_sum("amount").alias("total"))
+    parsed = li.select("l_returnflag", fn.exact_currency(text).alias("amount"))
+    return parsed.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"), F.sum("amount").cast("double").alias("total"))
 
 
 
@@ -1037,13 +1037,13 @@ def gen_median_events(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("gen_parse_currency_lineitem")
 def gen_parse_currency_lineitem(spark: SparkSession, sf: str) -> DataFrame:
-    """Currency text parsed back over a whole driver column, summed per flag."""
+    """Currency text parsed back over a whole driver column, summed per flag (text straight to DECIMAL)."""
     li = read_driver(spark, sf, "lineitem", ["l_returnflag", "l_extendedprice"])
     cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
     text = F.concat(F.lit("US$    "), F.floor(cents / 100).cast("string"), F.lit(","),
                     F.lpad(F.pmod(cents, F.lit(100)).cast("string"), 2, "0"))
-    parsed = li.select("l_returnflag", fn.parse_currency(text).alias("amount"))
-    return parsed.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"), exact_sum("amount").alias("total"))
+    parsed = li.select("l_returnflag", fn.exact_currency(text).alias("amount"))
+    return parsed.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"), F.sum("amount").cast("double").alias("total"))
 
 
 

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import day, sources, ts
 from pipewright import functions as fn
@@ -312,3 +314,18 @@ def test_fix_year_raises_on_impossible_leap_day(spark):
     df = spark.createDataFrame([(ts("1600-02-29 00:00"),)], "t timestamp_ntz")
     with pytest.raises(Exception):
         df.select(fn.fix_year_ts("t")).collect()
+
+
+def test_amounts_of_twenty_digits_survive_a_sum(spark):
+    """Text straight to DECIMAL, in Spark and in the oracle: no DOUBLE between."""
+    import duckdb
+
+    from oracle.sqlkit import exact_currency
+    from pipewright import functions as fn
+
+    texts = ["US$    12 345 678 901 234 567 890,12", "US$ 0,0000000001", "-5,00", "55779.40", "", None, "no number", "US$ 98 765 432 109 876 543 210,99"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    want = decimal.Decimal("111111111011116689046.1100000001")
+    assert df.agg(F.sum(fn.exact_currency("t"))).first()[0] == want
+    values = ", ".join("(NULL)" if t is None else f"('{t}')" for t in texts)
+    assert duckdb.sql(f"SELECT SUM({exact_currency('t')}) FROM (VALUES {values}) v(t)").fetchone()[0] == want

@@ -59,7 +59,7 @@ def test_exact_median(spark):
     rows += [("one", 4.5), ("none", None), ("two", 1.0), ("two", 2.0)]
     df = spark.createDataFrame(rows, "g string, v double")
     for accuracy in (100_000, 50):
-        got = {x.g: (x.n, x.median) for x in exact_median(df, ["g"], "v", accuracy=accuracy).collect()}
+        got = {x.g: (x.n, x.median) for x in exact_median(df, ["g"], "v", accuracy=accuracy, marks=7).collect()}
         for g in {g for g, _ in rows}:
             values = [v for k, v in rows if k == g and v is not None]
             assert got[g] == (sum(k == g for k, _ in rows), statistics.median(values) if values else None)
