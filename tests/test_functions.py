@@ -328,4 +328,4 @@ def test_amounts_of_twenty_digits_survive_a_sum(spark):
     want = decimal.Decimal("111111111011116689046.1100000001")
     assert df.agg(F.sum(fn.exact_currency("t"))).first()[0] == want
     values = ", ".join("(NULL)" if t is None else f"('{t}')" for t in texts)
-    assert duckdb.sql(f"SELECT SUM({exact_currency('t')}) FROM (VALUES {values}) v(t)").fetchone()[0] == want
+    assert duckdb.sql(f"SELECT SUM({exact_currency('t')}) FROM (VALUES {values}) v(t)").fetchall()[0][0] == want
