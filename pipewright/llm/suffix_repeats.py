@@ -45,41 +45,85 @@ from .textarrays import Texts, raw
 LENGTH, GRAM = 50, 20
 BLOCK, PART = 2 << 20, 8 << 20
 _HASHED = 1 << 20  # bytes of segments hashed at a time
+_CHUNK = 1 << 14  # positions whose anchors are sought at a time
 _EDGE = 256  # stands for the byte before a segment
 
 
+def _words(data: np.ndarray) -> np.ndarray:
+    """The 8 bytes from every position on, as one number."""
+    return np.ndarray((max(len(data) - 7, 0),), "<u8", data, strides=(1,))
+
+
+def _mixed(value: np.ndarray, more: np.ndarray) -> np.ndarray:
+    value = (value ^ (value >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    return value + more
+
+
+def _strings(words: np.ndarray, at: slice | np.ndarray, size: int) -> np.ndarray:
+    """Hashes of the ``size`` (8 or more) bytes from positions on: a range or some of them."""
+    def word(k: int) -> np.ndarray:
+        return words[at.start + k:at.stop + k] if isinstance(at, slice) else words[at + k]
+
+    value = word(0)
+    for k in [*range(8, size - 8, 8), size - 8]:
+        value = _mixed(value, word(k))
+    value = _mixed(value, np.uint64(size))
+    value = _mixed(value ^ (value >> np.uint64(32)), np.uint64(0))
+    return value ^ (value >> np.uint64(29))
+
+
+def _ranges(words: np.ndarray, first: np.ndarray, end: np.ndarray, most: int) -> np.ndarray:
+    """Hashes of the bytes [first, end), 8 to ``most`` each."""
+    value = (end - first).astype(np.uint64)
+    for k in range(0, most, 8):
+        value = np.where(first + k < end, _mixed(value, words[np.minimum(first + k, end - 8)]), value)
+    value = _mixed(value, np.uint64(0))
+    return value ^ (value >> np.uint64(32))
+
+
 class Anchored:
-    """The anchors of a run of texts, each with the windows that picked it."""
+    """The anchors of a run of texts, each with the windows that picked it.
+
+    Positions are hashed and compared some thousands at a time, so that what a
+    pass reads is in the processor's cache.
+    """
 
     def __init__(self, data: np.ndarray, at: np.ndarray, doc: np.ndarray, length: int, gram: int):
         self.data, self.at, self.doc, self.length = data, at, doc, length
         empty = np.zeros(0, np.int64)
         self.key, self.first, self.last, self.text, self.hash = empty.astype(np.uint64), empty, empty, empty, empty.astype(np.uint64)
-        n = len(data) - length + 1
+        n, width = len(data) - length + 1, length - gram + 1
         if n <= 0:
             return
-        t = Texts(data, at)
-        start = np.arange(len(data) - gram + 1)
-        grams = t.hashes(start, start + gram)
-        least = (grams >> np.uint64(32) << np.uint64(32)) | start.astype(np.uint64)
-        width, span = length - gram + 1, 1
-        while span < width:  # minimum over width grams, by doubling
-            step = min(span, width - span)
-            least = np.minimum(least[:-step], least[step:])
-            span += step
-        text = np.repeat(np.arange(len(at) - 1), np.diff(at))[:n]
-        window = np.flatnonzero(np.arange(n) + length <= at[1:][text])
-        if not len(window):
+        words, picked = _words(data), np.empty(n, np.int32)
+        # a position's value: leading bits of its hash, then its place in the chunk, so the first of equal ones wins
+        places = (_CHUNK + width).bit_length()
+        place = np.arange(_CHUNK + width, dtype=np.uint32)
+        for a in range(0, n, _CHUNK):
+            b = min(a + _CHUNK, n)
+            hashes = _strings(words[a:b + length - 8].copy(), slice(0, b - a + width - 1), gram)
+            least = (hashes >> np.uint64(32 + places)).astype(np.uint32) << np.uint32(places) | place[:len(hashes)]
+            span = 1
+            while span < width:  # minimum over width grams, by doubling
+                step = min(span, width - span)
+                least = np.minimum(least[:-step], least[step:])
+                span += step
+            picked[a:b] = (least & np.uint32((1 << places) - 1)).astype(np.int32) + np.int32(a)
+        # windows end within their text: after each text there is a gap
+        inside = np.ones(n, bool)
+        for stop in at[1:].tolist():
+            inside[max(stop - length + 1, 0):stop] = False
+        other = picked[1:] != picked[:-1]
+        head, tail = inside.copy(), inside.copy()
+        head[1:] &= other | ~inside[:-1]
+        tail[:-1] &= other | ~inside[1:]
+        self.first, self.last = np.flatnonzero(head), np.flatnonzero(tail)
+        if not len(self.first):
             return
-        picked = (least[window] & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        change = np.ones(len(window), bool)
-        change[1:] = (picked[1:] != picked[:-1]) | (window[1:] != window[:-1] + 1)
-        head = np.flatnonzero(change)
-        self.first, self.last = window[head], window[np.append(head[1:], len(window)) - 1]
-        key = grams[picked[head]]
+        key = _strings(words, picked[self.first].astype(np.int64), gram)
         # halves swapped: the leading one is small in anchors, parts are dealt by the other
-        self.key, self.text = key << np.uint64(32) | key >> np.uint64(32), text[window[head]]
-        self.hash = t.hashes(self.first, self.last + length) ^ self.key
+        self.key, self.text = key << np.uint64(32) | key >> np.uint64(32), np.searchsorted(at, self.first, "right") - 1
+        self.hash = _ranges(words, self.first, self.end, length + width - 1) ^ self.key
 
     @property
     def end(self) -> np.ndarray:
