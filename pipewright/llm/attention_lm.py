@@ -96,73 +96,100 @@ def windows(ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
 
 
 _CAUSAL = np.arange(WINDOW)[None, :] <= np.arange(CONTEXT, WINDOW)[:, None]
+_SCALE, _MOST = np.float32(DIM**-0.5), np.float32(60)
+_ONES = np.ones((IDS, 1), np.float32)
+
+
+def _flat(a: np.ndarray) -> np.ndarray:
+    return a.reshape(-1, a.shape[-1])
 
 
 def forward(p: dict, inputs: np.ndarray) -> tuple:
-    x = p["embed"][np.maximum(inputs, 0)] + p["place"]
-    q, k, v = x[:, CONTEXT:] @ p["query"], x @ p["key"], x @ p["value"]
-    scores = q @ k.transpose(0, 2, 1) * np.float32(DIM**-0.5)
-    seen = _CAUSAL & (inputs >= 0)[:, None, :]
-    weight = np.where(seen, np.exp(np.minimum(scores, 60)), np.float32(0))
+    """Everything up to the logits.  Products over all windows at once, as one matrix.
+
+    Scores and logits are held to +-60 wherever they count, so what they give is a
+    distribution and nothing overflows.
+    """
+    x = p["embed"][np.maximum(inputs, 0)]
+    x += p["place"]
+    both = (_flat(x) @ np.concatenate((p["query"], p["key"], p["value"]), 1)).reshape(*x.shape[:2], 3 * DIM)
+    q, k, v = both[:, CONTEXT:, :DIM], both[:, :, DIM:2 * DIM], both[:, :, 2 * DIM:]
+    weight = q @ k.transpose(0, 2, 1)
+    weight *= _SCALE
+    np.clip(weight, -_MOST, _MOST, out=weight)
+    np.exp(weight, out=weight)
+    weight *= _CAUSAL & (inputs >= 0)[:, None, :]
     weight /= np.maximum(weight.sum(-1, keepdims=True), np.float32(1e-30))
-    mixed = weight @ v
-    hidden = x[:, CONTEXT:] + mixed @ p["out"]
-    return x, q, k, v, weight, mixed, hidden, hidden @ p["logit"] + p["bias"]
+    mixed = _flat(weight @ v)
+    hidden = mixed @ p["out"]
+    hidden += _flat(x[:, CONTEXT:])
+    logits = hidden @ p["logit"]
+    logits += p["bias"]
+    np.clip(logits, -_MOST, _MOST, out=logits)
+    return x, q, k, v, weight, mixed, hidden, logits.reshape(*q.shape[:2], IDS)
 
 
 def log_probabilities(p: dict, inputs: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """Natural logarithm of each target's probability; 0 where there is none."""
     out = np.zeros(targets.shape, np.float32)
-    for k in range(0, len(inputs), 512):
-        logits = forward(p, inputs[k:k + 512])[-1]
-        part = targets[k:k + 512]
-        chosen = np.take_along_axis(logits, np.maximum(part, 0)[..., None], -1)[..., 0]
-        out[k:k + 512] = np.where(part >= 0, chosen - np.log(np.exp(np.minimum(logits, 60)).sum(-1)), 0)
+    for k in range(0, len(inputs), STEP_WINDOWS):
+        logits, part = _flat(forward(p, inputs[k:k + STEP_WINDOWS])[-1]), targets[k:k + STEP_WINDOWS].ravel()
+        chosen = logits[np.arange(len(part)), np.maximum(part, 0)]
+        chosen -= np.log((np.exp(logits, out=logits) @ _ONES)[:, 0])
+        out[k:k + STEP_WINDOWS] = np.where(part >= 0, chosen, 0).reshape(-1, _SCORED)
     return out
 
 
 def gradient(p: dict, inputs: np.ndarray, targets: np.ndarray) -> dict[str, np.ndarray]:
     x, q, k, v, weight, mixed, hidden, logits = forward(p, inputs)
-    flat = lambda a: a.reshape(-1, a.shape[-1])
-    scale = np.float32(DIM**-0.5)
-    d = np.exp(np.minimum(logits, 60))
-    d /= d.sum(-1, keepdims=True)
-    rows, places = np.nonzero(targets >= 0)
-    d[targets < 0] = 0
-    d[rows, places, targets[rows, places]] -= 1
-    d /= np.float32(max(len(rows), 1))
-    g = {"logit": flat(hidden).T @ flat(d), "bias": flat(d).sum(0)}
+    target, d = targets.ravel(), _flat(logits)
+    np.exp(d, out=d)
+    some = target >= 0
+    # rows without a target weigh nothing
+    d *= some[:, None] / (d @ _ONES) / np.float32(max(np.count_nonzero(some), 1))
+    rows = np.flatnonzero(some)
+    d[rows, target[rows]] -= np.float32(1 / max(len(rows), 1))
+    g = {"logit": hidden.T @ d, "bias": d.sum(0)}
     d_hidden = d @ p["logit"].T
-    g["out"] = flat(mixed).T @ flat(d_hidden)
-    d_mixed = d_hidden @ p["out"].T
-    d_weight = d_mixed @ v.transpose(0, 2, 1)
-    d_v = weight.transpose(0, 2, 1) @ d_mixed
-    d_scores = weight * (d_weight - (d_weight * weight).sum(-1, keepdims=True)) * scale
-    d_q, d_k = d_scores @ k, d_scores.transpose(0, 2, 1) @ q
-    g |= {"query": flat(x[:, CONTEXT:]).T @ flat(d_q), "key": flat(x).T @ flat(d_k), "value": flat(x).T @ flat(d_v)}
-    d_x = d_k @ p["key"].T + d_v @ p["value"].T
-    d_x[:, CONTEXT:] += d_hidden + d_q @ p["query"].T
+    g["out"] = mixed.T @ d_hidden
+    d_mixed = (d_hidden @ p["out"].T).reshape(q.shape)
+    d_scores = d_mixed @ v.transpose(0, 2, 1)
+    d_scores -= np.einsum("wij,wij->wi", d_scores, weight)[..., None]
+    d_scores *= weight
+    d_scores *= _SCALE
+    d_both = np.zeros((*x.shape[:2], 3 * DIM), np.float32)
+    d_both[:, CONTEXT:, :DIM] = d_scores @ k
+    d_both[:, :, DIM:2 * DIM] = d_scores.transpose(0, 2, 1) @ q
+    d_both[:, :, 2 * DIM:] = weight.transpose(0, 2, 1) @ d_mixed
+    g |= dict(zip(("query", "key", "value"), np.split(_flat(x).T @ _flat(d_both), 3, axis=1), strict=True))
+    d_x = (_flat(d_both) @ np.concatenate((p["query"], p["key"], p["value"]), 1).T).reshape(x.shape)
+    d_x[:, CONTEXT:] += d_hidden.reshape(q.shape)
     d_x[inputs < 0] = 0
     g["place"] = d_x.sum(0)
     at = np.maximum(inputs, 0).ravel()
-    g["embed"] = np.stack([np.bincount(at, column, IDS) for column in flat(d_x).T], 1).astype(np.float32)
+    g["embed"] = np.stack([np.bincount(at, column, IDS) for column in np.ascontiguousarray(_flat(d_x).T)], 1).astype(np.float32)
     return g
 
 
 def train(p: dict, pieces: Iterator[tuple[np.ndarray, np.ndarray]]) -> tuple[dict, int]:
     """Local gradient steps (Adam) over the windows of (ids, offsets); and their number."""
-    p = {k: v.copy() for k, v in p.items()}
-    first, second, step = {k: np.zeros_like(v) for k, v in p.items()}, {k: np.zeros_like(v) for k, v in p.items()}, 0
+    every = np.concatenate([v.ravel() for v in p.values()]).astype(np.float32)
+    cut = np.cumsum([v.size for v in p.values()])[:-1]
+    p = {k: a.reshape(v.shape) for (k, v), a in zip(p.items(), np.split(every, cut), strict=True)}  # views: one array is stepped
+    first, second, step = np.zeros_like(every), np.zeros_like(every), 0
     for ids, at in pieces:
         inputs, targets, _ = windows(ids, at)
         order = np.random.default_rng(len(inputs)).permutation(len(inputs))
         for k in range(0, len(order), STEP_WINDOWS):
             chosen = order[k:k + STEP_WINDOWS]
             step += 1
-            for name, g in gradient(p, inputs[chosen], targets[chosen]).items():
-                first[name] = 0.9 * first[name] + 0.1 * g
-                second[name] = 0.99 * second[name] + 0.01 * g * g
-                p[name] -= np.float32(RATE) * (first[name] / (1 - 0.9**step)) / (np.sqrt(second[name] / (1 - 0.99**step)) + np.float32(1e-6))
+            found = gradient(p, inputs[chosen], targets[chosen])
+            g = np.concatenate([found[name].ravel() for name in p])
+            first += np.float32(0.1) * (g - first)
+            second += np.float32(0.01) * (g * g - second)
+            root = np.sqrt(second / np.float32(1 - 0.99**step))
+            root += np.float32(1e-6)
+            every -= np.float32(RATE / (1 - 0.9**step)) * first / root
     return p, step
 
 
