@@ -19,9 +19,10 @@ An anchor to which more than ``chunk`` rows came is dealt into blocks of homes
 times blocks of rows, each compared in a task of its own.
 
 Defined results: a null or empty text has the fingerprint zero and is linked
-like any other; a null id counts as one document with the smallest id; rows of
-one id are all returned, each with its own fingerprint, and connect through
-their id; ties cannot occur, as the smallest id names a component.
+like any other; rows of one id are all returned, each with its own fingerprint, and
+connect through their id; rows with a null id are documents of their own, and name
+no component (one of them alone has a null one); ties cannot occur, as the smallest
+id names a component.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import doc_key, null_id, row_key, stored, table
+from .common import NO_ID, doc_key, null_id, row_key, stored, table
 from .components import components
 
 SHINGLE, BITS, SEED, CHUNK = 3, 3, 42, 2048
@@ -196,15 +197,18 @@ def group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: in
     """(doc, fp, component): a row for each row of ``docs``; component: the smallest
     document reachable over links of fingerprints."""
     prints = stored(fingerprints(docs, id_col, text_col, n), "fingerprints")
-    classes = prints.groupBy("fp").agg(F.min("doc").alias("doc"))
-    # rows of one id are one document, whatever their texts
-    several = prints.groupBy("doc").agg(F.min("fp").alias("low"), F.max("fp").alias("high")).where("low <> high").select("doc", "low")
-    same_id = prints.join(several, "doc").where("fp <> low").select("fp", "low").distinct() \
-        .join(classes.select("fp", F.col("doc").alias("a")), "fp") \
-        .join(classes.select(F.col("fp").alias("low"), F.col("doc").alias("b")), "low").select("a", "b").where("a <> b")
-    least = components(links(classes, bits).unionByName(same_id))
-    lead = classes.join(least.select(F.col("a").alias("doc"), F.col("b").alias("component")), "doc", "left") \
-        .select("fp", F.coalesce("component", "doc").alias("component"))
+    # rows of one id are one document, whatever their texts; a null id is no id
+    known = prints.where(F.col("doc") != NO_ID)
+    several = known.groupBy("doc").agg(F.min("fp").alias("low"), F.max("fp").alias("high")).where("low <> high").select("doc", "low")
+    same_id = known.join(several, "doc").where("fp <> low").select(F.col("fp").alias("a"), F.col("low").alias("b")).distinct()
+    # rows of one fingerprint are always connected, so the fingerprint stands for them in the links
+    least = components(links(prints.select(F.col("fp").alias("doc"), "fp").distinct(), bits).unionByName(same_id))
+    classes = prints.groupBy("fp").agg(F.min(F.when(F.col("doc") != NO_ID, F.col("doc"))).alias("first")) \
+        .join(least.select(F.col("a").alias("fp"), "b"), "fp", "left").select("fp", F.coalesce("b", "fp").alias("root"), "first")
+    # the fingerprints that stand alone have their component already
+    joined = classes.join(least.select(F.col("b").alias("root")).distinct(), "root", "left_semi")
+    named = joined.groupBy("root").agg(F.min("first").alias("least"))
+    lead = classes.join(named, "root", "left").select("fp", F.coalesce("least", "first", F.lit(NO_ID)).alias("component"))
     return prints.join(lead, "fp").select("doc", "fp", "component")
 
 

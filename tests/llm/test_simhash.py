@@ -6,6 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from pipewright.llm import simhash
+from pipewright.llm.common import NO_ID
 from pipewright.llm.components import components
 
 from .helpers import ODD, docs_of
@@ -31,12 +32,13 @@ def brute_components(prints):
 
     for i in range(n):
         for j in range(i):
-            if prints[i][0] == prints[j][0] or (prints[i][1] ^ prints[j][1]).bit_count() <= 3:
+            if prints[i][0] == prints[j][0] != NO_ID or (prints[i][1] ^ prints[j][1]).bit_count() <= 3:
                 label[find(i)] = find(j)
     least = {}
     for i in range(n):
-        least[find(i)] = min(least.get(find(i), prints[i][0]), prints[i][0])
-    return [least[find(i)] for i in range(n)]
+        if prints[i][0] != NO_ID:  # a null id names nothing
+            least[find(i)] = min(least.get(find(i), prints[i][0]), prints[i][0])
+    return [least.get(find(i), NO_ID) for i in range(n)]
 
 
 @settings(max_examples=60, deadline=None)
@@ -95,6 +97,8 @@ def test_group(spark):
     r = random.Random(5)
     base = " ".join(f"w{r.randrange(500)}" for _ in range(400))
     rows = ODD + [(100 + i, base.replace("w1", f"v{i}", i % 3)) for i in range(20)] + [(200, base), (201, "other words " * 9), (201, base)]
+    # null ids: unrelated texts stay apart, and one that is near a document takes its component
+    rows += [(None, "quite another text " * 7), (None, base), (300, "same of a null id " * 5), (None, "same of a null id " * 5)]
     got = sorted(tuple(x) for x in simhash.group(docs_of(spark, rows)).collect())
     prints = [(-(2**63) if i is None else i, brute_print(t)) for i, t in rows]
     want = sorted((d, f if f < 2**63 else f - 2**64, c) for (d, f), c in zip(prints, brute_components(prints)))
