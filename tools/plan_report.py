@@ -22,7 +22,7 @@ HEADLINE = [
     "ops_leads", "ops_opportunities", "ops_expenses", "ops_pipeline_health", "rpt_cac_ltv_by_channel",
     "rpt_funnel_summary", "rpt_monthly_unit_economics", "rpt_channel_efficiency", "rpt_pipeline_health",
     "rpt_lead_outreach_priority", "outreach_top100", "q07_lost_reason_by_channel", "q12_won_profile",
-    "chk_orphans", "health_changes", "gen_dedupe_events", "gen_share_events",
+    "chk_orphans", "chk_summary", "q24_row_counts", "health_changes", "gen_dedupe_events", "gen_share_events",
 ]
 
 
@@ -80,25 +80,25 @@ def main() -> None:
     print("""
 ## Reading the table
 
-- **Scans of `orders`.** The four source tables (leads, opportunities and the two expense
-  ledgers) are all projections of the driver's `orders` table (the adapter). So a query that
-  reads several sources scans `orders` once per source, and the two ledger roll-ups are not
-  shared: Catalyst pushes each ledger's month filter and column pruning below the roll-up,
-  which makes the two aggregates differ. On real data each source is its own table.
+- **Scans.** The adapter projects leads and the two expense ledgers from the driver's `orders`
+  and opportunities from `customer`, one scan a source. On real data each source is its own
+  table.
 - **Dedupe exchanges.** `lead_id`, `opportunity_id` and `converted_opportunity_id` are the
   three dedupes. Each one is preceded by a map-side `WindowGroupLimit` (the "map-side
-  limits" column), and NULL `converted_opportunity_id` rows are filtered before their
-  shuffle.
+  limits" column) or, in queries that read a source more than once, is an aggregate with a
+  map-side part whose exchange all readers share ("reused"). NULL `converted_opportunity_id`
+  rows are filtered before their shuffle.
 - **Joins.** The opportunity enrichment join is a sort-merge join over two sides that are
   already hash-partitioned on the join key by their dedupes, so it adds no exchange.
   AQE turns it into a broadcast only when runtime statistics prove one side small.
 - **Aggregations after the first one** (channel, month, segment) and the
   `SinglePartition` exchanges (global totals of a few rows) carry bounded data.
-- **`ops_pipeline_health`** computed from sources reads the leads once. Converted leads are
-  keyed by opportunity and working leads by themselves (`_key`, never NULL); one dedupe then
-  leaves the leads partitioned for the full outer join, so only the (smaller) opportunity
-  side is shuffled again (`_okey`). Once `ops_opportunities` and `ops_leads` are stored
-  (`Pipeline.materialize`), it is a union of two column-pruned scans with no shuffle.
+- **`ops_pipeline_health`** is a union of open deals and working leads. Computed from sources
+  both branches read the leads from one exchange: converted leads go on into the join, working
+  leads are appended without another shuffle. Over stored tables it is the same union of two
+  column-pruned scans.
+- **`chk_summary`** has one scan a source and one exchange by each source's key; the other
+  exchanges carry counts, months and channels.
 - **`gen_share_events`**: the grand total is a scalar subquery over the same aggregate.
 """)
     spark.stop()
