@@ -3,22 +3,26 @@ r"""Benchmark decontamination with one Aho-Corasick automaton.
 Items and documents are normalised alike: A-Z lower-cased, words are runs of
 digits, letters a-z and all characters from U+0080.  Each item gives its windows
 of ``width`` consecutive words (an item of fewer words, but not none, is one
-window).  One automaton holds all windows; each text is scanned once, and the
-ends of matches are mapped back to words and to offsets of the original text.
+window).  One automaton holds all windows, as strings of a symbol for each different
+word; each text is scanned once, words the benchmark lacks as a symbol that no window
+has, and the ends of matches are mapped back to offsets of the original text.
 
 Defined results: a null text or item has no words; items of one id are one
 item; an item without an id still hits, but is in no list; repeated rows are
 judged each for itself; an empty benchmark contaminates nothing.
 
 Scale: documents are only streamed through, without a shuffle.  What goes to
-the tasks is the benchmark's text, whose size is checked first: beyond
-``max_bytes`` it is dealt into blocks of that size and the documents pass
-through the automaton of one block after the other, in the same stage.
+the tasks is the benchmark's text, whose size is checked first: beyond ``max_bytes``
+it is dealt into blocks of about that size.  Then the documents pass through the
+automaton of one block after the other, so that a task holds one at a time; each pass
+stores the rows with a hit (id, hash of the text, hits), and the documents take the
+hits of all passes by one join.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import ahocorasick
 import numpy as np
@@ -26,10 +30,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import doc_key, row_key, stored, table
 
 WIDTH = 10
-MAX_BYTES = 32 << 20
+MAX_BYTES = 2 << 20
+# symbols of one code point; a block with more different words takes two for each word
+SYMBOLS = 1_000_000
 _WORDS = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 _BUILT: dict = {}
 
@@ -39,24 +45,41 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").translate(_WORDS).split()
 
 
-def windows(words: list[bytes], width: int) -> list[bytes]:
-    if not words:
-        return []
-    return [b" ".join(words[i:i + width]) for i in range(max(1, len(words) - width + 1))]
+def _symbol(i: int, per_word: int) -> str:
+    if per_word == 1:
+        return chr(i + 1 if i + 1 < 0xD800 else i + 0x801)  # leaves the surrogates out
+    # two alphabets, so that no match begins within a word
+    return chr(1 + (i >> 19)) + chr(0x80000 + (i & 0x7FFFF))
+
+
+class Built:
+    """An automaton over words: windows as strings of symbols; values: (number of words, item ids)."""
+
+    def __init__(self, items: list[tuple[str, str]], width: int, symbols: int = SYMBOLS):
+        words = [(item_id, words_of(text)) for item_id, text in items]
+        vocabulary = dict.fromkeys(w for _, of in words for w in of)
+        self.per_word = 1 if len(vocabulary) <= symbols else 2
+        self.symbol = {w: _symbol(i, self.per_word) for i, w in enumerate(vocabulary)}
+        self.none = "\0" * self.per_word
+        found: dict[str, set] = {}
+        for item_id, of in words:
+            text = self.text(of)
+            n = min(len(of), width)
+            for i in range(len(of) - n + 1 if of else 0):
+                found.setdefault(text[i * self.per_word:(i + n) * self.per_word], set()).add(item_id)
+        self.matches = ahocorasick.Automaton()
+        for window, ids in found.items():
+            self.matches.add_word(window, (len(window) // self.per_word, sorted(x for x in ids if x is not None)))
+        self.matches.make_automaton()
+
+    def text(self, words: list[bytes]) -> str:
+        symbol, none = self.symbol.get, self.none
+        return "".join([symbol(w, none) for w in words])
 
 
-def automaton(items: list[tuple[str, str]], width: int):
-    """Windows as patterns between spaces; values: (number of words, item ids)."""
-    found: dict[bytes, set] = {}
-    for item_id, text in items:
-        for window in windows(words_of(text), width):
-            found.setdefault(window, set()).add(item_id)
-    built = ahocorasick.Automaton()
-    for window, ids in found.items():
-        built.add_word(f" {window.decode('latin-1')} ", (window.count(b" ") + 1, sorted(x for x in ids if x is not None)))
-    if found:
-        built.make_automaton()
-    return built if found else None
+def automaton(items: list[tuple[str, str]], width: int) -> Built | None:
+    built = Built(items, width)
+    return built if built.symbol else None
 
 
 def _cached(shared, width: int):
@@ -86,18 +109,15 @@ def scan(text: str | None, built) -> tuple[int, list[int], set]:
     words = words_of(text)
     if not words or built is None:
         return len(words), [], set()
-    norm = f" {b' '.join(words).decode('latin-1')} "
     hits: list[tuple[int, int]] = []
     items: set = set()
-    for end, (n, ids) in built.iter(norm):
+    for end, (n, ids) in built.matches.iter(built.text(words)):
         hits.append((end, n))
         items.update(ids)
     if not hits:
         return len(words), [], items
-    # the space that ends a match ends its last word: the k-th space closes word k - 1
-    spaces = np.flatnonzero(np.frombuffer(norm.encode("latin-1"), np.uint8) == 32)
     mark = np.zeros(len(words) + 1, np.int64)
-    last = np.searchsorted(spaces, [e for e, _ in hits])
+    last = (np.array([e for e, _ in hits]) + 1) // built.per_word
     np.add.at(mark, last - [n for _, n in hits], 1)
     np.add.at(mark, last, -1)
     return len(words), np.flatnonzero(np.cumsum(mark)[:-1]).tolist(), items
@@ -126,32 +146,38 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     hit: indices of hit words; items: ids, as strings, of items with occurring
     windows; spans: [start, end) offsets of the hit runs in the original text.
     """
-    spark = docs.sparkSession
     items = benchmark.select(F.col(item_col).cast("string").alias("id"), F.col(item_text_col).alias("text")).where("text is not null")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = -(-size // max_bytes) or 1
-    out = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.lit(0).cast("long").alias("n_words"),
-                      F.array().cast("array<int>").alias("hit"), F.array().cast("array<string>").alias("items"))
-    for k in range(blocks):
-        part = items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == k) if blocks > 1 else items
-        shared = _Shared(spark, [tuple(r) for r in part.collect()])
-
-        def pass_over(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            built = _cached(shared, width)
-            for batch in batches:
-                n_words, hit, named = [], [], []
-                before_hit, before = batch.column("hit").to_pylist(), batch.column("items").to_pylist()
-                for text, old_hit, old in zip(batch.column("text").to_pylist(), before_hit, before, strict=True):
-                    n, new_hit, ids = scan(text, built)
-                    n_words.append(n)
-                    hit.append(sorted({*old_hit, *new_hit}) if old_hit else new_hit)
-                    named.append(sorted(ids.union(old)))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("id"), batch.column("text"), pa.array(n_words, pa.int64()), pa.array(hit, pa.list_(pa.int32())),
-                     pa.array(named, pa.list_(pa.string()))], names=["id", "text", "n_words", "hit", "items"])
-
-        out = out.mapInArrow(pass_over, out.schema)
-    return out
+    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    if blocks == 1:
+        return _pass_over(source, items, width)
+    # a row's hits don't depend on its id, but rows are told apart by both, as a text may be most rows' one
+    row = [doc_key(F.col("id")).alias("doc"), row_key(F.col("text")).alias("row")]
+    parts = [stored(_pass_over(source, items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == k), width).where(F.size("hit") > 0)
+                    .select(*row, "hit", "items").distinct(), "benchmark-hits") for k in range(blocks)]
+    found = reduce(DataFrame.unionAll, parts).groupBy("doc", "row") \
+        .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("hit")))).alias("hit"),
+             F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    counted = _pass_over(source, items.limit(0), width).drop("hit", "items").select("*", *row)
+    return counted.join(found, ["doc", "row"], "left") \
+        .select("id", "text", "n_words", *[F.coalesce(c, F.array().cast(t)).alias(c) for c, t in (("hit", "array<int>"), ("items", "array<string>"))])
+
+
+def _pass_over(source: DataFrame, items: DataFrame, width: int) -> DataFrame:
+    """(id, text, n_words, hit, items) of each row, by one automaton of all ``items``."""
+    shared = _Shared(source.sparkSession, [tuple(r) for r in items.collect()])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        built = _cached(shared, width)
+        for batch in batches:
+            found = [scan(text, built) for text in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array([n for n, _, _ in found], pa.int64()), pa.array([hit for _, hit, _ in found], pa.list_(pa.int32())),
+                 pa.array([sorted(ids) for _, _, ids in found], pa.list_(pa.string()))], names=["id", "text", "n_words", "hit", "items"])
+
+    kind = source.schema["id"].dataType.simpleString()
+    return source.mapInArrow(run, f"id {kind}, text string, n_words long, hit array<int>, items array<string>")
 
 
 def with_spans(found: DataFrame) -> DataFrame:

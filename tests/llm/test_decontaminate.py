@@ -47,6 +47,22 @@ def test_against_brute_force(spark):
     check(spark, rows, items, max_bytes=40)  # many blocks of items
 
 
+def test_symbols_of_two_code_points():
+    r = random.Random(9)
+    items = [(i, " ".join(f"w{r.randrange(40)}" for _ in range(14))) for i in range(5)] + [(9, "one two"), (10, None), (11, "-")]
+    for text in [t for _, t in items] + [f"x {items[0][1]} y W1 w2 {items[3][1]} one; two", "one", "", None]:
+        plain, wide = (decontaminate.Built(items, 10, symbols) for symbols in (10**6, 0))
+        assert (plain.per_word, wide.per_word) == (1, 2)
+        assert decontaminate.scan(text, plain) == decontaminate.scan(text, wide)
+        n, hit, found = brute(text, items)
+        assert decontaminate.scan(text, wide) == (n, hit, set(map(int, found)))
+
+
+def test_symbols_differ_and_are_no_surrogates():
+    marks = [decontaminate._symbol(i, 1) for i in (0, 0xD7FE, 0xD7FF, 0xD800, 0xDFFF, 999_999)]
+    assert len(set(marks)) == 6 and not any(0xD800 <= ord(m) < 0xE000 for m in marks)
+
+
 def test_empty_benchmark_and_documents(spark):
     check(spark, ODD, [])
     check(spark, [], [(1, "x y")])
