@@ -1,6 +1,6 @@
 r"""Quality rules: heuristic base rules, then a hashed n-gram logistic regression.
 
-The model sees relative frequencies of hashed byte 4-grams, words and word pairs.
+The model sees relative frequencies of hashed character 4-grams, words and word pairs.
 It is fitted on a bounded sample of labelled rows (at most ``SAMPLE`` documents,
 those with the smallest id hash), four fifths to fit and one fifth to calibrate
 (Platt scaling); the calibrated probability of good quality is held against a
@@ -8,13 +8,14 @@ fixed threshold.  Texts are scored whole, in Arrow batches.
 
 Defined results: a null or empty text has no words and fails the base rules;
 repeated rows are judged each for itself; a document with several labels counts
-as good only if all are; labels without an id or a value are left out; without
+as good only if all are; of several texts of a labelled id the one with the smallest
+hash is learned from; labels without an id or a value are left out; without
 labels of both kinds the model keeps what the base rules keep.
 
 Scale: documents are streamed through once more after the fit, without a
-shuffle.  The ids of the sample (bounded) are broadcast to pick its documents;
-its hashed features come to the driver (bounded by SAMPLE rows); the weights
-(fixed size) go out.
+shuffle.  The ids of the sample (bounded) are broadcast to pick its documents, one
+row an id, each task keeping one; their hashed features come to the driver (SAMPLE
+rows at most); the weights (fixed size) go out.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import sliced, table
+from .common import row_key, sliced, table
 from .textarrays import Texts, chain, raw, within
 
 SAMPLE, KEEP_FROM = 4000, 0.5
@@ -41,11 +42,11 @@ _SYMBOL[list(SYMBOLS)] = True
 
 
 def features(t: Texts, words: tuple | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For byte grams, words and word pairs: (index of the weight, text)."""
+    """For character grams, words and word pairs: (index of the weight, text)."""
     start, end, text = words or t.words()
     hashes = t.hashes(start, end)
     pair = within(text, 2)
-    kinds = (t.grams(GRAM), (hashes, text), (chain(hashes, pair, 2), text[pair]))
+    kinds = (t.char_grams(GRAM), (hashes, text), (chain(hashes, pair, 2), text[pair]))
     return [((h >> np.uint64(64 - BITS)).astype(np.int64) + (k << BITS), of) for k, (h, of) in enumerate(kinds)]
 
 
@@ -82,10 +83,11 @@ def base(t: Texts, words: tuple) -> dict[str, np.ndarray]:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, sample: int) -> DataFrame:
-    """(id, text, good) of at most ``sample`` labelled documents."""
+    """(id, text, good) of at most ``sample`` labelled documents, one row each."""
     chosen = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("good")).dropna() \
         .groupBy("id").agg(F.min("good").alias("good")).orderBy(F.xxhash64("id"), "id").limit(sample)
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id")
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id") \
+        .groupBy("id", "good").agg(F.min_by("text", row_key(F.col("text"))).alias("text"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",

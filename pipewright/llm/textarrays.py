@@ -102,6 +102,24 @@ class Texts:
         return mix(value[whole] + np.uint64(size)), text[whole]
 
 
+    def char_grams(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """(hash, text) of every run of ``size`` (up to 8) code points within a text; of ASCII ones as :meth:`grams`."""
+        lead = (self.data & 0xC0) != 0x80
+        if lead.all():
+            return self.grams(size)
+        begin = np.flatnonzero(lead)
+        text = np.repeat(np.arange(self.n), np.diff(self.at))[begin]
+        first = within(text, size)
+        start, end = begin[first], np.append(begin, len(self.data))[first + size]
+        plain = end - start == size
+        value = np.zeros(int(plain.sum()), np.uint64)
+        for k in range(size):
+            value = value << np.uint64(8) | self.data[start[plain] + k].astype(np.uint64)
+        out = self.hashes(start, end)
+        out[plain] = mix(value + np.uint64(size))
+        return out, text[first]
+
+
 def within(text: np.ndarray, size: int) -> np.ndarray:
     """Indices of ``size`` consecutive items of one text; text: sorted."""
     n = len(text) - size + 1
