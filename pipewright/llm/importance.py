@@ -10,13 +10,15 @@ the target has not seen (one in ``HELD``, by id hash).
 
 Defined results: a null or empty text has log weight 0; rows of one id share the
 noise; ties at the k-th key are all kept; a document with several labels counts
-as good only if all are; without labels of both kinds everything is kept.
+as good only if all are; of several rows of a held id the smallest log weight counts
+for the cut; without labels of both kinds everything is kept.
 
 Scale: one pass for the counts, one row of ``2^BITS`` counts a task to the
 aggregation; one pass for the weights, stored as (id, weight, key) rows; the k-th
 key is found by counting on the keys' leading bits, four rounds of at most 2^16
 groups, so nothing is sorted.  The target and the cut are fitted on at most
-``SAMPLE`` labelled documents; the raw counts cover every document.
+``SAMPLE`` labelled documents, of whose held ids one number each comes to the driver;
+the raw counts cover every document.
 """
 
 from __future__ import annotations
@@ -135,7 +137,7 @@ def resample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     weighed = stored(marked.select("doc", "good", "held", *[row_key(F.col("text")).alias(c) for c in row], "text")
                      .mapInArrow(run, f"doc long, good boolean, held boolean, {'row long, ' if row else ''}log_weight double")
                      .withColumn("key", sortable(F.col("log_weight") - F.log(-F.log(u)))), "weights")
-    rows = weighed.where("held").select("log_weight", "good").toPandas()
+    rows = weighed.where("held").groupBy("doc", "good").agg(F.min("log_weight").alias("log_weight")).toPandas()
     good = rows.good.to_numpy(bool)
     if not len(good) or good.all() or not good.any():
         return weighed.select("doc", *row, "log_weight", F.lit(True).alias("kept"))

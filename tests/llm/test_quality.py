@@ -3,6 +3,7 @@ import random
 import numpy as np
 
 from pipewright.llm import importance, quality_rules
+from pipewright.llm.common import NO_ID
 from pipewright.llm.textarrays import Texts, raw
 
 from .helpers import ODD, SF, docs_of
@@ -94,6 +95,75 @@ def test_kth_by_leading_bits(spark):
         assert importance.kth(df, k) == sorted(keys, reverse=True)[k - 1]
 
 
+def test_character_grams():
+    import pyarrow as pa
+
+    r = random.Random(12)
+    texts = ["".join(r.choices("ab \u00e9\u4e2d\U0001F600", k=r.randrange(0, 12))) for _ in range(200)] + ["abab", "", "\u4e2d\u4e2d\u4e2d\u4e2d"]
+
+    def grams(texts):
+        t = Texts(*raw(pa.array(texts, pa.string())))
+        return [(int(h), int(of)) for h, of in zip(*t.char_grams(4), strict=True)]
+
+    got, names = grams(texts), {}
+    want = [(x[i:i + 4], k) for k, x in enumerate(texts) for i in range(len(x) - 3)]
+    assert [of for _, of in got] == [of for _, of in want]
+    for (h, _), (gram, _) in zip(got, want, strict=True):
+        assert names.setdefault(gram, h) == h
+    assert len(set(names.values())) == len(names)
+    # a gram's hash doesn't depend on what else is in the batch
+    assert all([h for h, _ in grams([x])] == [h for h, of in got if of == k] for k, x in enumerate(texts))
+
+
+def test_one_row_an_id_comes_to_the_driver(spark):
+    rows = corpus(random.Random(2), 60) + [(6, f"other text {k}") for k in range(50)]
+    labels = labels_of(spark, rows[:60], 1)
+    got = [(r.id, r.text) for r in quality_rules.labelled(docs_of(spark, rows), labels, "doc_id", "text", "quality", 1000).collect()]
+    assert len(got) == len({i for i, _ in got}) == 60 and set(got) <= set(rows)
+
+
+def test_log_weight_and_kept_against_brute_force(spark):
+    """Counts, ratios, noise, cut and k as the docstring says, over dicts of buckets."""
+    import pyarrow as pa
+
+    rows = corpus(random.Random(3), 120) + [(7, "the of the"), (7, "the of the"), (None, "river"), (300, None), (301, "")]
+    docs, labels = docs_of(spark, rows), labels_of(spark, rows[:120], 2)
+    marks = {}
+    for r in labels.collect():
+        if r.doc_id is not None and r.quality is not None:
+            marks[r.doc_id] = min(marks.get(r.doc_id, 1), r.quality) > 0
+    ids = spark.createDataFrame([(i,) for i in {i for i, _ in rows}], "i long")
+    noise = ids.selectExpr("i", f"pmod(xxhash64({importance.SEED}, coalesce(i, {NO_ID})), {1 << 40}) AS u", f"pmod(xxhash64({importance.SEED}, i), {importance.HELD}) = 0 AS held").collect()
+    u, held = {r.i: (r.u + 0.5) / (1 << 40) for r in noise}, {r.i: r.held for r in noise}
+    found = []
+    for _, text in rows:
+        index, _ = importance.buckets(Texts(*raw(pa.array([(text or "").lower()], pa.string()))))
+        found.append(index.tolist())
+    every, target = {}, {}
+    for (i, _), of in zip(rows, found, strict=True):
+        for b in of:
+            every[b] = every.get(b, 0) + 1
+            target[b] = target.get(b, 0) + (marks.get(i, False) and not held[i])
+    share = sum(target.values()) / sum(every.values())
+    ratio = {b: np.log(target[b] + importance.PRIOR) - np.log(every[b] * share + importance.PRIOR) for b in every}
+    weight = [importance.LENGTH * sum(ratio[b] for b in of) / (len(of) + importance.REST) for of in found]
+    tested = {i: min(w for (j, _), w in zip(rows, weight, strict=True) if j == i) for i in {i for i, _ in rows} if i in marks and held[i]}
+    cut = importance.best_cut(np.array(list(tested.values())), np.array([marks[i] for i in tested]))
+    k = sum(w >= cut for w in weight)
+    key = [w - np.log(-np.log(u[i])) for (i, _), w in zip(rows, weight, strict=True)]
+    least = sorted(key, reverse=True)[k - 1]
+    want = sorted((str(i), round(w, 6), x >= least - 1e-9) for (i, _), w, x in zip(rows, weight, key, strict=True))
+    got = importance.resample(docs, labels).collect()
+    assert sorted((str(None if r.doc == NO_ID else r.doc), round(r.log_weight, 6), r.kept) for r in got) == want
+
+
+def test_ties_at_the_kth_key_are_all_kept(spark):
+    rows = [(i, "good river stone") for i in range(20)] + [(100 + i, "$$$ ### click") for i in range(20)] + [(5, "good river stone")] * 30
+    labels = spark.createDataFrame([(i, 1) for i in range(20)] + [(100 + i, 0) for i in range(20)], "doc_id long, quality int")
+    got = importance.resample(docs_of(spark, rows), labels).where("doc = 5").collect()
+    assert len(got) == 31 and len({(r.log_weight, r.kept) for r in got}) == 1
+
+
 def test_best_cut_spares_good_rows():
     weight, good = np.array([-9.0, -5, -4, 1, 2, 3]), np.array([False, False, True, True, True, True])
     assert -5 < importance.best_cut(weight, good) < -4
