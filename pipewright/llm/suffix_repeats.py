@@ -7,9 +7,13 @@ smaller id is found, and the bytes it covers are removed.
    start of the ``GRAM``-byte string with the least hash in it.  Equal windows
    pick equal anchors, so equal windows meet where equal anchors meet.
 2. The distinct anchor hashes of a block are dealt by hash; those of two blocks,
-   or of two documents in a block, come back to their blocks.
+   or of two documents in a block, come back to their blocks.  An anchor of more
+   than ``HOT`` segments (the text around it differs from document to document)
+   comes back as hot: its windows are dealt by hashes of their own, and those that
+   repeat come back in its place.
 3. For these anchors a block gives on the distinct segments (the windows of one
-   anchor, up to ``2 * length`` bytes), each with its smallest document.
+   anchor, up to ``2 * length`` bytes), each with its smallest document; for hot
+   anchors each repeated window is a segment.
 4. Segments that share anchors are sorted as suffixes.  With the common prefixes
    of neighbours, a stack scan gives the tree of common-prefix intervals; those
    whose occurrences have different bytes before them are the maximal repeats,
@@ -24,7 +28,9 @@ so they don't take bytes from each other; all rows come back, repeated ones too.
 Scale: the texts are exchanged once, by block, and the three passes over them
 read that one exchange; beside them anchor hashes (about 8 bytes for each 15 of
 text) and segments of repeated anchors move.  A passage that every third
-document holds is one segment a block, whatever the number of its documents.
+document holds is one segment a block, whatever the number of its documents, and
+the windows that reach out of it into each document's own text are spread over all
+parts: no task gets more than ``HOT`` segments of an anchor, or a window's row a block.
 Numbers of blocks and parts follow the size of the input; nothing is collected.
 """
 
@@ -44,6 +50,7 @@ from .textarrays import Texts, raw
 
 LENGTH, GRAM = 50, 20
 BLOCK, PART = 2 << 20, 8 << 20
+HOT = 1 << 16  # segments of one anchor that a task compares, some 5 MB
 _HASHED = 1 << 20  # bytes of segments hashed at a time
 _CHUNK = 1 << 14  # positions whose anchors are sought at a time
 _EDGE = 256  # stands for the byte before a segment
@@ -132,6 +139,22 @@ class Anchored:
     def owner(self) -> np.ndarray:
         return self.doc[self.text]
 
+    def cut(self, hot: np.ndarray, others: bool = True) -> Anchored:
+        """With the segments of hot anchors cut into windows, each an anchor of its own; ``others``: and the others whole."""
+        if not len(self.first):
+            return self
+        single = np.isin(self.key, hot)
+        count = np.where(single, self.last - self.first + 1, int(others))
+        of = np.repeat(np.arange(len(count)), count)
+        step = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
+        single, key, self.hash, self.text = single[of], self.key[of], self.hash[of], self.text[of]
+        self.first, last = self.first[of] + step, self.last[of]
+        self.last = np.where(single, self.first, last)
+        if single.any():
+            self.hash[single] = _ranges(_words(self.data), self.first[single], self.end[single], self.length) ^ key[single]
+        self.key = np.where(single, self.hash, key)
+        return self
+
 
 def _anchored(rows: pa.Table, length: int, gram: int) -> Anchored:
     data, at = raw(rows.column("text").combine_chunks())
@@ -293,44 +316,61 @@ _OUT = pa.schema([("doc", pa.int64()), ("text", pa.string()), ("n_bytes", pa.int
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM,
-                   block: int = BLOCK, part: int = PART, with_text: bool = True) -> DataFrame:
+                   block: int = BLOCK, part: int = PART, with_text: bool = True, hot: int = HOT) -> DataFrame:
     """A row of :data:`SCHEMA` for each row of ``docs``.
 
     spans: the removed [start, end) byte ranges, as long as they get; text: the
     text as given (null without ``with_text``); doc by :func:`common.doc_key`.
+    hot: segments from which an anchor's windows are dealt singly.
     """
     if not 8 <= gram <= length:
         raise ValueError("gram: from 8 to length")
     rows, size = _blocks(docs, id_col, text_col, block)
     parts = math.ceil((size + 1) / part)
 
-    def keys(group: pa.Table) -> pa.Table:
-        found = _anchored(group, length, gram)
+    def dealt(found: Anchored, block_id: int | None) -> pa.Table:
         order, head = _groups(found.key)
         owner = found.owner()[order]
         low, high = (f.reduceat(owner, head) if len(head) else owner for f in (np.minimum, np.maximum))
         key = found.key[order][head]
+        # the distinct segments of each key: all first ones of equal hashes
+        by_hash, one = _groups(found.hash)
+        segments = np.bincount(np.searchsorted(key, found.key[by_hash[one]]), minlength=len(key))
+        count = (segments * 2 + (low != high)).astype(np.uint32)
         # keys are sorted, so the parts, their leading bits, are too
-        of, (key_blob, many_blob) = _blobs(((key >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64), key, (low != high).astype(np.uint8))
-        block_id = group.column("block")[0].as_py()
+        of, (key_blob, count_blob) = _blobs(((key >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64), key, count)
         return pa.table({"part": pa.array(of, pa.int64()), "block": pa.array([block_id] * len(of), pa.int64()),
-                         "keys": pa.array(key_blob, pa.binary()), "many": pa.array(many_blob, pa.binary())})
+                         "keys": pa.array(key_blob, pa.binary()), "counts": pa.array(count_blob, pa.binary())})
+
+    def keys(group: pa.Table) -> pa.Table:
+        return dealt(_anchored(group, length, gram), group.column("block")[0].as_py())
+
+    def windows(group: pa.Table, back: pa.Table) -> pa.Table:
+        wide = _joined(back.column("hot"), np.uint64)
+        if not len(group) or not len(wide):
+            return dealt(_anchored(group.slice(0, 0), length, gram), None)
+        return dealt(_anchored(group, length, gram).cut(wide, others=False), group.column("block")[0].as_py())
 
     def repeated(group: pa.Table) -> pa.Table:
-        key, many = _joined(group.column("keys"), np.uint64), _joined(group.column("many"), np.uint8)
+        key, counts = _joined(group.column("keys"), np.uint64), _joined(group.column("counts"), np.uint32)
         sizes = np.array([len(x) // 8 for x in group.column("keys").to_pylist()])
         order, head = _groups(key)
-        count, any_many = np.diff(np.append(head, len(key))), np.maximum.reduceat(many[order], head)
-        again = np.zeros(len(key), bool)
-        again[order] = np.repeat((count > 1) | (any_many > 0), count)
+        count, many = np.diff(np.append(head, len(key))), np.maximum.reduceat(counts[order] & np.uint32(1), head)
+        total = np.add.reduceat((counts[order] >> np.uint32(1)).astype(np.int64), head)
+        again, wide = np.zeros(len(key), bool), np.zeros(len(key), bool)
+        again[order] = np.repeat((count > 1) | (many > 0), count)
+        wide[order] = np.repeat(total > hot, count)
         cut = np.concatenate(([0], np.cumsum(sizes)))
-        found = [(b, key[i:j][again[i:j]].tobytes()) for b, i, j in zip(group.column("block").to_pylist(), cut, cut[1:]) if again[i:j].any()]
-        return pa.table({"block": pa.array([b for b, _ in found], pa.int64()), "keys": pa.array([k for _, k in found], pa.binary())})
+        found = [(b, key[i:j][again[i:j] & ~wide[i:j]].tobytes(), key[i:j][again[i:j] & wide[i:j]].tobytes())
+                 for b, i, j in zip(group.column("block").to_pylist(), cut, cut[1:]) if again[i:j].any()]
+        return pa.table({"block": pa.array([x[0] for x in found], pa.int64()), "keys": pa.array([x[1] for x in found], pa.binary()),
+                         "hot": pa.array([x[2] for x in found], pa.binary())})
 
     def segments(group: pa.Table, back: pa.Table) -> pa.Table:
-        out = {"part": [], "block": [], "hash": [], "size": [], "doc": [], "data": []}
+        out = {"part": [], "block": [], "hash": [], "size": [], "doc": [], "data": [], "hot": []}
         if len(group) and len(back):
-            found = _anchored(group, length, gram)
+            block_id, wide = group.column("block")[0].as_py(), _joined(back.column("hot"), np.uint64)
+            found = _anchored(group, length, gram).cut(wide)
             chosen = np.flatnonzero(np.isin(found.key, _joined(back.column("keys"), np.uint64)))
             order, head = _groups(found.hash[chosen])
             one = chosen[order[head]]
@@ -341,9 +381,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             first, end = found.first[one], found.end[one]
             of, (hashes, sizes, docs_) = _blobs(where, found.hash[one], (end - first).astype(np.uint16), doc)
             cut = np.append(np.flatnonzero(np.concatenate(([True], np.diff(where) != 0))), len(where)) if len(where) else [0]
-            out = {"part": of, "block": [group.column("block")[0].as_py()] * len(of), "hash": hashes, "size": sizes, "doc": docs_,
+            out = {"part": of.tolist(), "block": [block_id] * len(of), "hash": hashes, "size": sizes, "doc": docs_, "hot": [b""] * len(of),
                    "data": [pa.compress(b"".join(found.data[a:b].tobytes() for a, b in zip(first[i:j], end[i:j])), "zstd", asbytes=True)
                             for i, j in zip(cut, cut[1:])]}
+            if len(wide):  # goes on to the last pass, which cuts the same segments
+                row = {"part": block_id % parts, "block": block_id, "hash": b"", "size": b"", "doc": b"", "hot": wide.tobytes(),
+                       "data": pa.compress(b"", "zstd", asbytes=True)}
+                out = {k: [*v, row[k]] for k, v in out.items()}
         kinds = {"part": pa.int64(), "block": pa.int64()}
         return pa.table({k: pa.array(v, kinds.get(k, pa.binary())) for k, v in out.items()})
 
@@ -356,12 +400,16 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         block_of = np.repeat(group.column("block").to_numpy(), [len(x) // 8 for x in group.column("hash").to_pylist()])[segment]
         by = np.argsort(block_of, kind="stable")
         of, (h, o, s) = _blobs(block_of[by], hashes[segment][by], offset[by].astype(np.uint16), size[by].astype(np.uint16))
-        return pa.table({"block": pa.array(of, pa.int64()), "hash": pa.array(h, pa.binary()), "offset": pa.array(o, pa.binary()), "size": pa.array(s, pa.binary())})
+        passed = [(b, x) for b, x in zip(group.column("block").to_pylist(), group.column("hot").to_pylist()) if x]
+        none = [b""] * len(passed)
+        return pa.table({"block": pa.array(of.tolist() + [b for b, _ in passed], pa.int64()), "hash": pa.array(h + none, pa.binary()),
+                         "offset": pa.array(o + none, pa.binary()), "size": pa.array(s + none, pa.binary()),
+                         "hot": pa.array([b""] * len(of) + [x for _, x in passed], pa.binary())})
 
     def removed(group: pa.Table, back: pa.Table) -> pa.Table:
         if not len(group):
             return _OUT.empty_table()
-        found = _anchored(group, length, gram)
+        found = _anchored(group, length, gram).cut(_joined(back.column("hot"), np.uint64))
         mark = np.zeros(len(found.data) + 1, np.int64)
         order, head = _groups(found.hash)
         if len(order):
@@ -384,13 +432,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         gone = np.cumsum(mark)[:-1] > 0
         return pa.Table.from_arrays(_results(group, found.data, found.at, gone, with_text), schema=_OUT)
 
-    # one exchange of the texts serves the three passes
-    by_block = rows.groupBy("block")
-    again = by_block.applyInArrow(keys, "part long, block long, keys binary, many binary") \
-        .groupBy("part").applyInArrow(repeated, "block long, keys binary")
-    spans = by_block.cogroup(again.groupBy("block")) \
-        .applyInArrow(segments, "part long, block long, hash binary, size binary, doc binary, data binary") \
-        .groupBy("part").applyInArrow(compare, "block long, hash binary, offset binary, size binary")
+    # one exchange of the texts serves all passes over them
+    by_block, dealt_schema, back_schema = rows.groupBy("block"), "part long, block long, keys binary, counts binary", "block long, keys binary, hot binary"
+    again = by_block.applyInArrow(keys, dealt_schema).groupBy("part").applyInArrow(repeated, back_schema)
+    single = by_block.cogroup(again.groupBy("block")).applyInArrow(windows, dealt_schema).groupBy("part").applyInArrow(repeated, back_schema)
+    # a repeated window is compared as such, in however many blocks it is
+    back = again.union(single.select("block", F.concat("keys", "hot").alias("keys"), F.lit(b"").alias("hot")))
+    spans = by_block.cogroup(back.groupBy("block")) \
+        .applyInArrow(segments, "part long, block long, hash binary, size binary, doc binary, data binary, hot binary") \
+        .groupBy("part").applyInArrow(compare, "block long, hash binary, offset binary, size binary, hot binary")
     return by_block.cogroup(spans.groupBy("block")).applyInArrow(removed, SCHEMA)
 
 

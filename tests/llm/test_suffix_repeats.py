@@ -55,6 +55,19 @@ def test_many_copies_of_a_passage(spark):
     assert run(spark, rows, block=5000) == brute(rows, 50)
 
 
+def test_hot_anchors_in_many_contexts(spark):
+    """A passage in many documents, each with text of its own around it; some contexts repeat in part."""
+    r = random.Random(5)
+    passage, around = "".join(r.choices("abcdefgh ", k=120)), ["".join(r.choices("stuvw ", k=40)) for _ in range(5)]
+    rows = [(i, f"{r.random()}{r.choice(around)}{passage}{r.choice(around)}{r.random()}") for i in range(150)] + [(None, passage), (151, passage * 2)]
+    rows += rows[:20]  # repeated rows
+    r.shuffle(rows)
+    want = brute(rows, 50)
+    for hot in (0, 5, 100):  # all anchors hot, the shared ones, the hottest
+        assert run(spark, rows, block=4000, part=9000, hot=hot) == want
+    assert run(spark, rows, hot=3) == want  # one block
+
+
 def test_empty_table_and_extremes(spark):
     assert run(spark, []) == []
     assert len(run(spark, ODD)) == len(ODD)
