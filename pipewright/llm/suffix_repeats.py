@@ -340,7 +340,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         # keys are sorted, so the parts, their leading bits, are too
         of, (key_blob, count_blob) = _blobs(((key >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64), key, count)
         return pa.table({"part": pa.array(of, pa.int64()), "block": pa.array([block_id] * len(of), pa.int64()),
-                         "keys": pa.array(key_blob, pa.binary()), "counts": pa.array(count_blob, pa.binary())})
+                         "keys": pa.array(key_blob, pa.binary()),
+                         "counts": pa.array([pa.compress(x, "zstd", asbytes=True) for x in count_blob], pa.binary())})
 
     def keys(group: pa.Table) -> pa.Table:
         return dealt(_anchored(group, length, gram), group.column("block")[0].as_py())
@@ -352,8 +353,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return dealt(_anchored(group, length, gram).cut(wide, others=False), group.column("block")[0].as_py())
 
     def repeated(group: pa.Table) -> pa.Table:
-        key, counts = _joined(group.column("keys"), np.uint64), _joined(group.column("counts"), np.uint32)
-        sizes = np.array([len(x) // 8 for x in group.column("keys").to_pylist()])
+        key, sizes = _joined(group.column("keys"), np.uint64), np.array([len(x) // 8 for x in group.column("keys").to_pylist()])
+        counts = np.frombuffer(b"".join(pa.decompress(x, 4 * n, "zstd", asbytes=True) for x, n in zip(group.column("counts").to_pylist(), sizes.tolist())), np.uint32)
         order, head = _groups(key)
         count, many = np.diff(np.append(head, len(key))), np.maximum.reduceat(counts[order] & np.uint32(1), head)
         total = np.add.reduceat((counts[order] >> np.uint32(1)).astype(np.int64), head)
