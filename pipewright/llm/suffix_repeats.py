@@ -435,7 +435,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # one exchange of the texts serves all passes over them
     by_block, dealt_schema, back_schema = rows.groupBy("block"), "part long, block long, keys binary, counts binary", "block long, keys binary, hot binary"
     again = by_block.applyInArrow(keys, dealt_schema).groupBy("part").applyInArrow(repeated, back_schema)
-    single = by_block.cogroup(again.groupBy("block")).applyInArrow(windows, dealt_schema).groupBy("part").applyInArrow(repeated, back_schema)
+    single = by_block.cogroup(again.where("length(hot) > 0").select("block", "hot").groupBy("block")).applyInArrow(windows, dealt_schema).groupBy("part").applyInArrow(repeated, back_schema)
     # a repeated window is compared as such, in however many blocks it is
     back = again.union(single.select("block", F.concat("keys", "hot").alias("keys"), F.lit(b"").alias("hot")))
     spans = by_block.cogroup(back.groupBy("block")) \
