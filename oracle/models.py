@@ -1,18 +1,17 @@
 """The model chain as DuckDB SQL (one CTE per model), written from the
-model definitions, independent of the Spark code except for the shared
-adapter formulas and numeric conventions (sqlkit)."""
+model definitions, independent of the Spark code except for the adapter
+formulas that give the test data its shape, and numeric conventions (sqlkit)."""
 
 from __future__ import annotations
 
-from pipewright import labels as L
-from pipewright.params import DEFAULT as P
 from pipewright.sources import adapter as A
 
+from . import fixed as V
 from .sqlkit import (currency, ddiff, dec, decimal_comma, emean, esum, fix_date, fix_ts, from_dec, hdiff, list_count, mdiff,
                      mean, month, pct, rnd, sdiv)
 
-AS_OF = f"DATE '{P.as_of}'"
-AS_OF_TS = f"TIMESTAMP '{P.as_of} 00:00:00'"
+AS_OF = f"DATE '{V.as_of}'"
+AS_OF_TS = f"TIMESTAMP '{V.as_of} 00:00:00'"
 T = A.DUCKDB_TYPES
 
 
@@ -122,29 +121,29 @@ cte("entity_leads", ["stg_leads"],
     "sales_call_count + sales_text_count + sales_email_count AS total_touch_count, predicted_sales_with_owner, "
     "marketplace_count, marketplaces_used_raw, online_ordering_count, online_ordering_used_raw, cuisine_type_count, "
     "cuisine_types_raw, location_count, connected_with_decision_maker, status, converted_opportunity_id, "
-    f"if(form_submission_date IS NULL, {_v(L.OUTBOUND)}, {_v(L.INBOUND)}) AS channel, "
-    f"if(form_submission_date >= TIMESTAMP '{P.speed_guard}' AND touch >= form_submission_date, "
+    f"if(form_submission_date IS NULL, {_v(V.OUTBOUND)}, {_v(V.INBOUND)}) AS channel, "
+    f"if(form_submission_date >= TIMESTAMP '{V.speed_guard}' AND touch >= form_submission_date, "
     f"{mdiff('form_submission_date', 'touch')}, NULL) AS speed_to_lead_minutes, "
     "converted_opportunity_id IS NOT NULL AS is_converted FROM t")
 cte("entity_opportunities", ["stg_opportunities"],
-    f"SELECT opportunity_id, stage_name, CASE stage_name WHEN {_v(L.STAGE_CLOSED_WON)} THEN {_v(L.WON)} "
-    f"WHEN {_v(L.STAGE_CLOSED_LOST)} THEN {_v(L.LOST)} ELSE {_v(L.OPEN)} END AS deal_outcome, lost_reason_c, "
+    f"SELECT opportunity_id, stage_name, CASE stage_name WHEN {_v(V.STAGE_CLOSED_WON)} THEN {_v(V.WON)} "
+    f"WHEN {_v(V.STAGE_CLOSED_LOST)} THEN {_v(V.LOST)} ELSE {_v(V.OPEN)} END AS deal_outcome, lost_reason_c, "
     "closed_lost_notes_c, business_issue_c, how_did_you_hear_about_us_c, created_date, demo_held, demo_set_date, "
     "demo_time, close_date, last_sales_call_date_time, "
     # a day difference with a NULL side is NULL already
     f"{ddiff('created_date', 'close_date')} AS days_to_close, {ddiff('created_date', 'demo_set_date')} AS days_to_demo, "
     f"{ddiff('demo_set_date', 'close_date')} AS days_demo_to_close, "
-    f"stage_name = {_v(L.STAGE_CLOSED_WON)} AS is_closed_won, stage_name = {_v(L.STAGE_CLOSED_LOST)} AS is_closed_lost, "
-    f"stage_name IN ({_v(L.STAGE_CLOSED_WON)}, {_v(L.STAGE_CLOSED_LOST)}) AS is_closed, account_id "
+    f"stage_name = {_v(V.STAGE_CLOSED_WON)} AS is_closed_won, stage_name = {_v(V.STAGE_CLOSED_LOST)} AS is_closed_lost, "
+    f"stage_name IN ({_v(V.STAGE_CLOSED_WON)}, {_v(V.STAGE_CLOSED_LOST)}) AS is_closed, account_id "
     "FROM stg_opportunities")
 
 # -------------------------------------------------------------- operational
-_speed_case = (f"CASE WHEN speed_to_lead_minutes IS NULL THEN {_v(L.SPEED_NOT_APPLICABLE)} "
-               + " ".join(f"WHEN speed_to_lead_minutes <= {c} THEN {_v(lab)}" for c, lab in zip(P.speed_cuts, P.speed_labels))
-               + f" ELSE {_v(P.speed_labels[-1])} END")
-_tier_case = (f"CASE WHEN predicted_sales_with_owner IS NULL THEN {_v(L.TIER_UNKNOWN)} "
-              + " ".join(f"WHEN predicted_sales_with_owner >= {c} THEN {_v(lab)}" for c, lab in zip(P.tier_cuts, P.tier_labels))
-              + f" ELSE {_v(P.tier_labels[-1])} END")
+_speed_case = (f"CASE WHEN speed_to_lead_minutes IS NULL THEN {_v(V.SPEED_NOT_APPLICABLE)} "
+               + " ".join(f"WHEN speed_to_lead_minutes <= {c} THEN {_v(lab)}" for c, lab in zip(V.speed_cuts, V.speed_labels))
+               + f" ELSE {_v(V.speed_labels[-1])} END")
+_tier_case = (f"CASE WHEN predicted_sales_with_owner IS NULL THEN {_v(V.TIER_UNKNOWN)} "
+              + " ".join(f"WHEN predicted_sales_with_owner >= {c} THEN {_v(lab)}" for c, lab in zip(V.tier_cuts, V.tier_labels))
+              + f" ELSE {_v(V.tier_labels[-1])} END")
 cte("ops_leads", ["entity_leads"],
     "WITH t AS (SELECT *, "
     f"{ddiff('coalesce(last_sales_activity_date, last_sales_call_date, last_sales_email_date, form_submission_date)', AS_OF)}"
@@ -154,8 +153,8 @@ cte("ops_leads", ["entity_leads"],
     f"{_speed_case} AS speed_to_lead_bucket, predicted_sales_with_owner, {_tier_case} AS predicted_sales_tier, "
     "location_count, connected_with_decision_maker, marketplace_count, marketplaces_used_raw, online_ordering_count, "
     "online_ordering_used_raw, cuisine_type_count, cuisine_types_raw, idle AS days_since_last_activity, "
-    f"if(status = {_v(L.STATUS_WORKING)}, CASE WHEN idle > {P.health_stale_days} THEN {_v(L.HEALTH_STALE)} "
-    f"WHEN idle > {P.health_aging_days} THEN {_v(L.HEALTH_AGING)} ELSE {_v(L.HEALTH_ACTIVE)} END, NULL)"
+    f"if(status = {_v(V.STATUS_WORKING)}, CASE WHEN idle > {V.health_stale_days} THEN {_v(V.HEALTH_STALE)} "
+    f"WHEN idle > {V.health_aging_days} THEN {_v(V.HEALTH_AGING)} ELSE {_v(V.HEALTH_ACTIVE)} END, NULL)"
     " AS working_lead_health FROM t")
 
 def _in_list(values) -> str:
@@ -164,14 +163,14 @@ def _in_list(values) -> str:
 
 # loss category: first matching rule wins (reasons and labels from the shared tables)
 _LOSS_CASE = (
-    f"CASE WHEN o.is_closed_lost THEN CASE WHEN o.demo_held = FALSE THEN {_v(L.LOSS_PRE_DEMO)} "
-    f"WHEN o.lost_reason_c IN ({_in_list(P.loss_process_reasons)}) THEN {_v(L.LOSS_PROCESS)} "
-    f"WHEN o.lost_reason_c IN ({_in_list(P.loss_competitive_reasons)}) THEN {_v(L.LOSS_COMPETITIVE)} "
-    f"WHEN o.lost_reason_c IN ({_in_list(P.loss_product_reasons)}) THEN {_v(L.LOSS_PRODUCT)} "
-    f"ELSE {_v(L.LOSS_OTHER)} END END")
+    f"CASE WHEN o.is_closed_lost THEN CASE WHEN o.demo_held = FALSE THEN {_v(V.LOSS_PRE_DEMO)} "
+    f"WHEN o.lost_reason_c IN ({_in_list(V.loss_process_reasons)}) THEN {_v(V.LOSS_PROCESS)} "
+    f"WHEN o.lost_reason_c IN ({_in_list(V.loss_competitive_reasons)}) THEN {_v(V.LOSS_COMPETITIVE)} "
+    f"WHEN o.lost_reason_c IN ({_in_list(V.loss_product_reasons)}) THEN {_v(V.LOSS_PRODUCT)} "
+    f"ELSE {_v(V.LOSS_OTHER)} END END")
 # stage -> pipeline segment, as a lookup over the shared pairs
-_SEGMENT_CASE = ("CASE stage_name " + " ".join(f"WHEN {_v(a)} THEN {_v(b)}" for a, b in P.stage_segments)
-                 + f" ELSE {_v(L.SEGMENT_OTHER)} END")
+_SEGMENT_CASE = ("CASE stage_name " + " ".join(f"WHEN {_v(a)} THEN {_v(b)}" for a, b in V.stage_segments)
+                 + f" ELSE {_v(V.SEGMENT_OTHER)} END")
 
 _REV = "(500.0::DOUBLE + COALESCE(l.predicted_sales_with_owner * 0.05::DOUBLE, 0.0::DOUBLE))"
 cte("ops_opportunities", ["entity_opportunities", "ops_leads"],
@@ -202,21 +201,21 @@ cte("ops_expenses", ["stg_expenses_advertising", "stg_expenses_salary"],
     "FROM stg_expenses_advertising a FULL OUTER JOIN stg_expenses_salary s ON a.expense_month = s.expense_month")
 
 def _by_channel(inbound: str, outbound: str, other: str) -> str:
-    return f"CASE channel WHEN {_v(L.INBOUND)} THEN {inbound} WHEN {_v(L.OUTBOUND)} THEN {outbound} ELSE {other} END"
+    return f"CASE channel WHEN {_v(V.INBOUND)} THEN {inbound} WHEN {_v(V.OUTBOUND)} THEN {outbound} ELSE {other} END"
 
 
-_ORATE = _by_channel(f"{P.opp_win_rate_inbound}::DOUBLE", f"{P.opp_win_rate_outbound}::DOUBLE",
-                     f"{P.opp_win_rate_other}::DOUBLE")
-_LRATE = _by_channel(f"{P.lead_conv_inbound}::DOUBLE * {P.opp_win_rate_inbound}::DOUBLE",
-                     f"{P.lead_conv_outbound}::DOUBLE * {P.opp_win_rate_outbound}::DOUBLE",
-                     f"{P.lead_rate_other}::DOUBLE")
+_ORATE = _by_channel(f"{V.opp_win_rate_inbound}::DOUBLE", f"{V.opp_win_rate_outbound}::DOUBLE",
+                     f"{V.opp_win_rate_other}::DOUBLE")
+_LRATE = _by_channel(f"{V.lead_conv_inbound}::DOUBLE * {V.opp_win_rate_inbound}::DOUBLE",
+                     f"{V.lead_conv_outbound}::DOUBLE * {V.opp_win_rate_outbound}::DOUBLE",
+                     f"{V.lead_rate_other}::DOUBLE")
 _LREV = "(500.0::DOUBLE + COALESCE(predicted_sales_with_owner * 0.05::DOUBLE, 0.0::DOUBLE))"
 _LANCHOR = "coalesce(form_submission_date, first_sales_call_date)"
 _opp_branch = (
-    f"SELECT opportunity_id AS record_id, {_v(L.RECORD_OPPORTUNITY)} AS record_type, channel, stage_name, "
+    f"SELECT opportunity_id AS record_id, {_v(V.RECORD_OPPORTUNITY)} AS record_type, channel, stage_name, "
     f"{_SEGMENT_CASE} AS pipeline_segment, "
-    f"CASE WHEN demo_held THEN {_v(L.DEMO_HELD)} WHEN demo_set_date IS NULL THEN {_v(L.DEMO_NONE)} "
-    f"WHEN NOT demo_held THEN {_v(L.DEMO_NOT_HELD)} ELSE {_v(L.DEMO_UNKNOWN)} END AS demo_status, "
+    f"CASE WHEN demo_held THEN {_v(V.DEMO_HELD)} WHEN demo_set_date IS NULL THEN {_v(V.DEMO_NONE)} "
+    f"WHEN NOT demo_held THEN {_v(V.DEMO_NOT_HELD)} ELSE {_v(V.DEMO_UNKNOWN)} END AS demo_status, "
     "created_date, demo_set_date, demo_held, age AS days_in_pipeline, "
     f"{ddiff('coalesce(demo_set_date, CAST(created_date AS DATE))', AS_OF)} AS days_in_current_stage, "
     "predicted_sales_with_owner, predicted_sales_tier, monthly_revenue AS forecasted_monthly_revenue, "
@@ -224,19 +223,19 @@ _opp_branch = (
     f"{rnd(f'monthly_revenue * ({_ORATE})', 2)} AS potential_monthly_revenue, "
     f"{rnd(f'monthly_revenue * 12.0::DOUBLE * ({_ORATE})', 2)} AS potential_annual_revenue, "
     "lead_id, total_touch_count, speed_to_lead_minutes, connected_with_decision_maker, "
-    f"CASE WHEN stage_name = {_v(L.STAGE_ON_HOLD)} THEN {_v(L.OPP_STALLED)} "
-    f"WHEN age > {P.health_stale_days} THEN {_v(L.OPP_AGING)} WHEN age > {P.health_aging_days} THEN {_v(L.OPP_MATURING)} "
-    f"ELSE {_v(L.OPP_FRESH)} END AS health_status, "
-    f"CASE WHEN stage_name = {_v(L.STAGE_ON_HOLD)} "
-    f"OR (stage_name = {_v(L.STAGE_INTEREST)} AND age > {P.risk_interest_days}) "
-    f"OR (NOT demo_held AND {ddiff('demo_set_date', AS_OF)} > {P.risk_demo_days}) THEN {_v(L.RISK_HIGH)} "
-    f"WHEN age > {P.risk_medium_days} THEN {_v(L.RISK_MEDIUM)} ELSE {_v(L.RISK_LOW)} END AS risk_level "
+    f"CASE WHEN stage_name = {_v(V.STAGE_ON_HOLD)} THEN {_v(V.OPP_STALLED)} "
+    f"WHEN age > {V.health_stale_days} THEN {_v(V.OPP_AGING)} WHEN age > {V.health_aging_days} THEN {_v(V.OPP_MATURING)} "
+    f"ELSE {_v(V.OPP_FRESH)} END AS health_status, "
+    f"CASE WHEN stage_name = {_v(V.STAGE_ON_HOLD)} "
+    f"OR (stage_name = {_v(V.STAGE_INTEREST)} AND age > {V.risk_interest_days}) "
+    f"OR (NOT demo_held AND {ddiff('demo_set_date', AS_OF)} > {V.risk_demo_days}) THEN {_v(V.RISK_HIGH)} "
+    f"WHEN age > {V.risk_medium_days} THEN {_v(V.RISK_MEDIUM)} ELSE {_v(V.RISK_LOW)} END AS risk_level "
     f"FROM (SELECT *, {ddiff('created_date', AS_OF)} AS age FROM ops_opportunities WHERE is_closed = FALSE)")
 _lead_branch = (
-    f"SELECT lead_id AS record_id, {_v(L.RECORD_LEAD)} AS record_type, channel, status AS stage_name, "
-    f"CASE working_lead_health WHEN {_v(L.HEALTH_ACTIVE)} THEN {_v(L.SEGMENT_ACTIVE_LEAD)} "
-    f"WHEN {_v(L.HEALTH_AGING)} THEN {_v(L.SEGMENT_AGING_LEAD)} WHEN {_v(L.HEALTH_STALE)} THEN {_v(L.SEGMENT_STALE_LEAD)} "
-    f"ELSE {_v(L.SEGMENT_WORKING_LEAD)} END AS pipeline_segment, {_v(L.DEMO_NONE)} AS demo_status, "
+    f"SELECT lead_id AS record_id, {_v(V.RECORD_LEAD)} AS record_type, channel, status AS stage_name, "
+    f"CASE working_lead_health WHEN {_v(V.HEALTH_ACTIVE)} THEN {_v(V.SEGMENT_ACTIVE_LEAD)} "
+    f"WHEN {_v(V.HEALTH_AGING)} THEN {_v(V.SEGMENT_AGING_LEAD)} WHEN {_v(V.HEALTH_STALE)} THEN {_v(V.SEGMENT_STALE_LEAD)} "
+    f"ELSE {_v(V.SEGMENT_WORKING_LEAD)} END AS pipeline_segment, {_v(V.DEMO_NONE)} AS demo_status, "
     f"{_LANCHOR} AS created_date, CAST(NULL AS DATE) AS demo_set_date, FALSE AS demo_held, "
     f"{ddiff(_LANCHOR, AS_OF)} AS days_in_pipeline, "
     f"{ddiff('coalesce(last_sales_activity_date, last_sales_call_date, first_sales_call_date, form_submission_date)', AS_OF)}"
@@ -246,15 +245,15 @@ _lead_branch = (
     f"{rnd(f'{_LREV} * 12.0::DOUBLE * ({_LRATE})', 2)} AS potential_annual_revenue, "
     "lead_id, total_touch_count, speed_to_lead_minutes, connected_with_decision_maker, "
     "working_lead_health AS health_status, "
-    f"CASE working_lead_health WHEN {_v(L.HEALTH_STALE)} THEN {_v(L.RISK_HIGH)} "
-    f"WHEN {_v(L.HEALTH_AGING)} THEN {_v(L.RISK_MEDIUM)} ELSE {_v(L.RISK_LOW)} END AS risk_level "
-    f"FROM ops_leads WHERE status = {_v(L.STATUS_WORKING)} AND NOT is_converted")
+    f"CASE working_lead_health WHEN {_v(V.HEALTH_STALE)} THEN {_v(V.RISK_HIGH)} "
+    f"WHEN {_v(V.HEALTH_AGING)} THEN {_v(V.RISK_MEDIUM)} ELSE {_v(V.RISK_LOW)} END AS risk_level "
+    f"FROM ops_leads WHERE status = {_v(V.STATUS_WORKING)} AND NOT is_converted")
 cte("ops_pipeline_health", ["ops_opportunities", "ops_leads"], f"{_opp_branch} UNION ALL {_lead_branch}")
 
 # ---------------------------------------------------------------- reporting
 # Written in DuckDB's own idiom (FILTER aggregates, VALUES unpivots, window
 # totals), checking the Spark formulations from a different angle.
-_IN, _OUT = _v(L.INBOUND), _v(L.OUTBOUND)
+_IN, _OUT = _v(V.INBOUND), _v(V.OUTBOUND)
 
 
 def _cnt(cond: str) -> str:
@@ -274,19 +273,19 @@ cte("rpt_cac_ltv_by_channel", ["ops_opportunities", "ops_expenses"],
     f"{rnd('s.total_cost / w.deals_won', 2)} AS cac FROM wins w JOIN spend s USING (channel)) "
     "SELECT channel, deals_won, total_cost_6mo, cac, avg_monthly_subscription, avg_monthly_take_rate, "
     "avg_monthly_revenue, "
-    + ", ".join(f"{rnd(f'avg_monthly_revenue * {float(n)}::DOUBLE', 2)} AS avg_ltv_{n}mo" for n in P.lifetimes) + ", "
+    + ", ".join(f"{rnd(f'avg_monthly_revenue * {float(n)}::DOUBLE', 2)} AS avg_ltv_{n}mo" for n in V.lifetimes) + ", "
     + ", ".join(f"{rnd(sdiv(f'avg_monthly_revenue * {float(n)}::DOUBLE', 'cac'), 2)} AS ltv_to_cac_{n}mo"
-                for n in P.lifetimes)
+                for n in V.lifetimes)
     + " FROM base")
 
-_LOSS = {"pre_demo_losses": L.LOSS_PRE_DEMO, "process_losses": L.LOSS_PROCESS,
-         "competitive_losses": L.LOSS_COMPETITIVE, "product_fit_losses": L.LOSS_PRODUCT}
+_LOSS = {"pre_demo_losses": V.LOSS_PRE_DEMO, "process_losses": V.LOSS_PROCESS,
+         "competitive_losses": V.LOSS_COMPETITIVE, "product_fit_losses": V.LOSS_PRODUCT}
 cte("rpt_funnel_summary", ["ops_leads", "ops_opportunities"],
     "WITH lead_side AS (SELECT channel, COUNT(*) AS total_leads, "
-    f"{_cnt('is_converted')} AS converted_leads, {_cnt('status = ' + _v(L.STATUS_WORKING))} AS working_leads, "
-    f"{_cnt('status = ' + _v(L.STATUS_NEW))} AS new_leads, "
-    f"{_cnt('status = ' + _v(L.STATUS_DISQUALIFIED))} AS disqualified_leads, "
-    f"{_cnt('status = ' + _v(L.STATUS_BAD_CONTACT))} AS bad_contact_leads, "
+    f"{_cnt('is_converted')} AS converted_leads, {_cnt('status = ' + _v(V.STATUS_WORKING))} AS working_leads, "
+    f"{_cnt('status = ' + _v(V.STATUS_NEW))} AS new_leads, "
+    f"{_cnt('status = ' + _v(V.STATUS_DISQUALIFIED))} AS disqualified_leads, "
+    f"{_cnt('status = ' + _v(V.STATUS_BAD_CONTACT))} AS bad_contact_leads, "
     f"{_cnt('connected_with_decision_maker')} AS dm_connected_leads, "
     f"{rnd(mean('speed_to_lead_minutes'), 1)} AS avg_speed_to_lead_min, "
     f"{rnd('quantile_cont(speed_to_lead_minutes, 0.5)', 1)} AS median_speed_to_lead_min, "
@@ -378,7 +377,7 @@ cte("rpt_channel_efficiency", ["rpt_monthly_unit_economics"],
     "FROM per_channel) "
     "SELECT channel, expense_month, new_leads, converted_leads, deals_won, deals_lost, total_channel_cost, "
     "monthly_cac, lead_to_win_rate_pct, total_monthly_revenue_won, rolling_3mo_cac, rolling_3mo_conversion_rate, "
-    f"rolling_3mo_deals_won, n_frame >= {P.rolling_rows} AS is_full_rolling_window, "
+    f"rolling_3mo_deals_won, n_frame >= {V.rolling_rows} AS is_full_rolling_window, "
     f"{rnd('monthly_cac - cac_before', 2)} AS cac_mom_delta, "
     f"{rnd(sdiv('(monthly_cac - cac_before) * 100.0::DOUBLE', 'cac_before'), 1)} AS cac_mom_pct_change, "
     f"{rnd('lead_to_win_rate_pct - rate_before', 2)} AS conversion_rate_mom_delta, "
@@ -390,15 +389,15 @@ cte("rpt_channel_efficiency", ["rpt_monthly_unit_economics"],
     f"{pct('deals_won', 'month_wins', 1)} AS pct_of_total_wins, "
     f"{pct('new_leads', 'month_leads', 1)} AS pct_of_total_leads, "
     f"{pct('total_monthly_revenue_won', 'month_revenue', 1)} AS pct_of_total_revenue, "
-    f"CASE WHEN monthly_cac > {P.cac_critical} THEN {_v(L.FLAG_CRITICAL)} WHEN monthly_cac > {P.cac_warning} "
-    f"THEN {_v(L.FLAG_WARNING)} ELSE {_v(L.FLAG_HEALTHY)} END AS cac_threshold_flag, "
-    f"CASE WHEN lead_to_win_rate_pct < {P.conversion_critical} THEN {_v(L.FLAG_CRITICAL)} "
-    f"WHEN lead_to_win_rate_pct < {P.conversion_warning} THEN {_v(L.FLAG_WARNING)} ELSE {_v(L.FLAG_HEALTHY)} END"
+    f"CASE WHEN monthly_cac > {V.cac_critical} THEN {_v(V.FLAG_CRITICAL)} WHEN monthly_cac > {V.cac_warning} "
+    f"THEN {_v(V.FLAG_WARNING)} ELSE {_v(V.FLAG_HEALTHY)} END AS cac_threshold_flag, "
+    f"CASE WHEN lead_to_win_rate_pct < {V.conversion_critical} THEN {_v(V.FLAG_CRITICAL)} "
+    f"WHEN lead_to_win_rate_pct < {V.conversion_warning} THEN {_v(V.FLAG_WARNING)} ELSE {_v(V.FLAG_HEALTHY)} END"
     " AS conversion_threshold_flag, "
-    f"CASE WHEN n_frame < {P.rolling_rows} THEN {_v(L.TREND_INSUFFICIENT)} "
-    f"WHEN monthly_cac > rolling_3mo_cac * {1.0 + P.trend_band!r}::DOUBLE THEN {_v(L.TREND_WORSE)} "
-    f"WHEN monthly_cac < rolling_3mo_cac * {1.0 - P.trend_band!r}::DOUBLE THEN {_v(L.TREND_BETTER)} "
-    f"ELSE {_v(L.TREND_STABLE)} END AS cac_trend, "
+    f"CASE WHEN n_frame < {V.rolling_rows} THEN {_v(V.TREND_INSUFFICIENT)} "
+    f"WHEN monthly_cac > rolling_3mo_cac * {1.0 + V.trend_band!r}::DOUBLE THEN {_v(V.TREND_WORSE)} "
+    f"WHEN monthly_cac < rolling_3mo_cac * {1.0 - V.trend_band!r}::DOUBLE THEN {_v(V.TREND_BETTER)} "
+    f"ELSE {_v(V.TREND_STABLE)} END AS cac_trend, "
     f"CASE WHEN deals_won <> 0 THEN {rnd(sdiv('monthly_cac', 'lead_to_win_rate_pct') + ' * 100.0::DOUBLE', 2)} END"
     " AS efficiency_score FROM framed")
 
@@ -410,7 +409,7 @@ def _share(cond: str) -> str:
     return rnd(f"CAST({_cnt(cond)} AS DOUBLE) * 100.0::DOUBLE / COUNT(*)", 1)
 
 
-_RISKS = ((L.RISK_HIGH, "high"), (L.RISK_MEDIUM, "medium"), (L.RISK_LOW, "low"))
+_RISKS = ((V.RISK_HIGH, "high"), (V.RISK_MEDIUM, "medium"), (V.RISK_LOW, "low"))
 cte("rpt_pipeline_health", ["ops_pipeline_health"],
     f"WITH seg AS (SELECT {_K5}, COUNT(*) AS record_count, "
     f"{rnd(esum('forecasted_monthly_revenue'), 2)} AS total_forecasted_monthly_revenue, "
@@ -452,10 +451,10 @@ def _outreach_queue() -> str:
     S = "speed_to_lead_minutes"
     W = "wait_min"
     no_case = (
-        f"CASE WHEN {W} IS NULL THEN {{0}} WHEN {W} >= {P.outreach_expiry_minutes} THEN {{4}} "
-        f"WHEN {W} < {P.outreach_p0_minutes} THEN {{1}} WHEN {W} < {P.outreach_p1_minutes} THEN {{2}} "
-        f"WHEN {W} < {P.outreach_expiry_minutes} THEN {{3}} ELSE {{4}} END")
-    rows = (L.NO_OUTREACH_NO_ANCHOR, L.NO_OUTREACH_P0, L.NO_OUTREACH_P1, L.NO_OUTREACH_P2, L.NO_OUTREACH_EXPIRED)
+        f"CASE WHEN {W} IS NULL THEN {{0}} WHEN {W} >= {V.outreach_expiry_minutes} THEN {{4}} "
+        f"WHEN {W} < {V.outreach_p0_minutes} THEN {{1}} WHEN {W} < {V.outreach_p1_minutes} THEN {{2}} "
+        f"WHEN {W} < {V.outreach_expiry_minutes} THEN {{3}} ELSE {{4}} END")
+    rows = (V.NO_OUTREACH_NO_ANCHOR, V.NO_OUTREACH_P0, V.NO_OUTREACH_P1, V.NO_OUTREACH_P2, V.NO_OUTREACH_EXPIRED)
 
     def no_field(i: int) -> str:
         vals = [(_v(r[i]) if isinstance(r[i], str) else str(r[i])) for r in rows]
@@ -463,19 +462,19 @@ def _outreach_queue() -> str:
 
     def slow_field(i: int) -> str:
         parts = []
-        for cut, *vals in L.SLOW_OUTREACH:
+        for cut, *vals in V.SLOW_OUTREACH:
             v = _v(vals[i]) if isinstance(vals[i], str) else str(vals[i])
             parts.append(f"WHEN {S} <= {cut} THEN {v}" if cut is not None else f"ELSE {v}")
         return "CASE " + " ".join(parts) + " END"
 
-    late = ", ".join(_v(r[1]) for r in L.SLOW_OUTREACH[3:])
+    late = ", ".join(_v(r[1]) for r in V.SLOW_OUTREACH[3:])
     anc = "COALESCE(form_submission_date, first_sales_call_date)"
     return (
         "WITH cand AS (SELECT *, first_sales_call_date IS NULL AND first_text_sent_date IS NULL AS untouched, "
         f"{mdiff(anc, AS_OF_TS)} AS wait_min, {hdiff(anc, AS_OF_TS)} AS wait_hour, {ddiff(anc, AS_OF)} AS wait_day "
-        f"FROM ops_leads WHERE status = {_v(L.STATUS_WORKING)} AND NOT is_converted), "
+        f"FROM ops_leads WHERE status = {_v(V.STATUS_WORKING)} AND NOT is_converted), "
         "queue AS (SELECT lead_id, CASE WHEN untouched THEN "
-        f"{_v(L.SECTION_NO_OUTREACH)} ELSE {_v(L.SECTION_SLOW_OUTREACH)} END AS outreach_section, channel, "
+        f"{_v(V.SECTION_NO_OUTREACH)} ELSE {_v(V.SECTION_SLOW_OUTREACH)} END AS outreach_section, channel, "
         "working_lead_health, predicted_sales_with_owner, predicted_sales_tier, form_submission_date, "
         f"{_FC} AS first_outreach_at, last_sales_activity_date, "
         f"CASE WHEN untouched THEN wait_min ELSE {S} END AS minutes_waiting, "
@@ -485,18 +484,18 @@ def _outreach_queue() -> str:
         f" AS days_waiting, {S}, total_touch_count, connected_with_decision_maker, "
         f"CASE WHEN untouched THEN {no_field(0)} ELSE {slow_field(0)} END AS outreach_priority, "
         f"CAST(CASE WHEN untouched THEN {no_field(1)} ELSE {slow_field(1)} END AS BIGINT) AS priority_sort_key, "
-        f"CASE WHEN untouched THEN coalesce(wait_min < {P.outreach_expiry_minutes}, FALSE) ELSE TRUE END"
+        f"CASE WHEN untouched THEN coalesce(wait_min < {V.outreach_expiry_minutes}, FALSE) ELSE TRUE END"
         " AS is_actionable, "
         f"CASE WHEN untouched THEN {no_field(2)} ELSE {slow_field(2)} END AS recommended_action "
         f"FROM cand WHERE untouched OR (channel = {_IN} AND {S} IS NOT NULL)) "
         "SELECT *, "
-        f"CASE WHEN outreach_priority = {_v(L.NO_OUTREACH_NO_ANCHOR[0])} THEN {_v(L.DASHBOARD_NO_ANCHOR)} "
-        f"WHEN outreach_section = {_v(L.SECTION_NO_OUTREACH)} AND is_actionable THEN {_v(L.DASHBOARD_ACTION)} "
-        f"WHEN outreach_section = {_v(L.SECTION_NO_OUTREACH)} THEN {_v(L.DASHBOARD_EXPIRED)} "
-        f"WHEN outreach_priority IN ({late}) THEN {_v(L.DASHBOARD_REENGAGE)} "
-        f"ELSE {_v(L.DASHBOARD_MONITOR)} END AS dashboard_status, "
-        f"coalesce(is_actionable AND predicted_sales_with_owner >= {P.high_value_sales} "
-        f"AND outreach_section = {_v(L.SECTION_NO_OUTREACH)}, FALSE) AS is_high_value_urgent FROM queue")
+        f"CASE WHEN outreach_priority = {_v(V.NO_OUTREACH_NO_ANCHOR[0])} THEN {_v(V.DASHBOARD_NO_ANCHOR)} "
+        f"WHEN outreach_section = {_v(V.SECTION_NO_OUTREACH)} AND is_actionable THEN {_v(V.DASHBOARD_ACTION)} "
+        f"WHEN outreach_section = {_v(V.SECTION_NO_OUTREACH)} THEN {_v(V.DASHBOARD_EXPIRED)} "
+        f"WHEN outreach_priority IN ({late}) THEN {_v(V.DASHBOARD_REENGAGE)} "
+        f"ELSE {_v(V.DASHBOARD_MONITOR)} END AS dashboard_status, "
+        f"coalesce(is_actionable AND predicted_sales_with_owner >= {V.high_value_sales} "
+        f"AND outreach_section = {_v(V.SECTION_NO_OUTREACH)}, FALSE) AS is_high_value_urgent FROM queue")
 
 
 cte("rpt_lead_outreach_priority", ["ops_leads"], _outreach_queue())
